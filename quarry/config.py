@@ -33,7 +33,7 @@ class Params:
     text_dim: int = 256
     term_dim: int = 256
     # rows below which a side may be broadcast (checked at run time)
-    broadcast_rows: int = 100_000
+    broadcast_rows: int = 20_000
     # digits kept when ordering by floating scores (stable ties)
     score_digits: int = 9
 

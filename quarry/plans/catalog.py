@@ -270,3 +270,200 @@ def m4(spark, d):
 @register("m5_lexical_evaluation", o.metrics_sql(o.LEX_BASE + [o.RANKED_LEX], P.eval_k, per_query=False))
 def m5_lex(spark, d):
     return ev.mean_metrics(_lex_metrics(spark, d, None))
+
+
+# ---------------------------------------------------------------- vectors, expansion, hybrid
+
+from quarry.operators import vectors as vx  # noqa: E402
+from quarry.operators.blocks import best_seed_fn  # noqa: E402
+from quarry.operators.expand import best_seed, expand_documents  # noqa: E402
+from quarry.plans import engine as en  # noqa: E402
+
+WORDS = vx.WordHashEmbedder(P.text_dim)
+TRIGRAMS = vx.TrigramHashEmbedder(P.term_dim)
+
+
+def _index(spark, d, expand=True):
+    return en.build_index(src.docs(spark, d), P, expand=expand)
+
+
+def _rows6(df, key):
+    return vx.sparse_rows(df, key).select(key, "dim", r6("w").alias("w"))
+
+
+@register("v1_text_embedding", o.ctes(o.DOCS, *o.word_vec("rv", "docs", "url", "text"))
+          + "SELECT url, dim, round(w, 6) AS w FROM rv")
+def v1(spark, d):
+    return _rows6(WORDS.embed(ix.last_wins(_docs(spark, d)), "url", "text", partitioned=True), "url")
+
+
+_EMB = (
+    "ev AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings)",
+    "cen AS (SELECT label, i, avg(x) AS c FROM ev GROUP BY label, i)",
+)
+
+
+@register("v2_cosine", o.ctes(*_EMB) + (
+    "SELECT e.vec_id, e.label, round(CASE WHEN sqrt(sum(e.x * e.x)) > 0 AND sqrt(sum(c.c * c.c)) > 0 "
+    "THEN sum(e.x * c.c) / (sqrt(sum(e.x * e.x)) * sqrt(sum(c.c * c.c))) ELSE 0.0 END, 6) AS cos "
+    "FROM ev e JOIN cen c ON e.label = c.label AND e.i = c.i GROUP BY e.vec_id, e.label"))
+def v2(spark, d):
+    """Cosine of every vector with its label's centroid (per-label mean,
+    computed with partial aggregation; the centroid table is tiny)."""
+    from quarry.functions.vector import cosine
+    from quarry.plans.strategy import maybe_broadcast
+    emb = src.table(spark, d, "embeddings")
+    cen = (emb.select("label", F.posexplode("embedding").alias("i", "x"))
+           .groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("c"))
+           .groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("cs"))
+           .select("label", F.col("cs.c").alias("centroid")))
+    return emb.join(maybe_broadcast(cen, P.broadcast_rows), "label").select(
+        "vec_id", "label", r6(cosine(F.col("embedding"), F.col("centroid"))).alias("cos"))
+
+
+@register("v3_query_doc_cosine", o.ctes(o.DOCS, o.QUERIES, *o.cosine_side("docs"))
+          + "SELECT query_id, url, round(cos, 6) AS cos FROM hcos")
+def v3(spark, d):
+    idx = _index(spark, d, expand=False)
+    return en.semantic(idx, src.queries(spark, d)).select("query_id", "url", r6("cos").alias("cos"))
+
+
+@register("v4_query_neighbours", o.ctes(o.DOCS, *o.query_side("docs"))
+          + "SELECT query_id, pos, term, rank, round(sim, 6) AS sim FROM nn")
+def v4(spark, d):
+    idx = _index(spark, d, expand=False)
+    qt = se.query_terms(src.queries(spark, d))
+    wv = TRIGRAMS.embed(qt, ["query_id", "pos"], "term")
+    return vx.nearest_terms(wv, idx.vocab_vec, P.neighbours, P.term_dim).select(
+        "query_id", "pos", "term", "rank", r6("sim").alias("sim"))
+
+
+_EMB_SEED = (
+    "en AS (SELECT vec_id, i, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS x FROM "
+    "(SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings))",
+    f"es AS (SELECT vec_id FROM embeddings ORDER BY vec_id LIMIT {P.seed_size})",
+    "ec AS (SELECT e.vec_id, s.vec_id AS s_id FROM embeddings e JOIN es s ON s.vec_id < e.vec_id)",
+    "ed AS (SELECT a.vec_id, b.vec_id AS s_id, sum(a.x * b.x) AS dot FROM en a JOIN en b ON a.i = b.i "
+    "WHERE b.vec_id IN (SELECT vec_id FROM es) GROUP BY a.vec_id, b.vec_id)",
+    "eb AS (SELECT c.vec_id, c.s_id, round(coalesce(d.dot, 0.0), 9) AS sim, count(*) OVER (PARTITION BY c.vec_id) AS n_pred, "
+    "row_number() OVER (PARTITION BY c.vec_id ORDER BY round(coalesce(d.dot, 0.0), 9) DESC, c.s_id) AS rn "
+    "FROM ec c LEFT JOIN ed d ON c.vec_id = d.vec_id AND c.s_id = d.s_id)",
+    "ebest AS (SELECT e.vec_id, coalesce(b.n_pred, 0) AS n_pred, CASE WHEN b.n_pred >= 2 THEN b.s_id END AS best_id, "
+    "CASE WHEN b.n_pred >= 2 THEN b.sim END AS sim FROM embeddings e LEFT JOIN (SELECT * FROM eb WHERE rn = 1) b "
+    "ON e.vec_id = b.vec_id)",
+)
+
+
+def _emb_best(spark, d):
+    emb = src.table(spark, d, "embeddings").select(
+        "vec_id", F.sequence(F.lit(0), F.size("embedding") - 1).alias("dims"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("ws"))
+    size = len(emb.select("ws").first()["ws"]) if emb.take(1) else 1
+    seeds = sorted(rk.first_n(emb, P.seed_size, "vec_id").collect(), key=lambda r: r["vec_id"])
+    import numpy as np
+    fn = best_seed_fn(np.asarray([r["vec_id"] for r in seeds], dtype=np.int64), [r["vec_id"] for r in seeds],
+                      [(r["dims"], r["ws"]) for r in seeds], size, key="vec_id", seq="vec_id", normalize=True)
+    return emb.mapInPandas(fn, "vec_id long, n_pred long, seed_url long, sim double").withColumnRenamed(
+        "seed_url", "best_id")
+
+
+@register("v5_argmax_neighbour", o.ctes(*_EMB_SEED) + "SELECT vec_id, n_pred, best_id, round(sim, 6) AS sim FROM ebest")
+def v5(spark, d):
+    return _emb_best(spark, d).select("vec_id", "n_pred", "best_id", r6("sim").alias("sim"))
+
+
+@register("p9_similarity_threshold", o.ctes(o.DOCS, *o.expansion("docs"))
+          + f"SELECT url, seed_url, round(sim, 6) AS sim FROM best WHERE sim > {P.expand_threshold}")
+def p9(spark, d):
+    b = best_seed(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True)
+    return b.filter(F.col("sim") > P.expand_threshold).select("url", "seed_url", r6("sim").alias("sim"))
+
+
+@register("v6_doc_expansion", o.ctes(o.DOCS, *o.expansion("docs"))
+          + f"SELECT url, n_pred, seed_url, round(sim, 6) AS sim, coalesce(sim > {P.expand_threshold}, false) AS expanded FROM best")
+def v6(spark, d):
+    b = best_seed(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True)
+    return b.select("url", "n_pred", "seed_url", r6("sim").alias("sim"),
+                    F.coalesce(F.col("sim") > P.expand_threshold, F.lit(False)).alias("expanded"))
+
+
+@register("v7_bulk_expand", o.ctes(o.DOCS, *o.expansion("docs")) + "SELECT url, text FROM exp_docs")
+def v7(spark, d):
+    return expand_documents(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True).select("url", "text")
+
+
+@register("p8_append_neighbour", o.ctes(o.DOCS, *o.expansion("docs"))
+          + f"SELECT e.url, length(e.text) - length(d.text) AS added FROM exp_docs e JOIN docs d ON e.url = d.url "
+          f"WHERE length(e.text) > length(d.text)")
+def p8(spark, d):
+    docs = ix.last_wins(_docs(spark, d))
+    e = expand_documents(docs, WORDS, P, partitioned=True)
+    return e.filter(F.col("seed_url").isNotNull() & (F.col("sim") > P.expand_threshold)).join(
+        docs.select("url", F.col("text").alias("orig")), "url").select(
+        "url", (F.length("text") - F.length("orig")).cast("bigint").alias("added"))
+
+
+@register("v8_doc_vectors", o.ctes(o.DOCS, *o.expansion("docs"), *o.word_vec("fv", "exp_docs", "url", "text"))
+          + "SELECT url, dim, round(w, 6) AS w FROM fv")
+def v8(spark, d):
+    idx = _index(spark, d)
+    return _rows6(vx.embed_distinct(idx.docs, WORDS), "url")
+
+
+@register("v9_vocab_vectors", o.ctes(o.DOCS, *o.expansion("docs"), *o.query_side("exp_docs"))
+          + "SELECT term, dim, round(w, 6) AS w FROM vv")
+def v9(spark, d):
+    return _rows6(_index(spark, d).vocab_vec, "term")
+
+
+@register("q1_query_expansion", o.ctes(o.DOCS, *o.expansion("docs"), *o.query_side("exp_docs"))
+          + "SELECT query_id, pos, term, original FROM qexp")
+def q1(spark, d):
+    idx = _index(spark, d)
+    return en.query_plan(idx, src.queries(spark, d)).select("query_id", "pos", "term", "original")
+
+
+@register("j8_new_terms", o.ctes(o.DOCS, *o.expansion("docs"), *o.query_side("exp_docs"))
+          + "SELECT query_id, term FROM newt")
+def j8(spark, d):
+    idx = _index(spark, d)
+    qp = en.query_plan(idx, src.queries(spark, d))
+    return se.new_terms(qp.filter(~F.col("original")).select("query_id", "term"),
+                        qp.filter(F.col("original"))).select("query_id", "term")
+
+
+@register("q2_weighted_lexical", o.ctes(*o.hybrid()) + "SELECT query_id, url, round(lex, 6) AS lex FROM hlex")
+def q2w(spark, d):
+    idx = _index(spark, d)
+    return en.lexical(idx, src.queries(spark, d)).select("query_id", "url", r6("lex").alias("lex"))
+
+
+@register("q3_hybrid_search", o.ctes(*o.hybrid()) + "SELECT query_id, url, round(score, 6) AS score FROM hscore")
+def q3(spark, d):
+    idx = _index(spark, d)
+    return en.search(idx, src.queries(spark, d)).select("query_id", "url", r6("score").alias("score"))
+
+
+@register("j3_hybrid_merge", o.ctes(*o.hybrid())
+          + "SELECT query_id, url, round(coalesce(lex, 0.0), 6) AS lex, round(cos, 6) AS cos, round(score, 6) AS score FROM hscore")
+def j3(spark, d):
+    idx = _index(spark, d)
+    return en.search(idx, src.queries(spark, d)).select(
+        "query_id", "url", r6(F.coalesce("lex", F.lit(0.0))).alias("lex"), r6("cos").alias("cos"), r6("score").alias("score"))
+
+
+_RANKED_H = ("ranked AS (SELECT query_id, url, score, row_number() OVER (PARTITION BY query_id "
+             "ORDER BY round(score, 9) DESC, url ASC) AS rank FROM hscore)")
+
+
+@register("q4_top5", o.ctes(*o.hybrid(), _RANKED_H)
+          + f"SELECT query_id, url, round(score, 6) AS score, rank FROM ranked WHERE rank <= {P.top_n}")
+def q4(spark, d):
+    idx = _index(spark, d)
+    return en.top(idx, src.queries(spark, d)).select("query_id", "url", r6("score").alias("score"), "rank")
+
+
+@register("m5_evaluation", o.metrics_sql(o.hybrid() + [_RANKED_H], P.eval_k, per_query=False))
+def m5(spark, d):
+    idx = _index(spark, d)
+    return en.evaluate(idx, src.queries(spark, d), src.qrels(spark, d))

@@ -107,3 +107,133 @@ def metrics_sql(ranked_cte_parts: list[str], k: int, per_query: bool) -> str:
         "round(coalesce(avg(recall_at_k), 0.0), 6) AS recall_at_k, round(coalesce(avg(rr), 0.0), 6) AS mrr, "
         "round(coalesce(avg(ndcg), 0.0), 6) AS ndcg, count(*) AS n_queries FROM pq"
     )
+
+
+# ---------------------------------------------------------------- vectors
+
+def hdim(f: str, size: int) -> str:
+    return f"CAST(CAST(('0x' || substr(md5({f}), 1, 7)) AS BIGINT) % {size} AS INTEGER)"
+
+
+def hsign(f: str) -> str:
+    return f"CASE WHEN substr(md5({f}), 8, 1) < '8' THEN CAST(1 AS DOUBLE) ELSE CAST(-1 AS DOUBLE) END"
+
+
+def _unit(name: str, keys: str, size: int, feats: str) -> list[str]:
+    return [
+        f"{name}_f AS ({feats})",
+        f"{name}_d AS (SELECT {keys}, {hdim('f', size)} AS dim, sum({hsign('f')}) AS v FROM {name}_f GROUP BY ALL)",
+        f"{name} AS (SELECT {keys}, dim, CASE WHEN nrm > 0 THEN v / nrm ELSE 0.0 END AS w FROM "
+        f"(SELECT *, sqrt(sum(v * v) OVER (PARTITION BY {keys})) AS nrm FROM {name}_d))",
+    ]
+
+
+def word_vec(name: str, src: str, key: str, text: str, size: int = P.text_dim) -> list[str]:
+    """Hashed word vectors (key, dim, w) of ``src``; empty words ignored."""
+    feats = (f"SELECT {key}, unnest(list_filter(string_split({norm(text)}, ' '), lambda x: x <> '')) AS f FROM {src}")
+    return _unit(name, key, size, feats)
+
+
+def trigram_vec(name: str, src: str, keys: str, term: str, size: int = P.term_dim) -> list[str]:
+    feats = (f"SELECT {keys}, unnest(list_transform(range(1, length('#' || {term} || '#') - 1), "
+             f"lambda i: substr('#' || {term} || '#', i, 3))) AS f FROM {src}")
+    return _unit(name, keys, size, feats)
+
+
+def postings_of(name: str, docs: str) -> list[str]:
+    return [
+        f"{name}_t AS (SELECT url, CAST(length(text) AS BIGINT) AS dl, unnest(string_split({norm('text')}, ' ')) AS term FROM {docs})",
+        f"{name} AS (SELECT term, url, dl, count(*) AS tf FROM {name}_t GROUP BY term, url, dl)",
+    ]
+
+
+def stats_of(name: str, docs: str) -> str:
+    return (f"{name} AS (SELECT count(*) AS n_docs, avg(length(text)) AS avdl, "
+            f"CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS total_len FROM {docs})")
+
+
+def tstats_of(name: str, postings: str) -> str:
+    return f"{name} AS (SELECT term, count(*) AS df FROM {postings} GROUP BY term)"
+
+
+def vocab_of(name: str, tstats: str, stats: str) -> str:
+    return (f"{name} AS (SELECT t.term, t.df FROM {tstats} t, {stats} s "
+            f"WHERE t.df > s.n_docs * {P.vocab_min_df_frac})")
+
+
+def expansion(docs: str = "docs") -> list[str]:
+    """V6: best seed per document and the expanded text (exp_docs)."""
+    return word_vec("rv", docs, "url", "text") + [
+        f"seed AS (SELECT url, doc_seq, text FROM {docs} ORDER BY doc_seq LIMIT {P.seed_size})",
+        f"cand AS (SELECT d.url, d.doc_seq, s.url AS s_url, s.doc_seq AS s_seq FROM {docs} d JOIN seed s ON s.doc_seq < d.doc_seq)",
+        "sdot AS (SELECT a.url, b.url AS s_url, sum(a.w * b.w) AS dot FROM rv a JOIN rv b ON a.dim = b.dim "
+        "WHERE b.url IN (SELECT url FROM seed) GROUP BY a.url, b.url)",
+        "csim AS (SELECT c.url, c.s_url, c.s_seq, round(coalesce(sd.dot, 0.0), 9) AS sim, "
+        "count(*) OVER (PARTITION BY c.url) AS n_pred, "
+        "row_number() OVER (PARTITION BY c.url ORDER BY round(coalesce(sd.dot, 0.0), 9) DESC, c.s_seq ASC) AS rn "
+        "FROM cand c LEFT JOIN sdot sd ON c.url = sd.url AND c.s_url = sd.s_url)",
+        f"best AS (SELECT d.url, coalesce(c.n_pred, 0) AS n_pred, CASE WHEN c.n_pred >= 2 THEN c.s_url END AS seed_url, "
+        f"CASE WHEN c.n_pred >= 2 THEN c.sim END AS sim FROM {docs} d LEFT JOIN (SELECT * FROM csim WHERE rn = 1) c ON d.url = c.url)",
+        f"exp_docs AS (SELECT d.url, d.doc_seq, CASE WHEN b.sim > {P.expand_threshold} THEN d.text || ' ' || s.text ELSE d.text END AS text "
+        f"FROM {docs} d JOIN best b ON d.url = b.url LEFT JOIN seed s ON b.seed_url = s.url)",
+    ]
+
+
+def query_side(docs: str, expand_q: bool = True) -> list[str]:
+    """Index over ``docs`` (postings, stats, vocabulary vectors) and the
+    expanded, weighted query terms (qw)."""
+    parts = postings_of("ipost", docs) + [stats_of("istats", docs), tstats_of("its", "ipost")]
+    parts += [QUERIES, QTERMS]
+    if expand_q:
+        parts += [vocab_of("ivocab", "its", "istats")]
+        parts += trigram_vec("vv", "ivocab", "term", "term")
+        parts += trigram_vec("wv", "qterms", "query_id, pos", "term")
+        parts += [
+            "wdot AS (SELECT a.query_id, a.pos, b.term, sum(a.w * b.w) AS dot FROM wv a JOIN vv b ON a.dim = b.dim "
+            "GROUP BY a.query_id, a.pos, b.term)",
+            "wsim AS (SELECT q.query_id, q.pos, v.term, round(coalesce(d.dot, 0.0), 9) AS sim FROM qterms q CROSS JOIN ivocab v "
+            "LEFT JOIN wdot d ON q.query_id = d.query_id AND q.pos = d.pos AND v.term = d.term)",
+            f"nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, pos ORDER BY sim DESC, term ASC) AS rank "
+            f"FROM wsim) WHERE rank <= {P.neighbours})",
+            "firsts AS (SELECT query_id, term, min(pos * 1000000 + rank) AS k FROM nn GROUP BY query_id, term)",
+            "newt AS (SELECT f.query_id, f.term, f.k FROM firsts f WHERE NOT EXISTS "
+            "(SELECT 1 FROM qterms o WHERE o.query_id = f.query_id AND o.term = f.term))",
+            "norig AS (SELECT query_id, count(*) AS n FROM qterms GROUP BY query_id)",
+            "qexp AS (SELECT query_id, pos, term, true AS original FROM qterms UNION ALL "
+            "SELECT t.query_id, n.n + row_number() OVER (PARTITION BY t.query_id ORDER BY t.k) - 1 AS pos, t.term, false AS original "
+            "FROM newt t JOIN norig n ON t.query_id = n.query_id)",
+        ]
+    else:
+        parts += ["qexp AS (SELECT query_id, pos, term, true AS original FROM qterms)"]
+    parts += [
+        f"qw AS (SELECT query_id, term, sum(CASE WHEN original THEN {P.w_original} ELSE {P.w_expanded} END) AS weight "
+        "FROM qexp GROUP BY query_id, term)",
+        "tb AS (SELECT p.term, p.url, " + bm25("p.tf", "p.dl", "s.avdl", idf("t.df", "s.n_docs"))
+        + " AS bm25 FROM ipost p JOIN its t ON p.term = t.term CROSS JOIN istats s WHERE p.term IN (SELECT term FROM qw))",
+        "hlex AS (SELECT w.query_id, b.url, sum(w.weight * b.bm25) AS lex FROM qw w JOIN tb b ON w.term = b.term "
+        "GROUP BY w.query_id, b.url)",
+    ]
+    return parts
+
+
+def cosine_side(docs: str) -> list[str]:
+    return word_vec("dv", docs, "url", "text") + word_vec("qv", "queries", "query_id", "query") + [
+        "qd AS (SELECT q.query_id, d.url, sum(q.w * d.w) AS dot FROM qv q JOIN dv d ON q.dim = d.dim GROUP BY q.query_id, d.url)",
+        f"hcos AS (SELECT q.query_id, d.url, coalesce(qd.dot, 0.0) AS cos FROM queries q CROSS JOIN {docs} d "
+        "LEFT JOIN qd ON q.query_id = qd.query_id AND d.url = qd.url)",
+    ]
+
+
+def hybrid(expand_docs: bool = True, expand_q: bool = True) -> list[str]:
+    """Q3: hscore(query_id, url, lex, cos, score) for all pairs."""
+    parts = [DOCS]
+    src = "docs"
+    if expand_docs:
+        parts += expansion("docs")
+        src = "exp_docs"
+    parts += query_side(src, expand_q) + cosine_side(src)
+    parts += [
+        f"hscore AS (SELECT c.query_id, c.url, l.lex, c.cos, {P.w_lexical} * coalesce(l.lex, 0.0) + {P.w_semantic} * c.cos AS score "
+        "FROM hcos c LEFT JOIN hlex l ON c.query_id = l.query_id AND c.url = l.url)",
+    ]
+    return parts

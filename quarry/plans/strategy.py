@@ -25,3 +25,36 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 def one_row(df: DataFrame) -> DataFrame:
     """A global aggregate has exactly one row: always safe to broadcast."""
     return F.broadcast(df)
+
+
+def collect_bounded(df: DataFrame, max_rows: int) -> list | None:
+    """Rows of ``df`` when it holds at most ``max_rows`` rows, else None.
+    Used only for sides whose size is bounded by design (a query batch, a
+    seed set) so they can be shipped to every task."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
+def chunked_collect(df: DataFrame, key: str | list[str], max_rows: int):
+    """Yield the rows of a side that is small by design in chunks of at
+    most ``max_rows`` rows. One chunk when it fits (the usual case);
+    otherwise rows are split by a hash of ``key`` into enough buckets,
+    each checked again, so no chunk ever exceeds the bound."""
+    rows = collect_bounded(df, max_rows)
+    if rows is not None:
+        if rows:
+            yield rows
+        return
+    total = df.count()
+    n = max(2, -(-total // max_rows) * 2)
+    pending = [(n, b) for b in range(n)]
+    while pending:
+        buckets, b = pending.pop()
+        keys = [key] if isinstance(key, str) else key
+        part = df.filter(F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(buckets)) == b)
+        got = collect_bounded(part, max_rows)
+        if got is None:  # still too large: split this bucket further
+            pending.extend((buckets * 2, b + buckets * j) for j in range(2))
+            continue
+        if got:
+            yield got
