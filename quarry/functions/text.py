@@ -42,12 +42,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# punctuation becomes a space and whitespace runs collapse: one pass over
+# runs of either class gives the same string
+PUNCT_OR_WS_RUN = f"[{PUNCT_CLASS[1:-1]}{WS_CHARS}]+"
+
+
 def normalize(text) -> Column:
-    """Punctuation to space, whitespace runs to one space, trim, lower."""
-    c = F.regexp_replace(_col(text), PUNCT_CLASS, " ")
-    c = F.regexp_replace(c, WS_RUN, " ")
-    c = F.regexp_replace(c, "^ | $", "")
-    return F.lower(c)
+    """Punctuation to space, whitespace runs to one space, trim, lower.
+    After the single replacement only one ASCII space can remain at either
+    end, which ``trim`` removes."""
+    return F.lower(F.trim(F.regexp_replace(_col(text), PUNCT_OR_WS_RUN, " ")))
 
 
 def tokenize(normalized) -> Column:

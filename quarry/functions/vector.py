@@ -29,7 +29,7 @@ def sparse_dot(dims_a: Column, ws_a: Column, dims_b: Column, ws_b: Column) -> Co
     dims of ``a`` of w_a * w_b where ``b`` has the dim."""
     zipped = F.arrays_zip(dims_a.alias("d"), ws_a.alias("w"))
     return F.aggregate(zipped, F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(
-        F.element_at(ws_b, F.array_position(dims_b, e["d"]).cast("int")), F.lit(0.0)))
+        F.try_element_at(ws_b, F.array_position(dims_b, e["d"]).cast("int")), F.lit(0.0)))
 
 
 def dense_dot(a: Column, b: Column) -> Column:

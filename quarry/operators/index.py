@@ -45,8 +45,12 @@ def with_length(docs: DataFrame) -> DataFrame:
 
 
 def token_rows(docs: DataFrame) -> DataFrame:
-    """(url, dl, term) for every token occurrence; narrow, no shuffle."""
-    return docs.select("url", char_length("text").alias("dl"), F.explode(terms("text")).alias("term"))
+    """(url, dl, term) for every token occurrence; narrow, no shuffle.
+    ``dl`` is computed in a projection below the generator: in the same
+    projection Catalyst would evaluate it once per token, re-reading the
+    whole text each time."""
+    with_dl = docs if "dl" in docs.columns else docs.withColumn("dl", char_length("text"))
+    return with_dl.select("url", "dl", "text").select("url", "dl", F.explode(terms("text")).alias("term"))
 
 
 def postings(docs: DataFrame) -> DataFrame:

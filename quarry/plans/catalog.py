@@ -467,3 +467,195 @@ def q4(spark, d):
 def m5(spark, d):
     idx = _index(spark, d)
     return en.evaluate(idx, src.queries(spark, d), src.qrels(spark, d))
+
+
+# ---------------------------------------------------------------- pages
+
+from quarry.functions.text import html_to_text  # noqa: E402
+
+
+@register("p1_html_to_text", "SELECT page_id, url, " + o.html_sql("html") + " AS content FROM pages")
+def p1(spark, d):
+    return src.table(spark, d, "pages").select("page_id", "url", html_to_text("html").alias("content"))
+
+
+# ---------------------------------------------------------------- crawl side
+
+import uuid  # noqa: E402
+
+from quarry.plans import pipelines as pl  # noqa: E402
+from quarry.session import scratch_path  # noqa: E402
+from quarry.sources import feeds as fd  # noqa: E402
+from quarry.sources import store  # noqa: E402
+from quarry.streaming import incremental as inc  # noqa: E402
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_FEED_P = "p AS (SELECT page_id, url, html, regexp_extract(url, '://([^/#?]+)', 1) AS host FROM pages)"
+_FEED_ITEMS = (
+    "items AS (SELECT 'https://' || host || '/feed/' || CAST(page_id // 50 AS VARCHAR) AS feed_url, page_id, 0 AS kind, "
+    "CASE WHEN page_id % 7 <> 3 THEN url END AS link FROM p UNION ALL "
+    "SELECT 'https://' || host || '/feed/' || CAST(page_id // 50 AS VARCHAR), page_id, 1, url || '-gone' FROM p "
+    "WHERE page_id % 5 = 0)"
+)
+_FEED_LINKS = ("links AS (SELECT feed_url, row_number() OVER (PARTITION BY feed_url ORDER BY page_id, kind) - 1 AS pos, "
+               "link AS url FROM items WHERE link IS NOT NULL)")
+_FEED_BASE = o.ctes(_FEED_P, _FEED_ITEMS, _FEED_LINKS)
+
+
+def _feed_list(spark, d):
+    pages = src.table(spark, d, "pages")
+    path = _scratch(spark, "feedlist")
+    fd.write_feed_list(pages, path)
+    return path, pages
+
+
+@register("s2_feed_list", o.ctes(_FEED_P) + (
+    "SELECT DISTINCT 'https://' || host || '/feed/' || CAST(page_id // 50 AS VARCHAR) AS feed_url FROM p "
+    "UNION ALL SELECT DISTINCT 'https://' || host || '/feed/broken' FROM p"))
+def s2(spark, d):
+    path, _ = _feed_list(spark, d)
+    return fd.read_feed_list(spark, path)
+
+
+@register("s3_feed_links", _FEED_BASE + "SELECT feed_url, pos, url FROM links")
+def s3(spark, d):
+    return fd.parse_feeds(fd.feed_payloads(src.table(spark, d, "pages")))
+
+
+@register("s4_attach_pages", _FEED_BASE + (
+    "SELECT l.feed_url, l.pos, l.url, CAST(coalesce(length(p.html), 0) AS BIGINT) AS body_len "
+    "FROM links l LEFT JOIN p ON l.url = p.url"))
+def s4(spark, d):
+    pages = src.table(spark, d, "pages")
+    b = fd.attach_pages(fd.parse_feeds(fd.feed_payloads(pages)), pages)
+    return b.select("feed_url", "pos", "url", F.length("html").cast("bigint").alias("body_len"))
+
+
+@register("s5_flatten", _FEED_BASE + "SELECT url FROM links")
+def s5(spark, d):
+    return fd.parse_feeds(fd.feed_payloads(src.table(spark, d, "pages"))).select("url")
+
+
+@register("s6_parquet_sink", "SELECT CAST(doc_id AS VARCHAR) AS URL, text AS content FROM documents")
+def s6(spark, d):
+    path = _scratch(spark, "corpus")
+    store.write_table(src.table(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("URL"), F.col("text").alias("content")), path)
+    return spark.read.schema(store.CORPUS_SCHEMA.replace("url", "URL")).parquet(path)
+
+
+@register("q7_crawl_to_corpus", _FEED_BASE + (
+    "SELECT l.url AS URL, " + o.html_sql("p.html") + " AS content FROM links l LEFT JOIN p ON l.url = p.url"))
+def q7(spark, d):
+    path, pages = _feed_list(spark, d)
+    return pl.crawl(spark, path, fd.feed_payloads(pages), pages, _scratch(spark, "crawled"))
+
+
+# ---------------------------------------------------------------- persistence
+
+@register("s8_load_expanded", o.ctes(o.DOCS, *o.expansion("docs")) + "SELECT url, text FROM exp_docs")
+def s8(spark, d):
+    path = _scratch(spark, "expanded")
+    store.save_expanded(expand_documents(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True), path)  # S7
+    return store.load_expanded(spark, path).select("url", "text")
+
+
+@register("s10_load_vectors", o.ctes(o.DOCS, *o.expansion("docs"), *o.word_vec("fv", "exp_docs", "url", "text"))
+          + "SELECT url, dim, round(w, 6) AS w FROM fv")
+def s10(spark, d):
+    idx = _index(spark, d)
+    dp, vp = _scratch(spark, "doc_vec"), _scratch(spark, "vocab_vec")
+    store.save_vectors(idx.doc_vec, idx.vocab_vec, dp, vp)              # S9
+    doc_vec, _ = store.load_vectors(spark, dp, vp)
+    return _rows6(doc_vec, "url")
+
+
+@register("s11_reuse_or_build", o.ctes(*o.hybrid(), _RANKED_H)
+          + f"SELECT query_id, url, round(score, 6) AS score, rank FROM ranked WHERE rank <= {P.top_n}")
+def s11(spark, d):
+    out = _scratch(spark, "index")
+    pl.bulk_index(spark, _docs(spark, d), out)
+    idx = pl.bulk_index(spark, _docs(spark, d), out)                   # second run reuses the expansion
+    return en.top(idx, src.queries(spark, d)).select("query_id", "url", r6("score").alias("score"), "rank")
+
+
+@register("q6_bulk_index", o.ctes(o.DOCS, *o.expansion("docs"), *o.postings_of("ip", "exp_docs"),
+                                  o.stats_of("ist", "exp_docs"), o.tstats_of("its", "ip"), o.vocab_of("iv", "its", "ist"))
+          + "SELECT s.n_docs, s.total_len, (SELECT count(*) FROM ip) AS n_postings, (SELECT count(*) FROM its) AS n_terms, "
+            "(SELECT count(*) FROM iv) AS n_frequent FROM ist s")
+def q6(spark, d):
+    idx = pl.bulk_index(spark, _docs(spark, d), _scratch(spark, "index"))
+    n_post = idx.postings.agg(F.count(F.lit(1)).alias("n_postings"))
+    n_terms = idx.term_stats.agg(F.count(F.lit(1)).alias("n_terms"))
+    n_freq = idx.vocab_vec.agg(F.count(F.lit(1)).alias("n_frequent"))
+    return idx.stats.select("n_docs", "total_len").crossJoin(n_post).crossJoin(n_terms).crossJoin(n_freq)
+
+
+# ---------------------------------------------------------------- streaming (ST1-ST3)
+
+def _stream_source(spark, d, parts=4):
+    path = _scratch(spark, "stream-src")
+    src.table(spark, d, "documents").repartition(parts).write.parquet(path)
+    return path
+
+
+@register("st1_incremental_postings", o.ctes(o.DOCS, o.TOKS, o.POSTINGS) + "SELECT term, url, tf FROM postings")
+def st1(spark, d):
+    source, out = _stream_source(spark, d), _scratch(spark, "stream-out")
+    inc.start(spark, source, out, _scratch(spark, "stream-ckpt")).awaitTermination()
+    return inc.postings(spark, out)
+
+
+@register("st2_running_stats", o.ctes(o.DOCS, o.STATS) + "SELECT n_docs, total_len, round(avdl, 6) AS avdl FROM stats")
+def st2(spark, d):
+    source, out = _stream_source(spark, d), _scratch(spark, "stream-out")
+    inc.start(spark, source, out, _scratch(spark, "stream-ckpt")).awaitTermination()
+    return inc.running_stats(spark, out).select("n_docs", "total_len", r6("avdl").alias("avdl"))
+
+
+@register("st3_resume", o.ctes(o.DOCS, o.TOKS, o.POSTINGS, o.TSTATS) + "SELECT term, df FROM tstats")
+def st3(spark, d):
+    """Index half of the files, stop, add the rest, restart from the same
+    checkpoint: only the new files are processed and the result equals a
+    single batch build."""
+    source, out, ckpt = _scratch(spark, "stream-src"), _scratch(spark, "stream-out"), _scratch(spark, "stream-ckpt")
+    docs = src.table(spark, d, "documents")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    docs.filter(half == 0).repartition(2).write.parquet(source)
+    inc.start(spark, source, out, ckpt).awaitTermination()
+    docs.filter(half == 1).repartition(2).write.mode("append").parquet(source)
+    inc.start(spark, source, out, ckpt).awaitTermination()
+    return inc.document_frequency(spark, out)
+
+
+# ---------------------------------------------------------------- remaining inventory ids
+
+@register("a8_merge_score_maps", o.ctes(*o.hybrid()) + "SELECT query_id, url, round(lex, 6) AS lex FROM hlex")
+def a8(spark, d):
+    """Lexical maps of original and of expansion terms, merged by addition."""
+    idx = _index(spark, d)
+    from quarry.operators.expand import weighted_terms
+    w = weighted_terms(en.query_plan(idx, src.queries(spark, d)), P)
+    parts = [se.lexical_scores(idx.postings, idx.term_stats, idx.stats, w.filter(cond), P)
+             for cond in (F.col("weight") != P.w_expanded, F.col("weight") == P.w_expanded)]
+    return parts[0].unionByName(parts[1]).groupBy("query_id", "url").agg(r6(F.sum("lex")).alias("lex"))
+
+
+@register("j5_seed_candidates", o.ctes(o.DOCS, *o.expansion("docs")) + "SELECT url, n_pred FROM best")
+def j5(spark, d):
+    return best_seed(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True).select("url", "n_pred")
+
+
+@register("w4_new_term_order", o.ctes(o.DOCS, *o.expansion("docs"), *o.query_side("exp_docs"))
+          + "SELECT query_id, pos, term FROM qexp WHERE NOT original")
+def w4(spark, d):
+    return q1(spark, d).filter(~F.col("original")).select("query_id", "pos", "term")
+
+
+@register("u1_url_union", o.ctes(*o.hybrid()) + "SELECT query_id, count(*) AS n_urls FROM hscore GROUP BY query_id")
+def u1(spark, d):
+    return q3(spark, d).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_urls"))

@@ -27,6 +27,7 @@ from quarry.operators import rank as rk
 from quarry.operators import search as se
 from quarry.operators.expand import expand_documents, expand_query_terms, weighted_terms
 from quarry.operators.vectors import TrigramHashEmbedder, WordHashEmbedder, score_all
+from quarry.plans.strategy import small
 
 
 @dataclass
@@ -69,7 +70,9 @@ def build_index(raw_docs: DataFrame, params: Params = DEFAULT, expand: bool = Tr
     doc_vec = embedder.embed(docs, "url", "text", partitioned=True)
     vocab = ix.frequent_vocabulary(tstats, stats, params.vocab_min_df_frac)
     vocab_vec = term_embedder.embed(vocab, "term", "term")
-    return SearchIndex(docs, post, tstats, stats, doc_vec, vocab_vec, params, embedder, term_embedder)
+    idx = SearchIndex(docs, post, tstats, stats, doc_vec, vocab_vec, params, embedder, term_embedder)
+    # several query branches read each part: keep them (memory, then disk)
+    return idx.persist()
 
 
 def query_plan(index: SearchIndex, queries: DataFrame, expand: bool = True) -> DataFrame:
@@ -84,9 +87,9 @@ def query_plan(index: SearchIndex, queries: DataFrame, expand: bool = True) -> D
 
 
 def lexical(index: SearchIndex, queries: DataFrame, expand: bool = True,
-            restrict_urls: DataFrame | None = None) -> DataFrame:
+            restrict_urls: DataFrame | None = None, weights: DataFrame | None = None) -> DataFrame:
     """Q2: (query_id, url, lex)."""
-    w = weighted_terms(query_plan(index, queries, expand), index.params)
+    w = weights if weights is not None else weighted_terms(query_plan(index, queries, expand), index.params)
     return se.lexical_scores(index.postings, index.term_stats, index.stats, w, index.params, restrict_urls)
 
 
@@ -96,15 +99,16 @@ def semantic(index: SearchIndex, queries: DataFrame, restrict_urls: DataFrame |
 
 
 def search(index: SearchIndex, queries: DataFrame, expand: bool = True,
-           restrict_urls: DataFrame | None = None, lexical_part: bool = True) -> DataFrame:
+           restrict_urls: DataFrame | None = None, lexical_part: bool = True,
+           weights: DataFrame | None = None) -> DataFrame:
     """Q3: (query_id, url, lex, cos, score) for every document and query;
     a document without a lexical match has lex null (counted as 0)."""
     p = index.params
     qv = index.embedder.embed(queries, "query_id", "query")
     dv = index.doc_vec
     if restrict_urls is not None:
-        dv = dv.join(F.broadcast(restrict_urls.select("url").distinct()), "url")
-    lex = lexical(index, queries, expand, restrict_urls) if lexical_part else None
+        dv = dv.join(small(restrict_urls.select("url").distinct(), p.broadcast_rows), "url")
+    lex = lexical(index, queries, expand, restrict_urls, weights) if lexical_part else None
     w_lex, w_sem = (p.w_lexical, p.w_semantic) if lexical_part else (0.0, 1.0)
     return score_all(dv, qv, index.embedder.size, lex, w_lex, w_sem, max_query_rows=p.broadcast_rows)
 
@@ -117,8 +121,10 @@ def top(index: SearchIndex, queries: DataFrame, n: int | None = None, expand: bo
 def evaluate(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expand: bool = True,
              per_query: bool = False) -> DataFrame:
     """M5: mean P@k, R@k, MRR, nDCG@k over all queries (M1-M4 per query)."""
-    full = search(index, queries, expand)
-    judged = search(index, queries, expand, restrict_urls=qrels)
+    weights = small(weighted_terms(query_plan(index, queries, expand), index.params), index.params.broadcast_rows)
+    qrels = small(qrels, index.params.broadcast_rows)
+    full = search(index, queries, expand, weights=weights)
+    judged = search(index, queries, expand, restrict_urls=qrels, weights=weights)
     ranks = ev.judged_ranks(full, qrels, judged, index.params.score_digits)
     if per_query:
         return ev.per_query(ranks, qrels, queries, index.params.eval_k)

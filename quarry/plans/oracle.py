@@ -237,3 +237,23 @@ def hybrid(expand_docs: bool = True, expand_q: bool = True) -> list[str]:
         "FROM hcos c LEFT JOIN hlex l ON c.query_id = l.query_id AND c.url = l.url)",
     ]
     return parts
+
+
+# ---------------------------------------------------------------- pages
+
+def html_sql(x: str) -> str:
+    """P1 in DuckDB (RE2: no back-references, so each element is its own
+    pattern)."""
+    from quarry.functions.text import DROPPED_ELEMENTS, ENTITIES, LINE_BREAKS, WS_CHARS
+
+    c = f"coalesce({x}, '')"
+    for tag in DROPPED_ELEMENTS:
+        c = f"regexp_replace({c}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
+    c = f"regexp_replace({c}, '(?s)<!--.*?-->', '', 'g')"
+    c = f"regexp_replace({c}, '(?s)<[!/?a-zA-Z][^>]*>', '', 'g')"
+    for name, char in ENTITIES:
+        lit = char.replace("'", "''")
+        c = f"regexp_replace({c}, '&{name};?', '{lit}', 'g')"
+    sep = f"[{WS_CHARS}]*(?:[{LINE_BREAKS}]| {{2}})[{WS_CHARS}]*"
+    c = f"regexp_replace({c}, '{sep}', ' ', 'g')"
+    return f"regexp_replace({c}, '^[{WS_CHARS}]+|[{WS_CHARS}]+$', '', 'g')"

@@ -58,3 +58,26 @@ def chunked_collect(df: DataFrame, key: str | list[str], max_rows: int):
             continue
         if got:
             yield got
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread a scan that came back in fewer partitions than the cluster has
+    cores (a single large row group, say) with a round-robin repartition.
+    A scan of many files already has enough partitions and is returned as
+    is, so this adds no shuffle at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(target) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
+
+
+def small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a *derived* side after proving its size: the side is
+    persisted and counted once; the join then reads the persisted rows, so
+    the check costs no recomputation. Beyond the bound the persisted rows
+    are dropped and AQE picks a shuffled join."""
+    from pyspark import StorageLevel
+
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df

@@ -14,14 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import terms
-from quarry.plans.strategy import maybe_broadcast
+from quarry.plans.strategy import maybe_broadcast, spread
 
 QUERY_TOKENS = 4
 DUPLICATE_SEQ_OFFSET = 1_000_000
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    # text-heavy tables: make sure per-row text work is spread over the cores
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def read_corpus(spark: SparkSession, path: str, url_col: str = "URL", content_col: str = "content",
