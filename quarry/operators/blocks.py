@@ -20,6 +20,15 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROUND = 9
+# cells of one (rows x small side) product held at once; bounds task memory
+# whatever the Arrow batch size and the size of the shipped matrix
+BLOCK_CELLS = 4_000_000
+
+
+def _blocks(pdf: pd.DataFrame, width: int):
+    step = max(1, BLOCK_CELLS // max(1, width))
+    for start in range(0, len(pdf), step):
+        yield pdf.iloc[start:start + step].reset_index(drop=True)
 
 
 def dense_matrix(sparse: list[tuple], size: int) -> np.ndarray:
@@ -51,26 +60,30 @@ def best_seed_fn(seed_seq: np.ndarray, seed_url: list, seeds: list[tuple], size:
         seed_mat = _unit_rows(seed_mat)
 
     def fn(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = _stack(pdf["dims"], pdf["ws"], size)
-            if normalize:
-                x = _unit_rows(x)
-            sims = np.round(x @ seed_mat.T, ROUND) if len(seed_seq) else np.zeros((len(pdf), 0))
-            eligible = seed_seq[None, :] < pdf[seq].to_numpy()[:, None]
-            n_pred = eligible.sum(axis=1)
-            masked = np.where(eligible, sims, -np.inf)
-            ok = n_pred >= 2
-            best = masked.argmax(axis=1) if masked.shape[1] else np.zeros(len(pdf), dtype=int)
-            out_url = np.where(ok, seed_url[best] if len(seed_url) else None, None)
-            out_sim = np.where(ok, masked[np.arange(len(pdf)), best] if masked.shape[1] else np.nan, np.nan)
-            yield pd.DataFrame({
-                key: pdf[key],
-                "n_pred": n_pred.astype(np.int64),
-                "seed_url": out_url,
-                "sim": out_sim.astype(np.float64),
-            })
+        for batch in batches:
+            for pdf in _blocks(batch, len(seed_seq)):
+                yield from one(pdf)
+
+    def one(pdf):
+        if len(pdf) == 0:
+            return
+        x = _stack(pdf["dims"], pdf["ws"], size)
+        if normalize:
+            x = _unit_rows(x)
+        sims = np.round(x @ seed_mat.T, ROUND) if len(seed_seq) else np.zeros((len(pdf), 0))
+        eligible = seed_seq[None, :] < pdf[seq].to_numpy()[:, None]
+        n_pred = eligible.sum(axis=1)
+        masked = np.where(eligible, sims, -np.inf)
+        ok = n_pred >= 2
+        best = masked.argmax(axis=1) if masked.shape[1] else np.zeros(len(pdf), dtype=int)
+        out_url = np.where(ok, seed_url[best] if len(seed_url) else None, None)
+        out_sim = np.where(ok, masked[np.arange(len(pdf)), best] if masked.shape[1] else np.nan, np.nan)
+        yield pd.DataFrame({
+            key: pdf[key],
+            "n_pred": n_pred.astype(np.int64),
+            "seed_url": out_url,
+            "sim": out_sim.astype(np.float64),
+        })
     return fn
 
 
@@ -83,30 +96,34 @@ def score_fn(query_ids: np.ndarray, queries: list[tuple], size: int, w_lex: floa
     query_mat = dense_matrix(queries, size)
 
     def fn(batches):
-        for pdf in batches:
-            b = len(pdf)
-            if b == 0 or nq == 0:
+        for batch in batches:
+            for pdf in _blocks(batch, nq):
+                yield from one(pdf)
+
+    def one(pdf):
+        b = len(pdf)
+        if b == 0 or nq == 0:
+            return
+        x = _stack(pdf["dims"], pdf["ws"], size)
+        cos = x @ query_mat.T                       # b x nq
+        lex = np.zeros((b, nq))
+        has = np.zeros((b, nq), dtype=bool)
+        for i, (qs, vs) in enumerate(zip(pdf["lex_q"], pdf["lex_v"])):
+            if qs is None:
                 continue
-            x = _stack(pdf["dims"], pdf["ws"], size)
-            cos = x @ query_mat.T                       # b x nq
-            lex = np.zeros((b, nq))
-            has = np.zeros((b, nq), dtype=bool)
-            for i, (qs, vs) in enumerate(zip(pdf["lex_q"], pdf["lex_v"])):
-                if qs is None:
-                    continue
-                for q, v in zip(qs, vs):
-                    j = pos.get(int(q))
-                    if j is not None:
-                        lex[i, j] = v
-                        has[i, j] = True
-            score = w_lex * lex + w_sem * cos
-            yield pd.DataFrame({
-                "query_id": np.tile(query_ids, b).astype(np.int64),
-                "url": np.repeat(pdf["url"].to_numpy(dtype=object), nq),
-                "lex": np.where(has, lex, np.nan).reshape(-1),
-                "cos": cos.reshape(-1),
-                "score": score.reshape(-1),
-            })
+            for q, v in zip(qs, vs):
+                j = pos.get(int(q))
+                if j is not None:
+                    lex[i, j] = v
+                    has[i, j] = True
+        score = w_lex * lex + w_sem * cos
+        yield pd.DataFrame({
+            "query_id": np.tile(query_ids, b).astype(np.int64),
+            "url": np.repeat(pdf["url"].to_numpy(dtype=object), nq),
+            "lex": np.where(has, lex, np.nan).reshape(-1),
+            "cos": cos.reshape(-1),
+            "score": score.reshape(-1),
+        })
     return fn
 
 
@@ -119,24 +136,28 @@ def nearest_fn(word_keys: list[tuple], words: list[tuple], size: int, k: int):
     word_mat = dense_matrix(words, size)
 
     def fn(batches):
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0 or len(word_keys) == 0:
-                continue
-            x = _stack(pdf["dims"], pdf["ws"], size)
-            sims = np.round(word_mat @ x.T, ROUND)          # words x terms
-            terms = pdf["term"].to_numpy(dtype=object)
-            # order inside the batch: sim desc, term asc
-            order_terms = np.argsort(terms.astype(str), kind="stable")
-            sims_o = sims[:, order_terms]
-            kk = min(k, n)
-            idx = np.argsort(-sims_o, axis=1, kind="stable")[:, :kk]
-            rows_w = np.repeat(np.arange(len(word_keys)), kk)
-            cols = idx.reshape(-1)
-            yield pd.DataFrame({
-                "query_id": qid[rows_w],
-                "pos": qpos[rows_w],
-                "term": terms[order_terms][cols],
-                "sim": sims_o[rows_w, cols],
-            })
+        for batch in batches:
+            for pdf in _blocks(batch, len(word_keys)):
+                yield from one(pdf)
+
+    def one(pdf):
+        n = len(pdf)
+        if n == 0 or len(word_keys) == 0:
+            return
+        x = _stack(pdf["dims"], pdf["ws"], size)
+        sims = np.round(word_mat @ x.T, ROUND)          # words x terms
+        terms = pdf["term"].to_numpy(dtype=object)
+        # order inside the batch: sim desc, term asc
+        order_terms = np.argsort(terms.astype(str), kind="stable")
+        sims_o = sims[:, order_terms]
+        kk = min(k, n)
+        idx = np.argsort(-sims_o, axis=1, kind="stable")[:, :kk]
+        rows_w = np.repeat(np.arange(len(word_keys)), kk)
+        cols = idx.reshape(-1)
+        yield pd.DataFrame({
+            "query_id": qid[rows_w],
+            "pos": qpos[rows_w],
+            "term": terms[order_terms][cols],
+            "sim": sims_o[rows_w, cols],
+        })
     return fn
