@@ -87,10 +87,19 @@ def best_seed_fn(seed_seq: np.ndarray, seed_url: list, seeds: list[tuple], size:
     return fn
 
 
-def score_fn(query_ids: np.ndarray, queries: list[tuple], size: int, w_lex: float, w_sem: float):
-    """mapInPandas body: (url, dims, ws, lex_q, lex_v) -> one row per query:
-    (query_id, url, lex, cos, score). ``lex_q``/``lex_v`` hold the lexical
-    scores of the document for the queries that matched it."""
+def score_fn(query_ids: np.ndarray, queries: list[tuple], size: int, w_lex: float, w_sem: float,
+             keep: int | None = None, judged: list[tuple] | None = None):
+    """mapInPandas body over (url, dims, ws, lex_q, lex_v); ``lex_q``/``lex_v``
+    hold the lexical scores of the document for the queries that matched it.
+
+    - default: one row per (query, document): (query_id, url, lex, cos, score);
+    - ``keep=n``: per block and query only the rows whose rounded score
+      reaches the block's n-th best (ties at the cut kept), so a later
+      top-n over them is exact;
+    - ``judged=[(query_id, url, rounded score)]``: per block, for each judged
+      document the number of other documents of its query ordered before
+      it (higher rounded score, or equal and smaller url):
+      (query_id, url, n_better), to be summed."""
     pos = {int(q): i for i, q in enumerate(query_ids)}
     nq = len(query_ids)
     query_mat = dense_matrix(queries, size)
@@ -117,13 +126,37 @@ def score_fn(query_ids: np.ndarray, queries: list[tuple], size: int, w_lex: floa
                     lex[i, j] = v
                     has[i, j] = True
         score = w_lex * lex + w_sem * cos
-        yield pd.DataFrame({
+        urls = pdf["url"].to_numpy(dtype=object)
+        if judged is not None:
+            rs = np.round(score, ROUND)
+            out_q, out_u, out_n = [], [], []
+            for q, u, s in judged:
+                j = pos.get(int(q))
+                if j is None:
+                    continue
+                col = rs[:, j]
+                better = (col > s) | ((col == s) & (urls < u))
+                better &= urls != u
+                out_q.append(int(q))
+                out_u.append(u)
+                out_n.append(int(better.sum()))
+            if out_q:
+                yield pd.DataFrame({"query_id": np.asarray(out_q, dtype=np.int64), "url": out_u,
+                                    "n_better": np.asarray(out_n, dtype=np.int64)})
+            return
+        mask = None
+        if keep is not None and b > keep:
+            rs = np.round(score, ROUND)
+            cut = np.partition(rs, b - keep, axis=0)[b - keep]      # n-th best per query
+            mask = (rs >= cut[None, :]).reshape(-1)
+        frame = pd.DataFrame({
             "query_id": np.tile(query_ids, b).astype(np.int64),
-            "url": np.repeat(pdf["url"].to_numpy(dtype=object), nq),
+            "url": np.repeat(urls, nq),
             "lex": np.where(has, lex, np.nan).reshape(-1),
             "cos": cos.reshape(-1),
             "score": score.reshape(-1),
         })
+        yield frame if mask is None else frame[mask].reset_index(drop=True)
     return fn
 
 

@@ -86,10 +86,12 @@ def sparse_rows(vectors: DataFrame, key: str) -> DataFrame:
 
 
 SCORE_SCHEMA = "query_id long, url string, lex double, cos double, score double"
+JUDGED_SCHEMA = "query_id long, url string, n_better long"
 
 
 def score_all(doc_vec: DataFrame, query_vec: DataFrame, size: int, lex: DataFrame | None = None,
-              w_lex: float = 0.0, w_sem: float = 1.0, max_query_rows: int = 20_000) -> DataFrame:
+              w_lex: float = 0.0, w_sem: float = 1.0, max_query_rows: int = 20_000,
+              keep: int | None = None, judged: list | None = None) -> DataFrame:
     """One row per (query, document):
     (query_id, url, lex, cos, score = w_lex * lex + w_sem * cos).
 
@@ -97,7 +99,8 @@ def score_all(doc_vec: DataFrame, query_vec: DataFrame, size: int, lex: DataFram
     document vectors, so each document row carries them; the query batch
     (size-checked, split into bounded chunks beyond the bound) is shipped
     to every task and the product is computed batch-wise with numpy. No
-    query x document row is shuffled."""
+    query x document row is shuffled. ``keep`` and ``judged`` reduce the
+    output inside the task (see blocks.score_fn)."""
     from quarry.operators.blocks import score_fn
     from quarry.plans.strategy import chunked_collect
 
@@ -113,10 +116,11 @@ def score_all(doc_vec: DataFrame, query_vec: DataFrame, size: int, lex: DataFram
     for rows in chunked_collect(query_vec.select("query_id", "dims", "ws"), "query_id", max_query_rows):
         rows = sorted(rows, key=lambda r: r["query_id"])
         ids = np.asarray([r["query_id"] for r in rows], dtype=np.int64)
-        parts.append(docs.mapInPandas(score_fn(ids, [(r["dims"], r["ws"]) for r in rows], size, w_lex, w_sem),
-                                      SCORE_SCHEMA))
+        schema = JUDGED_SCHEMA if judged is not None else SCORE_SCHEMA
+        parts.append(docs.mapInPandas(
+            score_fn(ids, [(r["dims"], r["ws"]) for r in rows], size, w_lex, w_sem, keep, judged), schema))
     if not parts:
-        return doc_vec.sparkSession.createDataFrame([], SCORE_SCHEMA)
+        return doc_vec.sparkSession.createDataFrame([], JUDGED_SCHEMA if judged is not None else SCORE_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -100,7 +100,7 @@ def semantic(index: SearchIndex, queries: DataFrame, restrict_urls: DataFrame |
 
 def search(index: SearchIndex, queries: DataFrame, expand: bool = True,
            restrict_urls: DataFrame | None = None, lexical_part: bool = True,
-           weights: DataFrame | None = None) -> DataFrame:
+           weights: DataFrame | None = None, keep: int | None = None, judged: list | None = None) -> DataFrame:
     """Q3: (query_id, url, lex, cos, score) for every document and query;
     a document without a lexical match has lex null (counted as 0)."""
     p = index.params
@@ -110,12 +110,37 @@ def search(index: SearchIndex, queries: DataFrame, expand: bool = True,
         dv = dv.join(small(restrict_urls.select("url").distinct(), p.broadcast_rows), "url")
     lex = lexical(index, queries, expand, restrict_urls, weights) if lexical_part else None
     w_lex, w_sem = (p.w_lexical, p.w_semantic) if lexical_part else (0.0, 1.0)
-    return score_all(dv, qv, index.embedder.size, lex, w_lex, w_sem, max_query_rows=p.broadcast_rows)
+    return score_all(dv, qv, index.embedder.size, lex, w_lex, w_sem, max_query_rows=p.broadcast_rows,
+                     keep=keep, judged=judged)
 
 
 def top(index: SearchIndex, queries: DataFrame, n: int | None = None, expand: bool = True) -> DataFrame:
-    """The best n documents per query."""
-    return rk.top_n(search(index, queries, expand), n or index.params.top_n, digits=index.params.score_digits)
+    """The best n documents per query. Each task keeps only its
+    best n per query (ties at the cut kept); the window then orders exactly."""
+    n = n or index.params.top_n
+    return rk.top_n(search(index, queries, expand, keep=n), n, digits=index.params.score_digits)
+
+
+def judged_ranks_in_tasks(index: SearchIndex, queries: DataFrame, qrels: DataFrame, judged_scores: DataFrame,
+                          weights: DataFrame, expand: bool = True) -> DataFrame:
+    """(query_id, url, rank) of each judged, retrieved document. The judged
+    documents' rounded scores (bounded by the judgements) are shipped to
+    every task, which counts the documents ordered before each of them; the
+    per-task counts are summed. Never emits a query x document row."""
+    from quarry.plans.strategy import collect_bounded
+
+    p = index.params
+    rel = judged_scores.join(qrels.select("query_id", "url").distinct(), ["query_id", "url"]).select(
+        "query_id", "url", F.round("score", p.score_digits).alias("s"))
+    rows = collect_bounded(rel, 200_000)
+    if rows is None:   # too many judgements to ship: broadcast-join route
+        full = search(index, queries, expand, weights=weights)
+        return ev.judged_ranks(full, qrels, judged_scores, p.score_digits)
+    judged = [(r["query_id"], r["url"], r["s"]) for r in rows]
+    counts = search(index, queries, expand, weights=weights, judged=judged).groupBy("query_id", "url").agg(
+        F.sum("n_better").alias("n_better"))
+    return rel.join(counts, ["query_id", "url"], "left").select(
+        "query_id", "url", (F.coalesce("n_better", F.lit(0)) + 1).cast("bigint").alias("rank"))
 
 
 def evaluate(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expand: bool = True,
@@ -123,9 +148,8 @@ def evaluate(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expand: b
     """M5: mean P@k, R@k, MRR, nDCG@k over all queries (M1-M4 per query)."""
     weights = small(weighted_terms(query_plan(index, queries, expand), index.params), index.params.broadcast_rows)
     qrels = small(qrels, index.params.broadcast_rows)
-    full = search(index, queries, expand, weights=weights)
     judged = search(index, queries, expand, restrict_urls=qrels, weights=weights)
-    ranks = ev.judged_ranks(full, qrels, judged, index.params.score_digits)
+    ranks = judged_ranks_in_tasks(index, queries, qrels, judged, weights, expand)
     if per_query:
         return ev.per_query(ranks, qrels, queries, index.params.eval_k)
     return ev.mean_metrics(ev.per_query(ranks, qrels, queries, index.params.eval_k, None))
