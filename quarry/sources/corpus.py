@@ -72,9 +72,40 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qrels(spark: SparkSession, sf_dir: str, max_broadcast_rows: int = 100_000) -> DataFrame:
     """Relevant (query, document) pairs: the benchmark passage occurs in the
-    document. The passages are broadcast after a size check and matched in
-    a map-side nested loop; no shuffle of the documents."""
-    bench = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("passage"))
+    document verbatim.
+
+    Candidates come from tokens, not from a passages x documents scan: a
+    token strictly inside a passage (separators on both sides) is also a
+    token of every document that contains the passage. Each passage is
+    keyed by its rarest interior token (document frequencies from one
+    partial-aggregated scan); documents holding any key token are the only
+    ones checked with ``instr``. Passages shorter than three tokens have no
+    interior token and are matched by a broadcast scan; they are few."""
+    from quarry.plans.strategy import collect_bounded
+
+    bench = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("passage"))
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("url"), "text")
-    bench = maybe_broadcast(bench, max_broadcast_rows)
-    return documents.join(bench, F.instr(F.col("text"), F.col("passage")) > 0).select("query_id", "url")
+    toks = bench.select("query_id", "passage", terms("passage").alias("t"))
+    interior = toks.filter(F.size("t") >= 3).select(
+        "query_id", "passage", F.explode(F.slice("t", 2, F.size("t") - 2)).alias("term"))
+    wanted = F.broadcast(interior.select("term").distinct())
+    doc_terms = documents.select("url", F.explode(F.array_distinct(terms("text"))).alias("term"))
+    dfs = doc_terms.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    keyed = (interior.join(F.broadcast(dfs), "term", "left")
+             .withColumn("df", F.coalesce("df", F.lit(0)))
+             .groupBy("query_id", "passage").agg(F.min(F.struct("df", "term")).alias("k"))
+             .select("query_id", "passage", F.col("k.term").alias("term")))
+    keys = collect_bounded(keyed.select("term").distinct(), max_broadcast_rows)
+    if keys is None:
+        raise ValueError("too many passages for one pass; split the benchmark table")
+    key_terms = F.array(*[F.lit(r["term"]) for r in keys]) if keys else F.array().cast("array<string>")
+    cand = documents.select("url", "text", F.array_intersect(terms("text"), key_terms).alias("hit")).filter(
+        F.size("hit") > 0)
+    matched = (cand.select("url", "text", F.explode("hit").alias("term"))
+               .join(F.broadcast(keyed), "term")
+               .filter(F.instr(F.col("text"), F.col("passage")) > 0)
+               .select("query_id", "url"))
+    short = maybe_broadcast(toks.filter(F.size("t") < 3).select("query_id", "passage"), max_broadcast_rows)
+    scanned = documents.join(short, F.instr(F.col("text"), F.col("passage")) > 0).select("query_id", "url")
+    return matched.unionByName(scanned).distinct()
