@@ -24,14 +24,6 @@ def hash_sign(feature: Column) -> Column:
     return F.when(F.substring(F.md5(feature), 8, 1) < F.lit("8"), F.lit(1.0)).otherwise(F.lit(-1.0))
 
 
-def sparse_dot(dims_a: Column, ws_a: Column, dims_b: Column, ws_b: Column) -> Column:
-    """Dot product of two sparse vectors (dims sorted, unique): sum over the
-    dims of ``a`` of w_a * w_b where ``b`` has the dim."""
-    zipped = F.arrays_zip(dims_a.alias("d"), ws_a.alias("w"))
-    return F.aggregate(zipped, F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(
-        F.try_element_at(ws_b, F.array_position(dims_b, e["d"]).cast("int")), F.lit(0.0)))
-
-
 def dense_dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
