@@ -34,6 +34,13 @@ def written(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(flag: Column) -> Column:
+    """``flag``, computed once where it stands. A filter moves below projections
+    by repeating their expressions inside itself; the always true term
+    that is not deterministic keeps a filter on this column above."""
+    return F.when(F.monotonically_increasing_id() >= 0, flag)
+
+
 def small(df: DataFrame, bytes_per_row: int) -> bool:
     """Whether a written table is below the broadcast bound (an exact row count of narrow rows)."""
     return df.count() * bytes_per_row <= BROADCAST_BYTES

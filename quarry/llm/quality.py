@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE
+from quarry.llm.common import SPACE, settled
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -125,7 +125,7 @@ def _judged(df: DataFrame, rules: LineRules) -> DataFrame:
               | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_pct))
     too_lossy = F.col("n_lost_chars") * 100 > F.col("word_chars") * rules.max_lost_pct
     return df.select(*others, "clean_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                     "n_lost_chars", failed.alias("base_failed"), (~failed & ~too_lossy).alias("kept"))
+                     "n_lost_chars", failed.alias("base_failed"), settled(~failed & ~too_lossy).alias("kept"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules = LineRules()) -> DataFrame:
