@@ -4,13 +4,15 @@ Documents are packed into batches. A batch keeps its pre-tokens as places in
 its own word list (the positions) and sends each distinct word once to the
 partition its hash names; there, whatever the number of batches, a word is
 encoded once and its ids go back to the batches that asked. A batch then
-puts ids in the places of its words. Decoding looks ids up in the
+puts ids in the places of its words, which wait in a file of the shared
+folder meanwhile, as they need not travel with the words. Decoding looks ids up in the
 token-byte table, which the vocabulary bounds.
 """
 
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +22,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import new_path
+from quarry.llm.files import Replacing, opened
 from quarry.llm.pretoken import splitter
 
 #: Characters of text per batch; one longer document is a batch by itself.
 BATCH_CHARS = 8_000_000
 #: Largest vocabulary whose token-byte table is given to every task.
 MAX_VOCABULARY = 2_000_000
-_ROWS = "batch bigint, bucket int, names array<bigint>, sizes array<bigint>, codes binary, words binary"
+_ROWS = "batch bigint, bucket int, names array<bigint>, sizes array<bigint>, codes binary, words binary, file string"
 
 
 def read_ranks(path: str) -> list[tuple[bytes, int]]:
@@ -63,8 +67,8 @@ def _split(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
-def _pack(pattern: str, buckets: int):
-    """mapInArrow body: (doc_id, text) to batches. One row per batch holds the codes, one per word bucket its words."""
+def _pack(pattern: str, buckets: int, folder: str):
+    """mapInArrow body: (doc_id, text) to batches. One row per batch names the file of its codes, one per word bucket holds its words."""
     def rows(part: int, number: int, names, sizes, codes, words: dict[str, int]):
         batch = (part << 32) | number
         flat = np.array(codes, np.int64)
@@ -73,12 +77,15 @@ def _pack(pattern: str, buckets: int):
         rank[order] = np.arange(len(words))
         spelled = [w.encode("utf-8", "surrogatepass") for w in words]
         home = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in spelled), np.int64, len(spelled))
-        yield batch, -1, names, sizes, _squeeze(rank[flat] if len(flat) else flat), None
+        name = f"{batch:016x}-{uuid.uuid4().hex}"  # of this attempt only: a row and its file belong together
+        with Replacing(folder, name) as out:
+            out.write(_squeeze(rank[flat] if len(flat) else flat))
+        yield batch, -1, names, sizes, None, None, f"{folder}/{name}"
         by_home = np.lexsort((rank, home))
         edges = np.flatnonzero(np.diff(home[by_home], prepend=-1))
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by_home)]):
             mine = by_home[a:b]
-            yield batch, int(home[mine[0]]), None, None, _squeeze(np.diff(rank[mine], prepend=0)), _join([spelled[i] for i in mine.tolist()])
+            yield batch, int(home[mine[0]]), None, None, _squeeze(np.diff(rank[mine], prepend=0)), _join([spelled[i] for i in mine.tolist()]), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -88,9 +95,9 @@ def _pack(pattern: str, buckets: int):
 
         def flush():
             out = list(zip(*rows(part, number, names, sizes, codes, words)))
-            types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                              names=["batch", "bucket", "names", "sizes", "codes", "words"])
+                                              names=["batch", "bucket", "names", "sizes", "codes", "words", "file"])
 
         for arrow in batches:
             for name, text in zip(arrow.column(0).to_pylist(), arrow.column(1).to_pylist()):
@@ -138,7 +145,8 @@ def _place(table: pa.Table) -> pa.Table:
             code_row = row
         else:
             ids.update(zip(np.cumsum(_unsqueeze(row["codes"]).astype(np.int64)).tolist(), _split(row["words"])))
-    codes = _unsqueeze(code_row["codes"]).astype(np.int64)
+    with opened(code_row["file"]) as f:
+        codes = _unsqueeze(f.read()).astype(np.int64)
     pieces = [ids[i] for i in range(len(ids))]
     docs, at = [], 0
     for size in code_row["sizes"]:
@@ -156,7 +164,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     empty result. Special tokens are ordinary text."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    packed = texts.mapInArrow(_pack(pattern, 8 * n), _ROWS)
+    packed = texts.mapInArrow(_pack(pattern, 2 * n, new_path(docs.sparkSession, "bpe-codes")), _ROWS)
     # the code row of a batch needs no encoder and is dealt by its batch
     dealt = packed.repartition(n, F.when(F.col("bucket") >= 0, F.col("bucket").cast("bigint")).otherwise(F.xxhash64("batch")))
     return dealt.mapInArrow(_encode(ranks_path), _ROWS).groupBy("batch").applyInArrow(_place, "doc_id bigint, n_tokens bigint, ids binary")
