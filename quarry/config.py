@@ -34,6 +34,8 @@ class Params:
     term_dim: int = 256
     # rows below which a side may be broadcast (checked at run time)
     broadcast_rows: int = 20_000
+    # the same for narrow (term, weight) rows of a query batch: 16 MB at 80 bytes
+    broadcast_terms: int = 200_000
     # digits kept when ordering by floating scores (stable ties)
     score_digits: int = 9
 

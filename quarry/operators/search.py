@@ -37,11 +37,11 @@ def term_bm25(postings: DataFrame, term_stats: DataFrame, stats: DataFrame, term
     to the same terms (small). ``restrict_urls`` scores only those
     documents while keeping corpus-wide statistics (used to score judged
     documents cheaply)."""
-    wanted = small(terms_df.select("term").distinct(), params.broadcast_rows)
-    dfs = small(term_stats.join(wanted, "term"), params.broadcast_rows)
+    wanted = small(terms_df.select("term").distinct(), params.broadcast_terms)
+    dfs = small(term_stats.join(wanted, "term"), params.broadcast_terms)
     post = postings.join(wanted, "term")
     if restrict_urls is not None:
-        post = post.join(small(restrict_urls.select("url").distinct(), params.broadcast_rows), "url")
+        post = post.join(small(restrict_urls.select("url").distinct(), params.broadcast_terms), "url")
     return (
         post.join(dfs, "term")
         .crossJoin(one_row(stats.select("n_docs", "avdl")))
@@ -58,7 +58,7 @@ def lexical_scores(postings: DataFrame, term_stats: DataFrame, stats: DataFrame,
     """(query_id, url, lex) = sum over the query's weighted terms of
     weight * bm25. Per-term score maps are merged by addition."""
     scored = term_bm25(postings, term_stats, stats, weighted_terms, params, restrict_urls)
-    wt = small(weighted_terms.select("query_id", "term", "weight"), params.broadcast_rows)
+    wt = small(weighted_terms.select("query_id", "term", "weight"), params.broadcast_terms)
     return (
         scored.join(wt, "term")
         .groupBy("query_id", "url")

@@ -146,7 +146,7 @@ def judged_ranks_in_tasks(index: SearchIndex, queries: DataFrame, qrels: DataFra
 def evaluate(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expand: bool = True,
              per_query: bool = False) -> DataFrame:
     """M5: mean P@k, R@k, MRR, nDCG@k over all queries (M1-M4 per query)."""
-    weights = small(weighted_terms(query_plan(index, queries, expand), index.params), index.params.broadcast_rows)
+    weights = small(weighted_terms(query_plan(index, queries, expand), index.params), index.params.broadcast_terms)
     qrels = small(qrels, index.params.broadcast_rows)
     judged = search(index, queries, expand, restrict_urls=qrels, weights=weights)
     ranks = judged_ranks_in_tasks(index, queries, qrels, judged, weights, expand)

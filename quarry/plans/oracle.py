@@ -31,7 +31,7 @@ POSTINGS = "postings AS (SELECT term, url, dl, count(*) AS tf FROM toks GROUP BY
 STATS = "stats AS (SELECT count(*) AS n_docs, avg(length(text)) AS avdl, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS total_len FROM docs)"
 TSTATS = "tstats AS (SELECT term, count(*) AS df FROM postings GROUP BY term)"
 QUERIES = (
-    f"queries AS (SELECT item_id AS query_id, array_to_string(string_split({norm('text')}, ' ')[1:4], ' ') AS query "
+    f"queries AS (SELECT item_id AS query_id, {norm('text')} AS query "
     "FROM benchmark)"
 )
 QTERMS = (

@@ -28,7 +28,8 @@ def bulk_index(spark: SparkSession, raw_docs: DataFrame, out_dir: str, params: P
     S11: when the expanded documents already exist they are reused and the
     expansion is skipped; postings, statistics and vectors are always
     rebuilt from them (so a reused expansion is searchable, X7) and
-    overwritten (X9). Postings are range-partitioned and sorted by term, so
+    overwritten (X9). Postings are range-partitioned and sorted by (term, url), so
+    a term of most documents is spread over partitions and
     Parquet row-group statistics let a query's term filter skip most of
     the file. Returns the index read back from the written tables."""
     p = _paths(out_dir)
@@ -43,7 +44,7 @@ def bulk_index(spark: SparkSession, raw_docs: DataFrame, out_dir: str, params: P
     docs = ix.with_length(docs)
     post = ix.postings(docs)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    store.write_table(post.repartitionByRange(n, "term").sortWithinPartitions("term", "url"), p["postings"])
+    store.write_table(post.repartitionByRange(n, "term", "url").sortWithinPartitions("term", "url"), p["postings"])
     post = spark.read.parquet(p["postings"])
     store.write_table(ix.term_stats(post), p["term_stats"])
     store.write_table(ix.corpus_stats(docs), p["stats"])

@@ -72,12 +72,12 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a *derived* side after proving its size: the side is
     persisted and counted once; the join then reads the persisted rows, so
-    the check costs no recomputation. Beyond the bound the persisted rows
-    are dropped and AQE picks a shuffled join."""
+    the check costs no recomputation. The count stops at the bound; beyond
+    it the persisted rows are dropped and AQE picks a shuffled join."""
     from pyspark import StorageLevel
 
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= max_rows:
+    if fits(kept, max_rows):
         return F.broadcast(kept)
     kept.unpersist()
     return df

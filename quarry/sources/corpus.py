@@ -3,7 +3,7 @@ tables: ``docs``, ``queries`` and ``qrels``.
 
 Derivation rules (the same rules are written as SQL for the oracle):
 - docs(url, doc_seq, text) = (cast(doc_id as string), doc_id, text)
-- queries(query_id, query) = (item_id, first 4 normalised tokens of text)
+- queries(query_id, query) = (item_id, the whole normalised text)
 - qrels(query_id, url)     = documents whose text contains the benchmark
                              text verbatim
 """
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from quarry.functions.text import terms
 from quarry.plans.strategy import maybe_broadcast, spread
 
-QUERY_TOKENS = 4
 DUPLICATE_SEQ_OFFSET = 1_000_000
 
 
@@ -66,7 +65,7 @@ def docs_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"),
-        F.array_join(F.slice(terms("text"), 1, QUERY_TOKENS), " ").alias("query"),
+        F.array_join(terms("text"), " ").alias("query"),
     )
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FEED_SCHEMA = ("channel struct<item:array<struct<link:string>>>, "
+FEED_SCHEMA = ("channel struct<item:array<struct<link:string>>>, item array<struct<link:string>>, "
                "entry array<struct<link:array<struct<_href:string,_rel:string>>>>")
 FEED_BLOCK = 50
 WS = r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -33,7 +33,9 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
     malformed or empty payload gives no rows. For Atom the 'alternate' (or
     unlabelled) link of an entry is taken."""
     parsed = feeds.select("feed_url", F.from_xml(F.coalesce("payload", F.lit("")), FEED_SCHEMA).alias("f"))
-    rss = F.transform(F.coalesce(F.col("f.channel.item"), F.array()), lambda i: i["link"])
+    # items stand in the channel, or beside it
+    inside, beside = (F.transform(F.coalesce(F.col(c), F.array()), lambda i: i["link"]) for c in ("f.channel.item", "f.item"))
+    rss = F.concat(inside, beside)
     atom = F.transform(
         F.coalesce(F.col("f.entry"), F.array()),
         lambda e: F.try_element_at(
@@ -47,8 +49,11 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
 def attach_pages(links: DataFrame, pages: DataFrame) -> DataFrame:
     """Every link keeps its row; a page not fetched gives "" (the
     reference's failed fetch). Pages are made unique on url first so the
-    join cannot multiply links."""
-    bodies = pages.groupBy("url").agg(F.first("html").alias("html"))
+    join cannot multiply links: the one with the largest page_id counts,
+    without such a column the largest body."""
+    wanted = pages.join(links.select("url").distinct(), "url", "left_semi")
+    body = F.max_by("html", "page_id") if "page_id" in pages.columns else F.max("html")
+    bodies = wanted.groupBy("url").agg(body.alias("html"))
     return links.join(bodies, "url", "left").select(
         "feed_url", "pos", "url", F.coalesce("html", F.lit("")).alias("html"))
 

@@ -28,8 +28,9 @@ def _write_batch(out_dir: str):
                                             F.col("doc_id").alias("doc_seq"), "text"))
         post = ix.postings(docs).select("term", "url", "tf")
         post.write.mode("overwrite").parquet(f"{out_dir}/postings/batch_id={batch_id}")
-        ix.corpus_stats(docs).select("n_docs", "total_len").write.mode("overwrite").parquet(
-            f"{out_dir}/stats/batch_id={batch_id}")
+        # written last: a batch counts only once its documents are there
+        docs.select("url", F.length("text").cast("bigint").alias("dl")).write.mode("overwrite").parquet(
+            f"{out_dir}/docs/batch_id={batch_id}")
     return fn
 
 
@@ -49,15 +50,24 @@ def start(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, f
 
 def postings(spark: SparkSession, out_dir: str) -> DataFrame:
     """Union of the committed batch deltas, summed per (term, url)."""
-    return (spark.read.parquet(f"{out_dir}/postings").groupBy("term", "url")
+    committed = documents(spark, out_dir).select("batch_id").distinct()
+    deltas = spark.read.parquet(f"{out_dir}/postings").join(F.broadcast(committed), "batch_id", "left_semi")
+    return (deltas.groupBy("term", "url")
             .agg(F.sum("tf").cast("bigint").alias("tf")))
 
 
+def documents(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Committed versions of the documents: (url, dl, batch_id)."""
+    return spark.read.parquet(f"{out_dir}/docs")
+
+
 def running_stats(spark: SparkSession, out_dir: str) -> DataFrame:
-    """ST2: n_docs, total_len, avdl over all committed batches."""
-    return spark.read.parquet(f"{out_dir}/stats").agg(
-        F.sum("n_docs").cast("bigint").alias("n_docs"),
-        F.sum("total_len").cast("bigint").alias("total_len"),
+    """ST2: n_docs, total_len, avdl over all committed batches; a url indexed
+    again counts once, with the length of its last version."""
+    last = documents(spark, out_dir).groupBy("url").agg(F.max_by("dl", "batch_id").alias("dl"))
+    return last.agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_len"),
     ).withColumn("avdl", F.col("total_len") / F.col("n_docs"))
 
 

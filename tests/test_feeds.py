@@ -16,3 +16,11 @@ def test_feed_links(spark):
     assert got["rss"] == [(0, "http://a/1")]
     assert got["atom"] == [(0, "http://b/1"), (1, "http://b/2"), (2, "http://b/3?x=1&y=2")]
     assert "bad" not in got and "empty" not in got and "none" not in got
+
+
+def test_items_beside_channel(spark):
+    from quarry.sources.feeds import parse_feeds
+
+    rdf = "<rdf><channel><title>t</title></channel><item><link>http://a/1</link></item><item><title>x</title></item><item><link>http://a/2</link></item></rdf>"
+    df = spark.createDataFrame([("f", rdf)], "feed_url string, payload string")
+    assert [(r.pos, r.url) for r in parse_feeds(df).orderBy("pos").collect()] == [(0, "http://a/1"), (1, "http://a/2")]

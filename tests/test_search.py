@@ -1,7 +1,6 @@
 """BM25 and ranking against a plain-Python computation; X14, X16, X18."""
 
 import math
-import string
 from collections import Counter, defaultdict
 
 import pytest
@@ -13,8 +12,11 @@ from quarry.operators import search as se
 from quarry.plans import engine as en
 
 
+from conftest import plain_words
+
+
 def py_norm(s):
-    return " ".join(s.translate(str.maketrans(string.punctuation, " " * 32)).split()).lower()
+    return " ".join(plain_words(s))
 
 
 def py_bm25(docs, query, k1=1.5, b=0.75):
