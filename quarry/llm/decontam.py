@@ -26,7 +26,7 @@ UNITS = frozenset(
     "kg g mg lb lbs oz t ton tons km m cm mm mi mile miles ft feet inch inches yd l ml litre litres liter liters gal s "
     "sec second seconds min minute minutes h hr hour hours day days week weeks month months year years % percent usd "
     "eur gbp dollar dollars euro euros cent cents pound pounds k w kw v a hz mb gb tb mph kmh c f".split())
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[.!?\n]|[^\W\d]+(?:['’][^\W\d]+)*|[%$€£]")
+_TOKEN = re.compile(r"[^\W\d]+|[.!?\n%$€£]|\d+(?:[.,]\d+)*")
 _NUM, _NAME, _UNIT = (xxhash.xxh64_intdigest(x) for x in ("<num>", "<name>", "<unit>"))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WINDOWS = "id bigint, whash bigint, pos int, slots array<bigint>, n_windows int"
@@ -53,6 +53,25 @@ def _kinds(token: str) -> tuple[int, int, int]:
     return h, 2 if token[0].isupper() and token[1:] != token[1:].upper() or len(token) > 1 and token.isupper() else 0, int(token.lower() in UNITS or token in "%$€£")
 
 
+def _rolled(token: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` tokens: hashes of 1, 2, 4, ... tokens, joined by the bits of ``size``."""
+    def join(a, b):
+        with np.errstate(over="ignore"):
+            h = (a * _MIX ^ b) * _MIX
+            return h ^ h >> np.uint64(29)
+
+    n, done, power, width = len(token) - size + 1, 0, token, 1
+    h = np.full(n, size, np.uint64)
+    while True:
+        if size & width:
+            h = join(h, power[done:done + n])
+            done += width
+        width *= 2
+        if width > size:
+            return h
+        power = join(power[:len(power) - width // 2], power[width // 2:])
+
+
 class Canon:
     """Token lists to template hashes. Keeps a bounded memo of tokens seen."""
 
@@ -94,14 +113,9 @@ class Canon:
         if size == 0:
             return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros((0, 2), np.uint64), 0
         n = len(token) - size + 1
-        h = np.full(n, size, np.uint64)
-        words = np.zeros(n, np.int16)
-        with np.errstate(over="ignore"):
-            for k in range(size):
-                h = (h ^ token[k:k + n]) * _MIX
-                h ^= h >> np.uint64(29)
-                words += slot[k:k + n] == 0
-        return h, words >= min(conf.min_words, size), np.stack([value, slot.astype(np.uint64)], 1), size
+        plain = np.concatenate([[0], np.cumsum(slot == 0)])
+        words = plain[size:] - plain[:-size]
+        return _rolled(token, size), words >= min(conf.min_words, size), np.stack([value, slot.astype(np.uint64)], 1), size
 
 
 def _emit(conf: Templates, lengths: tuple[int, ...], wanted: np.ndarray | None):
