@@ -244,16 +244,36 @@ def hybrid(expand_docs: bool = True, expand_q: bool = True) -> list[str]:
 def html_sql(x: str) -> str:
     """P1 in DuckDB (RE2: no back-references, so each element is its own
     pattern)."""
-    from quarry.functions.text import DROPPED_ELEMENTS, ENTITIES, LINE_BREAKS, WS_CHARS
+    from html.entities import name2codepoint
+
+    from quarry.functions.text import BARE_REFERENCES, C1, DROPPED_ELEMENTS, LINE_BREAKS, WS_CHARS
 
     c = f"coalesce({x}, '')"
     for tag in DROPPED_ELEMENTS:
         c = f"regexp_replace({c}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
     c = f"regexp_replace({c}, '(?s)<!--.*?-->', '', 'g')"
-    c = f"regexp_replace({c}, '(?s)<[!/?a-zA-Z][^>]*>', '', 'g')"
-    for name, char in ENTITIES:
-        lit = char.replace("'", "''")
-        c = f"regexp_replace({c}, '&{name};?', '{lit}', 'g')"
+    for tag in (r"""<[!/?a-zA-Z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>""", "<[!/?a-zA-Z][^>]*>"):
+        quoted = tag.replace("'", "''")
+        c = f"regexp_replace({c}, '{quoted}', '', 'g')"
+    names = ", ".join(f"'{n}': chr({code})" for n, code in name2codepoint.items())
+    bare = "|".join(BARE_REFERENCES)
+    low, high = "".join(map(chr, range(128, 160))), "".join(C1)
+
+    def char(code):
+        return (f"translate(chr(CASE WHEN {code} BETWEEN 1 AND 1114111 AND {code} NOT BETWEEN 55296 AND 57343 "
+                f"THEN {code} ELSE 65533 END), '{low}', '{high}')")
+
+    dec = char("CAST(regexp_extract(p, '^#([0-9]{1,7})', 1) AS INT)")
+    hexa = char("CAST('0x' || regexp_extract(p, '^#[xX]([0-9a-fA-F]{1,6})', 1) AS INT)")
+    name = f"MAP {{{names}}}[regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)]"
+    rest = "regexp_replace(p, '^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?', '')"
+    c = f"""array_to_string(list_transform(string_split({c}, '&'), lambda p, i: CASE
+        WHEN i = 1 THEN p
+        WHEN regexp_matches(p, '^#[0-9]') THEN {dec} || {rest}
+        WHEN regexp_matches(p, '^#[xX][0-9a-fA-F]') THEN {hexa} || {rest}
+        WHEN {name} IS NOT NULL THEN {name} || regexp_replace(p, '^[A-Za-z0-9]+;', '')
+        WHEN regexp_matches(p, '^(?:{bare})') THEN MAP {{{names}}}[regexp_extract(p, '^({bare})', 1)] || regexp_replace(p, '^(?:{bare});?', '')
+        ELSE '&' || p END), '')"""
     sep = f"[{WS_CHARS}]*(?:[{LINE_BREAKS}]| {{2}})[{WS_CHARS}]*"
     c = f"regexp_replace({c}, '{sep}', ' ', 'g')"
     return f"regexp_replace({c}, '^[{WS_CHARS}]+|[{WS_CHARS}]+$', '', 'g')"

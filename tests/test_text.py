@@ -53,3 +53,14 @@ def test_page_cleaning(spark):
     assert _one(spark, html_to_text, "x &amp<b>y</b>") == "x &y"
     assert _one(spark, html_to_text, "<style>p{}</style><!-- c --><div>one  two\n\n three</div>") == "one two three"
     assert _one(spark, html_to_text, "") == ""
+
+
+def test_character_references(spark):
+    assert _one(spark, html_to_text, "caf&eacute; &#8217;q&#x27; &hellip;&mdash;&#150;") == "café ’q' …—–"
+    assert _one(spark, html_to_text, "&amp;lt; &copy2020 &ltx; R&D &unknown; &#55296; &#128512 &") == "&lt; ©2020 <x; R&D &unknown; \ufffd 😀 &"
+
+
+def test_quoted_marks_in_tags(spark):
+    assert _one(spark, html_to_text, """<a title="a > b" alt='c > d'>t</a>""") == "t"
+    assert _one(spark, html_to_text, "<p don't>one</p> two") == "one two"
+    assert _one(spark, html_to_text, "<a " + "x='1' " * 20000 + ">t</a>") == "t"
