@@ -27,14 +27,27 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """Read a table with its declared schema; None when it does not exist."""
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table with the columns it was written with; None when its path does not exist. Other faults are raised."""
     try:
-        df = spark.read.schema(schema).parquet(path)
-        df.limit(0).collect()   # resolve the path now
-        return df
-    except AnalysisException:
+        return spark.read.parquet(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """Read a table with its declared schema; None when it does not exist.
+    A table that lacks a declared column is refused, as it would read as nulls."""
+    stored = _stored(spark, path)
+    if stored is None:
         return None
+    df = spark.read.schema(schema).parquet(path)
+    missing = [c for c in df.columns if c not in stored.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    return df
 
 
 def save_expanded(docs: DataFrame, path: str) -> None:
@@ -70,9 +83,8 @@ def load_vectors(spark: SparkSession, doc_path: str, vocab_path: str):
     out = []
     for path, schema, cols in ((doc_path, DOC_VEC_SCHEMA, {"url", "dims", "ws"}),
                                (vocab_path, VOCAB_VEC_SCHEMA, {"term", "dims", "ws"})):
-        try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
+        df = _stored(spark, path)
+        if df is None:
             log.warning("no vectors at %s", path)
             out.append(None)
             continue
