@@ -73,9 +73,9 @@ def crawl(spark: SparkSession, feed_list_path: str, feed_payloads: DataFrame, pa
     ``feed_payloads(feed_url, payload)`` and ``pages(url, html)`` stand for
     the two network fetches. A feed that was not fetched gives no links; a
     page that was not fetched gives empty content; duplicate links are
-    kept."""
+    kept; of several payloads of one feed the greatest counts."""
     feeds = fd.read_feed_list(spark, feed_list_path)                               # S2
-    fetched = feeds.join(feed_payloads.groupBy("feed_url").agg(F.first("payload").alias("payload")),
+    fetched = feeds.join(feed_payloads.groupBy("feed_url").agg(F.max("payload").alias("payload")),
                          "feed_url", "left")
     links = fd.parse_feeds(fetched)                                                # S3, S5
     bodies = fd.attach_pages(links, pages.select("url", "html"))                   # S4
