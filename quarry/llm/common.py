@@ -13,6 +13,8 @@ from quarry.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]"
 #: A side of a join is broadcast only up to this many bytes, counted on the rows themselves.
 BROADCAST_BYTES = 16 << 20
+#: A key that holds more than one row in so many is dealt to several tasks; at most so many keys can.
+HEAVY_SHARE = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,24 @@ def maybe_broadcast(df: DataFrame, bytes_per_row: int) -> DataFrame:
     return F.broadcast(df) if small(df, bytes_per_row) else df
 
 
+def heavy_keys(counts: DataFrame, key: str, n: str) -> DataFrame:
+    """``key, _pieces``: the keys of ``counts`` (one row per key, a written table) that hold more than one row in
+    HEAVY_SHARE, and how many pieces leave no more than that in one. There are fewer than HEAVY_SHARE of them."""
+    total = counts.agg(F.sum(n)).first()[0] or 1
+    pieces = F.least(F.col(n), F.ceil(F.col(n) * HEAVY_SHARE / F.lit(total))).cast("int")
+    return counts.select(key, pieces.alias("_pieces")).filter("_pieces > 1")
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, by: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``key``, every row of both kept as a plain join keeps it. The left
+    rows of a heavy key are dealt to its pieces by the hash of ``by``, its right rows go to each piece."""
+    heavy = F.broadcast(heavy)
+    pieces = F.coalesce("_pieces", F.lit(1))
+    salted = left.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(by), pieces).cast("int")).drop("_pieces")
+    repeated = right.join(heavy, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_pieces")
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
 def running_sums(values: Column, chunk: int = 256) -> Column:
     """Inclusive prefix sums of an int array, built chunk by chunk so that
     the work stays near linear in the array's length."""

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import maybe_broadcast, small, written
+from quarry.llm.common import heavy_keys, small, spread_join, written
 from quarry.llm.components import components
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -156,21 +156,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = first.filter("doc_id is not null and set_id is not null")
 
     # equal sets: the smallest id stands for all
-    reps = known.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    members = written(known.select("doc_id", "set_id").join(reps, "set_id").select("doc_id", "rep").distinct(), "members")
+    reps = written(known.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "copies")
+    copies = spread_join(known.select("doc_id", "set_id"), reps.select("set_id", "rep"), "set_id", heavy_keys(reps, "set_id", "n"), "doc_id", "left")
+    members = written(copies.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")).distinct(), "members")
     keyed = known.select("doc_id", "n_shingles", "bands").join(
         members.filter("doc_id = rep").select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id", "n_shingles", "bands"])
     rows = keyed.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
     rows = written(rows, "band-rows")
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("company")).filter("company > 1")
-    buckets = written(rows.join(counts, "key"), "buckets")
+    counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("company")).filter("company > 1"), "companies")
+    crowds = heavy_keys(counts, "key", "company")
+    buckets = written(spread_join(rows, counts, "key", crowds, "rep"), "buckets")
 
     # leaders: most company over all buckets, then the smallest id
     weight = buckets.groupBy("rep").agg(F.sum("company").alias("weight"), F.max("n").alias("size"))
     weight = written(weight, "weights")
     placed = buckets.select("key", "rep").join(weight, "rep")
     leaders = placed.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("rep").alias("rep"), F.col("size").alias("size"))).alias("lead"))
-    stars = (placed.join(leaders, "key").filter((F.col("rep") != F.col("lead.rep")) & _fits(F.col("size"), F.col("lead.size"), conf))
+    stars = (spread_join(placed, leaders, "key", crowds, "rep").filter((F.col("rep") != F.col("lead.rep")) & _fits(F.col("size"), F.col("lead.size"), conf))
              .groupBy("rep", F.col("lead.rep").alias("leader")).agg(F.count(F.lit(1)).alias("shared")))
     # of several leaders, a member is first compared with the one it shares most bands with
     best = stars.groupBy("rep").agg(F.max(F.struct("shared", (-F.col("leader")).alias("leader"))).alias("m"))
@@ -184,9 +186,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = members.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # ids with several sets tie their sets together; most tables have none, and the edges say so
     labels = components(stars)
-    links = stars.union(_open_links(buckets, labels, sets, pairs, conf))
-    final = components(links.union(_shared_ids(members)))
-    tops = members.join(final, members["rep"] == F.col("node"), "left").select(
+    links = stars.union(_open_links(buckets, crowds, labels, sets, pairs, conf))
+    final = components(links.union(_shared_ids(members))).withColumnRenamed("node", "rep")
+    stood = heavy_keys(written(members.groupBy("rep").agg(F.count(F.lit(1)).alias("n")), "stands-for"), "rep", "n")
+    tops = spread_join(members, final, "rep", stood, "doc_id", "left").select(
         "doc_id", F.least("rep", F.coalesce("label", "rep")).alias("component_id"))
     tops = tops.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = first.select("doc_id", "n_shingles").join(tops, "doc_id", "left")
@@ -201,7 +204,7 @@ def _shared_ids(members: DataFrame) -> DataFrame:
     return members.join(several.select("doc_id", "a"), "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
 
 
-def _open_links(buckets: DataFrame, labels: DataFrame, sets: DataFrame, tested: DataFrame, conf: Near) -> DataFrame:
+def _open_links(buckets: DataFrame, crowds: DataFrame, labels: DataFrame, sets: DataFrame, tested: DataFrame, conf: Near) -> DataFrame:
     """Links between members of one bucket that the leaders left in different components.
 
     Shingles of the members of such buckets are ordered, rarest first. Two
@@ -209,27 +212,36 @@ def _open_links(buckets: DataFrame, labels: DataFrame, sets: DataFrame, tested:
     the overlap that the threshold asks for, and at their first common
     shingle, in places i and j, at least o of both sets must remain. A hub's
     shingles come late in the sets that differ much from it, so a big group
-    around a hub yields few pairs. Both bounds are exact."""
+    around a hub yields few pairs. Both bounds are exact. Per shingle the
+    most frequent component is only on one side of the join, so its members
+    are not paired among themselves."""
     own = buckets.select("key", "rep").join(labels, buckets["rep"] == labels["node"], "left").select(
         "key", "rep", F.coalesce("label", "rep").alias("label"))
     own = written(own, "labelled-buckets")
     mixed = own.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1").select("key")
-    there = written(own.join(mixed, "key").select("rep", "label").distinct(), "open-members")
+    there = written(spread_join(own, mixed, "key", crowds, "rep").select("rep", "label").distinct(), "open-members")
     shingles = sets.join(there, "rep").select("rep", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
     shingles = written(shingles, "open-shingles")
-    common = shingles.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    common = written(shingles.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "common-shingles")
     # a set is one document's, so its array is bounded by the document
-    ordered = (shingles.join(common, "h", "left").groupBy("rep", "label", "n")
+    ordered = (spread_join(shingles, common, "h", heavy_keys(common, "h", "df"), "rep", "left").groupBy("rep", "label", "n")
                .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "h"))).alias("all")))
     need = F.ceil(F.col("n") * conf.percent / 100)
     firsts = ordered.select("rep", "label", "n", F.posexplode(F.slice("all", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("i", "s"))
     firsts = written(firsts.filter("s.df > 1").select("rep", "label", "n", "i", F.col("s.h").alias("h")), "first-shingles")
-    x, y = firsts.alias("x"), firsts.alias("y")
-    overlap = F.ceil((F.col("x.n") + F.col("y.n")) * conf.percent / (100 + conf.percent))
-    left = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
-    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
-                   & (left >= overlap) & _fits(F.col("x.n"), F.col("y.n"), conf))
-    pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    by_label = firsts.groupBy("h", "label").agg(F.count(F.lit(1)).alias("n"))
+    held = by_label.groupBy("h").agg(F.max(F.struct("n", "label"))["label"].alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"))
+    held = written(held.filter("labels > 1"), "held-shingles")
+    frequent = heavy_keys(held, "h", "n")
+    firsts = written(spread_join(firsts, held.select("h", "top"), "h", frequent, "rep"), "paired-shingles")
+    names = [F.col(c).alias("x_" + c) for c in ("rep", "label", "n", "i")]
+    others = firsts.filter(F.col("label") != F.col("top")).select("h", *names)
+    pairs = spread_join(firsts, others, "h", frequent, "rep")
+    overlap = F.ceil((F.col("x_n") + F.col("n")) * conf.percent / (100 + conf.percent))
+    left = F.least(F.col("x_n") - F.col("x_i"), F.col("n") - F.col("i"))
+    once = (F.col("label") == F.col("top")) | (F.col("x_rep") < F.col("rep"))
+    pairs = pairs.filter((F.col("x_label") != F.col("label")) & once & (left >= overlap) & _fits(F.col("x_n"), F.col("n"), conf))
+    pairs = pairs.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b")).distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "open-pairs")
     return written(_confirmed(pairs, sets, conf), "open-links")

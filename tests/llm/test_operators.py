@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from quarry.llm import bpe, catalog, decontam, licenses, mincut, minhash, quality, secretscan, tokenfile, urlrep, warc
+from quarry.llm import bpe, catalog, common, components, decontam, licenses, mincut, minhash, quality, secretscan, tokenfile, urlrep, warc
 
 SCHEMA = "doc_id long, text string, words string, base string, kept int, label string, host string, n_words int"
 PROSE = " ".join(f"word{i} and{i} some{i} more{i}" for i in range(30)) + "."
@@ -83,6 +83,24 @@ def test_near_duplicates_against_all_pairs(spark):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
 
 
+def test_spread_join_keeps_what_a_plain_join_keeps(spark):
+    rows = [("hot", i) for i in range(3000)] + [(f"k{i % 1500}", i) for i in range(3000, 6000)] + [(None, 6000)]
+    left = spark.createDataFrame(rows, "key string, a long")
+    counts = common.written(left.groupBy("key").count().filter("key is not null"), "test-counts")
+    heavy = common.heavy_keys(counts, "key", "count")
+    assert [(r.key, r._pieces) for r in heavy.collect()] == [("hot", 500)]
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), ("none", 4), (None, 5)], "key string, b long")
+    for how in ("inner", "left"):
+        got = common.spread_join(left, right, "key", heavy, "a", how).select("key", "a", "b")
+        assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "key", how).select("key", "a", "b").collect()))
+
+
+def test_components_of_a_chain_a_hub_and_a_pair(spark):
+    edges = [(i, i + 1) for i in range(40, 70)] + [(90, i) for i in range(91, 140)] + [(200, 7)]
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 40 for i in range(40, 71)} | {i: 90 for i in range(90, 140)} | {200: 7, 7: 7}
+
+
 def test_sketch_fills_every_coordinate():
     for m in (1, 2, 7, 5000):
         s = minhash.sketch(np.arange(m, dtype=np.uint64) * np.uint64(977), 128)
