@@ -222,9 +222,9 @@ def _open_links(buckets: DataFrame, crowds: DataFrame, labels: DataFrame, sets:
     there = written(spread_join(own, mixed, "key", crowds, "rep").select("rep", "label").distinct(), "open-members")
     shingles = sets.join(there, "rep").select("rep", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
     shingles = written(shingles, "open-shingles")
-    common = written(shingles.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "common-shingles")
+    common = shingles.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     # a set is one document's, so its array is bounded by the document
-    ordered = (spread_join(shingles, common, "h", heavy_keys(common, "h", "df"), "rep", "left").groupBy("rep", "label", "n")
+    ordered = (shingles.join(common, "h", "left").groupBy("rep", "label", "n")
                .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "h"))).alias("all")))
     need = F.ceil(F.col("n") * conf.percent / 100)
     firsts = ordered.select("rep", "label", "n", F.posexplode(F.slice("all", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("i", "s"))
@@ -232,11 +232,14 @@ def _open_links(buckets: DataFrame, crowds: DataFrame, labels: DataFrame, sets:
     by_label = firsts.groupBy("h", "label").agg(F.count(F.lit(1)).alias("n"))
     held = by_label.groupBy("h").agg(F.max(F.struct("n", "label"))["label"].alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"))
     held = written(held.filter("labels > 1"), "held-shingles")
-    frequent = heavy_keys(held, "h", "n")
-    firsts = written(spread_join(firsts, held.select("h", "top"), "h", frequent, "rep"), "paired-shingles")
+    # the rows carry the pieces of their shingle, so neither side looks them up again
+    pieces = F.coalesce("_pieces", F.lit(1)).alias("pieces")
+    held = held.join(F.broadcast(heavy_keys(held, "h", "n")), "h", "left").select("h", "top", pieces)
+    firsts = written(firsts.join(held, "h"), "paired-shingles")
     names = [F.col(c).alias("x_" + c) for c in ("rep", "label", "n", "i")]
-    others = firsts.filter(F.col("label") != F.col("top")).select("h", *names)
-    pairs = spread_join(firsts, others, "h", frequent, "rep")
+    others = firsts.filter(F.col("label") != F.col("top")).select(
+        "h", *names, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("salt"))
+    pairs = firsts.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int")).join(others, ["h", "salt"])
     overlap = F.ceil((F.col("x_n") + F.col("n")) * conf.percent / (100 + conf.percent))
     left = F.least(F.col("x_n") - F.col("x_i"), F.col("n") - F.col("i"))
     once = (F.col("label") == F.col("top")) | (F.col("x_rep") < F.col("rep"))
