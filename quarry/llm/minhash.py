@@ -53,12 +53,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-def shingle_set(text: str | None, size: int, memo: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of a text."""
-    words = text.encode("utf-8", "surrogatepass").translate(_UPPER).split() if text else []
+def _texts(column: pa.Array) -> Iterator[bytes | None]:
+    """The texts of a column as UTF-8, one at a time, so that a batch is not held twice."""
+    return (x.as_py() for x in column.cast(pa.binary()))
+
+
+def shingle_set(text: bytes | None, size: int, memo: dict[bytes, int]) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles of a text; ``memo`` has the hashes of recent words."""
+    words = text.translate(_UPPER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    if len(memo) > 300_000:
+    if len(memo) > 50_000:
         memo.clear()
     for w in words:
         if w not in memo:
@@ -98,7 +103,7 @@ def _first_pass(conf: Near):
         salt = _mix(np.arange(1, conf.bands + 1, dtype=np.uint64))
         for batch in batches:
             sizes, sets, bands = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in _texts(batch.column(1)):
                 s = shingle_set(text, conf.shingle, memo)
                 sizes.append(len(s))
                 if not len(s):
@@ -121,7 +126,7 @@ def _sets(conf: Near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, int] = {}
         for batch in batches:
-            rows = [shingle_set(x, conf.shingle, memo).astype(np.int64) for x in batch.column(1).to_pylist()]
+            rows = [shingle_set(x, conf.shingle, memo).astype(np.int64) for x in _texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["rep", "shingles"])
     return run
 
