@@ -2,9 +2,10 @@
 
 Numbers, units and names become typed placeholders, so a question with
 other numbers or names keeps its template. Windows of template tokens are
-hash-joined with the benchmark's windows; a hit counts only if the slots
-are consistent: along one alignment, equal benchmark values stand for equal
-document values, and different ones for different ones.
+hash-joined with the benchmark's windows. A hit counts if its slot values
+are the benchmark's, or if its names are consistent: along one alignment, a
+benchmark name stands for one document name. Numbers and units are free, as
+two independent ones may be equal on one side.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import BROADCAST_BYTES, maybe_broadcast, written
@@ -27,6 +28,8 @@ UNITS = frozenset(
     "sec second seconds min minute minutes h hr hour hours day days week weeks month months year years % percent usd "
     "eur gbp dollar dollars euro euros cent cents pound pounds k w kw v a hz mb gb tb mph kmh c f".split())
 _TOKEN = re.compile(r"[^\W\d]+|[.!?\n%$€£]|\d+(?:[.,]\d+)*")
+#: The low bits of a slot value are its kind.
+_KIND = 3
 _NUM, _NAME, _UNIT = (xxhash.xxh64_intdigest(x) for x in ("<num>", "<name>", "<unit>"))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WINDOWS = "id bigint, whash bigint, pos int, slots array<bigint>, n_windows int"
@@ -36,7 +39,7 @@ _WINDOWS = "id bigint, whash bigint, pos int, slots array<bigint>, n_windows int
 class Templates:
     """``window``: template tokens per window (a shorter text is one window).
     ``min_words``: plain words a window needs, so that rows of placeholders match nothing.
-    ``coverage_pct``: share of an item's windows that a document must hold, on consistent alignments."""
+    ``coverage_pct``: share of an item's windows that a document must hold, with consistent names."""
 
     window: int = 8
     min_words: int = 3
@@ -115,7 +118,7 @@ class Canon:
         n = len(token) - size + 1
         plain = np.concatenate([[0], np.cumsum(slot == 0)])
         words = plain[size:] - plain[:-size]
-        return _rolled(token, size), words >= min(conf.min_words, size), np.stack([value, slot.astype(np.uint64)], 1), size
+        return _rolled(token, size), words >= min(conf.min_words, size), np.stack([value & np.uint64(~_KIND & 0xFFFFFFFFFFFFFFFF) | slot.astype(np.uint64), slot.astype(np.uint64)], 1), size
 
 
 def _emit(conf: Templates, lengths: tuple[int, ...], wanted: np.ndarray | None):
@@ -152,13 +155,38 @@ def _emit(conf: Templates, lengths: tuple[int, ...], wanted: np.ndarray | None):
     return run
 
 
+def _consistent(hits: Column) -> Column:
+    """The windows of one alignment that count: those with the item's own values, and those whose names are all
+    the ones that stand for the item's names in most windows (ties: the item's own name, then the largest hash)."""
+    def is_name(p):
+        return p["own"].bitwiseAND(F.lit(_KIND)) == 3
+
+    def counted(names):
+        return F.transform(F.array_distinct(names), lambda p: F.struct(
+            p["own"].alias("own"), F.struct(F.size(F.filter(names, lambda q: q == p)).alias("n"), (p["own"] == p["got"]).alias("same"),
+                                            p["got"].alias("got")).alias("rank"), p.alias("pair")))
+
+    def chosen(ranked):
+        best = F.filter(ranked, lambda p: ~F.exists(ranked, lambda q: (q["own"] == p["own"]) & (q["rank"] > p["rank"])))
+        return F.transform(best, lambda p: p["pair"])
+
+    def let(value, body):
+        """``body`` of a value that is computed once."""
+        return F.get(F.transform(F.array(value), body), 0)
+
+    names = F.filter(F.flatten(F.transform(hits, lambda h: h["pairs"])), is_name)
+    stands = let(let(names, counted), chosen)
+    return let(stands, lambda good: F.filter(hits, lambda h: F.forall(h["pairs"], lambda p: p["own"] == p["got"]) | F.forall(
+        h["pairs"], lambda p: ~is_name(p) | F.array_contains(good, p))))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", conf: Templates = Templates(), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per leaked pair: ``doc_id, item_id, n_windows, n_matched, n_slots, n_changed, kind``
     (kind: ``verbatim`` if all slot values are the item's, else ``re-parameterised``).
 
     A document leaks an item if at least ``coverage_pct`` of the item's
-    windows occur in it on alignments with consistent slots. Rows with a
+    windows occur in it with the item's own slot values or with consistent names. Rows with a
     null id or a null or empty text on either side match nothing; repeated
     rows give the pair once; other columns are not read. Empty tables give
     an empty result. The benchmark's window hashes are broadcast as a
@@ -176,19 +204,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     b = keys.select(F.col("id").alias("item_id"), "whash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n_windows")
     hits = found.select(F.col("id").alias("doc_id"), "whash", "pos", "slots").join(maybe_broadcast(b, 128), "whash")
     hits = written(hits.filter(F.size("slots") == F.size("item_slots")).select(
-        "doc_id", "item_id", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"),
-        F.arrays_zip(F.col("item_slots").alias("own"), F.col("slots").alias("got")).alias("pairs")), "window-hits")
+        "doc_id", "item_id", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"),
+        F.struct(F.col("item_pos").alias("place"), F.arrays_zip(F.col("item_slots").alias("own"), F.col("slots").alias("got")).alias("pairs")).alias("hit")),
+        "window-hits")
     one = ["doc_id", "item_id", "n_windows", "shift"]
-    # an item has a bounded number of tokens, so an alignment has a bounded number of pairs and positions
-    per_shift = hits.groupBy(*one).agg(F.collect_set("item_pos").alias("places"),
-                                       F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    function = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["own"])))
-    injective = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["got"])))
-    good = per_shift.filter(function & injective)
-    changed = F.size(F.filter("pairs", lambda p: p["own"] != p["got"]))
+    # an item has a bounded number of tokens, so an alignment has a bounded number of windows and pairs
+    per_shift = hits.groupBy(*one).agg(F.collect_set("hit").alias("hits")).withColumn("hits", _consistent(F.col("hits")))
+    pairs_of = F.array_distinct(F.flatten(F.col("hits.pairs")))
+    changed = F.size(F.filter(pairs_of, lambda p: p["own"] != p["got"]))
     # alignments of one pair: the best covered ones first, each adds the places it covers
-    pairs = (good.withColumn("n_changed", changed).withColumn("n_slots", F.size("pairs"))
-             .select("doc_id", "item_id", "n_windows", F.explode("places").alias("place"), "n_changed", "n_slots")
+    pairs = (per_shift.withColumn("n_changed", changed).withColumn("n_slots", F.size(pairs_of))
+             .select("doc_id", "item_id", "n_windows", F.explode("hits.place").alias("place"), "n_changed", "n_slots")
              .groupBy("doc_id", "item_id", "n_windows", "place").agg(F.min(F.struct("n_changed", "n_slots")).alias("m"))
              .groupBy("doc_id", "item_id", "n_windows").agg(
                  F.count(F.lit(1)).cast("int").alias("n_matched"), F.max("m.n_slots").alias("n_slots"), F.max("m.n_changed").alias("n_changed")))

@@ -127,6 +127,20 @@ def test_leaks_verbatim_and_changed_slots(spark):
     assert decontam.leaks(docs(spark, []), bench).count() == 0 and decontam.leaks(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_keep_the_windows_beside_a_conflict(spark):
+    item = "A train with 12 wagons needs 40 minutes to cross the long bridge and 12 minutes more to reach the town beyond it."
+    names = "There we saw Natalia sell some clips to her old friends in April, and then Natalia sold half as many clips in May again."
+    rows = [(1, item.replace("12", "7", 1)), (2, item.replace("40", "12")), (3, item.replace("12", "7", 1).replace("12", "8").replace("40", "7")),
+            (4, names.replace("Natalia", "Maria", 1)), (5, names.replace("Natalia", "Maria")),
+            (6, "three apples and 3 pears")]
+    bench = spark.createDataFrame([(9, item), (10, names)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.leaks(docs(spark, rows), bench).collect()}
+    assert sorted(got) == [(1, 9), (2, 9), (3, 9), (4, 10), (5, 10)]
+    assert [got[k].kind for k in sorted(got)] == ["re-parameterised"] * 3 + ["verbatim", "re-parameterised"]
+    assert all(got[k].n_matched == got[k].n_windows for k in ((1, 9), (2, 9), (3, 9), (5, 10)))
+    assert got[4, 10].n_matched < got[4, 10].n_windows  # Maria and Natalia for one name: its own name wins the tie
+
+
 def plain_spans(text):
     out = []
     for m in re.finditer(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.I | re.A):
