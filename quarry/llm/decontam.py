@@ -1,7 +1,10 @@
 """Benchmark decontamination by templates.
 
 Numbers, units and names become typed placeholders, so a question with
-other numbers or names keeps its template. Windows of template tokens are
+other numbers or names keeps its template. A capital that opens a sentence
+may be a name or not, so windows are read both ways, and a third time as
+plain words, which finds copies whatever their capitals, line breaks and
+number of placeholders are. Windows of template tokens are
 hash-joined with the benchmark's windows. A hit counts if its slot values
 are the benchmark's, or if its names are consistent: along one alignment, a
 benchmark name stands for one document name. Numbers and units are free, as
@@ -30,16 +33,20 @@ UNITS = frozenset(
 _TOKEN = re.compile(r"[^\W\d]+|[.!?\n%$€£]|\d+(?:[.,]\d+)*")
 #: The low bits of a slot value are its kind.
 _KIND = 3
+_VALUE = np.uint64((1 << 64) - 1 - _KIND)
 _NUM, _NAME, _UNIT = (xxhash.xxh64_intdigest(x) for x in ("<num>", "<name>", "<unit>"))
+_BREAK = np.uint64(xxhash.xxh64_intdigest("\n"))
+#: Template token by slot kind.
+_PLACEHOLDERS = np.array([0, _NUM, _UNIT, _NAME], np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_WINDOWS = "id bigint, whash bigint, pos int, slots array<bigint>, n_windows int"
+_WINDOWS = "id bigint, whash bigint, pos int, slots array<bigint>, n_windows int, n_rich int, rich boolean"
 
 
 @dataclass(frozen=True)
 class Templates:
     """``window``: template tokens per window (a shorter text is one window).
-    ``min_words``: plain words a window needs, so that rows of placeholders match nothing.
-    ``coverage_pct``: share of an item's windows that a document must hold, with consistent names."""
+    ``min_words``: plain words a window needs to match as a template, so that rows of placeholders match their own values only.
+    ``coverage_pct``: share of an item's windows, or of those with ``min_words``, that a document must hold, with consistent names."""
 
     window: int = 8
     min_words: int = 3
@@ -57,22 +64,25 @@ def _kinds(token: str) -> tuple[int, int, int]:
 
 
 def _rolled(token: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all windows of ``size`` tokens: hashes of 1, 2, 4, ... tokens, joined by the bits of ``size``."""
+    """Hashes of all windows of ``size`` tokens along the last axis: hashes of 1, 2, 4, ... tokens, joined by the bits of ``size``."""
     def join(a, b):
         with np.errstate(over="ignore"):
-            h = (a * _MIX ^ b) * _MIX
-            return h ^ h >> np.uint64(29)
+            h = a * _MIX
+            h ^= b
+            h *= _MIX
+            h ^= h >> np.uint64(29)
+            return h
 
-    n, done, power, width = len(token) - size + 1, 0, token, 1
-    h = np.full(n, size, np.uint64)
+    n, done, power, width = token.shape[-1] - size + 1, 0, token, 1
+    h = np.full(token.shape[:-1] + (n,), size, np.uint64)
     while True:
         if size & width:
-            h = join(h, power[done:done + n])
+            h = join(h, power[..., done:done + n])
             done += width
         width *= 2
         if width > size:
             return h
-        power = join(power[:len(power) - width // 2], power[width // 2:])
+        power = join(power[..., :power.shape[-1] - width // 2], power[..., width // 2:])
 
 
 class Canon:
@@ -97,61 +107,98 @@ class Canon:
                     self.rows[k] = _kinds(t)
             return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
 
-    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-        """(hash of each window, usable?, (value, kind) per template token, window length)."""
-        conf = self.conf
-        rows = self.rows[[]] if not text else None
-        if rows is None:
-            codes = self._codes(_TOKEN.findall(text))
-            rows = self.rows[codes]
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(value per template token, its slot kind by reading, template token by reading).
+
+        Readings: capitals that open a sentence are words; they are names; every token is a word."""
+        codes = self._codes(_TOKEN.findall(text))
+        rows = self.rows[codes]
         kind = rows[:, 1].astype(np.int8)
         ends = kind == 3
-        before_end = np.concatenate([[True], ends[:-1]]) if len(ends) else ends
-        after_num = np.concatenate([[False], kind[:-1] == 1]) if len(ends) else ends
-        slot = np.where(kind == 1, 1, np.where((rows[:, 2] == 1) & after_num, 2, np.where((kind == 2) & ~before_end, 3, 0)))
+        if len(kind):
+            before_end = np.concatenate([[True], ends[:-1]])
+            solid = rows[:, 0] != _BREAK
+            after_num = np.zeros(len(kind), bool)
+            after_num[solid] = np.concatenate([[False], kind[solid][:-1] == 1])
+        else:
+            before_end = after_num = ends
         keep = ~ends
-        value, slot = rows[keep, 0], slot[keep]
-        token = np.where(slot == 1, np.uint64(_NUM), np.where(slot == 2, np.uint64(_UNIT), np.where(slot == 3, np.uint64(_NAME), value)))
-        size = min(conf.window, len(token))
-        if size == 0:
-            return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros((0, 2), np.uint64), 0
-        n = len(token) - size + 1
-        plain = np.concatenate([[0], np.cumsum(slot == 0)])
-        words = plain[size:] - plain[:-size]
-        return _rolled(token, size), words >= min(conf.min_words, size), np.stack([value & np.uint64(~_KIND & 0xFFFFFFFFFFFFFFFF) | slot.astype(np.uint64), slot.astype(np.uint64)], 1), size
+        value, capital, opening = rows[keep, 0], (kind == 2)[keep], before_end[keep]
+        slot = ((kind == 1) + np.uint8(2) * ((kind != 1) & (rows[:, 2] == 1) & after_num))[keep].astype(np.uint8)
+        name = capital & (slot == 0)
+        slots = np.zeros((3, len(value)), np.uint8)
+        slots[:2] = slot
+        slots[0][name & ~opening] = 3
+        slots[1][name] = 3
+        token = np.empty((3, len(value)), np.uint64)
+        token[2] = value
+        token[1] = np.where(slots[1] > 0, _PLACEHOLDERS.take(slots[1]), value)
+        token[0] = np.where(name & opening, value, token[1])
+        return value, slots, token
+
+    def counted(self, read: tuple[np.ndarray, np.ndarray, np.ndarray], h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(counted by reading and window?, rich by the first reading?) of the windows of ``size`` tokens with hashes ``h``.
+
+        A reading's window counts if it is rich and no reading before gives the same; as plain words any window counts."""
+        plain = np.zeros((2, len(read[0]) + 1), np.int32)
+        np.cumsum(read[1][:2] == 0, axis=1, out=plain[:, 1:])
+        rich = plain[:, size:] - plain[:, :-size] >= min(self.conf.min_words, size)
+        return np.stack([rich[0], rich[1] & ((h[1] != h[0]) | ~rich[0]),
+                         ((h[2] != h[0]) | ~rich[0]) & ((h[2] != h[1]) | ~rich[1])]), rich[0]
 
 
 def _emit(conf: Templates, lengths: tuple[int, ...], wanted: np.ndarray | None):
     """mapInArrow body: rows (id, text) to windows; only those whose hash is in ``wanted``, if given.
 
     ``lengths``: window lengths below the usual one that some short item has; documents get windows of these lengths too."""
+    some = None
+    if wanted is not None:  # most windows end at this table of the first 20 bits
+        some = np.zeros(1 << 20, bool)
+        some[(wanted >> np.uint64(44)).astype(np.int64)] = True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canons = [Canon(conf)] + [Canon(Templates(n, conf.min_words, conf.coverage_pct)) for n in lengths]
+        canon = Canon(conf)
         for batch in batches:
-            ids, hashes, places, slots, counts = [], [], [], [], []
+            ids, hashes, places, slots, counts, riches, rich_counts = [], [], [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if key is None or not text:
                     continue
-                for canon in canons:
-                    h, usable, values, size = canon.windows(text)
-                    at = np.flatnonzero(usable)
-                    if wanted is not None and len(at):
-                        spot = np.searchsorted(wanted, h[at])
-                        at = at[wanted[np.minimum(spot, len(wanted) - 1)] == h[at]] if len(wanted) else at[:0]
-                    total = int(usable.sum())
-                    for i in at.tolist():
-                        part = values[i:i + size]
+                read = canon.read(text)
+                value, kinds, _ = read
+                n = len(value)
+                own = min(conf.window, n)
+                for size in sorted({own, *(x for x in lengths if x < own)} - {0}):
+                    h = _rolled(read[2], size)
+                    if wanted is None:
+                        which = at = None
+                    else:
+                        which, at = np.nonzero(some[(h >> np.uint64(44)).astype(np.int64)])
+                        got = h[which, at]
+                        same = wanted[np.minimum(np.searchsorted(wanted, got), len(wanted) - 1)] == got if len(at) else np.zeros(0, bool)
+                        which, at = which[same], at[same]
+                        if not len(at):
+                            continue
+                    counted, rich = canon.counted(read, h, size)
+                    if wanted is None:
+                        which, at = np.nonzero(counted)
+                    else:
+                        use = counted[which, at]
+                        which, at = which[use], at[use]
+                    n_rich = int(rich.sum())
+                    for r, i in zip(which.tolist(), at.tolist()):
+                        kind = kinds[r, i:i + size]
+                        part = value[i:i + size] & _VALUE | kind.astype(np.uint64)
                         ids.append(key)
-                        hashes.append(int(h[i].astype(np.int64)))
+                        hashes.append(int(h[r, i].astype(np.int64)))
                         places.append(i)
-                        slots.append(part[part[:, 1] > 0, 0].astype(np.int64).tolist())
-                        counts.append(total)
-                    if len(values) < canon.conf.window:
-                        break  # the whole text was one window; shorter lengths would repeat it
+                        slots.append(part[kind > 0].astype(np.int64).tolist())
+                        counts.append(n - size + 1)
+                        rich_counts.append(n_rich)
+                        riches.append(bool(rich[i]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()),
-                 pa.array(slots, pa.list_(pa.int64())), pa.array(counts, pa.int32())],
-                names=["id", "whash", "pos", "slots", "n_windows"])
+                 pa.array(slots, pa.list_(pa.int64())), pa.array(counts, pa.int32()), pa.array(rich_counts, pa.int32()), pa.array(riches, pa.bool_())],
+                names=["id", "whash", "pos", "slots", "n_windows", "n_rich", "rich"])
     return run
 
 
@@ -183,10 +230,10 @@ def _consistent(hits: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", conf: Templates = Templates(), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per leaked pair: ``doc_id, item_id, n_windows, n_matched, n_slots, n_changed, kind``
-    (kind: ``verbatim`` if all slot values are the item's, else ``re-parameterised``).
+    (kind: ``verbatim`` if all slot values of the counted windows are the item's, else ``re-parameterised``).
 
     A document leaks an item if at least ``coverage_pct`` of the item's
-    windows occur in it with the item's own slot values or with consistent names. Rows with a
+    windows, or of those with ``min_words`` plain words, occur in it with the item's own slot values or with consistent names. Rows with a
     null id or a null or empty text on either side match nothing; repeated
     rows give the pair once; other columns are not read. Empty tables give
     an empty result. The benchmark's window hashes are broadcast as a
@@ -201,24 +248,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         wanted = np.sort(np.array([r[0] for r in keys.select("whash").distinct().collect()], np.int64).view(np.uint64))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     found = texts.mapInArrow(_emit(conf, short, wanted), _WINDOWS)
-    b = keys.select(F.col("id").alias("item_id"), "whash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n_windows")
+    b = keys.select(F.col("id").alias("item_id"), "whash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n_windows", "n_rich", "rich")
     hits = found.select(F.col("id").alias("doc_id"), "whash", "pos", "slots").join(maybe_broadcast(b, 128), "whash")
     hits = written(hits.filter(F.size("slots") == F.size("item_slots")).select(
-        "doc_id", "item_id", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"),
-        F.struct(F.col("item_pos").alias("place"), F.arrays_zip(F.col("item_slots").alias("own"), F.col("slots").alias("got")).alias("pairs")).alias("hit")),
+        "doc_id", "item_id", "n_windows", "n_rich", (F.col("pos") - F.col("item_pos")).alias("shift"),
+        F.struct(F.col("item_pos").alias("place"), "rich", F.arrays_zip(F.col("item_slots").alias("own"), F.col("slots").alias("got")).alias("pairs")).alias("hit")),
         "window-hits")
-    one = ["doc_id", "item_id", "n_windows", "shift"]
+    pair = ["doc_id", "item_id", "n_windows", "n_rich"]
     # an item has a bounded number of tokens, so an alignment has a bounded number of windows and pairs
-    per_shift = hits.groupBy(*one).agg(F.collect_set("hit").alias("hits")).withColumn("hits", _consistent(F.col("hits")))
+    per_shift = hits.groupBy(*pair, "shift").agg(F.collect_set("hit").alias("hits")).withColumn("hits", _consistent(F.col("hits")))
     pairs_of = F.array_distinct(F.flatten(F.col("hits.pairs")))
     changed = F.size(F.filter(pairs_of, lambda p: p["own"] != p["got"]))
     # alignments of one pair: the best covered ones first, each adds the places it covers
     pairs = (per_shift.withColumn("n_changed", changed).withColumn("n_slots", F.size(pairs_of))
-             .select("doc_id", "item_id", "n_windows", F.explode("hits.place").alias("place"), "n_changed", "n_slots")
-             .groupBy("doc_id", "item_id", "n_windows", "place").agg(F.min(F.struct("n_changed", "n_slots")).alias("m"))
-             .groupBy("doc_id", "item_id", "n_windows").agg(
-                 F.count(F.lit(1)).cast("int").alias("n_matched"), F.max("m.n_slots").alias("n_slots"), F.max("m.n_changed").alias("n_changed")))
-    enough = pairs.filter(F.col("n_matched") * 100 >= F.col("n_windows") * conf.coverage_pct)
+             .select(*pair, F.explode("hits").alias("hit"), "n_changed", "n_slots")
+             .groupBy(*pair, "hit.place", "hit.rich").agg(F.min(F.struct("n_changed", "n_slots")).alias("m"))
+             .groupBy(*pair).agg(
+                 F.count(F.lit(1)).cast("int").alias("n_matched"), F.count(F.when(F.col("rich"), 1)).alias("rich_matched"), F.max("m.n_slots").alias("n_slots"), F.max("m.n_changed").alias("n_changed")))
+    enough = pairs.filter((F.col("n_matched") * 100 >= F.col("n_windows") * conf.coverage_pct)
+                         | (F.col("n_rich") > 0) & (F.col("rich_matched") * 100 >= F.col("n_rich") * conf.coverage_pct))
     kind = F.when(F.col("n_changed") == 0, "verbatim").otherwise("re-parameterised")
     return enough.select("doc_id", "item_id", "n_windows", "n_matched", "n_slots", "n_changed", kind.alias("kind"))
 
@@ -228,6 +276,6 @@ def _lengths(conf: Templates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canon = Canon(conf)
         for batch in batches:
-            sizes = {canon.windows(t)[3] for t in batch.column(1).to_pylist() if t}
+            sizes = {len(canon.read(t)[0]) for t in batch.column(1).to_pylist() if t}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(s for s in sizes if 0 < s < conf.window), pa.int32())], names=["n"])
     return run

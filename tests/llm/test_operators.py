@@ -141,6 +141,24 @@ def test_leaks_keep_the_windows_beside_a_conflict(spark):
     assert got[4, 10].n_matched < got[4, 10].n_windows  # Maria and Natalia for one name: its own name wins the tie
 
 
+def test_token_memo_grows():
+    value, _, _ = decontam.Canon(decontam.Templates()).read(" ".join(a + b + c for a in "abcdefghijklmnop" for b in "abcdefghijklmnop" for c in "abcdefgh"))
+    assert len(set(value.tolist())) == 2048
+
+
+def test_leaks_whatever_opens_a_sentence(spark):
+    girl = ("Natalia sold clips to friends in April. Natalia then sold half as many clips in May. Natalia wants to know how "
+            "many clips were sold in both months together.")
+    bench = spark.createDataFrame([(1, girl), (2, "What is the capital of France?"), (3, "Compute 12 + 5 * 7"), (4, "Mix the red paint in first"),
+                                   (5, "It takes 12 kg of Flour 3 l of Milk")], "item_id long, text string")
+    rows = [(1, girl.replace("Natalia", "Maria")), (2, "Question: What is the capital of France?"), (3, "so: compute 12 + 5 * 7 now"),
+            (4, "Mix the red paint in first!"), (5, "Then Mix the red paint in first"), (6, "Compute 13 + 5 * 7 now"),
+            (7, "It takes 12\nkg of\nFlour 3\nl of Milk"), (8, "We ask what is the capital of France?"), (9, girl.replace(" ", "\n"))]
+    for most in (16 << 20, 0):
+        got = sorted((r.doc_id, r.item_id) for r in decontam.leaks(docs(spark, rows), bench, broadcast_bytes=most).collect())
+        assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (7, 5), (8, 2), (9, 1)]
+
+
 def plain_spans(text):
     out = []
     for m in re.finditer(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.I | re.A):
