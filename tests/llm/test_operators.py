@@ -292,6 +292,32 @@ def test_licence_sequences(spark):
     assert licenses.recognise(docs(spark, [])).count() == 0
 
 
+def test_wrapped_licences_and_notices(spark):
+    import textwrap
+
+    s = licenses.SENTENCES
+
+    def wrapped(mark, *paragraphs, width=72):
+        return f"\n{mark.rstrip()}\n".join(textwrap.fill(x, width, initial_indent=mark, subsequent_indent=mark, break_on_hyphens=False) for x in paragraphs)
+
+    bsd3 = s["bsd.name"].replace("the copyright holder", "Foo Labs")
+    gnu = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+           "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.")
+    rows = [(wrapped("", "MIT License", s["mit.grant"], s["mit.keep"]), ["MIT"]), (wrapped(" * ", s["mit.grant"], s["mit.keep"]), ["MIT"]),
+            (wrapped("# ", "Copyright 2020 X", s["apache2.notice2"], s["apache2.copy"]), ["Apache-2.0"]),
+            ("# Copyright (C) 2020 X\n" + wrapped("# ", s["gpl.notice"], s["gpl.warranty"]), ["GPL-3.0-or-later"]),
+            (wrapped("// ", gnu), ["LGPL-2.1-or-later"]), (wrapped("", s["bsd.grant"], "1. " + s["bsd.source"], "2. " + s["bsd.binary"]), ["BSD-2-Clause"]),
+            (wrapped("  ", s["bsd.grant"], "1. " + s["bsd.source"], "2. " + s["bsd.binary"], "3. " + bsd3), ["BSD-3-Clause"]),
+            (wrapped("; ", s["isc.grant"], width=50), ["ISC"]), (wrapped("", s["unlicense.grant"], width=40), ["Unlicense"]),
+            (wrapped("-- ", s["mpl2.notice"], width=40), ["MPL-2.0"]), ("This file is released under the MIT License.", ["MIT"]),
+            ("Text before. It is licensed under the terms of the GNU General Public License, version 2.", ["GPL-2.0"]),
+            ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+            ("License: MIT", ["MIT"]), ("// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR MIT\nint a;", ["GPL-2.0-only", "MIT"]),
+            ("Mein Hund kam mit.", []), ("The code was never released under the MIT License.", []), ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991", ["GPL-2.0"])]
+    got = {r.doc_id: r.licences for r in licenses.recognise(docs(spark, [(i, t) for i, (t, _) in enumerate(rows)])).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(rows)}
+
+
 HTML = """<html><head><title>T</title></head><body><header><a href=x>home</a></header><div class="cookie-notice">We use cookies here, as you
 may well know by now.</div><main><h1>Title</h1><p>First  para, <b>bold</b> &eacute;&#8217;s &lt;x&gt;.<ul><li>one item</ul>
 <div class="ad">Buy now this thing today.</div><p>Second para with words in it.<form><label>Name</label></form></main>
