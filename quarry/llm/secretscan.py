@@ -9,6 +9,7 @@ two applies the thresholds row by row. Nothing is grouped by document.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,21 +27,27 @@ KINDS = ("assign", "access", "hex", "random")
 #: Alphabets of the inferred encodings; a symbol's place in the string is its value.
 ALPHABETS = {
     "hex": "0123456789abcdef",
+    "hex upper": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "base36 upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
+#: Letters of European prose by falling frequency, in per mille; words have high ones, random letters have not.
+LETTERS = {c: n for c, n in zip("etaoinsrhldcumfpgwybvkxjqz", (127, 91, 82, 75, 70, 67, 63, 60, 61, 40, 43, 28, 28, 24, 22, 19, 20, 24, 20, 15, 10, 8, 2, 2, 1, 1))}
 #: p-values are counted in this many equal bins of -log10 p, up to 10 ** -(BINS / PER_DECADE).
 BINS, PER_DECADE = 400, 20
 
 
 @dataclass(frozen=True)
 class Battery:
-    """``min_len``: shortest token tested, as shorter ones give the tests no power.
+    """``min_len``: shortest token or part of one that is tested, as shorter ones give the tests no power.
     ``lengths``: lower ends of the length classes. ``fdr``: share of false
     rejections allowed in each class."""
 
-    min_len: int = 24
-    lengths: tuple[int, ...] = (24, 32, 48, 80)
+    min_len: int = 16
+    lengths: tuple[int, ...] = (16, 24, 32, 48, 80)
     fdr: float = 0.05
 
 
@@ -75,27 +82,41 @@ def chi2_tail(x: Column, df: Column) -> Column:
 
 
 def _encoding(value: Column) -> Column:
-    """The encoding a token's characters allow, or null: letters and digits must both occur, in base64 both cases."""
+    """The encoding a token's characters allow, or null: letters and digits must both occur, in base62 and base64 both cases."""
     both = value.rlike("[0-9]")
     return (F.when(value.rlike("^[0-9a-f]+$") & both & value.rlike("[a-f]"), F.lit("hex"))
+            .when(value.rlike("^[0-9A-F]+$") & both & value.rlike("[A-F]"), F.lit("hex upper"))
             .when(value.rlike("^[A-Z2-7]+=*$") & both & value.rlike("[A-Z]"), F.lit("base32"))
+            .when(value.rlike("^[0-9a-z]+$") & both & value.rlike("[a-z]"), F.lit("base36"))
+            .when(value.rlike("^[0-9A-Z]+$") & both & value.rlike("[A-Z]"), F.lit("base36 upper"))
+            .when(value.rlike("^[0-9A-Za-z]+$") & both & value.rlike("[a-z]") & value.rlike("[A-Z]"), F.lit("base62"))
             .when(both & value.rlike("[a-z]") & value.rlike("[A-Z]"), F.lit("base64")))
 
 
 def tested(value: Column, battery: Battery) -> Column:
     """struct<encoding, cls, bin> of one token: its length class and the bin of
-    -log10 of the combined p-value of three tests of uniform randomness.
+    -log10 of the combined p-value of four tests of uniform randomness.
 
     - chi-squared of the symbol counts against equal frequencies;
     - number of runs of values below and above the middle of the alphabet;
-    - correlation of neighbouring values.
-    The squares of the three normal scores (the first only when the counts
-    are too uneven) add up to a statistic with three degrees of freedom."""
+    - correlation of neighbouring values;
+    - mean frequency of the letters in prose, where the alphabet has all letters.
+    The squares of the normal scores (the first only when the counts are too
+    uneven, the last only when the letters are too frequent) add up to a
+    statistic with three degrees of freedom, or four with the last one."""
     enc = _encoding(value)
     body = F.regexp_replace(F.translate(value, "-_", "+/"), "=+$", "")
     alphabet = F.coalesce(*[F.when(enc == k, F.lit(v)) for k, v in ALPHABETS.items()])
     values = F.transform(F.split(body, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
 
+    logs = {c: math.log(n) for c, n in LETTERS.items()}
+    middle = sum(logs.values()) / 26
+    spread = math.sqrt(sum((v - middle) ** 2 for v in logs.values()) / 26)
+    rank = F.create_map(*[F.lit(v) for c, n in logs.items() for v in (c, (n - middle) / spread)])
+    letters = F.split(F.regexp_replace(F.lower(body), "[^a-z]+", ""), "")
+    words = F.when(enc.startswith("hex"), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.aggregate(
+        letters, F.lit(0.0), lambda acc, c: acc + F.coalesce(F.element_at(rank, c), F.lit(0.0))) / F.sqrt(F.size(letters))))
+
     def measured(x):
         size, n = F.length(alphabet).cast("double"), F.size(x).cast("double")
         counts = F.transform(F.array_distinct(x), lambda a: F.size(F.filter(x, lambda b: a == b)).cast("double"))
@@ -117,7 +138,8 @@ def tested(value: Column, battery: Battery) -> Column:
         return F.struct(F.greatest(z_chi, F.lit(0.0)).alias("c"), z_runs.alias("r"), z_serial.alias("s"))
 
     scores = F.transform(F.array(values), measured)
-    p = F.get(F.transform(scores, lambda z: chi2_tail(z["c"] * z["c"] + z["r"] * z["r"] + z["s"] * z["s"], F.lit(3.0))), 0)
+    p = F.get(F.transform(scores, lambda z: chi2_tail(z["c"] * z["c"] + z["r"] * z["r"] + z["s"] * z["s"] + words * words,
+                                                       F.when(enc.startswith("hex"), 3.0).otherwise(4.0))), 0)
     cls = F.lit(0)
     for i, low_end in enumerate(battery.lengths):
         cls = F.when(F.length(value) >= low_end, F.lit(i)).otherwise(cls)
@@ -125,13 +147,24 @@ def tested(value: Column, battery: Battery) -> Column:
     return F.when(enc.isNotNull(), F.struct(enc.alias("encoding"), cls.alias("cls"), bin_no.alias("bin")))
 
 
+def _parts(token: Column, min_len: int) -> Column:
+    """The parts of a token between / - _ that have ``min_len`` characters, as spans; none of a token without these marks."""
+    pieces = F.split(token["value"], "[/_-]", -1)
+    placed = F.transform(pieces, lambda p, i: F.struct(
+        (token["start"] + i + F.length(F.array_join(F.slice(pieces, F.lit(1), i), ""))).alias("start"), token["kind"].alias("kind"),
+        (token["start"] + i + F.length(F.array_join(F.slice(pieces, F.lit(1), i + 1), ""))).alias("stop"), p.alias("value")))
+    none = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,value:string>>")
+    return F.when(token["value"].rlike("[/_-]"), F.filter(placed, lambda p: F.length(p["value"]) >= min_len)).otherwise(none)
+
+
 def _scan(df: DataFrame, battery: Battery) -> DataFrame:
     """Add ``base`` and ``tokens`` (spans; tokens with ``test``) to rows with ``_text``; other columns stay."""
     text, others = F.col("_text"), [c for c in df.columns]
     assign = F.filter(_spans(text, ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 8)
     long = _spans(text, rf"[A-Za-z0-9+/_-]{{{battery.min_len},}}={{0,2}}", 3)
     df = df.select(*others, F.array_sort(F.concat(
-        assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2))).alias("base"), long.alias("_long"))
+        assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2))).alias("base"), F.flatten(F.transform(long, lambda t: F.concat(
+            F.array(t), _parts(t, battery.min_len)))).alias("_long"))
     free = F.filter("_long", lambda t: ~F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
     df = df.withColumn("_free", free)
     judged = F.transform("_free", lambda t: F.struct(
@@ -165,7 +198,10 @@ def _accepted(cuts: dict[int, int]) -> Column:
 
     extra = F.transform(F.filter("tokens", random), lambda t: F.struct(
         t["start"].alias("start"), t["kind"].alias("kind"), t["stop"].alias("stop"), t["value"].alias("value")))
-    return F.array_sort(F.concat("base", extra))
+    # parts of an accepted token stand in its span
+    outer = F.filter(extra, lambda t: ~F.exists(extra, lambda o: (o["start"] <= t["start"]) & (t["stop"] <= o["stop"])
+                                                & ((o["start"] < t["start"]) | (t["stop"] < o["stop"]))))
+    return F.array_sort(F.concat("base", outer))
 
 
 def _cuts(scanned: DataFrame, battery: Battery) -> dict[int, int]:
@@ -177,8 +213,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batter
     """One row per input row: ``doc_id, base, spans`` as arrays of
     ``struct<start, kind, stop, value>`` ordered by start, then kind.
 
-    ``base`` holds the pattern matches, ``spans`` those and the tokens the
-    battery takes for random. Null or empty text: empty arrays. Null and
+    ``base`` holds the pattern matches, ``spans`` those and the tokens, or parts
+    of them between / - _, that the battery takes for random. Null or empty text: empty arrays. Null and
     repeated ids stay as they are; other input columns are not carried."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     scanned = _scan(docs.select(F.col(id_col).alias("doc_id"), text.alias("_text")), battery).drop("_text")

@@ -185,6 +185,23 @@ def test_secret_spans_against_regular_expressions(spark):
     assert secretscan.find(docs(spark, [])).count() == 0
 
 
+def test_secret_spans_of_all_encodings_parts_and_short_tokens(spark):
+    random.seed(11)
+    draw = lambda k, n: "".join(random.choice(secretscan.ALPHABETS[k]) for _ in range(n))
+    rows, n = [], 40
+    for k, size in (("base36", 40), ("hex upper", 40), ("base36 upper", 40), ("base62", 32), ("base62", 20)):
+        rows += [(len(rows) + i, "see " + draw(k, size) + " there") for i in range(n)]
+    start = len(rows)
+    rows += [(start + i, "at services/hooks/incoming/v1/" + draw("base62", 32)) for i in range(n)]
+    start = len(rows)
+    rows += [(start + i, f"internationalisation{i % 7} thePreparationOfInternationalDinners{i % 9} in some/ordinary/place-of-interest{i}") for i in range(n)]
+    got = {r.doc_id: r.spans for r in secretscan.find(docs(spark, rows)).collect()}
+    for low in range(0, start, n):
+        assert sum(any(s.kind == 3 for s in got[i]) for i in range(low, low + n)) >= 0.9 * n, low
+    assert all(s.value in rows[i][1] and rows[i][1][s.start:s.stop] == s.value for i in got for s in got[i])
+    assert sum(any(s.kind == 3 for s in got[i]) for i in range(start, start + n)) <= 0.1 * n
+
+
 def test_running_sums(spark):
     from pyspark.sql import functions as F
 
