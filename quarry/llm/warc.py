@@ -103,26 +103,44 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
 
 
 def _records(pieces: Iterable[tuple[str, bytes]]) -> Iterator[tuple[str, int, dict[str, str], bytes]]:
-    """(file, number, headers, block) from the pieces between separators, in file order."""
+    """(file, number, headers, block) from the pieces between separators, in file order.
+
+    Bytes beyond a block's Content-Length and the separator, which are there if
+    the block ends with a line break, start the next record's head."""
     end = _END.encode()
-    file, number, head, block, size = None, 0, None, [], 0
+    file, number, head, block, size, have = None, 0, None, [], 0, 0
+
+    def opened(piece):
+        lines = piece.decode("utf-8").split("\r\n")
+        if not lines[0].startswith("WARC/"):
+            raise ValueError(f"{file}: record {number} has no version line")
+        fields = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
+        if not fields.get("Content-Length", "").isdigit():
+            raise ValueError(f"{file}: the head of record {number} is cut")
+        return fields, int(fields["Content-Length"])
+
     for path, piece in pieces:
         if path != file:
             if head is not None:
                 raise ValueError(f"{file}: the last record is cut")
             file, number = path, 0
         if head is None:
-            lines = piece.decode("utf-8").split("\r\n")
-            if not lines[0].startswith("WARC/"):
-                raise ValueError(f"{file}: record {number} has no version line")
-            head = dict(x.split(": ", 1) for x in lines[1:])
-            block, size = [], int(head["Content-Length"])
+            head, size = opened(piece)
+            block, have = [], -len(end)
             continue
         block.append(piece)
-        have = sum(map(len, block)) + len(end) * (len(block) - 1)
+        have += len(end) + len(piece)
         if have >= size:
-            yield file, number, head, end.join(block)[:size]
-            number, head = number + 1, None
+            whole = end.join(block)
+            yield file, number, head, whole[:size]
+            number, head, rest = number + 1, None, whole[size:]
+            if rest and not rest.startswith(end):
+                raise ValueError(f"{file}: record {number - 1} is longer than its Content-Length")
+            if len(rest) > len(end):
+                head, size = opened(rest[len(end):])
+                block, have = [], -len(end)
+    if head is not None:
+        raise ValueError(f"{file}: the last record is cut")
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -149,7 +167,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
             yield _captures(rows)
 
     found = raw.mapInArrow(run, _CAPTURE.removeprefix("url_key string, "))
-    return found.withColumn("url_key", url_key(F.col("url"))).select(*[c.split()[0] for c in _CAPTURE.split(", ")])
+    found = found.withColumn("url_key", url_key(F.col("url"))).select(*[c.split()[0] for c in _CAPTURE.split(", ")])
+    return found.sortWithinPartitions("file", "url_key", "ts", "page_id", "record")
 
 
 def _page(urn: str | None) -> int | None:

@@ -285,6 +285,31 @@ def test_warc_round_trip(spark):
     assert warc.capture_index(pages(spark, [])).count() == 0
 
 
+def test_warc_payloads_that_end_with_line_breaks(spark):
+    bodies = ["abc\r\n", "\r\n", "x\r\n\r\n\r\n", "y\r", "z\n", "\r\n\r", "end", "w\r\n"]
+    rows = [(i, f"http://x.org/{9 - i}", b) for i, b in enumerate(bodies)]
+    folder = warc.write_archives(pages(spark, rows).coalesce(1))
+    runs = warc.read_archives(spark, folder).collect()
+    assert {r.page_id: r.payload_bytes for r in runs} == {i: len(b) for i, b in enumerate(bodies)}
+    assert [r.url_key for r in runs] == sorted(r.url_key for r in runs)
+    assert warc.merge_runs(warc.read_archives(spark, folder)).count() == len(rows)
+
+
+def test_cut_warc_records_are_errors():
+    def record(body):
+        return b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+
+    def read(raw):
+        pieces = raw.split(b"\r\n\r\n")
+        return [x[3] for x in warc._records(("f", p) for p in (pieces if pieces[-1] else pieces[:-1]))]
+
+    raw = record(b"abc\r\n") + record(b"d\r\n\r\ne") + record(b"\r\n")
+    assert read(raw) == [b"abc\r\n", b"d\r\n\r\ne", b"\r\n"]
+    for cut in (12, 35, 60, len(raw) - 8):
+        with pytest.raises(ValueError):
+            read(raw[:cut])
+
+
 def test_reputation_and_rules(spark):
     rows = [(i, f"http://bad.site.com/{i}", "") for i in range(40)] + [(100 + i, f"http://good{i % 9}.org/{i}", "") for i in range(60)]
     rows += [(200, None, None), (201, "nohost", ""), (202, "https://EN.Example.net/en/x?q#f", ""), (203, "http://example.net", ""), (202, "http://a.org/fr/", "")]
