@@ -16,7 +16,7 @@ from quarry.llm.common import SPACE, settled
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
-#: Phrases of page furniture; a short line holding one is boilerplate.
+#: Phrases of page furniture; a short line holding one as words of its own is boilerplate, if it is no sentence.
 BOILERPLATE = (
     "all rights reserved", "cookie", "javascript", "lorem ipsum", "privacy policy", "terms of use",
     "terms of service", "subscribe", "sign up", "sign in", "log in", "click here", "read more", "share this",
@@ -28,7 +28,8 @@ BOILERPLATE = (
 class LineRules:
     """Parameters of the rules; a line fails if any rule applies.
 
-    - boilerplate: at most ``boilerplate_words`` words and a furniture phrase;
+    - boilerplate: at most ``boilerplate_words`` words and a furniture phrase, but no sentence: ``sentence_words``
+      words or more, the last one with . ! ? or ellipsis;
     - navigation: at least ``min_separators`` of ``| > » › • ·`` and one or more per ``words_per_separator`` words;
     - punctuation: more than ``max_mark_pct`` per cent of its non-space characters are neither letter nor
       digit (in a line of at least ``mark_chars`` of them), or it has fewer than ``fragment_words`` words
@@ -37,6 +38,7 @@ class LineRules:
     """
 
     boilerplate_words: int = 12
+    sentence_words: int = 5
     min_separators: int = 3
     words_per_separator: int = 3
     max_mark_pct: int = 20
@@ -54,23 +56,24 @@ def words_of(text: Column) -> Column:
 def good_lines(lines: Column, rules: LineRules) -> Column:
     """The lines that no rule fails; lines without a word always stay.
 
-    The counts that rules share are taken once per line. A line's words are
-    counted as its spaces plus one, its marks are ASCII punctuation."""
+    The counts that rules share are taken once per line. A line's marks are
+    ASCII punctuation."""
+    phrase = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(BOILERPLATE)})(?:s|d|rs?)?(?![\p{{L}}\p{{N}}])"
     measured = F.transform(lines, lambda x: F.struct(
         x.alias("line"),
-        F.length(x).alias("n"),
+        F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).alias("n"),
         F.length(F.replace(x, F.lit(" "), F.lit(""))).alias("solid"),
         F.length(F.regexp_replace(x, r"[^!-/:-@\[-`{-~]+", "")).alias("marks"),
         F.length(F.regexp_replace(x, "[^|>»›•·]+", "")).alias("seps")))
 
     def passes(m):
-        n_words = m["n"] - m["solid"] + 1
+        n_words = m["n"]
         closed = m["line"].rlike("[.!?…:;,。！？][\"'»”’)\\]]*" + SPACE + "*$")
-        worded = m["line"].rlike(r"[^\x20\x09-\x0D]")
-        boiler = (n_words <= rules.boilerplate_words) & F.lower(m["line"]).rlike("|".join(BOILERPLATE))
+        sentence = (n_words >= rules.sentence_words) & m["line"].rlike("[.!?…。！？][\"'»”’)\\]]*" + SPACE + "*$")
+        boiler = (n_words <= rules.boilerplate_words) & F.lower(m["line"]).rlike(phrase) & ~sentence
         nav = (m["seps"] >= rules.min_separators) & (m["seps"] * rules.words_per_separator >= n_words)
         marked = (m["solid"] >= rules.mark_chars) & (m["marks"] * 100 > m["solid"] * rules.max_mark_pct)
-        fragment = (n_words < rules.fragment_words) & ~closed & worded
+        fragment = (n_words < rules.fragment_words) & ~closed & (n_words > 0)
         return ~(nav | marked | boiler | fragment)
 
     return F.transform(F.filter(measured, passes), lambda m: m["line"])

@@ -40,6 +40,17 @@ def test_quality_counts_and_edges(spark):
     assert kept.columns == docs(spark, []).columns and {r.doc_id for r in kept.collect()} == {1, 2, None, 7, 8}
 
 
+def test_line_words_and_phrases(spark):
+    tabbed = "\n".join("\t".join(f"w{i}x{j}" for j in range(8)) for i in range(20))
+    said = "Her blog in 2012 won a prize.\nThe design in oak was admired by all.\nShe baked cookies for the whole class on Monday."
+    fat = "    " * 4 + "Sign up for our newsletter today"
+    gaps = "read" + " " * 14 + "more"
+    rows = [(1, tabbed), (2, PROSE + "\n" + said), (3, PROSE + "\n" + fat), (4, PROSE + "\n" + gaps), (5, PROSE + "\nWe use cookies\nAll rights reserved.")]
+    got = {r.doc_id: r for r in quality.judge(docs(spark, rows)).collect()}
+    assert got[1].kept and got[1].clean_text == tabbed and got[2].clean_text == rows[1][1]
+    assert all(got[i].clean_text == PROSE for i in (3, 4, 5))
+
+
 def test_repeat_words_many_windows(spark):
     random.seed(3)
     text = " ".join(random.choice("abcde") for _ in range(900))
