@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,6 +27,8 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul "
     "caption".split())
+#: Silent elements that no block element can stand in, save in one of these.
+BLOCKLESS = {"select": set(), "svg": {"foreignobject", "desc", "title"}, "math": {"annotation-xml"}}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Opening one of these closes an open element of the set it names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -98,7 +100,14 @@ class _Builder:
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in page order. Unclosed, misnested and cut markup is taken as it comes."""
     out, stack, number, at, links = _Builder(), [], 0, 0, 0
-    silent = None
+    silent, inside, ends = None, Counter(), {}
+
+    def closes(tag):
+        """Whether the tag's element is closed further on."""
+        if ends.get(tag, at) <= at:
+            found = re.compile(rf"</{tag}\b", re.I).search(page, at)
+            ends[tag] = found.end() if found else len(page) + 1
+        return ends[tag] <= len(page)
 
     def words(text):
         if text and silent is None:
@@ -115,9 +124,27 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if silent is not None:
-            if m[1] and tag == silent:
-                silent = None
-            continue
+            # silence ends with its element, with one around it, or at a tag that cannot stand inside
+            if m[1]:
+                if inside[tag]:
+                    inside[tag] -= 1
+                    continue
+                if tag == silent:
+                    silent = None
+                    continue
+                if not (any(e.tag == tag for e in stack) or tag == "a" and links):
+                    continue
+            elif silent == "option":
+                if tag in ("option", "optgroup"):
+                    continue
+            elif tag not in BLOCK or tag == "hr" or silent not in BLOCKLESS or any(inside[x] for x in BLOCKLESS[silent]):
+                if tag in ("script", "style"):
+                    close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    at = close.end() if close else at
+                elif tag not in VOID and not m[3].rstrip().endswith("/"):
+                    inside[tag] += 1
+                continue
+            silent = None
         if tag in BLOCK:
             out.end(stack)
         if m[1]:
@@ -134,7 +161,9 @@ def blocks_of(page: str) -> list[Block]:
                 close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = close.end() if close else len(page)
             else:
-                silent = None if tag == "head" else tag
+                # the fallback of an object may be any blocks, so one that is never closed has none
+                silent = None if tag == "head" or tag == "object" and not closes(tag) else tag
+                inside.clear()
             continue
         if tag in VOID or own_end:
             if tag in ("br", "wbr", "img"):

@@ -384,6 +384,17 @@ def test_extraction(spark):
     assert got[2, None].text == "" and got[None, "w"].n_chars == 52 and mincut.extract(pages(spark, [])).count() == 0
 
 
+def test_silence_ends_with_what_is_around_it():
+    article = "<article><h1>Title</h1><p>A paragraph of text that is long enough, to stay in.</p></article>"
+    want = "Title\nA paragraph of text that is long enough, to stay in."
+    for before in ("<datalist id=d><option value=a><option value=b></datalist>", "<datalist><option>Alpha one<option>Beta two", "<div><svg><path d=x></div>",
+                   "<svg viewBox=x><path d=x><title>Sun</title>", "<div><object data=x><param name=y></div>", "<object data=x><param name=y>",
+                   "<select><option>One<option>Two", "<div><math><mi>x</div>", "<object><object><p>no</object><div>no</div></object>",
+                   "<svg><foreignObject><div>no</div></foreignObject><text>no</text></svg>", "<select><option>One<optgroup><option>no</select>",
+                   "<svg><style>a{}</style><g><a>no</a></g></svg>"):
+        assert mincut.main_text(f"<html><body>{before}{article}</body></html>") == want, before
+
+
 def test_cut_is_minimal():
     random.seed(4)
     for _ in range(60):
