@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, licenses, mincut, minhash, quality, secretscan, tokenfile, urlrep, warc
+from quarry.llm import (bpe, decontam, divergence, interplay, licenses, mincut, minhash, quality, secretscan, tokenfile, toxicity, urlrep,
+                        warc)
 from quarry.llm.common import read_table
 
 #: Vocabularies of the queries.
@@ -81,9 +82,23 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secretscan.named(F.col("spans")).alias("spans"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_interplay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interplay.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_noisy_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, read_table(spark, sf_dir, "labels")))
+
+
 SPARK = {f.__name__: f for f in (
     op1_mincut_text, op2_template_leaks, op3_warc_index, op4_host_reputation, op5_license_rules, op6_minhash_components,
-    op7_byte_bpe, op8_line_quality, op9_token_files, op10_secret_spans)}
+    op7_byte_bpe, op8_line_quality, op9_token_files, op10_secret_spans, op11_source_divergence, op12_filter_interplay,
+    op13_noisy_toxicity)}
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -204,9 +219,74 @@ FROM b
 """
 
 
+_DIVERGENCE_SQL = rf"""
+WITH r AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+x AS (SELECT rid, lang, source, unnest(terms) AS term FROM r),
+k AS (SELECT lang, term, count(*) AS total FROM x GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM r),
+c AS (SELECT x.lang, x.source, x.term, count(*) AS n FROM x JOIN k ON x.lang = k.lang AND x.term = k.term GROUP BY 1, 2, 3),
+gn AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY 1, 2),
+p AS (
+  SELECT gn.lang, gn.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2)) // (gn.n + 2 * v.v) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (k.total + 2)) // (v.n + 2 * v.v) AS q
+  FROM gn JOIN v ON gn.lang = v.lang JOIN k ON gn.lang = k.lang
+  LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = k.term),
+pp AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(pp.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pp ON pp.lang = a.lang AND pp.source = a.source AND pp.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+_INTERPLAY_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+low AS (SELECT t, min(doc_id) AS first_id FROM t GROUP BY t),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t.t, '[^A-Z]+', '', 'g')) > 10 * length(t.t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t.t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN low.first_id < t.doc_id THEN 'E' ELSE '' END AS fails
+  FROM t JOIN low ON t.t = low.t LEFT JOIN lab ON lab.doc_id = t.doc_id),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a JOIN l b ON b.x <> a.x JOIN l c ON c.x NOT IN (a.x, b.x)
+  JOIN l d ON d.x NOT IN (a.x, b.x, c.x) JOIN l e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS filter, substr(filter_order, 1, step - 1) AS before FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+m AS (
+  SELECT part, filter_order, step, filter, n, good, toxic, contains(fails, filter) AS hit, fails = filter AS only_hit,
+         before <> '' AND regexp_matches(fails, '[' || before || 'x]') AS gone FROM c, s),
+r AS (
+  SELECT part, filter_order, step, filter, sum(CASE WHEN gone OR hit THEN 0 ELSE n END) AS kept, sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN only_hit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM m GROUP BY part, filter_order, step, filter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM r
+"""
+
 SQL = {
     "op3_warc_index": _WARC_SQL,
     "op4_host_reputation": _url_sql(),
     "op6_minhash_components": _NEAR_SQL,
     "op8_line_quality": _quality_sql(),
+    "op11_source_divergence": _DIVERGENCE_SQL,
+    "op12_filter_interplay": _INTERPLAY_SQL,
 }
