@@ -28,9 +28,28 @@ from quarry.llm.pretoken import splitter
 #: Numbers of the public frame and seekable layouts; fixed values.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 IDS_FRAME = 0x184D2A50
-#: Words whose ids a worker remembers between documents.
+#: Words whose ids a worker remembers, twice: those of late, and those of the time before.
 MEMO = 400_000
-_MANIFEST = "part int, file string, n_docs bigint, n_tokens bigint"
+#: Bytes of text per file.
+FILE_BYTES = 256 << 20
+_MANIFEST = "part int, file string, n_docs bigint, n_tokens bigint, width int"
+
+
+class Words(dict):
+    """Ids by word. A word not met before is encoded; when the table is full it becomes the one before, from which words come back."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most, self.before = encode, most, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
 
 class WordEncoder:
@@ -43,30 +62,29 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.split, self.model, self.memo = splitter(pattern), self.whole.model, {}
-        self.width = "<u2" if self.whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        self.split, self.tokenize = splitter(pattern), self.whole.model.tokenize
+        self.width = np.dtype("<u2" if self.whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.words = Words(self.word, MEMO)
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         # bytes that are no printable Latin-1 character take the code points from U+0100 on, in order
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: 256 + i for i, b in enumerate(hidden)}
+        self.blank = chr(self.letters[0x20])
 
     def word(self, w: str) -> bytes:
-        spelled = w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(spelled)], self.width).tobytes()
+        if w.isascii() and w.isprintable():
+            spelled = w.replace(" ", self.blank)
+        else:
+            spelled = w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenize(spelled)], self.width).tobytes()
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes()
-        memo, words = self.memo, self.split(text)
-        if len(memo) > MEMO:
-            memo.clear()
-        for w in words:
-            if w not in memo:
-                memo[w] = self.word(w)
-        return b"".join([memo[w] for w in words])
+        return b"".join(map(self.words.__getitem__, self.split(text)))
 
 
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
@@ -79,17 +97,17 @@ def _encoder(path: str, pattern: str) -> WordEncoder:
     return _ENCODERS[path, pattern]
 
 
-def write_file(out, docs: Iterable[tuple[int | None, bytes]], width: str) -> tuple[int, int]:
-    """Write (doc_id, ids) in the given order; returns the numbers of documents and ids."""
+def write_file(out, docs: Iterable[tuple[int | None, bytes]], width: int) -> tuple[int, int]:
+    """Write (doc_id, ids of ``width`` bytes each) in the given order; returns the numbers of documents and ids."""
     press, table, names, tokens = zstandard.ZstdCompressor(level=3), [], [], 0
     for name, ids in docs:
         frame = press.compress(ids)
         out.write(frame)
         table.append(struct.pack("<III", len(frame), len(ids), xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF))
         names.append(name)
-        tokens += len(ids) // int(width[-1])
+        tokens += len(ids) // width
     known = bytes(n is not None for n in names)
-    body = known + np.array([n or 0 for n in names], "<i8").tobytes()
+    body = bytes([width]) + known + np.array([n or 0 for n in names], "<i8").tobytes()
     out.write(struct.pack("<II", IDS_FRAME, len(body)) + body)
     body = b"".join(table) + struct.pack("<IBI", len(table), 0x80, SEEKABLE)
     out.write(struct.pack("<II", SKIPPABLE, len(body)) + body)
@@ -109,8 +127,8 @@ class Reader:
         rows = np.frombuffer(file.read_at(12 * n, at), "<u4").reshape(n, 3).astype(np.int64)
         self.sizes, self.checks = rows[:, 0], rows[:, 2]
         self.ends = np.cumsum(self.sizes)
-        body = file.read_at(9 * n, at - 8 - 9 * n)
-        known, names = body[:n], np.frombuffer(body[n:], "<i8").tolist()
+        body = file.read_at(1 + 9 * n, at - 9 - 9 * n)
+        self.width, known, names = body[0], body[1:1 + n], np.frombuffer(body[1 + n:], "<i8").tolist()
         self.names = [v if k else None for k, v in zip(known, names)]
 
     def __len__(self) -> int:
@@ -126,15 +144,16 @@ class Reader:
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int = 0, id_col: str = "doc_id",
                  text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """Write token files and return their manifest: ``part, file, n_docs, n_tokens``.
+    """Write token files and return their manifest: ``part, file, n_docs, n_tokens, width`` (bytes of an id).
 
-    Files cover ascending ranges of doc_id; ``part`` orders them. Nulls in
+    Files cover ascending ranges of doc_id, about FILE_BYTES of text each when there are more than shuffle partitions; ``part`` orders them. Nulls in
     the id column come first. Rows with equal ids stand in the order of
     their texts' hashes, each with its own frame. A null or empty text is
     the end id alone. Other columns are not read. An empty table gives
     files without documents."""
     folder = folder or new_path(docs.sparkSession, "tokens")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // FILE_BYTES))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.withColumn("_tie", F.xxhash64("text"))
     ordered = texts.repartitionByRange(n, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
@@ -148,16 +167,17 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int
         pairs = ((name, encode(text) + end) for b in batches for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         name = f"tokens-{part:06d}.zst"
         with Replacing(folder, name) as out:
-            n_docs, n_tokens = write_file(out, pairs, encode.width)
+            n_docs, n_tokens = write_file(out, pairs, encode.width.itemsize)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([f"{folder}/{name}"]), pa.array([n_docs], pa.int64()),
-                                          pa.array([n_tokens], pa.int64())], names=["part", "file", "n_docs", "n_tokens"])
+                                          pa.array([n_tokens], pa.int64()), pa.array([encode.width.itemsize], pa.int32())],
+                                         names=["part", "file", "n_docs", "n_tokens", "width"])
 
     return written(ordered.select("doc_id", "text").mapInArrow(run, _MANIFEST), "token-manifest")
 
 
-def read_tokens(manifest: DataFrame, width: int = 2) -> DataFrame:
-    """One row per document of the files: ``doc_id, start, n_tokens, ids`` (bytes as stored);
-    ``start`` counts the ids of all documents before it."""
+def read_tokens(manifest: DataFrame) -> DataFrame:
+    """One row per document of the files: ``doc_id, start, n_tokens, ids`` (bytes as stored), ``width`` (bytes of an id, which
+    each file tells); ``start`` counts the ids of all documents before it."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file, not per document
     files = written(manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).select("file", "start"), "token-files")
@@ -170,23 +190,24 @@ def read_tokens(manifest: DataFrame, width: int = 2) -> DataFrame:
                     reader = Reader(f)
                     for low in range(0, len(reader), 256):
                         ids = [reader.ids(i) for i in range(low, min(low + 256, len(reader)))]
-                        sizes = np.array([len(x) // width for x in ids], np.int64)
+                        sizes = np.array([len(x) // reader.width for x in ids], np.int64)
                         starts = start + np.cumsum(sizes) - sizes
                         start += int(sizes.sum())
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(reader.names[low:low + len(ids)], pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
-                             pa.array(ids, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                             pa.array(ids, pa.binary()), pa.array([reader.width] * len(ids), pa.int32())],
+                            names=["doc_id", "start", "n_tokens", "ids", "width"])
 
-    return files.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return files.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary, width int")
 
 
-def checksums(tokens: DataFrame, width: int = 2) -> DataFrame:
+def checksums(tokens: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` over the ids as unsigned 32-bit little-endian numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
         for b in batches:
-            crc = [zlib.crc32(np.frombuffer(x, f"<u{width}").astype("<u4").tobytes()) for x in b.column(3).to_pylist()]
+            crc = [zlib.crc32(np.frombuffer(x, f"<u{w}").astype("<u4").tobytes()) for x, w in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return tokens.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

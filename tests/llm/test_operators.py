@@ -179,6 +179,12 @@ def plain_spans(text):
     return sorted(out)
 
 
+def test_plan_of_the_secret_scan_is_small(spark):
+    scan = secretscan._scan(docs(spark, [(1, "x")]).selectExpr("doc_id", "text AS _text"), secretscan.Battery())
+    plan = scan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") < 60 and len(plan) < 60_000
+
+
 def test_secret_spans_against_regular_expressions(spark):
     random.seed(1)
     hexed = "".join(random.choice("0123456789abcdef") for _ in range(40))
@@ -254,11 +260,33 @@ def test_token_files_equal_the_library(spark):
     assert tokenfile.read_tokens(tokenfile.write_tokens(docs(spark, []), catalog.TOKENIZER, public_tokenizers.PATTERN)).count() == 0
 
 
+def test_token_files_of_a_wide_vocabulary(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = pre_tokenizers.ByteLevel.alphabet()
+    vocab = {f"filler{i}": i for i in range(70_000)} | {c: 70_000 + i for i, c in enumerate(sorted(letters))}
+    tok = Tokenizer(models.BPE(vocab=vocab, merges=[]))
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tok.save(f"{tmp_path}/wide.json")
+    manifest = tokenfile.write_tokens(docs(spark, [(1, "a wide text"), (2, "é\n"), (3, None)]), f"{tmp_path}/wide.json", public_tokenizers.PATTERN)
+    assert {r.width for r in manifest.collect()} == {4}
+    for r in tokenfile.checksums(tokenfile.read_tokens(manifest)).collect():
+        ids = tok.encode({1: "a wide text", 2: "é\n", 3: ""}[r.doc_id], add_special_tokens=False).ids + [0]
+        assert min(ids[:-1], default=70_000) >= 70_000 and (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_word_table_keeps_the_words_of_late():
+    asked = []
+    words = tokenfile.Words(lambda w: asked.append(w) or w.encode(), 2)
+    assert [words[w] for w in "abcabdb"] == [w.encode() for w in "abcabdb"] and len(words) <= 2
+    assert asked.count("b") == 1
+
+
 def test_reader_takes_single_documents_and_finds_damage(tmp_path):
     from quarry.llm.files import Replacing, opened
 
     with Replacing(str(tmp_path), "f") as out:
-        tokenfile.write_file(out, [(1, b"ab" * 50), (None, b""), (3, b"cd")], "<u2")
+        tokenfile.write_file(out, [(1, b"ab" * 50), (None, b""), (3, b"cd")], 2)
     reader = tokenfile.Reader(opened(f"{tmp_path}/f"))
     assert reader.names == [1, None, 3] and reader.ids(2) == b"cd" and reader.ids(1) == b""
     raw = bytearray((tmp_path / "f").read_bytes())
