@@ -71,6 +71,11 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, b
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once and stands in the plan once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def running_sums(values: Column, chunk: int = 256) -> Column:
     """Inclusive prefix sums of an int array, built chunk by chunk so that
     the work stays near linear in the array's length."""
@@ -81,12 +86,15 @@ def running_sums(values: Column, chunk: int = 256) -> Column:
             lambda acc: acc["a"])
 
     zero = F.lit(0).cast("bigint")
-    n = F.size(values)
-    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((n - 1) / chunk), F.lit(0)).cast("int")),
-                         lambda i: F.slice(values, i * chunk + 1, chunk))
-    local = F.transform(pieces, lambda xs: grow(zero, xs))
-    # totals of the chunks before each one
-    ends = grow(zero, F.transform(pieces, lambda xs: F.aggregate(xs, zero, lambda a, x: a + x)))
-    starts = F.slice(F.concat(F.array(zero), ends), F.lit(1), F.size(ends))
-    summed = F.flatten(F.zip_with(local, starts, lambda xs, s: F.transform(xs, lambda x: x + s)))
-    return F.when(n > 0, summed).otherwise(F.array().cast("array<bigint>"))
+
+    def cut(xs):
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(xs) - 1) / chunk), F.lit(0)).cast("int")),
+                           lambda i: F.slice(xs, i * chunk + 1, chunk))
+
+    def summed(pieces):
+        # totals of the chunks before each one
+        ends = grow(zero, F.transform(pieces, lambda xs: F.aggregate(xs, zero, lambda a, x: a + x)))
+        starts = let(ends, lambda e: F.slice(F.concat(F.array(zero), e), F.lit(1), F.size(e)))
+        return F.flatten(F.zip_with(pieces, starts, lambda xs, s: F.transform(grow(zero, xs), lambda x: x + s)))
+
+    return let(values, lambda xs: F.when(F.size(xs) > 0, let(cut(xs), summed)).otherwise(F.array().cast("array<bigint>")))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import running_sums, written
+from quarry.llm.common import let, running_sums, written
 
 #: Patterns of the base kinds, in their order; fixed values.
 ASSIGN = (r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
@@ -56,13 +56,15 @@ def _spans(text: Column, pattern: str, kind: int) -> Column:
 
     Texts between the matches come from ``split`` on the same pattern, so
     the prefix sums of both lengths place every match."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    steps = F.zip_with(gaps, found, lambda g, m: (F.length(g) + F.length(m)).cast("bigint"))
-    placed = F.zip_with(found, running_sums(steps), lambda m, stop: F.struct(
-        (stop - F.length(m)).alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), m.alias("value")))
     none = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,value:string>>")
-    return F.when(text.rlike(pattern), placed).otherwise(none)
+
+    def placed(found):
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        steps = F.zip_with(gaps, found, lambda g, m: (F.length(g) + F.length(m)).cast("bigint"))
+        return F.zip_with(found, running_sums(steps), lambda m, stop: F.struct(
+            (stop - F.length(m)).alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), m.alias("value")))
+
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)).otherwise(none)
 
 
 def normal_tail(z: Column) -> Column:
@@ -104,30 +106,28 @@ def tested(value: Column, battery: Battery) -> Column:
     The squares of the normal scores (the first only when the counts are too
     uneven, the last only when the letters are too frequent) add up to a
     statistic with three degrees of freedom, or four with the last one."""
-    enc = _encoding(value)
-    body = F.regexp_replace(F.translate(value, "-_", "+/"), "=+$", "")
-    alphabet = F.coalesce(*[F.when(enc == k, F.lit(v)) for k, v in ALPHABETS.items()])
-    values = F.transform(F.split(body, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
-
     logs = {c: math.log(n) for c, n in LETTERS.items()}
     middle = sum(logs.values()) / 26
     spread = math.sqrt(sum((v - middle) ** 2 for v in logs.values()) / 26)
     rank = F.create_map(*[F.lit(v) for c, n in logs.items() for v in (c, (n - middle) / spread)])
-    letters = F.split(F.regexp_replace(F.lower(body), "[^a-z]+", ""), "")
-    words = F.when(enc.startswith("hex"), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.aggregate(
-        letters, F.lit(0.0), lambda acc, c: acc + F.coalesce(F.element_at(rank, c), F.lit(0.0))) / F.sqrt(F.size(letters))))
+    alphabets = F.create_map(*[F.lit(x) for kv in ALPHABETS.items() for x in kv])
+    cls = F.lit(0)
+    for i, low_end in enumerate(battery.lengths):
+        cls = F.when(F.length(value) >= low_end, F.lit(i)).otherwise(cls)
+
+    def wordiness(letters):
+        return F.greatest(F.lit(0.0), F.aggregate(
+            letters, F.lit(0.0), lambda acc, c: acc + F.coalesce(F.element_at(rank, c), F.lit(0.0))) / F.sqrt(F.size(letters)))
 
-    def measured(x):
-        size, n = F.length(alphabet).cast("double"), F.size(x).cast("double")
+    def squared(m, size):
+        """Sum of the squares of the first three scores, from the values, how many there are, how many are high, and the neighbours."""
+        x, n, high, pairs = m["x"], m["n"], m["high"], m["pairs"]
         counts = F.transform(F.array_distinct(x), lambda a: F.size(F.filter(x, lambda b: a == b)).cast("double"))
         squares = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * c)
         chi = squares * size / n - n
         v = 2 / (9 * (size - 1))
-        z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / (size - 1), F.lit(1 / 3)) - (1 - v)) / F.sqrt(v)
-        high = F.size(F.filter(x, lambda a: a * 2 >= size)).cast("double")
+        z_chi = F.greatest((F.pow(F.greatest(chi, F.lit(0.0)) / (size - 1), F.lit(1 / 3)) - (1 - v)) / F.sqrt(v), F.lit(0.0))
         low = n - high
-        pairs = F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1),
-                           lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         runs = 1 + F.size(F.filter(pairs, lambda p: (p["a"] * 2 >= size) != (p["b"] * 2 >= size))).cast("double")
         mean_runs = 1 + 2 * high * low / n
         var_runs = (mean_runs - 1) * (mean_runs - 2) / (n - 1)
@@ -135,26 +135,46 @@ def tested(value: Column, battery: Battery) -> Column:
         mean = (size - 1) / 2
         cov = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + (p["a"] - mean) * (p["b"] - mean))
         z_serial = cov / ((size * size - 1) / 12) / F.sqrt(n - 1)
-        return F.struct(F.greatest(z_chi, F.lit(0.0)).alias("c"), z_runs.alias("r"), z_serial.alias("s"))
+        return let(F.struct(z_chi.alias("c"), z_runs.alias("r"), z_serial.alias("s")), lambda z: z["c"] * z["c"] + z["r"] * z["r"] + z["s"] * z["s"])
 
-    scores = F.transform(F.array(values), measured)
-    p = F.get(F.transform(scores, lambda z: chi2_tail(z["c"] * z["c"] + z["r"] * z["r"] + z["s"] * z["s"] + words * words,
-                                                       F.when(enc.startswith("hex"), 3.0).otherwise(4.0))), 0)
-    cls = F.lit(0)
-    for i, low_end in enumerate(battery.lengths):
-        cls = F.when(F.length(value) >= low_end, F.lit(i)).otherwise(cls)
-    bin_no = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * PER_DECADE), F.lit(BINS - 1)).cast("int")
-    return F.when(enc.isNotNull(), F.struct(enc.alias("encoding"), cls.alias("cls"), bin_no.alias("bin")))
+    def measured(x, size):
+        return let(F.struct(
+            x.alias("x"), F.size(x).cast("double").alias("n"), F.size(F.filter(x, lambda a: a * 2 >= size)).cast("double").alias("high"),
+            F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1),
+                       lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("pairs")), lambda m: squared(m, size))
+
+    def binned(p):
+        return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * PER_DECADE), F.lit(BINS - 1)).cast("int")
+
+    def judged(e):
+        """``e``: the encoding, its alphabet and the token's symbols as that alphabet writes them."""
+        values = F.transform(F.split(e["body"], ""), lambda c: (F.instr(e["alphabet"], c) - 1).cast("double"))
+        size, hexes = F.length(e["alphabet"]).cast("double"), e["encoding"].startswith("hex")
+        letters = F.split(F.regexp_replace(F.lower(e["body"]), "[^a-z]+", ""), "")
+        words = F.when(hexes, F.lit(0.0)).otherwise(let(letters, wordiness))
+        statistic = let(size, lambda k: let(values, lambda x: measured(x, k))) + let(words, lambda w: w * w)
+        p = let(F.struct(statistic.alias("x"), F.when(hexes, 3.0).otherwise(4.0).alias("df")), lambda s: chi2_tail(s["x"], s["df"]))
+        return F.struct(e["encoding"].alias("encoding"), cls.alias("cls"), let(p, binned).alias("bin"))
+
+    def inferred(name):
+        body = F.regexp_replace(F.translate(value, "-_", "+/"), "=+$", "")
+        return F.when(name.isNotNull(), let(F.struct(
+            name.alias("encoding"), F.element_at(alphabets, name).alias("alphabet"), body.alias("body")), judged))
+
+    return let(_encoding(value), inferred)
 
 
 def _parts(token: Column, min_len: int) -> Column:
     """The parts of a token between / - _ that have ``min_len`` characters, as spans; none of a token without these marks."""
-    pieces = F.split(token["value"], "[/_-]", -1)
-    placed = F.transform(pieces, lambda p, i: F.struct(
-        (token["start"] + i + F.length(F.array_join(F.slice(pieces, F.lit(1), i), ""))).alias("start"), token["kind"].alias("kind"),
-        (token["start"] + i + F.length(F.array_join(F.slice(pieces, F.lit(1), i + 1), ""))).alias("stop"), p.alias("value")))
     none = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,value:string>>")
-    return F.when(token["value"].rlike("[/_-]"), F.filter(placed, lambda p: F.length(p["value"]) >= min_len)).otherwise(none)
+
+    def placed(pieces):
+        return F.transform(pieces, lambda p, i: F.struct(
+            (token["start"] + i + F.length(F.array_join(F.slice(pieces, F.lit(1), i), ""))).alias("start"), token["kind"].alias("kind"),
+            (token["start"] + i + F.length(F.array_join(F.slice(pieces, F.lit(1), i + 1), ""))).alias("stop"), p.alias("value")))
+
+    parts = F.filter(let(F.split(token["value"], "[/_-]", -1), placed), lambda p: F.length(p["value"]) >= min_len)
+    return F.when(token["value"].rlike("[/_-]"), parts).otherwise(none)
 
 
 def _scan(df: DataFrame, battery: Battery) -> DataFrame:
@@ -199,8 +219,8 @@ def _accepted(cuts: dict[int, int]) -> Column:
     extra = F.transform(F.filter("tokens", random), lambda t: F.struct(
         t["start"].alias("start"), t["kind"].alias("kind"), t["stop"].alias("stop"), t["value"].alias("value")))
     # parts of an accepted token stand in its span
-    outer = F.filter(extra, lambda t: ~F.exists(extra, lambda o: (o["start"] <= t["start"]) & (t["stop"] <= o["stop"])
-                                                & ((o["start"] < t["start"]) | (t["stop"] < o["stop"]))))
+    outer = let(extra, lambda xs: F.filter(xs, lambda t: ~F.exists(xs, lambda o: (o["start"] <= t["start"]) & (t["stop"] <= o["stop"])
+                                                                   & ((o["start"] < t["start"]) | (t["stop"] < o["stop"])))))
     return F.array_sort(F.concat("base", outer))
 
 
@@ -245,11 +265,11 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 def redact(docs: DataFrame, text_col: str = "text", battery: Battery = Battery()) -> DataFrame:
     """``docs`` with the secrets of its text column replaced; all columns and rows stay, null text stays null.
 
-    The thresholds come from a first pass over all rows; the second pass
-    finds the spans of each row again beside its text, so no join is needed."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    cuts = _cuts(_scan(docs.select(text.alias("_text")), battery).select("tokens"), battery)
-    found = _scan(docs.select(F.struct("*").alias("row"), text.alias("_text")), battery)
-    found = found.withColumn("spans", _accepted(cuts))
-    out = F.when(F.col("row")[text_col].isNotNull(), redacted(F.col("_text"), F.col("spans")))
+    One pass scans the texts and writes each row with its spans; the thresholds are counted on what it wrote, and the
+    rows are read back with them. An empty table stays empty, repeated rows stay as they are, columns may have any names."""
+    row = F.struct("*").alias("row")
+    scanned = written(_scan(docs.select(row, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), battery).drop("_text"), "secret-rows")
+    text = F.col("row")[text_col]
+    out = F.when(text.isNotNull(), redacted(text, F.col("_spans")))
+    found = scanned.select("row", _accepted(_cuts(scanned, battery)).alias("_spans"))
     return found.select(*[(out if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
