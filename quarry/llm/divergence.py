@@ -30,7 +30,7 @@ from quarry.llm.common import maybe_broadcast, written
 #: Bytes of terms keep their value, A-Z in lower case; all others part terms. UTF-8 beyond ASCII has only bytes from 0x80 on.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Entries that a task counts before it hands them on.
-FLUSH = 300_000
+FLUSH = 500_000
 
 
 @dataclass(frozen=True)
@@ -127,6 +127,7 @@ def _occurrences(conf: Audit, kept, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, Counter] = defaultdict(Counter)
         within: dict[tuple, Counter] = defaultdict(Counter)
+        split = bool(shared.value.any())
 
         def flush():
             for (lang, source), c in counts.items():
@@ -139,7 +140,7 @@ def _occurrences(conf: Audit, kept, shared):
                 docs = within[lang, source]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(hit), pa.string()), pa.array([source] * len(hit), pa.string()), pa.array(ids, pa.binary()),
-                     pa.array([c[terms[i]] for i in hit], pa.int64()), pa.array([docs[terms[i]] for i in hit], pa.int64())],
+                     pa.array(np.fromiter(c.values(), np.int64, len(c))[hit]), pa.array([docs[terms[i]] if m else 0 for i, m in zip(hit, many)], pa.int64())],
                     names=["lang", "source", "term_id", "n", "df"])
             counts.clear()
             within.clear()
@@ -148,7 +149,8 @@ def _occurrences(conf: Audit, kept, shared):
             for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 terms = terms_of(text)
                 counts[lang, source].update(terms)
-                within[lang, source].update(set(terms))
+                if split:
+                    within[lang, source].update(set(terms))
                 if sum(map(len, counts.values())) > FLUSH:
                     yield from flush()
         yield from flush()
@@ -170,7 +172,7 @@ def count_terms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     context = docs.sparkSession.sparkContext
     rows = _rows(docs, text_col, lang_col, source_col)
     df = rows.select("lang", "text").mapInArrow(_document_counts(conf), "lang string, digest bigint, df bigint")
-    df = df.groupBy("lang", "digest").agg(F.sum("df").alias("df")).filter(F.col("df") >= conf.min_docs)
+    df = written(df.groupBy("lang", "digest").agg(F.sum("df").alias("df")).filter(F.col("df") >= conf.min_docs), "digest-documents")
     kept = context.broadcast(bitmap_of(df, conf.map_bits))
 
     texts = rows.select("text").mapInArrow(_strings(conf, kept), "digest bigint, term string")
@@ -179,8 +181,11 @@ def count_terms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     counts = rows.mapInArrow(_occurrences(conf, kept, shared), "lang string, source string, term_id binary, n bigint, df bigint")
     counts = written(counts.groupBy("lang", "source", "term_id").agg(F.sum("n").alias("n"), F.sum("df").alias("df")), "term-counts")
-    totals = counts.groupBy("lang", "term_id").agg(F.sum("n").alias("total"), F.sum("df").alias("df")).filter(F.col("df") >= conf.min_docs)
-    counts = written(counts.drop("df").join(totals.drop("df"), ["lang", "term_id"]), "kept-counts")
+    # a digest's documents are its term's, unless several terms share it; those were counted apart
+    totals = counts.groupBy("lang", "term_id").agg(F.sum("n").alias("total"), F.sum("df").alias("own")).withColumn("digest", _digest())
+    totals = totals.join(df, ["lang", "digest"]).filter(F.when(F.length("term_id") > 8, F.col("own")).otherwise(F.col("df")) >= conf.min_docs)
+    totals = totals.select("lang", "term_id", "total")
+    counts = written(counts.drop("df").join(totals, ["lang", "term_id"]), "kept-counts")
 
     by_lang = (counts.groupBy("lang", "term_id").agg(F.first("total").alias("total"))
                .groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("n_lang")))
@@ -193,6 +198,11 @@ def count_terms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     return TermCounts(counts, texts, groups)
 
 
+def _digest() -> Column:
+    """The digest in front of a term's id."""
+    return F.conv(F.hex(F.substring("term_id", 1, 8)), 16, -10).cast("long")
+
+
 def _share(n: str, total: str, scale: int) -> Column:
     """1 + floor(scale * (n + 2) / (total + 2 v)), in exact decimals."""
     return F.expr(f"1 + (cast({n} + 2 as decimal(27,0)) * {scale}BD) div (cast({total} as decimal(27,0)) + 2 * v)")
@@ -285,7 +295,7 @@ def leading_terms(found: TermCounts, conf: Audit = Audit()) -> DataFrame:
     by_group = Window.partitionBy("lang", "source")
     best = rows.filter("p > q").select("lang", "source", "term_id", value.alias("value")).withColumn(
         "rank", F.rank().over(by_group.orderBy(F.desc("value")))).filter(F.col("rank") <= conf.top).drop("rank")
-    best = written(best.withColumn("digest", F.conv(F.hex(F.substring("term_id", 1, 8)), 16, -10).cast("long")), "leading-terms")
+    best = written(best.withColumn("digest", _digest()), "leading-terms")
     texts = found.texts.select("digest", "low").join(maybe_broadcast(best.select("digest").distinct(), 16), "digest", "left_semi")
     own = F.decode(F.expr("substring(term_id, 9)"), "UTF-8")
     named = best.join(texts, "digest").select("lang", "source", F.when(F.length("term_id") > 8, own).otherwise(F.col("low")).alias("item"), "value")
