@@ -1,196 +1,419 @@
-"""Dense block products with numpy inside Spark tasks.
-
-Spark partitions and shuffles the work; inside a task a batch of document
-(or term) vectors is multiplied with a small, size-checked matrix shipped
-to every task (the query batch, the seed set, the query words). One
-matrix product replaces ~100k interpreted lambda calls per document.
-The small side is always bounded: the caller collects it with
-``collect_bounded`` and falls back to a JVM cross join beyond the bound.
+"""Numpy kernels that run inside Spark tasks on Arrow batches.
+
+Spark partitions and shuffles the work; a kernel sees bounded batches: rows of vectors to be
+hashed or compared with the fixed-size seed set, packed blocks of documents and queries to
+be multiplied, or one query's score rows behind its judged rows. None holds more than
+its blocks, its heaps and its counters.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 # ship these task bodies by value: executors need not have the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROUND = 9
-# cells of one (rows x small side) product held at once; bounds task memory
-# whatever the Arrow batch size and the size of the shipped matrix
-BLOCK_CELLS = 4_000_000
-
+# rows and columns of one block product
+BLOCK_ROWS, BLOCK_QUERIES = 1024, 1024
+# heap entries that a task holds before it hands them on
+HEAP_ENTRIES = 1_000_000
+# words whose slot a worker remembers
+MEMO = 500_000
 
-def _blocks(pdf: pd.DataFrame, width: int):
-    step = max(1, BLOCK_CELLS // max(1, width))
-    for start in range(0, len(pdf), step):
-        yield pdf.iloc[start:start + step].reset_index(drop=True)
 
+# ---------------------------------------------------------------- vectors in Arrow
 
-def dense_matrix(sparse: list[tuple], size: int) -> np.ndarray:
-    """Rows of (dims, ws) to a dense matrix."""
-    m = np.zeros((len(sparse), size), dtype=np.float64)
-    for i, (dims, ws) in enumerate(sparse):
-        if dims is not None and len(dims):
-            m[i, np.asarray(dims, dtype=np.int64)] = np.asarray(ws, dtype=np.float64)
+def stack(dims: pa.Array, ws: pa.Array, size: int) -> np.ndarray:
+    """Rows of (dims, ws) as a dense matrix; a row without dims is dense already."""
+    n = len(ws)
+    lens = pc.fill_null(pc.list_value_length(ws), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = np.asarray(ws.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
+    rows = np.repeat(np.arange(n), lens)
+    cols = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
+    if dims is not None and dims.null_count < n:
+        named = np.repeat(dims.is_valid().to_numpy(zero_copy_only=False), lens)
+        cols[named] = dims.flatten().to_numpy(zero_copy_only=False)
+    m = np.zeros((n, size), dtype=np.float64)
+    m[rows, cols] = flat
     return m
 
 
-def _stack(dims: pd.Series, ws: pd.Series, size: int) -> np.ndarray:
-    return dense_matrix(list(zip(dims, ws)), size)
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    """Rows scaled to unit length; zero rows stay."""
+    norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return np.divide(m, norm, out=np.zeros_like(m, dtype=np.float64), where=norm > 0)
+
+
+def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    """A list array of numpy rows."""
+    offsets = np.zeros(len(parts) + 1, np.int32)
+    np.cumsum([len(p) for p in parts], out=offsets[1:])
+    flat = np.concatenate(parts) if parts else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat).cast(kind))
+
+
+# ---------------------------------------------------------------- hashed embedding
+
+def _slot(feature: str, size: int) -> int:
+    """Dimension and sign of a feature in one number: md5's first seven hex digits modulo the size, its eighth the sign."""
+    h = hashlib.md5(feature.encode("utf-8", "surrogatepass")).hexdigest()
+    return int(h[:7], 16) % size * 2 + (h[7] >= "8")
+
+
+def word_features(text: str) -> list[str]:
+    return [w for w in text.split(" ") if w]
+
+
+def trigram_features(term: str) -> list[str]:
+    framed = f"#{term}#"
+    return [framed[i:i + 3] for i in range(len(framed) - 2)]
+
+
+def hash_batch(features, size: int):
+    """A function texts -> (dims, ws) lists: signed counts of hashed features, unit length; no features, no entries."""
+    memo: dict[str, int] = {}
+
+    def slot(f):
+        got = memo.get(f)
+        if got is None:
+            if len(memo) >= MEMO:
+                memo.clear()
+            got = memo[f] = _slot(f, size)
+        return got
+
+    def fn(texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        dims, ws = [], []
+        for text in texts:
+            found = features(text or "")
+            code = np.fromiter(map(slot, found), np.int64, len(found))
+            at = code >> 1
+            v = np.bincount(at, weights=1.0 - 2.0 * (code & 1), minlength=size)
+            d = np.flatnonzero(np.bincount(at, minlength=size))
+            w = v[d]
+            norm = np.sqrt((w * w).sum())
+            dims.append(d.astype(np.int32))
+            ws.append(w / norm if norm > 0 else np.zeros(len(d)))
+        return dims, ws
+    return fn
+
 
+def embed_fn(batch, keys: list[str], dense: bool):
+    """mapInArrow body: (keys..., text) -> (keys..., dims, ws). ``batch`` gives sparse lists, or a matrix if ``dense``."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(len(keys)).to_pylist()
+            if dense:
+                m = unit_rows(np.asarray(batch([t or "" for t in texts]), dtype=np.float64).reshape(len(texts), -1))
+                dims, ws = pa.nulls(len(texts), pa.list_(pa.int32())), lists(list(m), pa.float64())
+            else:
+                d, w = batch(texts)
+                dims, ws = lists(d, pa.int32()), lists(w, pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keys)], dims, ws], names=[*keys, "dims", "ws"])
+    return fn
 
-def _unit_rows(m: np.ndarray) -> np.ndarray:
-    n = np.sqrt((m * m).sum(axis=1, keepdims=True))
-    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
 
+# ---------------------------------------------------------------- seed set
 
-def best_seed_fn(seed_seq: np.ndarray, seed_url: list, seeds: list[tuple], size: int,
-                 key: str = "url", seq: str = "doc_seq", normalize: bool = False):
-    """mapInPandas body: (url, doc_seq, dims, ws) -> (url, n_pred, seed_url, sim).
-    Seeds are sorted by position, so argmax's first maximum is the
-    earliest seed among equals."""
+def best_seed_fn(seed_seq: np.ndarray, seed_url: list, seed_mat: np.ndarray, kept: list[str], normalize: bool = False):
+    """mapInArrow body over (kept..., seq, dims, ws): the kept columns and n_pred, seed_url, sim. The seed set has a
+    fixed size and is sorted by position, so argmax's first maximum is the earliest seed among equals."""
     seed_url = np.asarray(seed_url, dtype=object)
-    seed_mat = dense_matrix(seeds, size)
+    size = seed_mat.shape[1]
     if normalize:
-        seed_mat = _unit_rows(seed_mat)
+        seed_mat = unit_rows(seed_mat)
 
-    def fn(batches):
-        for batch in batches:
-            for pdf in _blocks(batch, len(seed_seq)):
-                yield from one(pdf)
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, len(whole), BLOCK_ROWS):
+                yield one(whole.slice(start, BLOCK_ROWS))
 
-    def one(pdf):
-        if len(pdf) == 0:
-            return
-        x = _stack(pdf["dims"], pdf["ws"], size)
+    def one(b: pa.RecordBatch) -> pa.RecordBatch:
+        n, at = len(b), len(kept)
+        x = stack(b.column(at + 1), b.column(at + 2), size)
         if normalize:
-            x = _unit_rows(x)
-        sims = np.round(x @ seed_mat.T, ROUND) if len(seed_seq) else np.zeros((len(pdf), 0))
-        eligible = seed_seq[None, :] < pdf[seq].to_numpy()[:, None]
+            x = unit_rows(x)
+        seq = b.column(at).to_numpy(zero_copy_only=False)
+        eligible = seed_seq[None, :] < seq[:, None]
         n_pred = eligible.sum(axis=1)
-        masked = np.where(eligible, sims, -np.inf)
         ok = n_pred >= 2
-        best = masked.argmax(axis=1) if masked.shape[1] else np.zeros(len(pdf), dtype=int)
-        out_url = np.where(ok, seed_url[best] if len(seed_url) else None, None)
-        out_sim = np.where(ok, masked[np.arange(len(pdf)), best] if masked.shape[1] else np.nan, np.nan)
-        yield pd.DataFrame({
-            key: pdf[key],
-            "n_pred": n_pred.astype(np.int64),
-            "seed_url": out_url,
-            "sim": out_sim.astype(np.float64),
-        })
+        url, sim = np.full(n, None, dtype=object), np.full(n, np.nan)
+        if len(seed_seq):
+            sims = np.where(eligible, np.round(x @ seed_mat.T, ROUND), -np.inf)
+            best = sims.argmax(axis=1)
+            url[ok], sim[ok] = seed_url[best[ok]], sims[np.arange(n), best][ok]
+        kind = pa.int64() if len(seed_url) and not isinstance(seed_url[0], str) else pa.string()
+        return pa.RecordBatch.from_arrays(
+            [*b.columns[:at], pa.array(n_pred, pa.int64()), pa.array(url.tolist(), kind), pa.array(sim, mask=~ok)],
+            names=[*kept, "n_pred", "seed_url", "sim"])
     return fn
 
 
-def score_fn(query_ids: np.ndarray, queries: list[tuple], size: int, w_lex: float, w_sem: float,
-             keep: int | None = None, judged: list[tuple] | None = None):
-    """mapInPandas body over (url, dims, ws, lex_q, lex_v); ``lex_q``/``lex_v``
-    hold the lexical scores of the document for the queries that matched it.
-
-    - default: one row per (query, document): (query_id, url, lex, cos, score);
-    - ``keep=n``: per block and query only the rows whose rounded score
-      reaches the block's n-th best (ties at the cut kept), so a later
-      top-n over them is exact;
-    - ``judged=[(query_id, url, rounded score)]``: per block, for each judged
-      document the number of other documents of its query ordered before
-      it (higher rounded score, or equal and smaller url):
-      (query_id, url, n_better), to be summed."""
-    pos = {int(q): i for i, q in enumerate(query_ids)}
-    nq = len(query_ids)
-    query_mat = dense_matrix(queries, size)
-
-    def fn(batches):
-        for batch in batches:
-            for pdf in _blocks(batch, nq):
-                yield from one(pdf)
-
-    def one(pdf):
-        b = len(pdf)
-        if b == 0 or nq == 0:
-            return
-        x = _stack(pdf["dims"], pdf["ws"], size)
-        cos = x @ query_mat.T                       # b x nq
-        lex = np.zeros((b, nq))
-        has = np.zeros((b, nq), dtype=bool)
-        for i, (qs, vs) in enumerate(zip(pdf["lex_q"], pdf["lex_v"])):
-            if qs is None:
-                continue
-            for q, v in zip(qs, vs):
-                j = pos.get(int(q))
-                if j is not None:
-                    lex[i, j] = v
-                    has[i, j] = True
-        score = w_lex * lex + w_sem * cos
-        urls = pdf["url"].to_numpy(dtype=object)
-        if judged is not None:
-            rs = np.round(score, ROUND)
-            out_q, out_u, out_n = [], [], []
-            for q, u, s in judged:
-                j = pos.get(int(q))
-                if j is None:
+def fold_seeds_fn(batch, dense: bool, size: int, threshold: float):
+    """applyInPandas body over the seed rows (url, doc_seq, text, prepared, ws): each expanded by the best of those before it as
+    expanded. Without ``batch`` the vectors in ``ws`` stand for the rows, whatever their texts become."""
+    def vector(prepared, ws):
+        if batch is None:
+            return np.resize(np.asarray(ws, dtype=np.float64), size) if len(ws) else np.zeros(size)
+        if dense:
+            return unit_rows(np.asarray(batch([prepared]), dtype=np.float64).reshape(1, -1))[0]
+        (dims,), (weights,) = batch([prepared])
+        v = np.zeros(size)
+        v[dims] = weights
+        return v
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_seq").reset_index(drop=True)
+        texts, prepared, vectors, chosen, sims = list(pdf["text"]), list(pdf["prepared"]), [], [], []
+        for i in range(len(pdf)):
+            mine, seed, sim = vector(prepared[i], pdf["ws"][i]), None, None
+            if i >= 2:
+                products = np.round(np.stack(vectors) @ mine, ROUND)
+                best = int(products.argmax())
+                if products[best] > threshold:
+                    seed, sim = pdf["url"][best], float(products[best])
+                    texts[i], prepared[i] = f"{texts[i]} {texts[best]}", f"{prepared[i]} {prepared[best]}"
+                    mine = vector(prepared[i], pdf["ws"][i])
+            vectors.append(mine)
+            chosen.append(seed)
+            sims.append(sim)
+        return pd.DataFrame({"url": pdf["url"], "doc_seq": pdf["doc_seq"], "text": texts, "seed_url": pd.Series(chosen, dtype=object),
+                             "sim": pd.Series(sims, dtype=float)})
+    return fold
+
+
+# ---------------------------------------------------------------- block products
+
+def pack_fn(rows: int, size: int, key_type: pa.DataType):
+    """mapInArrow body: (key, dims, ws) -> (keys, mat): blocks of at most ``rows`` rows as one float64 matrix each."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = 0
+
+        def blocks(last: bool):
+            nonlocal held, n
+            table = pa.Table.from_batches(held).combine_chunks()
+            end = n if last else n // rows * rows
+            for start in range(0, end, rows):
+                part = table.slice(start, min(rows, end - start)).to_batches()[0]
+                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_pylist()], pa.list_(key_type)), pa.array(
+                    [stack(part.column(1), part.column(2), size).tobytes()], pa.binary())], names=["keys", "mat"])
+            held = table.slice(end).to_batches()
+            n -= end
+
+        for b in batches:
+            if len(b):
+                held.append(b)
+                n += len(b)
+            if n >= rows:
+                yield from blocks(False)
+        if n:
+            yield from blocks(True)
+    return fn
+
+
+def nearest_fn(keep: int, size: int, query_type: pa.DataType):
+    """mapInArrow body over pairs of blocks (keys, mat, q_keys, q_mat) -> (q_key, key, sim): the ``keep`` best
+    rounded products per query of the task, ties by key. Heaps beyond HEAP_ENTRIES are handed on, which a later cut makes good."""
+    names = ["q_key", "key", "sim"]
+
+    def best(q: np.ndarray, keys: np.ndarray, sims: np.ndarray):
+        """Of entries (query number, key, sim) the best ``keep`` of each query."""
+        _, key_rank = np.unique(keys, return_inverse=True)
+        order = np.lexsort((key_rank, -sims, q))
+        q, keys, sims = q[order], keys[order], sims[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+        top = place < keep
+        return q[top], keys[top], sims[top]
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps: dict[tuple, tuple] = {}
+
+        def hand_on():
+            for q_keys, (q, keys, sims) in heaps.items():
+                yield pa.RecordBatch.from_arrays([pa.array([q_keys[i] for i in q], query_type), pa.array(keys.tolist(), pa.string()), pa.array(sims)], names=names)
+            heaps.clear()
+
+        for b in batches:
+            for i in range(len(b)):
+                keys = np.asarray(b.column(0)[i].as_py(), dtype=object)
+                q_keys = tuple(b.column(2)[i].as_py())
+                x = np.frombuffer(b.column(1)[i].as_buffer(), np.float64).reshape(len(keys), size)
+                y = np.frombuffer(b.column(3)[i].as_buffer(), np.float64).reshape(len(q_keys), size)
+                sims = np.round(y @ x.T, ROUND)                                   # queries x rows
+                if len(keys) > keep:
+                    cut = np.partition(sims, len(keys) - keep, axis=1)[:, len(keys) - keep]
+                    q, at = np.nonzero(sims >= cut[:, None])
+                else:
+                    q, at = (a.reshape(-1) for a in np.indices(sims.shape))
+                old = heaps.get(q_keys, (np.zeros(0, np.int64), np.zeros(0, object), np.zeros(0)))
+                heaps[q_keys] = best(np.concatenate([old[0], q]), np.concatenate([old[1], keys[at]]), np.concatenate([old[2], sims[q, at]]))
+            if sum(len(h[0]) for h in heaps.values()) > HEAP_ENTRIES:
+                yield from hand_on()
+        yield from hand_on()
+    return fn
+
+
+def products_fn(size: int, query_type: pa.DataType):
+    """mapInArrow body over pairs of blocks -> (q_key, key, cos): all products, for whoever asks for every pair."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(len(b)):
+                keys, q_keys = b.column(0)[i].as_py(), b.column(2)[i].as_py()
+                x = np.frombuffer(b.column(1)[i].as_buffer(), np.float64).reshape(len(keys), size)
+                y = np.frombuffer(b.column(3)[i].as_buffer(), np.float64).reshape(len(q_keys), size)
+                for q, cos in zip(q_keys, y @ x.T):
+                    yield pa.RecordBatch.from_arrays([pa.array([q] * len(keys), query_type), pa.array(keys, pa.string()), pa.array(cos)],
+                                                     names=["q_key", "key", "cos"])
+    return fn
+
+
+def count_fn(size: int, weight: float):
+    """mapInArrow body over pairs of blocks with the queries' judged rows (keys, mat, q_keys, q_mat, judged) ->
+    (query_id, url, n_before): how many rows of the task come before each judged one, by weight * product."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters: dict = {}
+        for b in batches:
+            for i in range(len(b)):
+                keys = np.asarray(b.column(0)[i].as_py(), dtype=object)
+                q_keys = b.column(2)[i].as_py()
+                x = np.frombuffer(b.column(1)[i].as_buffer(), np.float64).reshape(len(keys), size)
+                y = np.frombuffer(b.column(3)[i].as_buffer(), np.float64).reshape(len(q_keys), size)
+                scores = np.round(weight * (y @ x.T), ROUND)
+                for k, (q, judged) in enumerate(zip(q_keys, b.column(4)[i].as_py())):
+                    if q not in counters:
+                        counters[q] = Counters([j["s"] for j in judged], [j["url"] for j in judged])
+                    counters[q].add(scores[k], keys)
+        yield from counted(counters)
+    return fn
+
+
+# ---------------------------------------------------------------- rank counting
+
+class Counters:
+    """How many (score, key) rows come before each judged one: higher score, or the same and a smaller key."""
+
+    def __init__(self, scores: list[float], urls: list[str]):
+        order = sorted(range(len(urls)), key=lambda i: (-scores[i], urls[i]))
+        self.urls = np.asarray([urls[i] for i in order], dtype=object)
+        self.falling = -np.asarray([scores[i] for i in order], dtype=np.float64)
+        self.n = np.zeros(len(order) + 1, np.int64)
+
+    def add(self, scores: np.ndarray, keys: np.ndarray) -> None:
+        low, high = np.searchsorted(self.falling, -scores, side="left"), np.searchsorted(self.falling, -scores, side="right")
+        tied = low < high
+        self.n += np.bincount(low[~tied], minlength=len(self.n))
+        for l, h in {*zip(low[tied].tolist(), high[tied].tolist())}:
+            # among judged rows of the same score the key decides
+            at = l + np.searchsorted(self.urls[l:h], keys[tied & (low == l)], side="right")
+            self.n += np.bincount(at, minlength=len(self.n))
+
+    def before(self) -> np.ndarray:
+        """Rows before each judged row (in their order); a row's place is the number of judged rows up to it, so it is not before itself."""
+        return np.cumsum(self.n)[:-1]
+
+
+def counted(counters: dict) -> Iterator[pa.RecordBatch]:
+    for q, c in counters.items():
+        if len(c.urls):
+            yield pa.RecordBatch.from_arrays([pa.array([q] * len(c.urls), pa.int64()), pa.array(c.urls.tolist(), pa.string()), pa.array(c.before())],
+                                             names=["query_id", "url", "n_before"])
+
+
+def count_rows_fn():
+    """mapInArrow body over (query_id, salt, url, s, judged) sorted by these with a group's judged rows first (``judged`` true):
+    (query_id, url, n_before) counted over the other rows of the group."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, names, scores, counter = None, [], [], None
+
+        def ended():
+            if group is not None and names:
+                yield from counted({group[0]: counter or Counters(scores, names)})
+
+        for b in batches:
+            query, salt = b.column(0).to_numpy(), b.column(1).to_numpy()
+            urls, s, judged = np.asarray(b.column(2).to_pylist(), dtype=object), b.column(3).to_numpy(), b.column(4).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((query[1:] != query[:-1]) | (salt[1:] != salt[:-1])) + 1
+            for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(b)]):
+                if start == end:
+                    continue
+                if (query[start], salt[start]) != group:
+                    yield from ended()
+                    group, names, scores, counter = (query[start], salt[start]), [], [], None
+                own = judged[start:end].astype(bool)
+                names += urls[start:end][own].tolist()
+                scores += s[start:end][own].tolist()
+                if not own.all() and names:
+                    counter = counter or Counters(scores, names)
+                    counter.add(s[start:end][~own], urls[start:end][~own])
+        yield from ended()
+    return fn
+
+
+def near_judged_fn(w_lex: float, margin: float):
+    """mapInArrow body over the same rows, ``s`` a lexical score (null for judged rows, whose score is in ``at``): the rows whose
+    final score, w_lex * s give or take ``margin``, may fall beside a judged one (``sure`` false), and per judged row how
+    many of the others come before it (``sure`` true, their number in ``n``)."""
+    names = ["query_id", "url", "lex", "sure", "n"]
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, urls_of, scores, falling, n = None, [], [], None, None
+
+        def ended():
+            if group is not None and urls_of:
+                before = np.cumsum(n)[:-1] if n is not None else np.zeros(len(urls_of), np.int64)
+                ordered = [urls_of[i] for i in np.argsort(-np.asarray(scores), kind="stable")]
+                k = len(ordered)
+                yield pa.RecordBatch.from_arrays([pa.array([group[0]] * k, pa.int64()), pa.array(ordered, pa.string()), pa.nulls(k, pa.float64()),
+                                                  pa.array([True] * k), pa.array(before, pa.int64())], names=names)
+
+        for b in batches:
+            query, salt = b.column(0).to_numpy(), b.column(1).to_numpy()
+            urls, s, judged = np.asarray(b.column(2).to_pylist(), dtype=object), b.column(3).to_numpy(), b.column(4).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((query[1:] != query[:-1]) | (salt[1:] != salt[:-1])) + 1
+            for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(b)]):
+                if start == end:
+                    continue
+                if (query[start], salt[start]) != group:
+                    yield from ended()
+                    group, urls_of, scores, falling, n = (query[start], salt[start]), [], [], None, None
+                own = judged[start:end].astype(bool)
+                urls_of += urls[start:end][own].tolist()
+                scores += s[start:end][own].tolist()
+                if own.all() or not urls_of:
                     continue
-                col = rs[:, j]
-                better = (col > s) | ((col == s) & (urls < u))
-                better &= urls != u
-                out_q.append(int(q))
-                out_u.append(u)
-                out_n.append(int(better.sum()))
-            if out_q:
-                yield pd.DataFrame({"query_id": np.asarray(out_q, dtype=np.int64), "url": out_u,
-                                    "n_better": np.asarray(out_n, dtype=np.int64)})
-            return
-        mask = None
-        if keep is not None and b > keep:
-            rs = np.round(score, ROUND)
-            cut = np.partition(rs, b - keep, axis=0)[b - keep]      # n-th best per query
-            mask = (rs >= cut[None, :]).reshape(-1)
-        frame = pd.DataFrame({
-            "query_id": np.tile(query_ids, b).astype(np.int64),
-            "url": np.repeat(urls, nq),
-            "lex": np.where(has, lex, np.nan).reshape(-1),
-            "cos": cos.reshape(-1),
-            "score": score.reshape(-1),
-        })
-        yield frame if mask is None else frame[mask].reset_index(drop=True)
+                if falling is None:
+                    falling, n = np.sort(-np.asarray(scores)), np.zeros(len(scores) + 1, np.int64)
+                lex, names_here = s[start:end][~own], urls[start:end][~own]
+                high = np.searchsorted(falling, -(w_lex * lex + margin), side="left")
+                low = np.searchsorted(falling, -(w_lex * lex - margin), side="right")
+                sure = high == low
+                n += np.bincount(high[sure], minlength=len(n))
+                k = int((~sure).sum())
+                if k:
+                    yield pa.RecordBatch.from_arrays([pa.array([group[0]] * k, pa.int64()), pa.array(names_here[~sure].tolist(), pa.string()), pa.array(lex[~sure]),
+                                                      pa.array([False] * k), pa.nulls(k, pa.int64())], names=names)
+        yield from ended()
     return fn
 
 
-def nearest_fn(word_keys: list[tuple], words: list[tuple], size: int, k: int):
-    """mapInPandas body over vocabulary vectors (term, dims, ws): for each query
-    word, the k most similar terms of this batch (partial top-k; the final
-    top-k runs after). Emits (query_id, pos, term, sim)."""
-    qid = np.asarray([w[0] for w in word_keys], dtype=np.int64)
-    qpos = np.asarray([w[1] for w in word_keys], dtype=np.int64)
-    word_mat = dense_matrix(words, size)
-
-    def fn(batches):
-        for batch in batches:
-            for pdf in _blocks(batch, len(word_keys)):
-                yield from one(pdf)
-
-    def one(pdf):
-        n = len(pdf)
-        if n == 0 or len(word_keys) == 0:
-            return
-        x = _stack(pdf["dims"], pdf["ws"], size)
-        sims = np.round(word_mat @ x.T, ROUND)          # words x terms
-        terms = pdf["term"].to_numpy(dtype=object)
-        # order inside the batch: sim desc, term asc
-        order_terms = np.argsort(terms.astype(str), kind="stable")
-        sims_o = sims[:, order_terms]
-        kk = min(k, n)
-        idx = np.argsort(-sims_o, axis=1, kind="stable")[:, :kk]
-        rows_w = np.repeat(np.arange(len(word_keys)), kk)
-        cols = idx.reshape(-1)
-        yield pd.DataFrame({
-            "query_id": qid[rows_w],
-            "pos": qpos[rows_w],
-            "term": terms[order_terms][cols],
-            "sim": sims_o[rows_w, cols],
-        })
+# ---------------------------------------------------------------- pairs
+
+def pair_cos_fn(size: int, kept: list[str]):
+    """mapInArrow body over (kept..., dims, ws, q_dims, q_ws): the kept columns and the product of the two vectors."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = len(kept)
+        for whole in batches:
+            for start in range(0, len(whole), BLOCK_ROWS * 4):
+                b = whole.slice(start, BLOCK_ROWS * 4)
+                x, y = stack(b.column(at), b.column(at + 1), size), stack(b.column(at + 2), b.column(at + 3), size)
+                yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array((x * y).sum(axis=1))], names=[*kept, "cos"])
     return fn

@@ -25,18 +25,12 @@ def clean_corpus(docs: DataFrame) -> DataFrame:
 
 def last_wins(docs: DataFrame) -> DataFrame:
     """One row per url, the text with the highest ``doc_seq`` and the
-    smallest ``doc_seq`` as its position. ``max_by``/``min`` combine
-    map-side, so a url repeated in a third of the rows still shuffles one
-    row per map task."""
-    return (
-        clean_corpus(docs)
-        .groupBy("url")
-        .agg(
-            F.max_by("text", "doc_seq").alias("text"),
-            F.min("doc_seq").alias("doc_seq"),
-        )
-        .select("url", "doc_seq", "text")
-    )
+    smallest ``doc_seq`` as its position. Narrow (url, doc_seq) rows find both numbers with map-side combining; the
+    texts are joined to them by (url, doc_seq), once, so a url repeated in a third of the rows is spread by its
+    positions. ``doc_seq`` tells the rows of a url apart (``read_corpus`` numbers them so)."""
+    clean = clean_corpus(docs)
+    keys = clean.groupBy("url").agg(F.max("doc_seq").alias("doc_seq"), F.min("doc_seq").alias("_first"))
+    return clean.join(keys, ["url", "doc_seq"]).select("url", F.col("_first").alias("doc_seq"), "text")
 
 
 def with_length(docs: DataFrame) -> DataFrame:
@@ -59,17 +53,11 @@ def postings(docs: DataFrame) -> DataFrame:
     return token_rows(docs).groupBy("term", "url", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def accumulate_postings(docs: DataFrame) -> DataFrame:
-    """X1 option ``on_duplicate='accumulate'``: re-indexing a url adds to its
-    old postings, while its length is that of the last text."""
-    clean = clean_corpus(docs)
-    last = last_wins(clean).select("url", char_length("text").alias("dl"))
-    counts = (
-        clean.select("url", F.explode(terms("text")).alias("term"))
-        .groupBy("term", "url")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    return counts.join(last, "url").select("term", "url", "tf", "dl")
+def accumulate_postings(versions: DataFrame, docs: DataFrame) -> DataFrame:
+    """X1 option ``on_duplicate='accumulate'``: re-indexing a url adds to its old postings. ``versions(url, text)`` are all
+    its texts as indexed (expanded, if documents are), ``docs(url, dl)`` has the length of the last one."""
+    counts = versions.select("url", F.explode(terms("text")).alias("term")).groupBy("term", "url").agg(F.count(F.lit(1)).alias("tf"))
+    return counts.join(docs.select("url", "dl"), "url").select("term", "url", "dl", "tf")
 
 
 def corpus_stats(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.plans.strategy import maybe_broadcast
+from quarry.config import DEFAULT
+from quarry.plans.strategy import sized_join, stored
 from quarry.session import ensure_checkpoint_dir
 
 
@@ -57,9 +58,9 @@ def rank_all(scores: DataFrame, key: str = "query_id", score: str = "score", dig
     )
     w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    offsets = maybe_broadcast(offsets, 1_000_000)
+    offsets = stored(offsets, "rank-offsets")
     return (
-        numbered.join(offsets, ["_pid", key])
+        sized_join(numbered, offsets, ["_pid", key], "url", DEFAULT.broadcast_bytes, DEFAULT.salts)
         .withColumn("rank", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("bigint"))
         .drop("_s", "_pid", "_mid", "_first", "_cnt", "_before")
     )

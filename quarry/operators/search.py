@@ -1,10 +1,10 @@
 """Query-side operators: query terms, BM25 lookup and scoring (J1, J2,
 A8, Q2), hybrid blend (J3, U1), expansion difference (J8, U3).
 
-Many queries are answered in one plan: the query-term table is joined to
-the postings. The query side is small and checked before it is broadcast;
-postings are only streamed, filtered to the query terms, never shuffled by
-term (a frequent term would make that shuffle skewed).
+Many queries are answered in one plan: the stored table of query terms is joined to
+the postings. Within its byte bound it is broadcast, so postings are only streamed and
+filtered; beyond, both sides are dealt by (term, piece of the url), never by the bare
+term, which a frequent term would skew.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarry.config import DEFAULT, Params
 from quarry.functions.text import terms
 from quarry.operators.index import bm25, idf
-from quarry.plans.strategy import one_row, small
+from quarry.plans.strategy import one_row, sized_join, stored
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -28,42 +28,45 @@ def original_weights(qterms: DataFrame, weight: float) -> DataFrame:
     return qterms.groupBy("query_id", "term").agg((F.count(F.lit(1)) * F.lit(weight)).alias("weight"))
 
 
+def lookup(postings: DataFrame, terms_df: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The postings of the terms in ``terms_df`` (stored; its other columns come along)."""
+    return sized_join(postings, terms_df, "term", "url", params.broadcast_bytes, params.salts)
+
+
+def _restricted(postings: DataFrame, urls: DataFrame | None, params: Params) -> DataFrame:
+    if urls is None:
+        return postings
+    return sized_join(postings, stored(urls.select("url").distinct(), "wanted-urls"), "url", "term", params.broadcast_bytes, params.salts, "left_semi")
+
+
+def _score(stats: DataFrame, rows: DataFrame, params: Params) -> DataFrame:
+    """``rows`` (tf, dl, df) with ``bm25``."""
+    return rows.crossJoin(one_row(stats.select("n_docs", "avdl"))).withColumn(
+        "bm25", bm25(F.col("tf"), F.col("dl"), F.col("avdl"), idf(F.col("df"), F.col("n_docs")), params.k1, params.b))
+
+
 def term_bm25(postings: DataFrame, term_stats: DataFrame, stats: DataFrame, terms_df: DataFrame,
               params: Params = DEFAULT, restrict_urls: DataFrame | None = None) -> DataFrame:
     """J1 + J2: (term, url, bm25) for the distinct terms in ``terms_df``.
 
-    ``terms_df`` is broadcast after a size check; postings are filtered by
-    it map-side. Document frequencies come from ``term_stats`` restricted
-    to the same terms (small). ``restrict_urls`` scores only those
-    documents while keeping corpus-wide statistics (used to score judged
+    ``restrict_urls`` scores only those documents while keeping corpus-wide statistics (used to score judged
     documents cheaply)."""
-    wanted = small(terms_df.select("term").distinct(), params.broadcast_terms)
-    dfs = small(term_stats.join(wanted, "term"), params.broadcast_terms)
-    post = postings.join(wanted, "term")
-    if restrict_urls is not None:
-        post = post.join(small(restrict_urls.select("url").distinct(), params.broadcast_terms), "url")
-    return (
-        post.join(dfs, "term")
-        .crossJoin(one_row(stats.select("n_docs", "avdl")))
-        .select(
-            "term",
-            "url",
-            bm25(F.col("tf"), F.col("dl"), F.col("avdl"), idf(F.col("df"), F.col("n_docs")), params.k1, params.b).alias("bm25"),
-        )
-    )
+    wanted = stored(terms_df.select("term").distinct().join(term_stats, "term"), "query-df")
+    return _score(stats, lookup(_restricted(postings, restrict_urls, params), wanted, params), params).select("term", "url", "bm25")
 
 
 def lexical_scores(postings: DataFrame, term_stats: DataFrame, stats: DataFrame, weighted_terms: DataFrame,
                    params: Params = DEFAULT, restrict_urls: DataFrame | None = None) -> DataFrame:
     """(query_id, url, lex) = sum over the query's weighted terms of
     weight * bm25. Per-term score maps are merged by addition."""
-    scored = term_bm25(postings, term_stats, stats, weighted_terms, params, restrict_urls)
-    wt = small(weighted_terms.select("query_id", "term", "weight"), params.broadcast_terms)
-    return (
-        scored.join(wt, "term")
-        .groupBy("query_id", "url")
-        .agg(F.sum(F.col("weight") * F.col("bm25")).alias("lex"))
-    )
+    weighted = stored(weighted_terms.select("query_id", "term", "weight").join(term_stats, "term"), "query-weights")
+    rows = lookup(_restricted(postings, restrict_urls, params), weighted, params)
+    return _score(stats, rows, params).groupBy("query_id", "url").agg(F.sum(F.col("weight") * F.col("bm25")).alias("lex"))
+
+
+def merge_scores(old: DataFrame, new: DataFrame, score: str = "lex") -> DataFrame:
+    """Two (query_id, url, score) maps, added."""
+    return old.unionByName(new).groupBy("query_id", "url").agg(F.sum(score).alias(score))
 
 
 def new_terms(expanded: DataFrame, qterms: DataFrame) -> DataFrame:
@@ -73,13 +76,16 @@ def new_terms(expanded: DataFrame, qterms: DataFrame) -> DataFrame:
 
 def blend(lex: DataFrame, sem: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """The union of urls from both scorers, a missing side
-    counts 0: score = w_lex * lex + w_sem * cos."""
-    return (
-        lex.join(sem, ["query_id", "url"], "full_outer")
-        .select(
-            "query_id",
-            "url",
-            (F.lit(params.w_lexical) * F.coalesce("lex", F.lit(0.0))
-             + F.lit(params.w_semantic) * F.coalesce("cos", F.lit(0.0))).alias("score"),
-        )
-    )
+    counts 0: (query_id, url, lex, cos, score = w_lex * lex + w_sem * cos)."""
+    a, b = F.coalesce("lex", F.lit(0.0)), F.coalesce("cos", F.lit(0.0))
+    return lex.join(sem, ["query_id", "url"], "full_outer").select(
+        "query_id", "url", a.alias("lex"), b.alias("cos"), (F.lit(params.w_lexical) * a + F.lit(params.w_semantic) * b).alias("score"))
+
+
+def url_counts(lex: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, n_urls), the size of the union of both scorers' urls. The semantic side scores every document, so the
+    union is all documents and the lexical urls that are none of them; no pair is built to count it."""
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    outside = lex.select("query_id", "url").join(docs.select("url"), "url", "left_anti").groupBy("query_id").agg(F.count(F.lit(1)).alias("n_outside"))
+    return queries.select("query_id").distinct().join(outside, "query_id", "left").crossJoin(one_row(n_docs)).select(
+        "query_id", (F.col("n_docs") + F.coalesce("n_outside", F.lit(0))).alias("n_urls")).filter("n_urls > 0")

@@ -1,156 +1,237 @@
 """Vector operators (V1-V5, V8, V9).
 
-Embedders map ``DataFrame(key, text) -> DataFrame(key, entries)``. The
-default ones are signed feature hashing of words (documents, queries) or
-of character trigrams (single words): deterministic, pure Spark SQL and
-reproducible in DuckDB. They are lexical stand-ins for the reference's
-neural model, which is not available here; any other embedder with the
-same signature (for example an Arrow ``pandas_udf``) can be passed in.
-
-Aggregations are keyed by the document key first, so an input already
-hash-partitioned by that key (the output of last-wins) builds vectors
-with no shuffle at all.
+An embedder maps ``DataFrame(key, text) -> DataFrame(key, dims, ws)``: sparse entries, or a dense
+vector in ``ws`` with ``dims`` null; unit length, or zero. Row-wise embedders
+(hashing, or any function of an Arrow batch of texts) add no shuffle; supplied vectors
+are joined by key. The default ones hash words (documents, queries) or character trigrams (single
+words): deterministic and reproducible in DuckDB, lexical stand-ins for the reference's
+neural model, which is not available here.
+
+Every product of two vector tables (V3, V4) packs both sides into blocks and multiplies
+block by block in the tasks; each task keeps the best n rows per query.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-import numpy as np
-
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import terms
-from quarry.functions.vector import hash_dim, hash_sign, trigrams
+from quarry.config import DEFAULT, Params
+from quarry.functions.text import normalize
+from quarry.operators import blocks
+from quarry.plans.strategy import stored, table_bytes
+
+VECTOR = "dims array<int>, ws array<double>"
+
+
+def _types(df: DataFrame, columns: list[str]) -> str:
+    kinds = dict(df.dtypes)
+    return ", ".join(f"`{c}` {kinds[c]}" for c in columns)
 
 
-def _hashed(features: DataFrame, key: str, size: int) -> DataFrame:
-    """features(key, f) -> (key, dims, ws): sum of signed one-hot vectors,
-    scaled to unit length. A key whose only feature is null (no features)
-    gets the zero vector. The norm is an aggregate output, computed once
-    per key."""
-    per_dim = features.groupBy(key, hash_dim(F.col("f"), size).alias("dim")).agg(
-        F.sum(hash_sign(F.col("f"))).alias("v"))
-    per_key = per_dim.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.when(F.col("dim").isNotNull(), F.struct("dim", "v")))).alias("raw"),
-        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("nrm"))
-    return per_key.select(
-        key,
-        F.col("raw.dim").alias("dims"),
-        F.transform("raw", lambda e: F.when(F.col("nrm") > 0, e["v"] / F.col("nrm")).otherwise(F.lit(0.0))).alias("ws"))
+class RowEmbedder:
+    """Embeds each row by itself: ``prepared`` is evaluated by Spark, ``batch`` gets its values in Arrow batches."""
+
+    dense = False
+    costly = False
+
+    def prepared(self, text: str) -> Column:
+        return F.col(text)
+
+    def batch(self):
+        raise NotImplementedError
+
+    def embed(self, df: DataFrame, key: str | list[str], text: str = "text") -> DataFrame:
+        keys = [key] if isinstance(key, str) else list(key)
+        rows = df.select(*keys, self.prepared(text).alias("_text"))
+        return rows.mapInArrow(blocks.embed_fn(self.batch(), keys, self.dense), f"{_types(df, keys)}, {VECTOR}")
 
 
 @dataclass(frozen=True)
-class WordHashEmbedder:
+class WordHashEmbedder(RowEmbedder):
     """V1 (b): normalised words, hashed to ``size`` signed dimensions, raw
     counts, unit length. The empty word carries no weight."""
 
     size: int = 256
 
-    def embed(self, df: DataFrame, key: str, text: str = "text", partitioned: bool = False) -> DataFrame:
-        src = df.select(key, text) if partitioned else df.select(key, text).repartition(key)
-        words = F.filter(terms(text), lambda t: t != "")
-        return _hashed(src.select(key, F.explode_outer(words).alias("f")), key, self.size)
+    def prepared(self, text: str) -> Column:
+        return normalize(F.coalesce(F.col(text), F.lit("")))
+
+    def batch(self):
+        return blocks.hash_batch(blocks.word_features, self.size)
+
+    def descriptor(self) -> dict:
+        return {"kind": "word-hash", "size": self.size}
 
 
 @dataclass(frozen=True)
-class TrigramHashEmbedder:
+class TrigramHashEmbedder(RowEmbedder):
     """Vectors for single words: character trigrams of '#word#', hashed."""
 
     size: int = 256
 
-    def embed(self, df: DataFrame, key: str | list[str], text: str = "term", partitioned: bool = False) -> DataFrame:
+    def batch(self):
+        return blocks.hash_batch(blocks.trigram_features, self.size)
+
+    def descriptor(self) -> dict:
+        return {"kind": "trigram-hash", "size": self.size}
+
+
+@dataclass(frozen=True)
+class ArrowEmbedder(RowEmbedder):
+    """Any function of a list of texts to a matrix of ``size`` columns (a model's encode, say), called per Arrow batch in the tasks.
+    ``name`` stands for it in a stored index. Distinct texts are embedded once, as a call may be dear."""
+
+    fn: object
+    size: int
+    name: str
+
+    dense = True
+    costly = True
+
+    def batch(self):
+        return self.fn
+
+    def descriptor(self) -> dict:
+        return {"kind": "arrow", "size": self.size, "name": self.name}
+
+
+@dataclass(frozen=True)
+class SuppliedVectors:
+    """V1 (a): vectors that exist already, ``vectors(key, vec)``, looked up by the first key column as a string. Rows without one get the zero vector."""
+
+    vectors: DataFrame = field(compare=False)
+    size: int = 64
+    name: str = "supplied"
+    key: str = "key"
+    vec: str = "vec"
+
+    costly = False
+
+    def embed(self, df: DataFrame, key: str | list[str], text: str = "text") -> DataFrame:
         keys = [key] if isinstance(key, str) else list(key)
-        k = "_k"
-        src = df.select(F.struct(*keys).alias(k), F.col(text))
-        if not partitioned:
-            src = src.repartition(k)
-        res = _hashed(src.select(k, F.explode_outer(trigrams(F.col(text))).alias("f")), k, self.size)
-        return res.select(*[F.col(f"{k}.{c}").alias(c) for c in keys], "dims", "ws")
+        known = self.vectors.select(F.col(self.key).cast("string").alias("_key"), F.transform(self.vec, lambda x: x.cast("double")).alias("_v"))
+        norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
+        unit = known.select("_key", F.col("_v"), norm.alias("_n")).select(
+            "_key", F.transform("_v", lambda x: F.when(F.col("_n") > 0, x / F.col("_n")).otherwise(F.lit(0.0))).alias("ws"))
+        rows = df.select(*keys, F.col(keys[0]).cast("string").alias("_key")).join(unit, "_key", "left")
+        return rows.select(*keys, F.lit(None).cast("array<int>").alias("dims"), F.coalesce("ws", F.array().cast("array<double>")).alias("ws"))
+
+    def descriptor(self) -> dict:
+        return {"kind": "supplied", "size": self.size, "name": self.name}
+
 
+def embedder_of(descriptor: dict):
+    """The embedder that a stored index names; supplied and custom ones must be passed by the caller."""
+    kinds = {"word-hash": WordHashEmbedder, "trigram-hash": TrigramHashEmbedder}
+    if descriptor["kind"] not in kinds:
+        raise ValueError(f"the index was built with {descriptor}; pass that embedder")
+    return kinds[descriptor["kind"]](descriptor["size"])
 
-def embed_distinct(docs: DataFrame, embedder, key: str = "url", text: str = "text") -> DataFrame:
+
+def embed_distinct(docs: DataFrame, embedder, key: str = "url", text: str = "text", order: str = "doc_seq") -> DataFrame:
     """V8 with A10: embed each distinct text once, then give every key the
-    vector of its text. Texts are keyed by a SHA-256 digest, so the join
-    back moves 32-byte keys, never the texts."""
-    keyed = docs.select(key, text, F.sha2(F.col(text), 256).alias("_h"))
-    uniq = keyed.groupBy("_h").agg(F.first(text).alias(text))          # one row per distinct text
-    vec = embedder.embed(uniq, "_h", text, partitioned=True)
+    vector of its text. Texts are told apart by their SHA-256 digests: narrow rows find the first
+    row of each digest, only those rows' texts are embedded, and vectors go back by digest."""
+    keyed = docs.select(key, order, F.unhex(F.sha2(F.col(text), 256)).alias("_h"))
+    first = keyed.groupBy("_h").agg(F.min(order).alias(order))
+    chosen = docs.select(order, text).join(first, order)
+    vec = stored(embedder.embed(chosen, "_h", text), "distinct-vectors")
     return keyed.select(key, "_h").join(vec, "_h").select(key, "dims", "ws")
 
 
+def embed_all(docs: DataFrame, embedder, key: str = "url", text: str = "text") -> DataFrame:
+    """V8: vectors of all documents; dear embedders see each distinct text once."""
+    return embed_distinct(docs, embedder, key, text) if embedder.costly else embedder.embed(docs, key, text)
+
+
 def sparse_rows(vectors: DataFrame, key: str) -> DataFrame:
     """(key, dim, w) rows, for output and inspection."""
-    return vectors.select(key, F.inline(F.arrays_zip(F.col("dims").alias("dim"), F.col("ws").alias("w"))))
-
-
-SCORE_SCHEMA = "query_id long, url string, lex double, cos double, score double"
-JUDGED_SCHEMA = "query_id long, url string, n_better long"
-
-
-def score_all(doc_vec: DataFrame, query_vec: DataFrame, size: int, lex: DataFrame | None = None,
-              w_lex: float = 0.0, w_sem: float = 1.0, max_query_rows: int = 20_000,
-              keep: int | None = None, judged: list | None = None) -> DataFrame:
-    """One row per (query, document):
-    (query_id, url, lex, cos, score = w_lex * lex + w_sem * cos).
-
-    The lexical scores (sparse) are grouped by url and joined to the
-    document vectors, so each document row carries them; the query batch
-    (size-checked, split into bounded chunks beyond the bound) is shipped
-    to every task and the product is computed batch-wise with numpy. No
-    query x document row is shuffled. ``keep`` and ``judged`` reduce the
-    output inside the task (see blocks.score_fn)."""
-    from quarry.operators.blocks import score_fn
-    from quarry.plans.strategy import chunked_collect
-
-    docs = doc_vec.select("url", "dims", "ws")
-    if lex is not None:
-        by_url = lex.groupBy("url").agg(F.collect_list(F.struct("query_id", "lex")).alias("l")).select(
-            "url", F.col("l.query_id").alias("lex_q"), F.col("l.lex").alias("lex_v"))
-        docs = docs.join(by_url, "url", "left")
-    else:
-        docs = docs.select("url", "dims", "ws", F.lit(None).cast("array<long>").alias("lex_q"),
-                           F.lit(None).cast("array<double>").alias("lex_v"))
-    parts = []
-    for rows in chunked_collect(query_vec.select("query_id", "dims", "ws"), "query_id", max_query_rows):
-        rows = sorted(rows, key=lambda r: r["query_id"])
-        ids = np.asarray([r["query_id"] for r in rows], dtype=np.int64)
-        schema = JUDGED_SCHEMA if judged is not None else SCORE_SCHEMA
-        parts.append(docs.mapInPandas(
-            score_fn(ids, [(r["dims"], r["ws"]) for r in rows], size, w_lex, w_sem, keep, judged), schema))
-    if not parts:
-        return doc_vec.sparkSession.createDataFrame([], JUDGED_SCHEMA if judged is not None else SCORE_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def nearest_terms(word_vec: DataFrame, vocab_vec: DataFrame, k: int, size: int, digits: int = 9,
-                  max_word_rows: int = 20_000) -> DataFrame:
-    """V4: the ``k`` vocabulary terms nearest to each query word.
-    word_vec(query_id, pos, dims, ws) x vocab_vec(term, dims, ws) ->
-    (query_id, pos, term, sim, rank).
-
-    Query words are few (size-checked, chunked beyond the bound) and shipped
-    to every task; each vocabulary batch keeps only its k best terms per
-    word (partial top-k), then a window picks the final k per word, itself
-    planned with a partial group limit before its shuffle."""
-    from quarry.operators.blocks import nearest_fn
-    from quarry.plans.strategy import chunked_collect
-
-    parts = []
-    for rows in chunked_collect(word_vec.select("query_id", "pos", "dims", "ws"), ["query_id", "pos"],
-                                max_word_rows):
-        keys = [(r["query_id"], r["pos"]) for r in rows]
-        parts.append(vocab_vec.select("term", "dims", "ws").mapInPandas(
-            nearest_fn(keys, [(r["dims"], r["ws"]) for r in rows], size, k),
-            "query_id long, pos long, term string, sim double"))
-    if not parts:
-        return word_vec.sparkSession.createDataFrame([], "query_id long, pos long, term string, sim double, rank long")
-    sims = parts[0]
-    for p in parts[1:]:
-        sims = sims.unionByName(p)
-    win = Window.partitionBy("query_id", "pos").orderBy(F.round("sim", digits).desc(), F.col("term").asc())
-    return sims.withColumn("rank", F.row_number().over(win).cast("bigint")).filter(F.col("rank") <= k)
+    dims = F.coalesce("dims", F.transform("ws", lambda _, i: i))
+    return vectors.select(key, F.inline(F.arrays_zip(dims.alias("dim"), F.col("ws").alias("w"))))
+
+
+# ---------------------------------------------------------------- block products
+
+def _arrow(kind: str) -> pa.DataType:
+    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}[kind]
+
+
+def packed(vectors: DataFrame, key: str, size: int, rows: int) -> DataFrame:
+    """(keys, mat): blocks of at most ``rows`` vectors of a partition."""
+    kind = dict(vectors.dtypes)[key]
+    return vectors.select(key, "dims", "ws").mapInArrow(blocks.pack_fn(rows, size, _arrow(kind)), f"keys array<{kind}>, mat binary")
+
+
+def _met(docs: DataFrame, queries: DataFrame, salts: int, max_bytes: int) -> DataFrame:
+    """Every block of documents beside every block of queries (stored). A batch of queries within the bound is broadcast and the
+    documents stay where they are; a larger one is dealt: each piece gets all its blocks, document blocks go to one piece each."""
+    n_bytes = queries.agg(F.sum(F.octet_length("q_mat"))).first()[0] or 0
+    if n_bytes <= max_bytes:
+        return docs.crossJoin(F.broadcast(queries))
+    dealt = docs.withColumn("_d", F.pmod(F.xxhash64(F.element_at("keys", 1)), F.lit(salts)).cast("int"))
+    return dealt.join(queries.withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), "_d").drop("_d")
+
+
+def _query_blocks(queries: DataFrame, key: str, size: int) -> DataFrame:
+    """The packed queries, in as few blocks as they need."""
+    queries = stored(queries.select(key, "dims", "ws"), "query-vectors")
+    n = max(1, -(-queries.count() // blocks.BLOCK_QUERIES))
+    blocked = packed(queries.repartition(n) if n > 1 else queries.coalesce(1), key, size, blocks.BLOCK_QUERIES)
+    return stored(blocked.select(F.col("keys").alias("q_keys"), F.col("mat").alias("q_mat")), "query-blocks")
+
+
+def nearest(doc_vec: DataFrame, query_vec: DataFrame, n: int, size: int, key: str = "url", query_key: str = "query_id",
+            params: Params = DEFAULT) -> DataFrame:
+    """(query_key, key, sim, rank): the ``n`` rows of ``doc_vec`` nearest to each row of ``query_vec`` by cosine,
+    rounded to 9 digits, ties by key.
+
+    All products are formed, block by block in the tasks; a task hands on n rows per query at most, and a
+    window picks the final ones. No vector passes through the driver but a broadcast within the bound."""
+    kind = dict(query_vec.dtypes)[query_key]
+    pairs = _met(packed(doc_vec, key, size, blocks.BLOCK_ROWS), _query_blocks(query_vec, query_key, size), params.salts * 4, params.broadcast_bytes)
+    best = pairs.select("keys", "mat", "q_keys", "q_mat").mapInArrow(
+        blocks.nearest_fn(n, size, _arrow(kind)), f"q_key {kind}, key string, sim double")
+    win = Window.partitionBy("q_key").orderBy(F.col("sim").desc(), F.col("key").asc())
+    return best.withColumn("rank", F.row_number().over(win).cast("bigint")).filter(F.col("rank") <= n).select(
+        F.col("q_key").alias(query_key), F.col("key").alias(key), "sim", "rank")
+
+
+def all_cosines(doc_vec: DataFrame, query_vec: DataFrame, size: int, params: Params = DEFAULT) -> DataFrame:
+    """V3 in full: (query_id, url, cos) of every pair, as the reference's search ranks every document."""
+    pairs = _met(packed(doc_vec, "url", size, blocks.BLOCK_ROWS), _query_blocks(query_vec, "query_id", size), params.salts * 4, params.broadcast_bytes)
+    return pairs.select("keys", "mat", "q_keys", "q_mat").mapInArrow(
+        blocks.products_fn(size, pa.int64()), "q_key bigint, key string, cos double").select(F.col("q_key").alias("query_id"), F.col("key").alias("url"), "cos")
+
+
+def count_nearer(doc_vec: DataFrame, query_vec: DataFrame, judged: DataFrame, weight: float, size: int, params: Params = DEFAULT) -> DataFrame:
+    """(query_id, url, n_before): for each judged row (query_id, url, s), how many documents come before it by
+    weight * cosine (higher, or the same and a smaller url). All documents are counted, in count vectors per task."""
+    blocked = _query_blocks(query_vec.join(judged.select("query_id").distinct(), "query_id", "left_semi"), "query_id", size)
+    lists = judged.groupBy("query_id").agg(F.collect_list(F.struct("s", "url")).alias("rows"))
+    at = blocked.select("q_mat", "q_keys", F.posexplode("q_keys").alias("pos", "query_id"))
+    with_rows = at.join(lists, "query_id").groupBy("q_keys", "q_mat").agg(F.sort_array(F.collect_list(F.struct("pos", "rows"))).alias("j"))
+    blocked = stored(with_rows.select("q_keys", "q_mat", F.col("j.rows").alias("judged")), "judged-blocks")
+    pairs = _met(packed(doc_vec, "url", size, blocks.BLOCK_ROWS), blocked, params.salts * 4, params.broadcast_bytes)
+    counts = pairs.select("keys", "mat", "q_keys", "q_mat", "judged").mapInArrow(blocks.count_fn(size, weight), "query_id bigint, url string, n_before bigint")
+    return counts.groupBy("query_id", "url").agg(F.sum("n_before").alias("n_before"))
+
+
+def pair_cosines(pairs: DataFrame, doc_vec: DataFrame, query_vec: DataFrame, size: int) -> DataFrame:
+    """``pairs`` (query_id, url, ...; stored) with the cosine of their two vectors in ``cos``; a document or query without a vector has 0."""
+    kept = pairs.columns
+    rows = pairs.join(doc_vec.select("url", "dims", "ws"), "url", "left").join(
+        query_vec.select("query_id", F.col("dims").alias("q_dims"), F.col("ws").alias("q_ws")), "query_id", "left")
+    return rows.select(*kept, "dims", "ws", "q_dims", "q_ws").mapInArrow(blocks.pair_cos_fn(size, kept), f"{_types(pairs, kept)}, cos double")
+
+
+def nearest_terms(qterms: DataFrame, vocab_vec: DataFrame, term_embedder, k: int, params: Params = DEFAULT) -> DataFrame:
+    """The ``k`` vocabulary terms nearest to each query word: qterms(query_id, pos, term) x vocab_vec(term, dims, ws) ->
+    (query_id, pos, term, sim, rank). Each distinct word is compared once."""
+    words = qterms.select(F.col("term").alias("word")).distinct()
+    near = nearest(vocab_vec, term_embedder.embed(words, "word", "word"), k, term_embedder.size, "term", "word", params)
+    near = stored(near, "near-terms")
+    return qterms.select("query_id", "pos", F.col("term").alias("word")).join(near, "word").select("query_id", "pos", "term", "sim", "rank")

@@ -20,6 +20,7 @@ from quarry.operators import index as ix
 from quarry.operators import rank as rk
 from quarry.operators import search as se
 from quarry.plans import oracle as o
+from quarry.plans.strategy import one_row, sized_join, stored
 from quarry.sources import corpus as src
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,16 +47,21 @@ def _docs(spark, d):
 
 
 def _lex_parts(spark, d):
+    """Postings (stored: every reader starts from them), term and corpus statistics."""
     docs = _docs(spark, d)
-    post = ix.postings(docs)
-    return docs, post, ix.term_stats(post), ix.corpus_stats(docs)
+    post = stored(ix.postings(docs), "postings")
+    return post, ix.term_stats(post), ix.corpus_stats(docs)
 
 
-def _lex_scores(spark, d, restrict_urls=None):
-    docs, post, ts, stats = _lex_parts(spark, d)
-    qt = se.query_terms(src.queries(spark, d))
-    w = se.original_weights(qt, P.w_original)
-    return se.lexical_scores(post, ts, stats, w, P, restrict_urls).withColumnRenamed("lex", "score")
+def _lex_scores(spark, d):
+    post, ts, stats = _lex_parts(spark, d)
+    w = se.original_weights(se.query_terms(src.queries(spark, d)), P.w_original)
+    return se.lexical_scores(post, ts, stats, w, P).withColumnRenamed("lex", "score")
+
+
+def _last(spark, d):
+    """The documents, one row per url, stored."""
+    return stored(ix.last_wins(_docs(spark, d)), "documents")
 
 
 # ---------------------------------------------------------------- scans / text
@@ -65,6 +71,15 @@ def s1(spark, d):
     return _docs(spark, d)
 
 
+@register("s1_read_corpus", "SELECT CAST(doc_id AS VARCHAR) AS url, row_number() OVER (ORDER BY doc_id) - 1 AS doc_seq, text FROM documents")
+def s1_read(spark, d):
+    """A crawled corpus of several files without positions: rows are numbered by file and row."""
+    path = _scratch(spark, "crawled")
+    rows = src.table(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("URL"), F.col("text").alias("content"))
+    store.write_table(rows.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").drop("doc_id"), path)
+    return src.read_corpus(spark, path)
+
+
 @register("p2_normalize", o.ctes(o.DOCS) + f"SELECT url, {o.norm('text')} AS normalized FROM docs")
 def p2(spark, d):
     return _docs(spark, d).select("url", normalize("text").alias("normalized"))
@@ -165,16 +180,14 @@ def a10(spark, d):
           o.ctes(o.DOCS, o.TOKS, o.POSTINGS, o.QUERIES, o.QTERMS)
           + "SELECT q.query_id, q.pos, p.term, p.url, p.tf FROM qterms q JOIN postings p ON q.term = p.term")
 def j1(spark, d):
-    post = ix.postings(_docs(spark, d))
     qt = se.query_terms(src.queries(spark, d)).withColumn("pos", F.col("pos").cast("bigint"))
-    from quarry.plans.strategy import maybe_broadcast
-    return post.join(maybe_broadcast(qt, P.broadcast_rows), "term").select("query_id", "pos", "term", "url", "tf")
+    return se.lookup(ix.postings(_docs(spark, d)), stored(qt, "query-terms"), P).select("query_id", "pos", "term", "url", "tf")
 
 
 @register("j2_term_bm25",
           o.ctes(*o.LEX_BASE[:8]) + "SELECT term, url, round(bm25, 6) AS bm25 FROM term_bm25")
 def j2(spark, d):
-    docs, post, ts, stats = _lex_parts(spark, d)
+    post, ts, stats = _lex_parts(spark, d)
     qt = se.query_terms(src.queries(spark, d))
     return se.term_bm25(post, ts, stats, qt, P).select("term", "url", r6("bm25").alias("bm25"))
 
@@ -224,11 +237,14 @@ def q5(spark, d):
 
 # ---------------------------------------------------------------- metrics (lexical engine)
 
+def _lex_ranks(spark, d):
+    """Ranks of the judged documents by lexical score, and the judgements; scores are computed once."""
+    scores, qrels = stored(_lex_scores(spark, d), "lexical"), stored(src.qrels(spark, d), "qrels")
+    return ev.judged_ranks(scores, qrels, params=P), qrels
+
+
 def _lex_metrics(spark, d, digits):
-    scores = _lex_scores(spark, d)
-    qrels = src.qrels(spark, d)
-    judged = _lex_scores(spark, d, restrict_urls=qrels)
-    ranks = ev.judged_ranks(scores, qrels, judged)
+    ranks, qrels = _lex_ranks(spark, d)
     return ev.per_query(ranks, qrels, src.queries(spark, d), P.eval_k, digits)
 
 
@@ -236,38 +252,34 @@ def _lex_metrics(spark, d, digits):
           o.ctes(*o.LEX_BASE, o.RANKED_LEX, o.QRELS)
           + "SELECT q.query_id, q.url, r.rank FROM qrels q JOIN ranked r ON q.query_id = r.query_id AND q.url = r.url")
 def j7(spark, d):
-    qrels = src.qrels(spark, d)
-    return ev.judged_ranks(_lex_scores(spark, d), qrels, _lex_scores(spark, d, restrict_urls=qrels))
+    return _lex_ranks(spark, d)[0]
 
 
-_PQ = o.metrics_sql(o.LEX_BASE + [o.RANKED_LEX], P.eval_k, per_query=True)
+def _metric_sql(name: str) -> str:
+    return o.metrics_sql(o.LEX_BASE + [o.RANKED_LEX], P.eval_k, (name,))
 
 
-@register("m1_precision_at_k", _PQ.replace("SELECT query_id, round(precision_at_k, 6) AS precision_at_k, round(recall_at_k, 6) AS recall_at_k, round(rr, 6) AS rr, round(ndcg, 6) AS ndcg FROM pq",
-                                           "SELECT query_id, round(precision_at_k, 6) AS precision_at_k FROM pq"))
+@register("m1_precision_at_k", _metric_sql("precision_at_k"))
 def m1(spark, d):
     return _lex_metrics(spark, d, 6).select("query_id", "precision_at_k")
 
 
-@register("m2_recall_at_k", _PQ.replace("SELECT query_id, round(precision_at_k, 6) AS precision_at_k, round(recall_at_k, 6) AS recall_at_k, round(rr, 6) AS rr, round(ndcg, 6) AS ndcg FROM pq",
-                                        "SELECT query_id, round(recall_at_k, 6) AS recall_at_k FROM pq"))
+@register("m2_recall_at_k", _metric_sql("recall_at_k"))
 def m2(spark, d):
     return _lex_metrics(spark, d, 6).select("query_id", "recall_at_k")
 
 
-@register("m3_reciprocal_rank", _PQ.replace("SELECT query_id, round(precision_at_k, 6) AS precision_at_k, round(recall_at_k, 6) AS recall_at_k, round(rr, 6) AS rr, round(ndcg, 6) AS ndcg FROM pq",
-                                            "SELECT query_id, round(rr, 6) AS rr FROM pq"))
+@register("m3_reciprocal_rank", _metric_sql("rr"))
 def m3(spark, d):
     return _lex_metrics(spark, d, 6).select("query_id", "rr")
 
 
-@register("m4_ndcg_at_k", _PQ.replace("SELECT query_id, round(precision_at_k, 6) AS precision_at_k, round(recall_at_k, 6) AS recall_at_k, round(rr, 6) AS rr, round(ndcg, 6) AS ndcg FROM pq",
-                                      "SELECT query_id, round(ndcg, 6) AS ndcg FROM pq"))
+@register("m4_ndcg_at_k", _metric_sql("ndcg"))
 def m4(spark, d):
     return _lex_metrics(spark, d, 6).select("query_id", "ndcg")
 
 
-@register("m5_lexical_evaluation", o.metrics_sql(o.LEX_BASE + [o.RANKED_LEX], P.eval_k, per_query=False))
+@register("m5_lexical_evaluation", o.metrics_sql(o.LEX_BASE + [o.RANKED_LEX], P.eval_k))
 def m5_lex(spark, d):
     return ev.mean_metrics(_lex_metrics(spark, d, None))
 
@@ -276,7 +288,7 @@ def m5_lex(spark, d):
 
 from quarry.operators import vectors as vx  # noqa: E402
 from quarry.operators.blocks import best_seed_fn  # noqa: E402
-from quarry.operators.expand import best_seed, expand_documents  # noqa: E402
+from quarry.operators.expand import best_seed, expand_documents, neighbour_terms, weighted_terms  # noqa: E402
 from quarry.plans import engine as en  # noqa: E402
 
 WORDS = vx.WordHashEmbedder(P.text_dim)
@@ -294,7 +306,7 @@ def _rows6(df, key):
 @register("v1_text_embedding", o.ctes(o.DOCS, *o.word_vec("rv", "docs", "url", "text"))
           + "SELECT url, dim, round(w, 6) AS w FROM rv")
 def v1(spark, d):
-    return _rows6(WORDS.embed(ix.last_wins(_docs(spark, d)), "url", "text", partitioned=True), "url")
+    return _rows6(WORDS.embed(ix.last_wins(_docs(spark, d)), "url", "text"), "url")
 
 
 _EMB = (
@@ -311,31 +323,53 @@ def v2(spark, d):
     """Cosine of every vector with its label's centroid (per-label mean,
     computed with partial aggregation; the centroid table is tiny)."""
     from quarry.functions.vector import cosine
-    from quarry.plans.strategy import maybe_broadcast
     emb = src.table(spark, d, "embeddings")
     cen = (emb.select("label", F.posexplode("embedding").alias("i", "x"))
            .groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("c"))
            .groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("cs"))
            .select("label", F.col("cs.c").alias("centroid")))
-    return emb.join(maybe_broadcast(cen, P.broadcast_rows), "label").select(
+    return sized_join(emb, stored(cen, "centroids"), "label", "vec_id", P.broadcast_bytes, P.salts).select(
         "vec_id", "label", r6(cosine(F.col("embedding"), F.col("centroid"))).alias("cos"))
 
 
-@register("v3_query_doc_cosine", o.ctes(o.DOCS, o.QUERIES, *o.cosine_side("docs"))
-          + "SELECT query_id, url, round(cos, 6) AS cos FROM hcos")
+_DENSE_SQL = (
+    "e AS (SELECT vec_id, i, x / nrm AS x FROM (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS nrm FROM "
+    "(SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings)) WHERE nrm > 0)",
+    "s AS (SELECT q.vec_id AS query_id, e.vec_id, round(sum(q.x * e.x), 9) AS sim FROM e q JOIN e ON q.i = e.i WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)",
+    "r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, CAST(vec_id AS VARCHAR)) AS rank FROM s)",
+)
+
+
+@register("v1_dense_search", o.ctes(*_DENSE_SQL) + f"SELECT query_id, vec_id, rank, round(sim, 6) AS cos FROM r WHERE rank <= {P.eval_k}")
+def v1_dense(spark, d):
+    """Supplied vectors: the ten nearest of all to every fiftieth vector (the stated query set)."""
+    emb = src.table(spark, d, "embeddings")
+    size = emb.agg(F.max(F.size("embedding"))).first()[0] or 1
+    given = vx.SuppliedVectors(emb, size, "embeddings", "vec_id", "embedding")
+    keys = emb.select("vec_id", F.col("vec_id").cast("string").alias("url"))
+    queries = given.embed(keys.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id")), "query_id")
+    near = vx.nearest(given.embed(keys, "url"), queries, P.eval_k, size, params=P)
+    return near.select("query_id", F.col("url").cast("bigint").alias("vec_id"), "rank", r6("sim").alias("cos"))
+
+
+@register("v3_query_doc_cosine", o.ctes(o.DOCS, o.QUERIES, *o.cosine_side("docs"),
+                                        "r AS (SELECT query_id, url, round(cos, 9) AS cos, row_number() OVER (PARTITION BY query_id "
+                                        "ORDER BY round(cos, 9) DESC, url) AS rank FROM hcos)")
+          + f"SELECT query_id, url, rank, round(cos, 6) AS cos FROM r WHERE rank <= {P.report_n}")
 def v3(spark, d):
-    idx = _index(spark, d, expand=False)
-    return en.semantic(idx, src.queries(spark, d)).select("query_id", "url", r6("cos").alias("cos"))
+    """The nearest documents of each query, of all products."""
+    near = vx.nearest(WORDS.embed(ix.last_wins(_docs(spark, d)), "url", "text"), WORDS.embed(src.queries(spark, d), "query_id", "query"),
+                      P.report_n, P.text_dim, params=P)
+    return near.select("query_id", "url", "rank", r6("sim").alias("cos"))
 
 
 @register("v4_query_neighbours", o.ctes(o.DOCS, *o.query_side("docs"))
           + "SELECT query_id, pos, term, rank, round(sim, 6) AS sim FROM nn")
 def v4(spark, d):
-    idx = _index(spark, d, expand=False)
-    qt = se.query_terms(src.queries(spark, d))
-    wv = TRIGRAMS.embed(qt, ["query_id", "pos"], "term")
-    return vx.nearest_terms(wv, idx.vocab_vec, P.neighbours, P.term_dim).select(
-        "query_id", "pos", "term", "rank", r6("sim").alias("sim"))
+    post, ts, stats = _lex_parts(spark, d)
+    vocab = ix.frequent_vocabulary(ts, stats, P.vocab_min_df_frac)
+    near = vx.nearest_terms(se.query_terms(src.queries(spark, d)), TRIGRAMS.embed(vocab, "term", "term"), TRIGRAMS, P.neighbours, P)
+    return near.select("query_id", F.col("pos").cast("bigint").alias("pos"), "term", "rank", r6("sim").alias("sim"))
 
 
 _EMB_SEED = (
@@ -355,16 +389,17 @@ _EMB_SEED = (
 
 
 def _emb_best(spark, d):
-    emb = src.table(spark, d, "embeddings").select(
-        "vec_id", F.sequence(F.lit(0), F.size("embedding") - 1).alias("dims"),
-        F.transform("embedding", lambda x: x.cast("double")).alias("ws"))
-    size = len(emb.select("ws").first()["ws"]) if emb.take(1) else 1
-    seeds = sorted(rk.first_n(emb, P.seed_size, "vec_id").collect(), key=lambda r: r["vec_id"])
     import numpy as np
-    fn = best_seed_fn(np.asarray([r["vec_id"] for r in seeds], dtype=np.int64), [r["vec_id"] for r in seeds],
-                      [(r["dims"], r["ws"]) for r in seeds], size, key="vec_id", seq="vec_id", normalize=True)
-    return emb.mapInPandas(fn, "vec_id long, n_pred long, seed_url long, sim double").withColumnRenamed(
-        "seed_url", "best_id")
+    emb = src.table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("ws"))
+    size = emb.agg(F.max(F.size("ws"))).first()[0] or 1
+    seeds = sorted(rk.first_n(emb, P.seed_size, "vec_id").collect(), key=lambda r: r["vec_id"])
+    ids = [r["vec_id"] for r in seeds]
+    mat = np.zeros((len(seeds), size))
+    for row, r in zip(mat, seeds):
+        row[:len(r["ws"])] = r["ws"]
+    fn = best_seed_fn(np.asarray(ids, dtype=np.int64), ids, mat, ["vec_id"], normalize=True)
+    rows = emb.select("vec_id", F.col("vec_id").alias("seq"), F.lit(None).cast("array<int>").alias("dims"), "ws")
+    return rows.mapInArrow(fn, "vec_id long, n_pred long, seed_url long, sim double").withColumnRenamed("seed_url", "best_id")
 
 
 @register("v5_argmax_neighbour", o.ctes(*_EMB_SEED) + "SELECT vec_id, n_pred, best_id, round(sim, 6) AS sim FROM ebest")
@@ -375,32 +410,32 @@ def v5(spark, d):
 @register("p9_similarity_threshold", o.ctes(o.DOCS, *o.expansion("docs"))
           + f"SELECT url, seed_url, round(sim, 6) AS sim FROM best WHERE sim > {P.expand_threshold}")
 def p9(spark, d):
-    b = best_seed(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True)
+    b = best_seed(_last(spark, d), WORDS, P)
     return b.filter(F.col("sim") > P.expand_threshold).select("url", "seed_url", r6("sim").alias("sim"))
 
 
 @register("v6_doc_expansion", o.ctes(o.DOCS, *o.expansion("docs"))
           + f"SELECT url, n_pred, seed_url, round(sim, 6) AS sim, coalesce(sim > {P.expand_threshold}, false) AS expanded FROM best")
 def v6(spark, d):
-    b = best_seed(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True)
+    b = best_seed(_last(spark, d), WORDS, P)
     return b.select("url", "n_pred", "seed_url", r6("sim").alias("sim"),
                     F.coalesce(F.col("sim") > P.expand_threshold, F.lit(False)).alias("expanded"))
 
 
 @register("v7_bulk_expand", o.ctes(o.DOCS, *o.expansion("docs")) + "SELECT url, text FROM exp_docs")
 def v7(spark, d):
-    return expand_documents(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True).select("url", "text")
+    return expand_documents(_last(spark, d), WORDS, P).select("url", "text")
 
 
 @register("p8_append_neighbour", o.ctes(o.DOCS, *o.expansion("docs"))
           + f"SELECT e.url, length(e.text) - length(d.text) AS added FROM exp_docs e JOIN docs d ON e.url = d.url "
           f"WHERE length(e.text) > length(d.text)")
 def p8(spark, d):
-    docs = ix.last_wins(_docs(spark, d))
-    e = expand_documents(docs, WORDS, P, partitioned=True)
-    return e.filter(F.col("seed_url").isNotNull() & (F.col("sim") > P.expand_threshold)).join(
-        docs.select("url", F.col("text").alias("orig")), "url").select(
-        "url", (F.length("text") - F.length("orig")).cast("bigint").alias("added"))
+    docs = _last(spark, d)
+    e = expand_documents(docs, WORDS, P)
+    return e.filter(F.col("seed_url").isNotNull()).join(
+        docs.select("url", F.length("text").alias("n")), "url").select(
+        "url", (F.length("text") - F.col("n")).cast("bigint").alias("added"))
 
 
 @register("v8_doc_vectors", o.ctes(o.DOCS, *o.expansion("docs"), *o.word_vec("fv", "exp_docs", "url", "text"))
@@ -426,10 +461,10 @@ def q1(spark, d):
 @register("j8_new_terms", o.ctes(o.DOCS, *o.expansion("docs"), *o.query_side("exp_docs"))
           + "SELECT query_id, term FROM newt")
 def j8(spark, d):
+    """All neighbours of the query words, words of the query among them, less those."""
     idx = _index(spark, d)
-    qp = en.query_plan(idx, src.queries(spark, d))
-    return se.new_terms(qp.filter(~F.col("original")).select("query_id", "term"),
-                        qp.filter(F.col("original"))).select("query_id", "term")
+    qt = se.query_terms(src.queries(spark, d))
+    return se.new_terms(neighbour_terms(qt, idx.vocab_vec, idx.term_embedder, P).select("query_id", "term"), qt)
 
 
 @register("q2_weighted_lexical", o.ctes(*o.hybrid()) + "SELECT query_id, url, round(lex, 6) AS lex FROM hlex")
@@ -438,22 +473,23 @@ def q2w(spark, d):
     return en.lexical(idx, src.queries(spark, d)).select("query_id", "url", r6("lex").alias("lex"))
 
 
-@register("q3_hybrid_search", o.ctes(*o.hybrid()) + "SELECT query_id, url, round(score, 6) AS score FROM hscore")
-def q3(spark, d):
-    idx = _index(spark, d)
-    return en.search(idx, src.queries(spark, d)).select("query_id", "url", r6("score").alias("score"))
+_RANKED_H = ("ranked AS (SELECT query_id, url, lex, cos, score, row_number() OVER (PARTITION BY query_id "
+             "ORDER BY round(score, 9) DESC, url ASC) AS rank FROM hscore)")
 
 
-@register("j3_hybrid_merge", o.ctes(*o.hybrid())
-          + "SELECT query_id, url, round(coalesce(lex, 0.0), 6) AS lex, round(cos, 6) AS cos, round(score, 6) AS score FROM hscore")
-def j3(spark, d):
-    idx = _index(spark, d)
-    return en.search(idx, src.queries(spark, d)).select(
-        "query_id", "url", r6(F.coalesce("lex", F.lit(0.0))).alias("lex"), r6("cos").alias("cos"), r6("score").alias("score"))
+@register("q3_hybrid_search", o.ctes(*o.hybrid(), _RANKED_H)
+          + f"SELECT query_id, url, rank, round(score, 6) AS score FROM ranked WHERE rank <= {P.report_n}")
+def q3(spark, d):
+    """The first ranks among all documents, which all count."""
+    return en.top(_index(spark, d), src.queries(spark, d), P.report_n).select("query_id", "url", "rank", r6("score").alias("score"))
 
 
-_RANKED_H = ("ranked AS (SELECT query_id, url, score, row_number() OVER (PARTITION BY query_id "
-             "ORDER BY round(score, 9) DESC, url ASC) AS rank FROM hscore)")
+@register("j3_hybrid_merge", o.ctes(*o.hybrid(), _RANKED_H)
+          + f"SELECT query_id, url, round(coalesce(lex, 0.0), 6) AS lex, round(cos, 6) AS cos, round(score, 6) AS score FROM ranked WHERE rank <= {P.report_n}")
+def j3(spark, d):
+    """Both scores of the first documents and their blend."""
+    merged = en.top(_index(spark, d), src.queries(spark, d), P.report_n)
+    return merged.select("query_id", "url", r6("lex").alias("lex"), r6("cos").alias("cos"), r6("score").alias("score"))
 
 
 @register("q4_top5", o.ctes(*o.hybrid(), _RANKED_H)
@@ -463,7 +499,7 @@ def q4(spark, d):
     return en.top(idx, src.queries(spark, d)).select("query_id", "url", r6("score").alias("score"), "rank")
 
 
-@register("m5_evaluation", o.metrics_sql(o.hybrid() + [_RANKED_H], P.eval_k, per_query=False))
+@register("m5_evaluation", o.metrics_sql(o.hybrid() + [_RANKED_H], P.eval_k))
 def m5(spark, d):
     idx = _index(spark, d)
     return en.evaluate(idx, src.queries(spark, d), src.qrels(spark, d))
@@ -497,7 +533,7 @@ def _scratch(spark, name):
 _FEED_P = "p AS (SELECT page_id, url, html, regexp_extract(url, '://([^/#?]+)', 1) AS host FROM pages)"
 _FEED_ITEMS = (
     "items AS (SELECT 'https://' || host || '/feed/' || CAST(page_id // 50 AS VARCHAR) AS feed_url, page_id, 0 AS kind, "
-    "CASE WHEN page_id % 7 <> 3 THEN url END AS link FROM p UNION ALL "
+    "CASE WHEN page_id % 7 <> 3 OR (page_id % 14 = 3 AND length(host) % 2 = 0) THEN url END AS link FROM p UNION ALL "
     "SELECT 'https://' || host || '/feed/' || CAST(page_id // 50 AS VARCHAR), page_id, 1, url || '-gone' FROM p "
     "WHERE page_id % 5 = 0)"
 )
@@ -560,18 +596,20 @@ def q7(spark, d):
 @register("s8_load_expanded", o.ctes(o.DOCS, *o.expansion("docs")) + "SELECT url, text FROM exp_docs")
 def s8(spark, d):
     path = _scratch(spark, "expanded")
-    store.save_expanded(expand_documents(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True), path)  # S7
+    store.save_expanded(expand_documents(_last(spark, d), WORDS, P), path)  # S7
     return store.load_expanded(spark, path).select("url", "text")
 
 
-@register("s10_load_vectors", o.ctes(o.DOCS, *o.expansion("docs"), *o.word_vec("fv", "exp_docs", "url", "text"))
-          + "SELECT url, dim, round(w, 6) AS w FROM fv")
+@register("s10_load_vectors", o.ctes(o.DOCS, *o.expansion("docs"), *o.word_vec("fv", "exp_docs", "url", "text"), *o.query_side("exp_docs"))
+          + "SELECT 'document' AS part, url AS key, dim, round(w, 6) AS w FROM fv UNION ALL "
+            "SELECT 'word' AS part, term AS key, dim, round(w, 6) AS w FROM vv")
 def s10(spark, d):
     idx = _index(spark, d)
     dp, vp = _scratch(spark, "doc_vec"), _scratch(spark, "vocab_vec")
     store.save_vectors(idx.doc_vec, idx.vocab_vec, dp, vp)              # S9
-    doc_vec, _ = store.load_vectors(spark, dp, vp)
-    return _rows6(doc_vec, "url")
+    parts = zip(("document", "word"), ("url", "term"), store.load_vectors(spark, dp, vp))
+    docs, words = (_rows6(v, k).select(F.lit(part).alias("part"), F.col(k).alias("key"), "dim", "w") for part, k, v in parts)
+    return docs.unionByName(words)
 
 
 @register("s11_reuse_or_build", o.ctes(*o.hybrid(), _RANKED_H)
@@ -588,7 +626,7 @@ def s11(spark, d):
           + "SELECT s.n_docs, s.total_len, (SELECT count(*) FROM ip) AS n_postings, (SELECT count(*) FROM its) AS n_terms, "
             "(SELECT count(*) FROM iv) AS n_frequent FROM ist s")
 def q6(spark, d):
-    idx = pl.bulk_index(spark, _docs(spark, d), _scratch(spark, "index"))
+    idx = pl.bulk_index(spark, _docs(spark, d), _scratch(spark, "index"), reuse=False)
     n_post = idx.postings.agg(F.count(F.lit(1)).alias("n_postings"))
     n_terms = idx.term_stats.agg(F.count(F.lit(1)).alias("n_terms"))
     n_freq = idx.vocab_vec.agg(F.count(F.lit(1)).alias("n_frequent"))
@@ -632,22 +670,51 @@ def st3(spark, d):
     return inc.document_frequency(spark, out)
 
 
+# documents indexed again in a later batch: every tenth, but the seed documents
+_REVISED = ("docs AS (SELECT CAST(doc_id AS VARCHAR) AS url, doc_id AS doc_seq, CASE WHEN doc_id % 10 = 0 AND doc_id NOT IN "
+            f"(SELECT doc_id FROM documents ORDER BY doc_id LIMIT {P.seed_size}) THEN 'revised ' || text ELSE text END AS text FROM documents)")
+
+
+@register("st4_searchable_segments", o.ctes(*o.hybrid(docs=_REVISED), _RANKED_H)
+          + f"SELECT query_id, url, round(score, 6) AS score, rank FROM ranked WHERE rank <= {P.top_n}")
+def st4(spark, d):
+    """Documents arrive in files by position, some again with another text; segments are merged as they come, and the
+    index that is open then answers as one built at once from the last texts."""
+    source, out = _scratch(spark, "stream-src"), _scratch(spark, "stream-out")
+    docs = src.table(spark, d, "documents")
+    ids = docs.select("doc_id").orderBy("doc_id")
+    bounds = [r["b"] for r in ids.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / 3) for i in (1, 2)])).alias("x")).select(F.explode("x").alias("b")).collect()]
+    edges = [None, *bounds, None]
+    for low, high in zip(edges, edges[1:]):
+        part = docs.filter((F.lit(low is None) | (F.col("doc_id") > F.lit(low))) & (F.lit(high is None) | (F.col("doc_id") <= F.lit(high))))
+        part.coalesce(1).write.mode("append").parquet(source)
+    seeds = ids.limit(P.seed_size)
+    again = docs.filter("doc_id % 10 = 0").join(seeds, "doc_id", "left_anti").withColumn("text", F.concat(F.lit("revised "), "text"))
+    again.coalesce(1).write.mode("append").parquet(source)
+    inc.start(spark, source, out, _scratch(spark, "stream-ckpt"), expand=True, fanout=2).awaitTermination()
+    idx = inc.Segments(spark, out, expand=True).open_index()
+    return en.top(idx, src.queries(spark, d)).select("query_id", "url", r6("score").alias("score"), "rank")
+
+
 # ---------------------------------------------------------------- remaining inventory ids
 
 @register("a8_merge_score_maps", o.ctes(*o.hybrid()) + "SELECT query_id, url, round(lex, 6) AS lex FROM hlex")
 def a8(spark, d):
     """Lexical maps of original and of expansion terms, merged by addition."""
     idx = _index(spark, d)
-    from quarry.operators.expand import weighted_terms
-    w = weighted_terms(en.query_plan(idx, src.queries(spark, d)), P)
-    parts = [se.lexical_scores(idx.postings, idx.term_stats, idx.stats, w.filter(cond), P)
-             for cond in (F.col("weight") != P.w_expanded, F.col("weight") == P.w_expanded)]
-    return parts[0].unionByName(parts[1]).groupBy("query_id", "url").agg(r6(F.sum("lex")).alias("lex"))
+    plan = stored(en.query_plan(idx, src.queries(spark, d)), "query-plan")
+    old, new = (se.lexical_scores(idx.postings, idx.term_stats, idx.stats, weighted_terms(plan.filter(F.col("original") == own), P), P)
+                for own in (True, False))
+    return se.merge_scores(old, new).select("query_id", "url", r6("lex").alias("lex"))
 
 
 @register("j5_seed_candidates", o.ctes(o.DOCS, *o.expansion("docs")) + "SELECT url, n_pred FROM best")
 def j5(spark, d):
-    return best_seed(ix.last_wins(_docs(spark, d)), WORDS, P, partitioned=True).select("url", "n_pred")
+    """How many seeds come before each document: positions alone tell."""
+    docs = ix.last_wins(_docs(spark, d)).select("url", "doc_seq")
+    places = rk.first_n(docs.select("doc_seq"), P.seed_size).agg(F.collect_list("doc_seq").alias("seeds"))
+    before = F.size(F.filter("seeds", lambda s: s < F.col("doc_seq"))).cast("bigint")
+    return docs.crossJoin(one_row(places)).select("url", before.alias("n_pred"))
 
 
 @register("w4_new_term_order", o.ctes(o.DOCS, *o.expansion("docs"), *o.query_side("exp_docs"))
@@ -658,4 +725,5 @@ def w4(spark, d):
 
 @register("u1_url_union", o.ctes(*o.hybrid()) + "SELECT query_id, count(*) AS n_urls FROM hscore GROUP BY query_id")
 def u1(spark, d):
-    return q3(spark, d).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_urls"))
+    idx, queries = _index(spark, d), src.queries(spark, d)
+    return se.url_counts(en.lexical(idx, queries), idx.docs, queries)

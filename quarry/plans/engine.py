@@ -1,33 +1,35 @@
-"""The engine as a whole: index build (Q6 without persistence) and hybrid
-search over a table of queries (Q1-Q4), plus evaluation (M5).
+"""The engine as a whole: hybrid search over a table of queries (Q1-Q4) on a
+stored index, and its evaluation (M5).
 
 Plan shape at scale
-- last-wins (A9) shuffles documents by url once; expansion, lengths and
-  document vectors then run inside those partitions (no further shuffle);
-- postings shuffle once by (term, url) with map-side combining;
-- a batch of queries is small: its terms and vectors are broadcast after a
-  size check; postings and document vectors are streamed against them;
-- every document gets a cosine for every query (reference semantics), so
-  the query x document product is built map-side; ranking keeps only what
-  is asked for (top-n with a partial group limit, or judged documents).
+- the postings of a batch's terms give the lexical scores, once, as a stored table;
+- a cosine moves a score by at most ``w_semantic`` either way, so only documents whose lexical
+  score is within twice that of the n-th best can be among the best n: their cosines alone are computed.
+  Where that leaves room for documents without any lexical match (few or weak matches), the n
+  nearest by cosine of these queries join the candidates, from a block product. The result is
+  that of scoring every document, and no query x document table is built;
+- ranks of judged documents are counted the same way: most documents fall clearly before or behind a
+  judged one by their lexical score, the others get their cosine.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT, Params
+from quarry.operators import blocks
 from quarry.operators import evaluate as ev
-from quarry.operators import index as ix
 from quarry.operators import rank as rk
 from quarry.operators import search as se
-from quarry.operators.expand import expand_documents, expand_query_terms, weighted_terms
-from quarry.operators.vectors import TrigramHashEmbedder, WordHashEmbedder, score_all
-from quarry.plans.strategy import small
+from quarry.operators import vectors as vx
+from quarry.operators.expand import expand_query_terms, weighted_terms
+from quarry.plans.strategy import sized_join, stored
+
+#: Room for rounding where scores are compared with bounds.
+SLACK = 1e-6
 
 
 @dataclass
@@ -42,48 +44,25 @@ class SearchIndex:
     embedder: object = field(default=None)
     term_embedder: object = field(default=None)
 
-    def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "SearchIndex":
-        for name in ("docs", "postings", "term_stats", "stats", "doc_vec", "vocab_vec"):
-            setattr(self, name, getattr(self, name).persist(level))
-        return self
 
+def build_index(raw_docs: DataFrame, params: Params = DEFAULT, **options) -> SearchIndex:
+    """Q6 into a scratch folder; the options are those of ``pipelines.bulk_index``."""
+    import uuid
 
-def build_index(raw_docs: DataFrame, params: Params = DEFAULT, expand: bool = True,
-                embedder=None, term_embedder=None, on_duplicate: str = "last") -> SearchIndex:
-    """Q6: raw (url, doc_seq, text) -> SearchIndex.
+    from quarry.plans.pipelines import bulk_index
+    from quarry.session import scratch_path
 
-    ``on_duplicate='accumulate'`` reproduces X1 (postings of every version
-    of a url add up)."""
-    embedder = embedder or WordHashEmbedder(params.text_dim)
-    term_embedder = term_embedder or TrigramHashEmbedder(params.term_dim)
-    docs = ix.last_wins(raw_docs)                      # hash-partitioned by url
-    if expand:
-        docs = expand_documents(docs, embedder, params, partitioned=True).select("url", "doc_seq", "text")
-    # every later branch (postings, vectors, statistics) reads this table
-    docs = ix.with_length(docs).persist(StorageLevel.MEMORY_AND_DISK)
-    if on_duplicate == "accumulate":
-        post = ix.accumulate_postings(raw_docs)
-    else:
-        post = ix.postings(docs)
-    tstats = ix.term_stats(post)
-    stats = ix.corpus_stats(docs)
-    doc_vec = embedder.embed(docs, "url", "text", partitioned=True)
-    vocab = ix.frequent_vocabulary(tstats, stats, params.vocab_min_df_frac)
-    vocab_vec = term_embedder.embed(vocab, "term", "term")
-    idx = SearchIndex(docs, post, tstats, stats, doc_vec, vocab_vec, params, embedder, term_embedder)
-    # several query branches read each part: keep them (memory, then disk)
-    return idx.persist()
+    spark = raw_docs.sparkSession
+    return bulk_index(spark, raw_docs, scratch_path(spark, f"index-{uuid.uuid4().hex[:12]}"), params, reuse=False, **options)
 
 
 def query_plan(index: SearchIndex, queries: DataFrame, expand: bool = True) -> DataFrame:
-    """Q1: the term list of each query, with weights."""
+    """Q1: the term list of each query."""
     qt = se.query_terms(queries)
     if expand:
-        exp = expand_query_terms(qt, index.vocab_vec, index.term_embedder, index.params)
-    else:
-        exp = qt.select("query_id", F.col("pos").cast("bigint").alias("pos"), "term",
-                        F.lit(True).alias("original"), F.lit(None).cast("double").alias("sim"))
-    return exp
+        return expand_query_terms(qt, index.vocab_vec, index.term_embedder, index.params)
+    return qt.select("query_id", F.col("pos").cast("bigint").alias("pos"), "term",
+                     F.lit(True).alias("original"), F.lit(None).cast("double").alias("sim"))
 
 
 def lexical(index: SearchIndex, queries: DataFrame, expand: bool = True,
@@ -93,63 +72,102 @@ def lexical(index: SearchIndex, queries: DataFrame, expand: bool = True,
     return se.lexical_scores(index.postings, index.term_stats, index.stats, w, index.params, restrict_urls)
 
 
-def semantic(index: SearchIndex, queries: DataFrame, restrict_urls: DataFrame | None = None) -> DataFrame:
-    """V3: (query_id, url, cos) of the raw query text against every document."""
-    return search(index, queries, restrict_urls=restrict_urls, lexical_part=False).select("query_id", "url", "cos")
+def query_vectors(index: SearchIndex, queries: DataFrame) -> DataFrame:
+    return stored(index.embedder.embed(queries, "query_id", "query"), "query-vectors")
+
+
+def semantic(index: SearchIndex, queries: DataFrame, n: int) -> DataFrame:
+    """V3: (query_id, url, cos, rank), the ``n`` documents nearest to the raw query text."""
+    near = vx.nearest(index.doc_vec, index.embedder.embed(queries, "query_id", "query"), n, index.embedder.size, params=index.params)
+    return near.withColumnRenamed("sim", "cos")
+
 
+def search(index: SearchIndex, queries: DataFrame, expand: bool = True) -> DataFrame:
+    """Q3 in full: (query_id, url, lex, cos, score) of every document for every query, as the reference returns it: a
+    row per pair. ``top`` gives the first ranks of the same list without the rest."""
+    cos = vx.all_cosines(index.doc_vec, query_vectors(index, queries), index.embedder.size, index.params)
+    return se.blend(lexical(index, queries, expand), cos, index.params)
 
-def search(index: SearchIndex, queries: DataFrame, expand: bool = True,
-           restrict_urls: DataFrame | None = None, lexical_part: bool = True,
-           weights: DataFrame | None = None, keep: int | None = None, judged: list | None = None) -> DataFrame:
-    """Q3: (query_id, url, lex, cos, score) for every document and query;
-    a document without a lexical match has lex null (counted as 0)."""
+
+def candidates(index: SearchIndex, queries: DataFrame, query_vec: DataFrame, lex: DataFrame, n: int) -> DataFrame:
+    """(query_id, url, lex), stored: pairs that hold the best ``n`` documents of each query; lex is null without a match.
+
+    With l the n-th best lexical score, n documents score at least w_lex l - w_sem, so a match needs w_lex lex >=
+    w_lex l - 2 w_sem. A document without a match scores at most w_sem; where that may suffice, the n nearest by cosine
+    are enough, since each scores no less than any farther one without a match."""
     p = index.params
-    qv = index.embedder.embed(queries, "query_id", "query")
-    dv = index.doc_vec
-    if restrict_urls is not None:
-        dv = dv.join(small(restrict_urls.select("url").distinct(), p.broadcast_rows), "url")
-    lex = lexical(index, queries, expand, restrict_urls, weights) if lexical_part else None
-    w_lex, w_sem = (p.w_lexical, p.w_semantic) if lexical_part else (0.0, 1.0)
-    return score_all(dv, qv, index.embedder.size, lex, w_lex, w_sem, max_query_rows=p.broadcast_rows,
-                     keep=keep, judged=judged)
+    nth = rk.top_n(lex, n, score="lex", digits=p.score_digits).groupBy("query_id").agg(F.min("lex").alias("nth"), F.count(F.lit(1)).alias("k"))
+    nth = queries.select("query_id").distinct().join(nth, "query_id", "left").select("query_id", F.when(F.col("k") == n, F.col("nth")).alias("nth"))
+    nth = stored(nth, "nth-lexical")
+    bound = p.w_lexical * F.col("nth") - 2 * p.w_semantic - SLACK
+    near = sized_join(lex, nth, "query_id", "url", p.broadcast_bytes, p.salts).filter(
+        F.col("nth").isNull() | (p.w_lexical * F.col("lex") >= bound)).select("query_id", "url", "lex")
+    unsettled = nth.filter(F.col("nth").isNull() | (p.w_lexical * F.col("nth") <= 2 * p.w_semantic + SLACK)).select("query_id")
+    if not unsettled.isEmpty():
+        asked = query_vec.join(unsettled, "query_id", "left_semi")
+        extra = stored(vx.nearest(index.doc_vec, asked, n, index.embedder.size, params=p).select("query_id", "url"), "nearest")
+        known = sized_join(lex, extra, ["query_id", "url"], "url", p.broadcast_bytes, p.salts)
+        near = near.unionByName(extra.join(known, ["query_id", "url"], "left")).dropDuplicates(["query_id", "url"])
+    return stored(near, "candidates")
 
 
 def top(index: SearchIndex, queries: DataFrame, n: int | None = None, expand: bool = True) -> DataFrame:
-    """The best n documents per query. Each task keeps only its
-    best n per query (ties at the cut kept); the window then orders exactly."""
+    """The best n documents per query with lex, cos, score and rank, equal to the first n of ``search``."""
     n = n or index.params.top_n
-    return rk.top_n(search(index, queries, expand, keep=n), n, digits=index.params.score_digits)
+    query_vec = query_vectors(index, queries)
+    lex = stored(lexical(index, queries, expand), "lexical")
+    pairs = candidates(index, queries, query_vec, lex, n)
+    cos = vx.pair_cosines(pairs, index.doc_vec, query_vec, index.embedder.size).select("query_id", "url", "cos")
+    scored = se.blend(pairs.filter(F.col("lex").isNotNull()), cos, index.params)
+    return rk.top_n(scored, n, digits=index.params.score_digits)
+
+
+def _scored(index: SearchIndex, pairs: DataFrame, query_vec: DataFrame) -> DataFrame:
+    """``pairs`` (query_id, url, lex; stored) with cos and score."""
+    p = index.params
+    cos = vx.pair_cosines(pairs, index.doc_vec, query_vec, index.embedder.size)
+    return cos.withColumn("score", p.w_lexical * F.coalesce("lex", F.lit(0.0)) + p.w_semantic * F.col("cos"))
 
 
-def judged_ranks_in_tasks(index: SearchIndex, queries: DataFrame, qrels: DataFrame, judged_scores: DataFrame,
-                          weights: DataFrame, expand: bool = True) -> DataFrame:
-    """(query_id, url, rank) of each judged, retrieved document. The judged
-    documents' rounded scores (bounded by the judgements) are shipped to
-    every task, which counts the documents ordered before each of them; the
-    per-task counts are summed. Never emits a query x document row."""
-    from quarry.plans.strategy import collect_bounded
+def judged_ranks(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expand: bool = True) -> DataFrame:
+    """(query_id, url, rank) of each judged document of the index among all documents, ranked by ``search``.
 
+    A query is settled if no document without a lexical match can come before a judged one. Its matches that are
+    clearly before or behind all judged ones are counted by their lexical score, the others get their cosine. For the
+    other queries all matches get it, and documents without a match are all documents less the matches, both counted by cosine."""
     p = index.params
-    rel = judged_scores.join(qrels.select("query_id", "url").distinct(), ["query_id", "url"]).select(
-        "query_id", "url", F.round("score", p.score_digits).alias("s"))
-    rows = collect_bounded(rel, 200_000)
-    if rows is None:   # too many judgements to ship: broadcast-join route
-        full = search(index, queries, expand, weights=weights)
-        return ev.judged_ranks(full, qrels, judged_scores, p.score_digits)
-    judged = [(r["query_id"], r["url"], r["s"]) for r in rows]
-    counts = search(index, queries, expand, weights=weights, judged=judged).groupBy("query_id", "url").agg(
-        F.sum("n_better").alias("n_better"))
-    return rel.join(counts, ["query_id", "url"], "left").select(
-        "query_id", "url", (F.coalesce("n_better", F.lit(0)) + 1).cast("bigint").alias("rank"))
-
-
-def evaluate(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expand: bool = True,
-             per_query: bool = False) -> DataFrame:
+    query_vec = query_vectors(index, queries)
+    lex = stored(lexical(index, queries, expand), "lexical")
+    wanted = stored(qrels.select("query_id", "url").distinct().join(index.docs.select("url"), "url", "left_semi"), "judged-pairs")
+    matched = sized_join(lex, wanted, ["query_id", "url"], "url", p.broadcast_bytes, p.salts)
+    judged = _scored(index, stored(wanted.join(matched, ["query_id", "url"], "left"), "judged-lexical"), query_vec)
+    judged = stored(judged.select("query_id", "url", F.round("score", p.score_digits).alias("s")), "judged-scores")
+
+    open_ids = stored(judged.filter(F.col("s") <= p.w_semantic + SLACK).select("query_id").distinct(), "unsettled")
+    settled = judged.join(open_ids, "query_id", "left_anti")
+    asked = stored(settled.select("query_id").distinct(), "settled")
+    rows = sized_join(lex, asked, "query_id", "url", p.broadcast_bytes, p.salts, "left_semi").select("query_id", "url", F.col("lex").alias("s"))
+    sorted_out = stored(ev.dealt(rows, settled, p.salts).mapInArrow(
+        blocks.near_judged_fn(p.w_lexical, p.w_semantic + SLACK), "query_id bigint, url string, lex double, sure boolean, n bigint"), "near-judged")
+    near = _scored(index, stored(sorted_out.filter("not sure").select("query_id", "url", "lex"), "near-pairs"), query_vec)
+    counts = [sorted_out.filter("sure").select("query_id", "url", F.col("n").alias("n_before")), ev.count_before(near, settled, p)]
+
+    if not open_ids.isEmpty():
+        rest = stored(judged.join(open_ids, "query_id", "left_semi"), "unsettled-judged")
+        all_matches = stored(_scored(index, stored(sized_join(lex, open_ids, "query_id", "url", p.broadcast_bytes, p.salts, "left_semi"), "open-lexical"), query_vec), "open-matches")
+        by_cosine = all_matches.withColumn("score", p.w_semantic * F.col("cos"))
+        counts += [ev.count_before(all_matches, rest, p), vx.count_nearer(index.doc_vec, query_vec, rest, p.w_semantic, index.embedder.size, p),
+                   ev.count_before(by_cosine, rest, p).withColumn("n_before", -F.col("n_before"))]
+    total = counts[0]
+    for c in counts[1:]:
+        total = total.unionByName(c)
+    return ev.ranked(judged, total.groupBy("query_id", "url").agg(F.sum("n_before").alias("n_before")))
+
+
+def evaluate(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expand: bool = True, per_query: bool = False) -> DataFrame:
     """M5: mean P@k, R@k, MRR, nDCG@k over all queries (M1-M4 per query)."""
-    weights = small(weighted_terms(query_plan(index, queries, expand), index.params), index.params.broadcast_terms)
-    qrels = small(qrels, index.params.broadcast_rows)
-    judged = search(index, queries, expand, restrict_urls=qrels, weights=weights)
-    ranks = judged_ranks_in_tasks(index, queries, qrels, judged, weights, expand)
+    qrels = stored(qrels.select("query_id", "url"), "qrels")
+    ranks = judged_ranks(index, queries, qrels, expand)
     if per_query:
         return ev.per_query(ranks, qrels, queries, index.params.eval_k)
     return ev.mean_metrics(ev.per_query(ranks, qrels, queries, index.params.eval_k, None))

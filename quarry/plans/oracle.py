@@ -8,16 +8,19 @@ against the raw driver tables (views ``documents``, ``benchmark``,
 from __future__ import annotations
 
 from quarry.config import DEFAULT
-from quarry.functions.text import PUNCT_CLASS, WS_RUN
 
 P = DEFAULT
+# Told apart from the library's classes: ASCII punctuation by its name, white space as the separators and the controls that part words.
+PUNCT = "[[:punct:]]"
+SPACE = r"\pZ\x09-\x0D\x1C-\x1F\x{85}"
+BREAK = r"\x0A-\x0D\x1C-\x1E\x{85}\x{2028}\x{2029}"
 
 
 def norm(x: str) -> str:
     """P2 in DuckDB."""
     return (
-        f"lower(regexp_replace(regexp_replace(regexp_replace({x}, '{PUNCT_CLASS}', ' ', 'g'), "
-        f"'{WS_RUN}', ' ', 'g'), '^ | $', '', 'g'))"
+        f"lower(regexp_replace(regexp_replace(regexp_replace({x}, '{PUNCT}', ' ', 'g'), "
+        f"'[{SPACE}]+', ' ', 'g'), '^ | $', '', 'g'))"
     )
 
 
@@ -73,7 +76,11 @@ RANKED_LEX = (
 )
 
 
-def metrics_sql(ranked_cte_parts: list[str], k: int, per_query: bool) -> str:
+METRICS = ("precision_at_k", "recall_at_k", "rr", "ndcg")
+
+
+def metrics_sql(ranked_cte_parts: list[str], k: int, per_query: tuple[str, ...] = ()) -> str:
+    """The named metrics of each query, or the means of all."""
     judged = (
         "judged AS (SELECT q.query_id, q.url, r.rank FROM qrels q JOIN ranked r "
         "ON q.query_id = r.query_id AND q.url = r.url)"
@@ -98,10 +105,7 @@ def metrics_sql(ranked_cte_parts: list[str], k: int, per_query: bool) -> str:
     )
     head = ctes(*ranked_cte_parts, QRELS, judged, nrel, agg, ideal, pq)
     if per_query:
-        return head + (
-            "SELECT query_id, round(precision_at_k, 6) AS precision_at_k, round(recall_at_k, 6) AS recall_at_k, "
-            "round(rr, 6) AS rr, round(ndcg, 6) AS ndcg FROM pq"
-        )
+        return head + "SELECT query_id, " + ", ".join(f"round({m}, 6) AS {m}" for m in per_query) + " FROM pq"
     return head + (
         "SELECT round(coalesce(avg(precision_at_k), 0.0), 6) AS precision_at_k, "
         "round(coalesce(avg(recall_at_k), 0.0), 6) AS recall_at_k, round(coalesce(avg(rr), 0.0), 6) AS mrr, "
@@ -224,9 +228,9 @@ def cosine_side(docs: str) -> list[str]:
     ]
 
 
-def hybrid(expand_docs: bool = True, expand_q: bool = True) -> list[str]:
+def hybrid(expand_docs: bool = True, expand_q: bool = True, docs: str = DOCS) -> list[str]:
     """Q3: hscore(query_id, url, lex, cos, score) for all pairs."""
-    parts = [DOCS]
+    parts = [docs]
     src = "docs"
     if expand_docs:
         parts += expansion("docs")
@@ -246,18 +250,17 @@ def html_sql(x: str) -> str:
     pattern)."""
     from html.entities import name2codepoint
 
-    from quarry.functions.text import BARE_REFERENCES, C1, DROPPED_ELEMENTS, LINE_BREAKS, WS_CHARS
-
     c = f"coalesce({x}, '')"
-    for tag in DROPPED_ELEMENTS:
+    for tag in ("script", "style"):
         c = f"regexp_replace({c}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
     c = f"regexp_replace({c}, '(?s)<!--.*?-->', '', 'g')"
     for tag in (r"""<[!/?a-zA-Z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>""", "<[!/?a-zA-Z][^>]*>"):
         quoted = tag.replace("'", "''")
         c = f"regexp_replace({c}, '{quoted}', '', 'g')"
     names = ", ".join(f"'{n}': chr({code})" for n, code in name2codepoint.items())
-    bare = "|".join(BARE_REFERENCES)
-    low, high = "".join(map(chr, range(128, 160))), "".join(C1)
+    bare = "lt|gt|quot|nbsp|copy|middot|amp"
+    low = "".join(map(chr, range(128, 160)))
+    high = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160))
 
     def char(code):
         return (f"translate(chr(CASE WHEN {code} BETWEEN 1 AND 1114111 AND {code} NOT BETWEEN 55296 AND 57343 "
@@ -274,6 +277,6 @@ def html_sql(x: str) -> str:
         WHEN {name} IS NOT NULL THEN {name} || regexp_replace(p, '^[A-Za-z0-9]+;', '')
         WHEN regexp_matches(p, '^(?:{bare})') THEN MAP {{{names}}}[regexp_extract(p, '^({bare})', 1)] || regexp_replace(p, '^(?:{bare});?', '')
         ELSE '&' || p END), '')"""
-    sep = f"[{WS_CHARS}]*(?:[{LINE_BREAKS}]| {{2}})[{WS_CHARS}]*"
+    sep = f"[{SPACE}]*(?:[{BREAK}]| {{2}})[{SPACE}]*"
     c = f"regexp_replace({c}, '{sep}', ' ', 'g')"
-    return f"regexp_replace({c}, '^[{WS_CHARS}]+|[{WS_CHARS}]+$', '', 'g')"
+    return f"regexp_replace({c}, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')"

@@ -1,25 +1,54 @@
 """Physical-strategy helpers.
 
-Spark picks join strategies from size estimates; for derived tables those
-can be far off, so a side is broadcast only after a run-time check that it
-holds at most ``max_rows`` rows (``limit(max_rows + 1).count()`` stops
-early and never scans a large side fully). Beyond the bound the plain join
-is returned and AQE chooses (shuffled hash / sort-merge, with skew-split).
+A derived side of a join is first stored in the shared folder: its rows are then the same for
+every reader, a lost executor costs its own tasks only, and its size is a fact. It is
+broadcast up to a bound in bytes; beyond, the join deals every key to ``salts`` pieces by a
+hash of another column, so that no key's rows meet in one task.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
+
+from quarry.session import scratch_path
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of the values of a (stored, narrow) table: 8 a number, the bytes of strings, 8 an array element."""
+    width = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, StringType):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, ArrayType):
+            width = width + 8 * F.coalesce(F.size(f.name), F.lit(0))
+        width = width + 8
+    return df.agg(F.sum(width)).first()[0] or 0
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint on ``df`` when it is proven to hold <= max_rows rows."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def sized_join(big: DataFrame, side: DataFrame, keys: str | list[str], by: str, max_bytes: int, salts: int,
+               how: str = "inner") -> DataFrame:
+    """``big`` joined with ``side`` (stored), the rows of ``big`` kept as ``how`` (inner, left, left_semi) says.
+
+    Up to ``max_bytes`` the side is broadcast. Beyond, the rows of ``big`` go to a piece of their key by the
+    hash of their column ``by``, and the side's rows to every piece: equal rows, bounded tasks."""
+    if table_bytes(side) <= max_bytes:
+        return big.join(F.broadcast(side), keys, how)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    left = big.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    right = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def one_row(df: DataFrame) -> DataFrame:
@@ -27,57 +56,10 @@ def one_row(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def collect_bounded(df: DataFrame, max_rows: int) -> list | None:
-    """Rows of ``df`` when it holds at most ``max_rows`` rows, else None.
-    Used only for sides whose size is bounded by design (a query batch, a
-    seed set) so they can be shipped to every task."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
-def chunked_collect(df: DataFrame, key: str | list[str], max_rows: int):
-    """Yield the rows of a side that is small by design in chunks of at
-    most ``max_rows`` rows. One chunk when it fits (the usual case);
-    otherwise rows are split by a hash of ``key`` into enough buckets,
-    each checked again, so no chunk ever exceeds the bound."""
-    rows = collect_bounded(df, max_rows)
-    if rows is not None:
-        if rows:
-            yield rows
-        return
-    total = df.count()
-    n = max(2, -(-total // max_rows) * 2)
-    pending = [(n, b) for b in range(n)]
-    while pending:
-        buckets, b = pending.pop()
-        keys = [key] if isinstance(key, str) else key
-        part = df.filter(F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(buckets)) == b)
-        got = collect_bounded(part, max_rows)
-        if got is None:  # still too large: split this bucket further
-            pending.extend((buckets * 2, b + buckets * j) for j in range(2))
-            continue
-        if got:
-            yield got
-
-
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Spread a scan that came back in fewer partitions than the cluster has
     cores (a single large row group, say) with a round-robin repartition.
     A scan of many files already has enough partitions and is returned as
     is, so this adds no shuffle at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    return df.repartition(target) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
-
-
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a *derived* side after proving its size: the side is
-    persisted and counted once; the join then reads the persisted rows, so
-    the check costs no recomputation. The count stops at the bound; beyond
-    it the persisted rows are dropped and AQE picks a shuffled join."""
-    from pyspark import StorageLevel
-
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits(kept, max_rows):
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * factor) if df.rdd.getNumPartitions() < cores else df

@@ -10,11 +10,12 @@ Derivation rules (the same rules are written as SQL for the oracle):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.config import DEFAULT, Params
 from quarry.functions.text import terms
-from quarry.plans.strategy import maybe_broadcast, spread
+from quarry.plans.strategy import sized_join, spread, stored, table_bytes
 
 DUPLICATE_SEQ_OFFSET = 1_000_000
 
@@ -29,18 +30,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str, url_col: str = "URL", content_col: str = "content",
-                seq_col: str | None = None) -> DataFrame:
+                seq_col: str | None = None, params: Params = DEFAULT) -> DataFrame:
     """A crawled corpus (url, content) read from Parquet, projected to
     (url, doc_seq, text). Missing columns fail at once. Without a stored
-    sequence column the position is taken from the scan (file, row
-    order) via ``monotonically_increasing_id``; persist the result before
-    relying on it across jobs."""
+    sequence column rows are numbered 0, 1, 2, ... by file path and row within the file: the rows of each file are
+    counted, the counts summed up in path order (a row per file), and a row adds its own index in its file. The
+    numbers are the same however the scan is split."""
     df = spark.read.parquet(path)
     missing = [c for c in (url_col, content_col) if c not in df.columns]
     if missing:
         raise ValueError(f"corpus {path} lacks columns {missing}")
-    seq = F.col(seq_col).cast("bigint") if seq_col else F.monotonically_increasing_id()
-    return df.select(F.col(url_col).alias("url"), seq.alias("doc_seq"), F.col(content_col).alias("text"))
+    if seq_col:
+        return df.select(F.col(url_col).alias("url"), F.col(seq_col).cast("bigint").alias("doc_seq"), F.col(content_col).alias("text"))
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    counts = df.select(*place).groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored(counts.select("_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")), "file-starts")
+    rows = df.select(F.col(url_col).alias("url"), F.col(content_col).alias("text"), *place)
+    return sized_join(rows, starts, "_file", "url", params.broadcast_bytes, params.salts).select(
+        "url", (F.col("_start") + F.col("_row")).alias("doc_seq"), "text")
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,42 +77,65 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def qrels(spark: SparkSession, sf_dir: str, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Relevant (query, document) pairs: the benchmark passage occurs in the
-    document verbatim.
-
-    Candidates come from tokens, not from a passages x documents scan: a
-    token strictly inside a passage (separators on both sides) is also a
-    token of every document that contains the passage. Each passage is
-    keyed by its rarest interior token (document frequencies from one
-    partial-aggregated scan); documents holding any key token are the only
-    ones checked with ``instr``. Passages shorter than three tokens have no
-    interior token and are matched by a broadcast scan; they are few."""
-    from quarry.plans.strategy import collect_bounded
-
-    bench = table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.col("text").alias("passage"))
+def qrels(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> DataFrame:
+    """Relevant (query, document) pairs of the driver tables: the benchmark passage occurs in the document verbatim."""
+    bench = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("passage"))
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("url"), "text")
-    toks = bench.select("query_id", "passage", terms("passage").alias("t"))
-    interior = toks.filter(F.size("t") >= 3).select(
-        "query_id", "passage", F.explode(F.slice("t", 2, F.size("t") - 2)).alias("term"))
-    wanted = F.broadcast(interior.select("term").distinct())
-    doc_terms = documents.select("url", F.explode(F.array_distinct(terms("text"))).alias("term"))
-    dfs = doc_terms.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    keyed = (interior.join(F.broadcast(dfs), "term", "left")
-             .withColumn("df", F.coalesce("df", F.lit(0)))
-             .groupBy("query_id", "passage").agg(F.min(F.struct("df", "term")).alias("k"))
-             .select("query_id", "passage", F.col("k.term").alias("term")))
-    keys = collect_bounded(keyed.select("term").distinct(), max_broadcast_rows)
-    if keys is None:
-        raise ValueError("too many passages for one pass; split the benchmark table")
-    key_terms = F.array(*[F.lit(r["term"]) for r in keys]) if keys else F.array().cast("array<string>")
-    cand = documents.select("url", "text", F.array_intersect(terms("text"), key_terms).alias("hit")).filter(
-        F.size("hit") > 0)
-    matched = (cand.select("url", "text", F.explode("hit").alias("term"))
-               .join(F.broadcast(keyed), "term")
-               .filter(F.instr(F.col("text"), F.col("passage")) > 0)
-               .select("query_id", "url"))
-    short = maybe_broadcast(toks.filter(F.size("t") < 3).select("query_id", "passage"), max_broadcast_rows)
-    scanned = documents.join(short, F.instr(F.col("text"), F.col("passage")) > 0).select("query_id", "url")
-    return matched.unionByName(scanned).distinct()
+    return containing(documents, bench, params)
+
+
+def _keyed(bench: DataFrame, doc_terms, params: Params) -> DataFrame:
+    """(query_id, passage, term): each passage with the rarest of its ``t`` terms among the documents, by one scan of their terms."""
+    own = bench.select("query_id", "passage", F.explode("t").alias("term"))
+    wanted = stored(own.select("term").distinct(), "passage-terms")
+    dfs = sized_join(doc_terms, wanted, "term", "url", params.broadcast_bytes, params.salts, "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    rare = own.join(dfs, "term", "left").groupBy("query_id", "passage").agg(F.min(F.struct(F.coalesce("df", F.lit(0)), "term")).alias("k"))
+    return stored(rare.select("query_id", "passage", F.col("k.term").alias("term")), "passage-keys")
+
+
+def _verified(documents: DataFrame, terms_of, keyed: DataFrame, params: Params) -> DataFrame:
+    """(query_id, url) of the documents that hold a passage, found by its key term and checked in the text.
+
+    Within the byte bound the keys are broadcast and a document's text stays beside its exploded terms; beyond, narrow
+    (url, term) rows meet the keys dealt by (term, piece of the url), and texts are joined to the pairs found."""
+    if table_bytes(keyed) <= params.broadcast_bytes:
+        found = documents.select("url", "text", F.explode(terms_of("text")).alias("term")).join(F.broadcast(keyed), "term")
+    else:
+        pairs = sized_join(documents.select("url", F.explode(terms_of("text")).alias("term")), keyed, "term", "url", params.broadcast_bytes, params.salts)
+        found = documents.join(stored(pairs.select("url", "query_id", "passage"), "passage-candidates"), "url")
+    return found.filter(F.instr(F.col("text"), F.col("passage")) > 0).select("query_id", "url")
+
+
+def _grams(text):
+    """Distinct character sequences of 1 to 3 letters within the terms of a text."""
+    return F.array_distinct(F.flatten(F.transform(terms(text), lambda w: F.flatten(F.transform(
+        F.sequence(F.lit(1), F.lit(3)), lambda k: F.when(F.length(w) >= k, F.transform(
+            F.sequence(F.lit(1), F.length(w) - k + 1), lambda i: F.substring(w, i, k))).otherwise(F.array().cast("array<string>")))))))
+
+
+def containing(documents: DataFrame, bench: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """(query_id, url): the documents (url, text) that contain each passage (query_id, passage), an empty passage none.
+
+    A term strictly inside a passage, with separators on both sides, is a term of every document that contains
+    it, so each passage is looked up by the rarest such term: one scan of the documents' terms counts them, one
+    finds and checks the candidates. Passages of fewer than three terms have none inside; if there are any, they are
+    looked up alike by their rarest run of up to three letters, which every document with the passage has within its
+    terms. A passage without letters is compared with every text, as a stated set in one block."""
+    bench = stored(bench.filter(F.length("passage") > 0).select("query_id", "passage", terms("passage").alias("t")), "passages")
+    long = bench.filter(F.size("t") >= 3).withColumn("t", F.array_distinct(F.slice("t", 2, F.size("t") - 2)))
+
+    def doc_terms(text):
+        return F.array_distinct(terms(text))
+
+    out = _verified(documents, doc_terms, _keyed(long, documents.select("url", F.explode(doc_terms("text")).alias("term")), params), params)
+    short = bench.filter((F.size("t") < 3) & (F.element_at("t", 1) != ""))
+    if not short.isEmpty():
+        longest = F.array_max(F.transform(_grams("passage"), F.length))
+        short = short.withColumn("t", F.filter(_grams("passage"), lambda g: F.length(g) == longest))
+        out = out.unionByName(_verified(documents, _grams, _keyed(short, documents.select("url", F.explode(_grams("text")).alias("term")), params), params))
+    bare = bench.filter(F.element_at("t", 1) == "")
+    if not bare.isEmpty():
+        block = bare.agg(F.collect_list(F.struct("query_id", "passage")).alias("block"))
+        rows = documents.crossJoin(F.broadcast(block)).select("url", "text", F.explode("block").alias("b"))
+        out = out.unionByName(rows.filter(F.instr(F.col("text"), F.col("b.passage")) > 0).select("b.query_id", "url"))
+    return out.distinct()

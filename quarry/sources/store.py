@@ -22,9 +22,15 @@ DOC_VEC_SCHEMA = "url string, dims array<int>, ws array<double>"
 VOCAB_VEC_SCHEMA = "term string, dims array<int>, ws array<double>"
 
 
-def write_table(df: DataFrame, path: str) -> None:
+def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
     """Overwrite a Parquet table, no index column."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own tables, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -92,5 +98,5 @@ def load_vectors(spark: SparkSession, doc_path: str, vocab_path: str):
             log.error("invalid vector table at %s: %s", path, df.columns)
             out.append(None)
             continue
-        out.append(spark.read.schema(schema).parquet(path))
+        out.append(spark.read.schema(schema).parquet(path).select(*[c.split()[0] for c in schema.split(", ")]))
     return tuple(out)

@@ -1,17 +1,16 @@
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 from quarry.operators.blocks import best_seed_fn
 
 
 def _run(seeds, docs):
-    fn = best_seed_fn(np.asarray([s[0] for s in seeds]), [s[1] for s in seeds],
-                      [(list(range(len(s[2]))), s[2]) for s in seeds], 2)
-    pdf = pd.DataFrame({"url": [d[0] for d in docs], "doc_seq": [d[1] for d in docs],
-                        "dims": [[0, 1] for _ in docs], "ws": [d[2] for d in docs]})
-    return pd.concat(list(fn(iter([pdf]))))
+    fn = best_seed_fn(np.asarray([s[0] for s in seeds]), [s[1] for s in seeds], np.array([s[2] for s in seeds], float), ["url"])
+    batch = pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs]), pa.nulls(len(docs), pa.list_(pa.int32())),
+                                        pa.array([d[2] for d in docs])], names=["url", "seq", "dims", "ws"])
+    return pa.Table.from_batches(fn(iter([batch]))).to_pandas()
 
 
 def test_threshold_is_strict_and_needs_two_predecessors():
