@@ -185,7 +185,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.doc_id
 
 def _quality_sql() -> str:
     r = quality.LineRules()
-    phrases = "|".join(quality.BOILERPLATE)
+    phrases = rf"(^|[^\p{{L}}\p{{N}}])(?:{'|'.join(quality.BOILERPLATE)})(?:s|d|rs?)?($|[^\p{{L}}\p{{N}}])"
+    tail = r"""["''»”’)\]]*[\x20\x09-\x0D]*$"""
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
@@ -195,7 +196,7 @@ i AS (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)
 c AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS c FROM i),
 rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest([0, 1, 2]) AS k FROM c WHERE c >= 2) GROUP BY rid),
 l AS (
-  SELECT rid, x, length(x) - length(replace(x, ' ', '')) + 1 AS nw, length(replace(x, ' ', '')) AS solid,
+  SELECT rid, x, len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS nw, length(replace(x, ' ', '')) AS solid,
          length(regexp_replace(x, '[^!-/:-@\[-`{{-~]+', '', 'g')) AS marks, length(regexp_replace(x, '[^|>»›•·]+', '', 'g')) AS seps,
          length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g')) AS chars
   FROM (SELECT rid, unnest(lines) AS x FROM w)),
@@ -203,8 +204,9 @@ lost AS (
   SELECT rid, sum(chars) AS n FROM l
   WHERE (seps >= {r.min_separators} AND seps * {r.words_per_separator} >= nw)
      OR (solid >= {r.mark_chars} AND marks * 100 > solid * {r.max_mark_pct})
-     OR (nw <= {r.boilerplate_words} AND regexp_matches(lower(x), '{phrases}'))
-     OR (nw < {r.fragment_words} AND chars > 0 AND NOT regexp_matches(x, '[.!?…:;,。！？]["''»”’)\]]*[\x20\x09-\x0D]*$'))
+     OR (nw <= {r.boilerplate_words} AND regexp_matches(lower(x), '{phrases}')
+         AND NOT (nw >= {r.sentence_words} AND regexp_matches(x, '[.!?…。！？]{tail}')))
+     OR (nw < {r.fragment_words} AND nw > 0 AND NOT regexp_matches(x, '[.!?…:;,。！？]{tail}'))
   GROUP BY rid),
 b AS (
   SELECT w.rid, doc_id, len(w) AS n_words, word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,

@@ -1,16 +1,19 @@
 """HTML extraction by minimum cuts.
 
 A page becomes text blocks in page order. A classifier's costs for calling
-a block content or boilerplate are the capacities from the source and to
-the sink; neighbours in the page and neighbours among the children of one
-element are joined by smoothness edges. The minimum cut separates content
-from boilerplate. Pages are independent rows, so the work is one pass over
+a block content or boilerplate, from its words, links and end alone, are the capacities from the source and to
+the sink. Elements that tell what they hold (an article; a menu, a footer, a
+form, a name such as "comments") are nodes on their side of the cut; each block is joined to the nearest
+of them, to its neighbours in the page and to its neighbours among the children of one
+element. The minimum cut separates content from boilerplate: a one-word line of an article is kept by its
+edges, a sentence in a menu is lost by them. Pages are independent rows, so the work is one pass over
 the table without a shuffle; a task holds one page's blocks at a time.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
@@ -33,74 +36,135 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Opening one of these closes an open element of the set it names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
-#: Elements and names of page furniture, and of the page's own text.
+#: Elements and names of page furniture. A class or id is one if nothing but the words around stands with it: "site-footer" and
+#: "comment-list" are, "has-sidebar", "no-comments" and "tag-news" are not.
 FURNITURE = frozenset("nav footer aside form menu button dialog".split())
 FURNITURE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|feedback|footer|foot|gdpr|login|masthead|menu|modal|"
-    r"nav\w*|newsletter|notices?|pagination|pager|popup|promo\w*|related|replies|respond|search|share|sharing|sidebar|signup|social|"
-    r"sponsor\w*|subscribe|tags?|toolbar|topbar|widget)(?:$|[\s_-])", re.I)
+    r"(?:(?:page|site|global|left|right|top|bottom|main|post|entry|article|primary|secondary|sticky|fixed|user|reader|blog|header|the|js|c|l|m|u|block|wp)[_-]+)*"
+    r"(?:ads?|adverts?|advertis\w+|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|feedback|footer|foot|gdpr|login|masthead|menu|modal|"
+    r"nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promos?|promotion|related|replies|respond|search|share|sharing|sidebar|signup|social|"
+    r"sponsor\w*|subscribe|subscription|tags?|toolbar|topbar|widgets?)"
+    r"(?:[_-]+(?:area|bar|block|box|buttons?|container|content|footer|form|group|header|holder|icons?|inner|items?|left|links?|list|main|menu|module|nav|"
+    r"notice|outer|panel|posts?|right|section|thread|title|unit|widget|wrap|wrapper|ad|\d+))*", re.I)
 FURNITURE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
+#: A named element that holds more than this share of the page's words, or its heading or article, is a wrapper.
+WRAPPER_SHARE = 0.9
+#: Quotes open a value only behind "="; a tag holds no other "<", and may be cut off by the end of the page.
 _MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/><]*)((?:[^<>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)(?:>|\Z)", re.S)
 _NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WHITE = re.compile(r"\s+")
 
 
 @dataclass(frozen=True)
 class Costs:
-    """Weights of the classifier (log-odds for content) and of the edges."""
+    """Weights of the classifier (log-odds for content) and capacities of the edges."""
 
-    furniture: float = -12.0
-    article: float = 4.0
     heading: float = 1.0
     text_per_word: float = 0.15
     most_text: float = 3.0
     link_share: float = -5.0
     sentence: float = 1.0
     base: float = -1.5
-    adjacency: float = 0.6
-    siblings: float = 0.6
+    inside: float = 6.0
+    adjacency: float = 0.8
+    siblings: float = 0.8
 
 
 @dataclass
 class Block:
+    """``parent``: the element whose child it is; ``place``: the nearest element that tells what it holds, or -1."""
+
     text: str
     linked: int = 0
-    furniture: bool = False
-    article: bool = False
     heading: bool = False
     parent: int = 0
+    place: int = -1
+
+
+@dataclass
+class Place:
+    """An element that tells what it holds. ``named``: only its class or id says so, which a wrapper's may as well."""
+
+    article: bool
+    named: bool
+    above: int
 
 
 @dataclass
 class _Open:
     tag: str
     number: int
-    furniture: bool = False
+    holder: int = 0
+    heading: bool = False
     article: bool = False
+    place: int = -1
+
+
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Lists and tables, which hide the open items and cells around them.
+LISTS = frozenset("ul ol dl table menu select".split())
 
 
 @dataclass
 class _Builder:
     blocks: list[Block] = field(default_factory=list)
+    places: list[Place] = field(default_factory=list)
+    wrappers: set[int] = field(default_factory=set)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
     def end(self, stack: list[_Open]) -> None:
         text = _WHITE.sub(" ", html.unescape("".join(self.parts))).strip()
         if text:
-            inner = stack[-1] if stack else None
-            holder = next((e.number for e in reversed(stack) if e.tag in BLOCK and e.tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6")), 0)
-            tags = {e.tag for e in stack}
-            self.blocks.append(Block(text, self.linked, bool(inner and inner.furniture), bool(inner and inner.article),
-                                     bool(tags & {"h1", "h2", "h3", "h4", "h5", "h6"}), holder))
+            inner = stack[-1] if stack else _Open("", 0)
+            self.blocks.append(Block(text, self.linked, inner.heading, inner.holder, inner.place))
         self.parts, self.linked = [], 0
 
-
-def blocks_of(page: str) -> list[Block]:
-    """Text blocks of a page in page order. Unclosed, misnested and cut markup is taken as it comes."""
+    def settle(self) -> None:
+        """Named elements that turn out to be wrappers tell nothing; their blocks look to the next one around."""
+        words, total = [0] * len(self.places), 0
+        for b in self.blocks:
+            n = len(b.text.split())
+            total += n
+            if b.place >= 0:
+                words[b.place] += n
+        for i in range(len(self.places) - 1, -1, -1):
+            above = self.places[i].above
+            if above >= 0:
+                words[above] += words[i]
+                if i in self.wrappers:
+                    self.wrappers.add(above)
+        stands = list(range(len(self.places)))
+        for i, p in enumerate(self.places):
+            if p.named and (i in self.wrappers or words[i] > WRAPPER_SHARE * total):
+                stands[i] = stands[p.above] if p.above >= 0 else -1
+        for b in self.blocks:
+            if b.place >= 0:
+                b.place = stands[b.place]
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[Place]]:
+    """Text blocks of a page in page order, and the elements that tell what they hold. Unclosed, misnested and cut markup is
+    taken as it comes. Open elements are counted by tag, so depth costs nothing."""
     out, stack, number, at, links = _Builder(), [], 0, 0, 0
     silent, inside, ends = None, Counter(), {}
+    opened, marks = Counter(), []   # open elements by tag; places in the stack of items, cells, lists and tables
+
+    def cut(depth):
+        """Close all elements from this place of the stack on."""
+        for e in stack[depth:]:
+            opened[e.tag] -= 1
+        del stack[depth:]
+        while marks and marks[-1] >= depth:
+            marks.pop()
+
+    def close(tag):
+        depth = len(stack) - 1
+        while stack[depth].tag != tag:
+            depth -= 1
+        cut(depth)
 
     def closes(tag):
         """Whether the tag's element is closed further on."""
@@ -132,15 +196,15 @@ def blocks_of(page: str) -> list[Block]:
                 if tag == silent:
                     silent = None
                     continue
-                if not (any(e.tag == tag for e in stack) or tag == "a" and links):
+                if not (opened[tag] or tag == "a" and links):
                     continue
             elif silent == "option":
                 if tag in ("option", "optgroup"):
                     continue
             elif tag not in BLOCK or tag == "hr" or silent not in BLOCKLESS or any(inside[x] for x in BLOCKLESS[silent]):
                 if tag in ("script", "style"):
-                    close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                    at = close.end() if close else at
+                    end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    at = end.end() if end else at
                 elif tag not in VOID and not m[3].rstrip().endswith("/"):
                     inside[tag] += 1
                 continue
@@ -150,16 +214,15 @@ def blocks_of(page: str) -> list[Block]:
         if m[1]:
             if tag == "a":
                 links = max(links - 1, 0)
-            if any(e.tag == tag for e in stack):
-                while stack.pop().tag != tag:
-                    pass
+            if opened[tag]:
+                close(tag)
             continue
         own_end = m[3].rstrip().endswith("/")
         if tag in SILENT and not own_end:
             if tag in ("script", "style", "title", "textarea", "noscript", "template", "iframe"):
                 # raw content up to the end tag, whatever it holds
-                close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else len(page)
+                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = end.end() if end else len(page)
             else:
                 # the fallback of an object may be any blocks, so one that is never closed has none
                 silent = None if tag == "head" or tag == "object" and not closes(tag) else tag
@@ -172,32 +235,40 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "a":
             links += 1
             continue
-        if tag in BLOCK and any(e.tag == "p" for e in stack) and tag not in ("li", "td", "th", "tr", "dd", "dt"):
-            while stack.pop().tag != "p":
-                pass
-        if tag in CLOSES and any(e.tag in CLOSES[tag] for e in stack):
-            depth = max(i for i, e in enumerate(stack) if e.tag in CLOSES[tag])
-            if not any(e.tag in ("ul", "ol", "dl", "table", "menu") for e in stack[depth + 1:]):
-                del stack[depth:]
+        if tag in BLOCK and opened["p"] and tag not in ("li", "td", "th", "tr", "dd", "dt"):
+            close("p")
+        while tag in CLOSES and marks and stack[marks[-1]].tag in CLOSES[tag]:
+            cut(marks[-1])
+        above = stack[-1] if stack else _Open("", 0)
         names = {k.lower(): a or b or c for k, a, b, c in _NAME.findall(m[3])}
-        above = stack[-1] if stack else None
-        article = bool(above and above.article) or tag in ("article", "main") or names.get("role") in ("main", "article")
-        named = any(FURNITURE_NAME.search(names.get(k, "")) for k in ("class", "id")) and tag not in ("html", "body", "article", "main", "h1")
-        furniture = bool(above and above.furniture) or tag in FURNITURE or (tag == "header" and not article) or named or names.get("role") in FURNITURE_ROLE
+        role = names.get("role", "").lower()
+        article = tag in ("article", "main") or role in ("main", "article")
+        furniture = tag in FURNITURE or role in FURNITURE_ROLE or tag == "header" and not above.article
+        named = tag not in ("html", "body", "h1") and any(FURNITURE_NAME.fullmatch(x) for k in ("class", "id") for x in names.get(k, "").split())
         number += 1
-        stack.append(_Open(tag, number, furniture, article))
+        place = above.place
+        if (article or tag == "h1") and place >= 0:
+            out.wrappers.add(place)
+        if article or furniture or named:
+            out.places.append(Place(article, named and not article and not furniture, place))
+            place = len(out.places) - 1
+        holder = number if tag in BLOCK and tag not in HEADINGS and tag not in ("p", "li") else above.holder
+        if tag in CLOSES or tag in LISTS:
+            marks.append(len(stack))
+        opened[tag] += 1
+        stack.append(_Open(tag, number, holder, above.heading or tag in HEADINGS, above.article or article, place))
     words(page[at:])
     out.end(stack)
-    return out.blocks
+    out.settle()
+    return out.blocks, out.places
 
 
 def score(b: Block, costs: Costs) -> float:
-    """Log-odds that a block is content."""
+    """Log-odds that a block is content, from its own text."""
     n = len(b.text.split())
     s = costs.base + min(n * costs.text_per_word, costs.most_text) + costs.link_share * min(b.linked / n, 1.0)
     s += costs.sentence * (b.text.rstrip("\"'”’»)")[-1:] in ".!?…")
-    s += costs.article * b.article + costs.heading * b.heading + costs.furniture * b.furniture
-    return s
+    return s + costs.heading * b.heading
 
 
 class Cut:
@@ -262,31 +333,40 @@ class Cut:
                 node = self.to[e]
 
 
-def content(blocks: list[Block], costs: Costs = Costs()) -> list[bool]:
+def edges_of(blocks: list[Block], places: list[Place], costs: Costs) -> list[tuple[int, int, float]]:
+    """The smoothness edges (block, block or place, capacity); places are numbered behind the blocks."""
+    out, last = [], {}
+    for i, b in enumerate(blocks):
+        if b.place >= 0:
+            out.append((i, len(blocks) + b.place, costs.inside))
+        if i:
+            out.append((i - 1, i, costs.adjacency))
+        if b.parent in last:
+            out.append((last[b.parent], i, costs.siblings))
+        last[b.parent] = i
+    return out
+
+
+def content(blocks: list[Block], places: list[Place] = (), costs: Costs = Costs()) -> list[bool]:
     """For each block, whether it lies on the content side of the minimum cut."""
     if not blocks:
         return []
-    n = len(blocks)
-    graph, source, sink = Cut(n + 2), n, n + 1
-    last: dict[int, int] = {}
+    n, m = len(blocks), len(places)
+    graph, source, sink = Cut(n + m + 2), n + m, n + m + 1
     for i, b in enumerate(blocks):
         s = score(b, costs)
-        if s > 0:
-            graph.edge(source, i, s)
-        else:
-            graph.edge(i, sink, -s)
-        if i:
-            graph.edge(i - 1, i, costs.adjacency, costs.adjacency)
-        if b.parent in last:
-            graph.edge(last[b.parent], i, costs.siblings, costs.siblings)
-        last[b.parent] = i
+        graph.edge(*((source, i, s) if s > 0 else (i, sink, -s)))
+    for k in {b.place for b in blocks if b.place >= 0}:
+        graph.edge(*((source, n + k, math.inf) if places[k].article else (n + k, sink, math.inf)))
+    for a, b, room in edges_of(blocks, places, costs):
+        graph.edge(a, b, room, room)
     return graph.source_side(source, sink)[:n]
 
 
 def main_text(page: str | None, costs: Costs = Costs()) -> str:
     """The page's content blocks, one per line."""
-    blocks = blocks_of(page or "")
-    return "\n".join(b.text for b, keep in zip(blocks, content(blocks, costs)) if keep)
+    blocks, places = blocks_of(page or "")
+    return "\n".join(b.text for b, keep in zip(blocks, content(blocks, places, costs)) if keep)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", costs: Costs = Costs()) -> DataFrame:
