@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import maybe_broadcast, new_path, written
+from quarry.llm.common import heavy_keys, new_path, small, spread_join, written
 
 #: Records per archive file; it bounds the captures that a reader sorts at once.
 RECORDS_PER_FILE = 20_000
@@ -53,7 +53,18 @@ def _first_copies(pages: DataFrame, min_bytes: int) -> DataFrame:
     """Payload digests that occur twice or more, with the smallest page_id that has them."""
     counts = pages.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(
         F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    return counts.filter("copies > 1").select(F.col("payload_digest").alias("_digest"), "first_id")
+    return counts.filter("copies > 1")
+
+
+def _with_first(df: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``df`` with ``first_id`` of its digest. Beyond the broadcast bound narrow rows meet the digests, those of many pages dealt to
+    pieces, and whole pages are joined to them by page and digest, so copies of one page do not meet in one task."""
+    key = "payload_digest"
+    if small(firsts, 64):
+        return df.join(F.broadcast(firsts.select(key, "first_id")), key, "left")
+    narrow = spread_join(df.select("page_id", key), firsts.select(key, "first_id"), key, heavy_keys(firsts, key, "copies"), "page_id")
+    marks = written(narrow.distinct(), "copied-pages").withColumnsRenamed({"page_id": "_id", key: "_digest"})
+    return df.join(marks, (df[key] == F.col("_digest")) & df["page_id"].eqNullSafe(F.col("_id")), "left").drop("_id", "_digest")
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url",
@@ -74,8 +85,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
         F.col(id_col).cast("bigint").alias("page_id"), F.regexp_replace(F.col(url_col), "[\\r\\n]", "").alias("url"),
         html.alias("html"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
         F.octet_length(html).cast("bigint").alias("payload_bytes"), base32_sha1(html).alias("payload_digest"))
-    firsts = maybe_broadcast(written(_first_copies(df, min_bytes), "first-copies"), 64)
-    df = df.join(firsts, df["payload_digest"] == F.col("_digest"), "left")
+    df = _with_first(df, written(_first_copies(df, min_bytes), "first-copies"))
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     block = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                      F.col("payload_bytes").cast("string"), F.lit(_END), F.when(revisit, "").otherwise(F.col("html")))
