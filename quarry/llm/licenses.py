@@ -64,6 +64,12 @@ SENTENCES = {
     "ccby4.title": "Creative Commons Attribution 4.0 International",
     "ccbysa4.title": "Creative Commons Attribution-ShareAlike 4.0 International",
     "ccbync4.title": "Creative Commons Attribution-NonCommercial 4.0 International",
+    "zlib.warranty": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib.grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter "
+                  "it and redistribute it freely, subject to the following restrictions:",
+    "apache2.basis": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+                     "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "apache2.see": "See the License for the specific language governing permissions and limitations under the License.",
 }
 #: As SENTENCES, with a holder's name of up to ten words at the mark.
 HELD = {
@@ -81,7 +87,7 @@ NAMES = {
     "AGPL-3.0": "gnu agpl 3|gnu agpl v3|agplv3|agpl v3|agpl 3 0|agpl 3|gnu affero general public 3|gnu affero general public v3|gnu affero general public 3 0",
     "MPL-2.0": "mozilla public 2 0|mozilla public v2 0|mozilla public v 2 0|mpl 2 0|mpl v2|mpl 2",
     "BSD-2-Clause": "bsd 2 clause|2 clause bsd|simplified bsd|freebsd", "BSD-3-Clause": "bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd",
-    "ISC": "isc", "Unlicense": "unlicense", "BSL-1.0": "boost software 1 0", "EPL-2.0": "eclipse public 2 0|eclipse public v2 0|eclipse public v 2 0|epl 2 0",
+    "ISC": "isc", "Zlib": "zlib", "Unlicense": "unlicense", "BSL-1.0": "boost software 1 0", "EPL-2.0": "eclipse public 2 0|eclipse public v2 0|eclipse public v 2 0|epl 2 0",
     "CC0-1.0": "cc0|cc0 1 0|cc0 1 0 universal|creative commons zero 1 0|creative commons cc0|creative commons cc0 1 0 universal",
     "CC-BY-4.0": "cc by 4 0|creative commons attribution 4 0|creative commons attribution 4 0 international",
     "CC-BY-SA-4.0": "cc by sa 4 0|creative commons attribution sharealike 4 0|creative commons attribution sharealike 4 0 international",
@@ -122,6 +128,8 @@ RULES = (
     ("CC-BY-4.0", ("ccby4.title",)),
     ("CC-BY-SA-4.0", ("ccbysa4.title",)),
     ("CC-BY-NC-4.0", ("ccbync4.title",)),
+    ("Zlib", ("zlib.grant",)),
+    ("Apache-2.0", ("apache2.basis", "apache2.see")),
 )
 #: As RULES, for texts where the licence named third is not found.
 SHORTER = (("BSD-2-Clause", ("bsd.grant", "bsd.source", "bsd.binary"), "BSD-3-Clause"),)
@@ -130,7 +138,7 @@ _END, _LINE = "\ue000", "\ue001"
 #: What may stand between two words of a sentence: a line break, or a mark that another edition of it has.
 _GAP = rf"(?:\x20[{_END}{_LINE}])*\x20"
 _SUBJECT = r"(?:(?:this|the|our|all) (?:\w+ ){1,4}?(?:is|are) (?:dual )?|it is |is )?"
-_UNDER = r"(?:re)?(?:licensed|released|distributed|published|provided|available|made available|covered|shared|offered) (?:to you )?under (?:the )?(?:terms (?:and conditions )?of )?(?:the |a |an )?"
+_UNDER = r"(?:dual )?(?:re)?(?:licensed|released|distributed|published|provided|available|made available|covered|shared|offered) (?:to you )?under (?:the )?(?:terms (?:and conditions )?of )?(?:the |a |an )?"
 _GNU = (r"(?:this|the) (?:\w+ ){1,3}(?:is|are) free software you can redistribute (?:it|them) and or modify (?:it|them) under the terms of the gnu "
         r"(general|lesser general|library general|affero general) public license as published by the free software foundation "
         r"(?:either )?version (\d)(?: ([01]))?(?: of the license)?( or at your option any later version)?(?: only)?")
@@ -171,10 +179,11 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     over lines behind comment marks. Known sentences may be split by the
     sentence rule; each part has an identifier ``name/part`` and the rules
     ask for the parts in order. Notices ('This file is released under the
-    MIT License.', 'License: MIT', the GNU headers) have ``notice/LICENCE``.
-    The identifiers of SPDX lines, as written there, stand last as
+    MIT License.', 'License: MIT', 'MIT licensed', the GNU headers) have ``notice/LICENCE`` for each of up to four
+    licences they list. The identifiers of SPDX lines, as written there, stand last as
     ``spdx/LICENCE``. Null or empty text: empty arrays. Null and repeated
-    ids stay; other input columns are not carried."""
+    ids and rows stay; other input columns are not carried; an empty table gives an empty result; ties cannot occur, as
+    sentences stand in text order and licences in that of their names."""
     import re
 
     parts, order, known = {}, {}, {}
@@ -193,7 +202,12 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one_name = "|".join(sorted((f"{n}" for n in names), key=len, reverse=True))
     # "licence" and "version" may stand inside a name, before its number
     loose = re.sub(r" (?=v?\d)", " (?:licen[cs]e )?(?:version )?", one_name)
-    notice = rf"(?:{_SUBJECT}{_UNDER}|licen[cs]e(?: is)? (?:{_END} )?(?:the )?)({loose})(?: licen[cs]e)?(?: see (?:\w+ ){{0,6}}(?:details|information|licen[cs]e))?"
+    later = r"(?: or (?:any )?(?:later|newer)(?: versions?)?)?"
+    each = rf"(?:{loose})(?: licen[cs]es?)?{later}"
+    # up to four licences in one notice
+    many = rf"(?:either )?(?:of )?(?:the |a )?(?:{each})(?: (?:and|or|and or)(?: the| a| either| under)* (?:{each})){{0,3}}(?: licen[cs]es?)?(?: at your (?:option|choice))?"
+    notice = (rf"(?:(?:{_SUBJECT}{_UNDER}|licen[cs]e(?: is)? (?:{_END} )?(?:the )?)({many})(?: see (?:\w+ ){{0,6}}(?:details|information|licen[cs]e))?"
+              rf"|{_SUBJECT}({many}) licen[cs]ed)")
     whole = sorted((re.escape(p).replace(r"\ ", " ") for p in known), key=len, reverse=True)
     gaps = "|".join([*whole, *held.values(), _GNU, notice]).replace(" ", _GAP)
     pattern = rf"(?<=[{_END}{_LINE}]\x20)(?:{gaps})(?=\x20[{_END}{_LINE}])"
@@ -206,9 +220,16 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         gnu = F.concat(F.lit("notice/"), F.element_at(gnu_of, F.regexp_extract(m, _GNU, 1)), F.lit("-"), F.regexp_extract(m, _GNU, 2), F.lit("."),
                        F.when(F.regexp_extract(m, _GNU, 3) == "", "0").otherwise(F.regexp_extract(m, _GNU, 3)),
                        F.when(F.regexp_extract(m, _GNU, 4) == "", "").otherwise("-or-later"))
-        name = F.regexp_replace(F.regexp_extract(m, f"^{notice}$", 1), r" licen[cs]e(?= )| version(?= )", "")
+        block = F.concat(F.regexp_extract(m, f"^{notice}$", 1), F.regexp_extract(m, f"^{notice}$", 2))
+
+        def one(found):
+            name = F.regexp_replace(F.regexp_extract(found, f"^({loose})", 1), r" licen[cs]e(?= )| version(?= )", "")
+            licence = F.element_at(licence_of, name)
+            return F.concat(F.lit("notice/"), licence, F.when(licence.contains("GPL") & found.rlike(" or (?:any )?(?:later|newer)"), "-or-later").otherwise(""))
+
+        listed = F.array_join(F.transform(F.regexp_extract_all(block, F.lit(each), F.lit(0)), one), " ")
         return F.coalesce(F.element_at(ids_of, m), *[F.when(m.rlike(f"^{r}$"), f"{n}/0") for n, r in held.items()],
-                          F.when(m.rlike(f"^{_GNU}$"), gnu), F.concat(F.lit("notice/"), F.element_at(licence_of, name)))
+                          F.when(m.rlike(f"^{_GNU}$"), gnu), F.when(listed != "", listed))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"))

@@ -399,6 +399,18 @@ def test_wrapped_licences_and_notices(spark):
     assert got == {i: want for i, (_, want) in enumerate(rows)}
 
 
+def test_notices_that_list_licences(spark):
+    s = licenses.SENTENCES
+    rows = [("This project is MIT licensed.", ["MIT"]), ("Licensed under the MIT license and the Apache License, Version 2.0.", ["Apache-2.0", "MIT"]),
+            ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["Apache-2.0", "MIT"]),
+            ("Dual licensed under GPL v2 or later.", ["GPL-2.0-or-later"]), (f"{s['zlib.warranty']}\n\n{s['zlib.grant']}", ["Zlib"]),
+            (f"# {s['apache2.basis']}\n# {s['apache2.see']}", ["Apache-2.0"]), ("Available under the BSD 3-Clause or the ISC license.", ["BSD-3-Clause", "ISC"]),
+            ("This program is licensed under the GNU LGPL v3.", ["LGPL-3.0"]), ("The committee was licensed to operate a bar.", []), ("She is licensed.", []),
+            ("We met under the bridge and the old mill.", [])]
+    got = {r.doc_id: r.licences for r in licenses.recognise(docs(spark, [(i, t) for i, (t, _) in enumerate(rows)])).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(rows)}
+
+
 HTML = """<html><head><title>T</title></head><body><header><a href=x>home</a></header><div class="cookie-notice">We use cookies here, as you
 may well know by now.</div><main><h1>Title</h1><p>First  para, <b>bold</b> &eacute;&#8217;s &lt;x&gt;.<ul><li>one item</ul>
 <div class="ad">Buy now this thing today.</div><p>Second para with words in it.<form><label>Name</label></form></main>
