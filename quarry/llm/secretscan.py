@@ -31,9 +31,14 @@ ALPHABETS = {
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base36 upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base52": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "dashed": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
 }
+#: Encodings of both cases, and keys in groups of one length between dashes.
+MIXED = ("base52", "base62", "base64")
+DASHED = "|".join(f"[0-9A-Z]{{{k}}}(?:-[0-9A-Z]{{{k}}}){{2,}}" for k in range(4, 9))
 #: Letters of European prose by falling frequency, in per mille; words have high ones, random letters have not.
 LETTERS = {c: n for c, n in zip("etaoinsrhldcumfpgwybvkxjqz", (127, 91, 82, 75, 70, 67, 63, 60, 61, 40, 43, 28, 28, 24, 22, 19, 20, 24, 20, 15, 10, 8, 2, 2, 1, 1))}
 #: p-values are counted in this many equal bins of -log10 p, up to 10 ** -(BINS / PER_DECADE).
@@ -43,12 +48,15 @@ BINS, PER_DECADE = 400, 20
 @dataclass(frozen=True)
 class Battery:
     """``min_len``: shortest token or part of one that is tested, as shorter ones give the tests no power.
-    ``lengths``: lower ends of the length classes. ``fdr``: share of false
-    rejections allowed in each class."""
+    ``min_letters``: the same for tokens of letters alone. ``lengths``: lower ends of the length classes. ``fdr``: share of false
+    rejections allowed in each class. ``least_p``: a token below is dropped whatever the others are, so at most this
+    share of random tokens is lost to it, and names that the rule would let pass among many keys are not."""
 
     min_len: int = 16
     lengths: tuple[int, ...] = (16, 24, 32, 48, 80)
     fdr: float = 0.05
+    least_p: float = 0.01
+    min_letters: int = 24
 
 
 def _spans(text: Column, pattern: str, kind: int) -> Column:
@@ -83,8 +91,9 @@ def chi2_tail(x: Column, df: Column) -> Column:
     return normal_tail((F.pow(F.greatest(x, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - v)) / F.sqrt(v))
 
 
-def _encoding(value: Column) -> Column:
-    """The encoding a token's characters allow, or null: letters and digits must both occur, in base62 and base64 both cases."""
+def _encoding(value: Column, battery: Battery) -> Column:
+    """The encoding a token's characters allow, or null: letters and digits must both occur, in base62 and base64 both cases; letters
+    alone in both cases count from ``min_letters`` on."""
     both = value.rlike("[0-9]")
     return (F.when(value.rlike("^[0-9a-f]+$") & both & value.rlike("[a-f]"), F.lit("hex"))
             .when(value.rlike("^[0-9A-F]+$") & both & value.rlike("[A-F]"), F.lit("hex upper"))
@@ -92,6 +101,8 @@ def _encoding(value: Column) -> Column:
             .when(value.rlike("^[0-9a-z]+$") & both & value.rlike("[a-z]"), F.lit("base36"))
             .when(value.rlike("^[0-9A-Z]+$") & both & value.rlike("[A-Z]"), F.lit("base36 upper"))
             .when(value.rlike("^[0-9A-Za-z]+$") & both & value.rlike("[a-z]") & value.rlike("[A-Z]"), F.lit("base62"))
+            .when(value.rlike("^[A-Za-z]+$") & (F.length(value) >= battery.min_letters) & value.rlike("[a-z]") & value.rlike("[A-Z]"), F.lit("base52"))
+            .when(both & value.rlike("[A-Z]") & value.rlike(f"^(?:{DASHED})$"), F.lit("dashed"))
             .when(both & value.rlike("[a-z]") & value.rlike("[A-Z]"), F.lit("base64")))
 
 
@@ -102,10 +113,11 @@ def tested(value: Column, battery: Battery) -> Column:
     - chi-squared of the symbol counts against equal frequencies;
     - number of runs of values below and above the middle of the alphabet;
     - correlation of neighbouring values;
-    - mean frequency of the letters in prose, where the alphabet has all letters.
+    - mean frequency of the letters in prose, where the alphabet has all letters;
+    - share of capitals among the letters, where the alphabet has both cases.
     The squares of the normal scores (the first only when the counts are too
-    uneven, the last only when the letters are too frequent) add up to a
-    statistic with three degrees of freedom, or four with the last one."""
+    uneven, the fourth only when the letters are too frequent) add up to a
+    statistic with three degrees of freedom, and one more for each of the last two."""
     logs = {c: math.log(n) for c, n in LETTERS.items()}
     middle = sum(logs.values()) / 26
     spread = math.sqrt(sum((v - middle) ** 2 for v in logs.values()) / 26)
@@ -152,16 +164,19 @@ def tested(value: Column, battery: Battery) -> Column:
         size, hexes = F.length(e["alphabet"]).cast("double"), e["encoding"].startswith("hex")
         letters = F.split(F.regexp_replace(F.lower(e["body"]), "[^a-z]+", ""), "")
         words = F.when(hexes, F.lit(0.0)).otherwise(let(letters, wordiness))
-        statistic = let(size, lambda k: let(values, lambda x: measured(x, k))) + let(words, lambda w: w * w)
-        p = let(F.struct(statistic.alias("x"), F.when(hexes, 3.0).otherwise(4.0).alias("df")), lambda s: chi2_tail(s["x"], s["df"]))
+        mixed = e["encoding"].isin(*MIXED)
+        capitals = let(F.struct(F.length(F.regexp_replace(e["body"], "[^A-Z]+", "")).alias("u"), F.length(F.regexp_replace(e["body"], "[^A-Za-z]+", "")).alias("n")),
+                       lambda c: F.when(mixed, F.pow(c["u"] * 2 - c["n"], F.lit(2.0)) / c["n"]).otherwise(F.lit(0.0)))
+        statistic = let(size, lambda k: let(values, lambda x: measured(x, k))) + let(words, lambda w: w * w) + capitals
+        p = let(F.struct(statistic.alias("x"), F.when(hexes, 3.0).when(mixed, 5.0).otherwise(4.0).alias("df")), lambda s: chi2_tail(s["x"], s["df"]))
         return F.struct(e["encoding"].alias("encoding"), cls.alias("cls"), let(p, binned).alias("bin"))
 
     def inferred(name):
-        body = F.regexp_replace(F.translate(value, "-_", "+/"), "=+$", "")
+        body = F.when(name == "dashed", F.translate(value, "-", "")).otherwise(F.regexp_replace(F.translate(value, "-_", "+/"), "=+$", ""))
         return F.when(name.isNotNull(), let(F.struct(
             name.alias("encoding"), F.element_at(alphabets, name).alias("alphabet"), body.alias("body")), judged))
 
-    return let(_encoding(value), inferred)
+    return let(_encoding(value, battery), inferred)
 
 
 def _parts(token: Column, min_len: int) -> Column:
@@ -208,12 +223,14 @@ def thresholds(scanned: DataFrame, battery: Battery) -> DataFrame:
     return ranked.filter(p_max <= F.lit(battery.fdr) * F.col("upto") / F.col("total")).groupBy("cls").agg(F.min("bin").alias("from_bin"))
 
 
-def _accepted(cuts: dict[int, int]) -> Column:
+def _accepted(cuts: dict[int, int], battery: Battery) -> Column:
     """``base`` and the tokens below their class's cut, as one ordered array."""
+    most = min(BINS, round(-math.log10(battery.least_p) * PER_DECADE))
+
     def random(t):
-        cut = F.lit(BINS)
+        cut = F.lit(most)
         for cls, from_bin in cuts.items():
-            cut = F.when(t["test"]["cls"] == cls, F.lit(from_bin)).otherwise(cut)
+            cut = F.when(t["test"]["cls"] == cls, F.lit(min(from_bin, most))).otherwise(cut)
         return t["test"]["bin"] < cut
 
     extra = F.transform(F.filter("tokens", random), lambda t: F.struct(
@@ -239,7 +256,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batter
     text = F.coalesce(F.col(text_col), F.lit(""))
     scanned = _scan(docs.select(F.col(id_col).alias("doc_id"), text.alias("_text")), battery).drop("_text")
     scanned = written(scanned, "secret-scan")
-    return scanned.select("doc_id", "base", _accepted(_cuts(scanned, battery)).alias("spans"))
+    return scanned.select("doc_id", "base", _accepted(_cuts(scanned, battery), battery).alias("spans"))
 
 
 def named(spans: Column) -> Column:
@@ -271,5 +288,5 @@ def redact(docs: DataFrame, text_col: str = "text", battery: Battery = Battery()
     scanned = written(_scan(docs.select(row, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), battery).drop("_text"), "secret-rows")
     text = F.col("row")[text_col]
     out = F.when(text.isNotNull(), redacted(text, F.col("_spans")))
-    found = scanned.select("row", _accepted(_cuts(scanned, battery)).alias("_spans"))
+    found = scanned.select("row", _accepted(_cuts(scanned, battery), battery).alias("_spans"))
     return found.select(*[(out if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])

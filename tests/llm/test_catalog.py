@@ -87,3 +87,21 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     sf = tables(spark, tmp_path, [])
     spark.createDataFrame([(1, "a passage of some words to find")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+WORDS = "token http order user client server request value index handler config parser stream buffer result event manager service factory model".split()
+
+
+def test_rates_of_keys_found_and_names_taken_for_keys(spark):
+    """Of each kind of random key at least nine in ten are found; of names put together from words at most two in a hundred are taken for one."""
+    random.seed(12)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    kinds = {"letters": (upper + lower, 40), "base62": (upper + lower + digits, 40), "base36": (lower + digits, 32), "hex upper": ("0123456789ABCDEF", 40)}
+    keys = {k: ["".join(random.choices(a, k=n)) for _ in range(60)] for k, (a, n) in kinds.items()}
+    keys["dashed"] = ["-".join("".join(random.choices(upper + digits, k=5)) for _ in range(5)) for _ in range(60)]
+    names = ["".join(w.capitalize() for w in random.sample(WORDS, random.randint(2, 5))) + str(random.randint(10, 99)) for _ in range(300)]
+    names += ["_".join(random.sample(WORDS, 4)) + "_" + str(i) for i in range(100)] + ["".join(w.capitalize() for w in random.sample(WORDS, 5)) for _ in range(100)]
+    rows = [(i, f"see {t} here", kind) for i, (kind, t) in enumerate([(k, t) for k, ts in keys.items() for t in ts] + [("name", n) for n in names])]
+    found = {r.doc_id for r in secretscan.find(spark.createDataFrame(rows, "doc_id long, text string, kind string")).filter("size(spans) > 0").collect()}
+    rate = {k: sum(i in found for i, _, kind in rows if kind == k) / sum(kind == k for _, _, kind in rows) for k in [*keys, "name"]}
+    assert all(rate[k] >= 0.9 for k in keys) and rate["name"] <= 0.02, rate
