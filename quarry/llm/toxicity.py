@@ -17,6 +17,7 @@ import math
 import re
 import sys
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -27,24 +28,25 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, maybe_broadcast, written
+from quarry.llm.common import maybe_broadcast, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: What a mark or digit may stand for; fixed values.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il",
-              "|": "il", "+": "t", "(": "c", "<": "c", "{": "c", "[": "c", "€": "e", "£": "l", "¡": "i", "§": "s", "¢": "c", "¥": "y"}
+              "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "§": "s", "¢": "c", "¥": "y"}
 #: Longest n-gram; an n-gram's bucket is its crc32 modulo the table size.
 ORDER = 5
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
-_INNER = re.compile(r"[\W\d_]")
-_PAIR = re.compile(r"(\w)\1")
+_LETTER = re.compile(r"[^\W\d_]")
+_PAIR, _TRIPLE = re.compile(r"(\w)\1"), re.compile(r"(\w)\1\1")
 #: Single characters with one or two separators between them, four at least.
 _SINGLE = r"(?:[^\W\d_]|[0-9@$!|+])"
 _CHAIN = re.compile(rf"(?<![^\s.,;:*_\-]){_SINGLE}(?:[ .\-_*,]{{1,2}}{_SINGLE}){{3,}}(?![^\s.,;:!?*_\-])")
 _EDGE = "\"'`.,;:?!()[]{}<>«»„“”‚‘’…–—-_*#%&$|~^/\\=+@"
-#: Marks around a token that may be letters, and those that never are.
+#: Marks around a token that may be letters, three of a kind that are none, and marks that never are.
 _OUTER = re.compile(r"[$!|+@]")
+_RUN = re.compile(r"^([$!|+@])\1\1+|([$!|+@])\2\2+$")
 _FRAME = "\"'`.,;:?()[]{}<>«»„“”‚‘’…–—-_#%&~^/\\="
 
 
@@ -66,16 +68,29 @@ class Channel:
 class Learning:
     """``lm_bits``: size of the character table. ``weight_bits``: buckets of word evidence. ``openings``: lengths of a word's
     openings that count as evidence for it. ``z``: standard deviations below the log odds. ``least``: toxic
-    documents that a bucket needs. ``fit_rows``: labelled rows (those of the smallest hashes) that fit the logistic model."""
+    documents that a bucket needs. ``rows``: labelled texts of each kind that train, about (all, or a share by hash of the digest);
+    ``fit_rows``: rows (those of the smallest hashes) that fit the logistic model."""
 
     lm_bits: int = 21
     weight_bits: int = 20
     openings: tuple[int, ...] = (4, 5, 6)
     z: float = 1.645
     least: int = 2
+    rows: int = 30_000
     fit_rows: int = 100_000
 
 
+#: Bytes of tokens: marks that stand for no letter part them, A-Z in lower case (other capitals when a token is restored).
+_TOKEN_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if chr(b) in " \t\n\r\x0b\x0c.,;:?\"()[]{}<>/\\=~^%&#" else b for b in range(256))
+#: What every chain over white space has within: single characters, the second of them behind a space.
+_MAYBE = re.compile(rb" \S{1,2}[.,*_-]? {1,2}\S{1,2}[.,*_-]? {1,2}\S{1,2}[.,*_-]?(?![^\s.,;:!?*_-])")
+
+
+def tokens_of(data: bytes) -> list[bytes]:
+    """The tokens of a text in UTF-8."""
+    return data.translate(_TOKEN_BYTES).split()
+
+
 class CharModel:
     """Interpolated character probabilities from the table of hashed n-gram counts."""
 
@@ -87,7 +102,7 @@ class CharModel:
 
     def cost(self, context: str, char: str) -> float:
         """-log P(char | last characters of the word so far), by Witten-Bell-like weights between orders."""
-        key = (context, char)
+        key = context + char
         got = self.memo.get(key)
         if got is None:
             if len(self.memo) > 500_000:
@@ -214,16 +229,24 @@ class Restorer:
     def token(self, token: str) -> str:
         """The restored form of a token without white space; '' if it holds no letter."""
         low = token.lower()
+        if " " in low or "\xa0" in low:   # white space beyond ASCII
+            return " ".join(filter(None, map(self.token, low.split())))
         core = low.strip(_EDGE)
-        if not _INNER.search(core) and (len(core) == len(low) or not _OUTER.search(low)) and (not _PAIR.search(core) or self._plain(core)):
-            return core
-        noisy = low.strip(_FRAME)
-        if not any(c.isalpha() for c in noisy):
+        if core.isalpha() and (len(core) == len(low) or not _OUTER.search(low)):
+            if not _PAIR.search(core) or self._plain(core):
+                return core
+        elif not _LETTER.search(low):
             return ""
+        noisy = _RUN.sub("", low.strip(_FRAME)).strip(_FRAME)
+        if _CHAIN.fullmatch(noisy):
+            return " ".join(decode(_chain_moves(noisy, self.channel), self.model).split())
         return " ".join(decode(_moves(noisy, self.channel), self.model).split())
 
-    def chains(self, text: str) -> list[str]:
-        """The restored words of the chains of single characters in a text."""
+    def chains(self, data: bytes) -> list[str]:
+        """The restored words of the chains of single characters in a text in UTF-8."""
+        if not _MAYBE.search(data):
+            return []
+        text = data.decode("utf-8", "replace")
         return [w for m in _CHAIN.finditer(text) for w in decode(_chain_moves(m.group().lower(), self.channel), self.model).split()]
 
     def text(self, text: str) -> str:
@@ -237,17 +260,50 @@ def char_counts(docs: DataFrame, text_col: str = "text", learning: Learning = Le
 
     Words are counted first, so n-grams are taken from distinct words. The table has 2 ** ``lm_bits`` numbers
     whatever the corpus."""
-    tokens = docs.select(F.explode(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), SPACE + "+")).alias("raw"))
-    words = tokens.groupBy("raw").agg(F.count(F.lit(1)).alias("n")).select(
-        F.regexp_replace("raw", r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", "").alias("word"), "n")
-    words = words.filter(F.col("word").rlike(r"^\p{L}+$") & ~F.col("word").rlike(r"(\p{L})\1\1"))
-    framed = words.groupBy("word").agg(F.sum("n").alias("n")).select(F.concat(F.lit("^"), "word", F.lit("$")).alias("w"), "n")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(ORDER), F.length("w") - i + 1)), lambda k: F.substring(F.col("w"), i, k))))
-    # the empty n-gram counts every character after the first
-    grams = framed.select(F.explode(F.concat(grams, F.array_repeat(F.lit(""), F.length("w") - 1))).alias("g"), "n")
     size = 1 << learning.lm_bits
-    table = written(grams.groupBy(F.pmod(F.crc32(F.col("g").cast("binary")), F.lit(size)).cast("int").alias("at")).agg(F.sum("n").alias("n")), "char-counts")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens: Counter = Counter()
+
+        def flush():
+            words: Counter = Counter()
+            for token, n in tokens.items():
+                word = token.decode("utf-8", "replace").lower().strip(_EDGE)
+                if word.isalpha() and not _TRIPLE.search(word):
+                    words[word] += n
+            tokens.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+
+        for b in batches:
+            for data in b.column(0).to_pylist():
+                if data:
+                    tokens.update(tokens_of(data))
+                if len(tokens) > 400_000:
+                    yield from flush()
+        yield from flush()
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, crc32 = np.zeros(size, np.int64), zlib.crc32
+        for b in batches:
+            at, ns = [], []
+            for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                chars = [c.encode() for c in f"^{word}$"]
+                before = len(at)
+                for i in range(len(chars)):
+                    crc = 0
+                    for c in chars[i:i + ORDER]:
+                        crc = crc32(c, crc)
+                        at.append(crc)
+                ns.append((len(at) - before, n))
+                table[0] += n * (len(chars) - 1)   # the empty n-gram counts every character after the first
+            sizes, counts = np.array(ns, np.int64).reshape(-1, 2).T
+            np.add.at(table, np.array(at, np.int64) & (size - 1), np.repeat(counts, sizes))
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(table[at])], names=["at", "n"])
+
+    words = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(count, "word string, n bigint")
+    words = words.groupBy("word").agg(F.sum("n").alias("n"))
+    table = written(words.mapInArrow(grams, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")), "char-counts")
     got, counts = table.toArrow(), np.zeros(size, np.float32)
     counts[got["at"].to_numpy()] = got["n"].to_numpy()
     return counts
@@ -273,16 +329,17 @@ def _bucket_counts(rows: DataFrame, counts, learning: Learning, channel: Channel
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, seen = Restorer(CharModel(counts.value), channel), np.zeros(1 << learning.weight_bits, np.int32)
         keep = None if only is None else only.value
-        memo = Memo(lambda token: tuple(k for w in restorer.token(token).split() for k in evidence(w, learning) if keep is None or keep[k]))
+        memo = Memo(lambda token: tuple(k for w in restorer.token(token.decode("utf-8", "replace")).split() for k in evidence(w, learning)
+                                        if keep is None or keep[k]))
         for b in batches:
-            for text in b.column(0).to_pylist():
-                found = set(chain.from_iterable(map(memo.__getitem__, set(text.split()))))
-                found.update(k for w in restorer.chains(text) for k in evidence(w, learning) if keep is None or keep[k])
+            for data in b.column(0).to_pylist():
+                found = set(chain.from_iterable(map(memo.__getitem__, set(tokens_of(data)))))
+                found.update(k for w in restorer.chains(data) for k in evidence(w, learning) if keep is None or keep[k])
                 seen[np.fromiter(found, np.int64, len(found))] += 1
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at].astype(np.int64))], names=["at", "n"])
 
-    return rows.select("text").mapInArrow(run, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+    return rows.select(F.col("text").cast("binary")).mapInArrow(run, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
 
 
 def weigh(rows: DataFrame, totals: dict[int, int], counts, learning: Learning, channel: Channel) -> dict[int, float]:
@@ -313,16 +370,17 @@ class Scorer:
         get = self.weights.get
         return max([get(k, 0.0) for w in phrase.split() for k in evidence(w, self.learning)], default=0.0)
 
-    def _strength(self, token: str) -> tuple[str, float] | tuple:
+    def _strength(self, token: bytes) -> tuple[str, float] | tuple:
         """The restored token and its evidence; empty without any."""
-        phrase = self.restorer.token(token)
+        phrase = self.restorer.token(token.decode("utf-8", "replace"))
         s = self.of(phrase)
         return (phrase, s) if s > 0 else ()
 
-    def __call__(self, text: str | None) -> tuple[float, float, float, float]:
-        tokens = (text or "").split()
+    def __call__(self, text: str | bytes | None) -> tuple[float, float, float, float]:
+        data = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+        tokens = tokens_of(data)
         best = dict(filter(None, map(self.strength.__getitem__, set(tokens))))
-        best.update((w, s) for w in self.restorer.chains(text or "") if (s := self.of(w)) > 0)
+        best.update((w, s) for w in self.restorer.chains(data) if (s := self.of(w)) > 0)
         top = sorted(best.values(), reverse=True)[:2] + [0.0, 0.0]
         return top[0], top[1], math.log1p(len(best)), math.log1p(len(tokens))
 
@@ -379,6 +437,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = char_counts(docs, text_col, learning)
     shipped = docs.sparkSession.sparkContext.broadcast(counts)
     chosen = labelled_texts(docs, labels, id_col, text_col)
+    shares = {r["toxic"]: min(1.0, learning.rows / r["n"]) for r in chosen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, shares.get(1, 1.0)).otherwise(shares.get(0, 1.0)) * float(1 << 30)
+    chosen = chosen.filter(drawn)
     totals = {r["toxic"]: r["n"] for r in chosen.filter("fold <> 4").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def rows(which):
@@ -406,6 +467,7 @@ def _features(rows: DataFrame, model: Model, kept: str) -> DataFrame:
             x = np.array([scorer(t) for t in b.column(0).to_pylist()], float).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([b.column(1), *[pa.array(x[:, k]) for k in range(4)]], names=[kept.split()[0], "f0", "f1", "f2", "f3"])
 
+    rows = rows.withColumn("text", F.col("text").cast("binary"))
     return rows.mapInArrow(run, f"{kept}, f0 double, f1 double, f2 double, f3 double")
 
 
