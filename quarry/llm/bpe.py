@@ -22,12 +22,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import new_path
+from quarry.llm.common import new_path, release, released
 from quarry.llm.files import Replacing, opened
 from quarry.llm.pretoken import splitter
 
 #: Characters of text per batch; one longer document is a batch by itself.
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 4_000_000
 #: Largest vocabulary whose token-byte table is given to every task.
 MAX_VOCABULARY = 2_000_000
 _ROWS = "batch bigint, bucket int, names array<bigint>, sizes array<bigint>, codes binary, words binary, file string"
@@ -152,8 +152,11 @@ def _place(table: pa.Table) -> pa.Table:
     for size in code_row["sizes"]:
         docs.append(b"".join([pieces[c] for c in codes[at:at + size].tolist()]))
         at += size
-    return pa.table({"doc_id": pa.array(code_row["names"], pa.int64()),
-                     "n_tokens": pa.array([len(d) // 4 for d in docs], pa.int64()), "ids": pa.array(docs, pa.binary())})
+    out = pa.table({"doc_id": pa.array(code_row["names"], pa.int64()),
+                    "n_tokens": pa.array([len(d) // 4 for d in docs], pa.int64()), "ids": pa.array(docs, pa.binary())})
+    del table, code_row, ids, pieces, docs, codes
+    release()
+    return out
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,10 +167,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     empty result. Special tokens are ordinary text."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    packed = texts.mapInArrow(_pack(pattern, 2 * n, new_path(docs.sparkSession, "bpe-codes")), _ROWS)
+    packed = texts.mapInArrow(released(_pack(pattern, 2 * n, new_path(docs.sparkSession, "bpe-codes"))), _ROWS)
     # the code row of a batch needs no encoder and is dealt by its batch
     dealt = packed.repartition(n, F.when(F.col("bucket") >= 0, F.col("bucket").cast("bigint")).otherwise(F.xxhash64("batch")))
-    return dealt.mapInArrow(_encode(ranks_path), _ROWS).groupBy("batch").applyInArrow(_place, "doc_id bigint, n_tokens bigint, ids binary")
+    return dealt.mapInArrow(released(_encode(ranks_path)), _ROWS).groupBy("batch").applyInArrow(_place, "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -180,4 +183,4 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*arrow.columns, pa.array(out, pa.binary())], names=[*arrow.schema.names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(run, f"{fields}, decoded binary")
+    return encoded.mapInArrow(released(run), f"{fields}, decoded binary")

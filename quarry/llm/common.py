@@ -36,6 +36,31 @@ def written(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give back what the allocators of this process hold unused."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(body):
+    """An Arrow batch function that gives its task's memory back at its end: workers are kept for later tasks and stages, and
+    would keep what their allocators hold."""
+    def run(batches):
+        try:
+            yield from body(batches)
+        finally:
+            release()
+    return run
+
+
 def settled(flag: Column) -> Column:
     """``flag``, computed once where it stands. A filter moves below projections
     by repeating their expressions inside itself; the always true term

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BROADCAST_BYTES, maybe_broadcast, written
+from quarry.llm.common import BROADCAST_BYTES, maybe_broadcast, released, written
 
 #: Words that are units when a number stands before them; fixed values.
 UNITS = frozenset(
@@ -247,7 +247,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     if n_hashes * 8 <= broadcast_bytes:
         wanted = np.sort(np.array([r[0] for r in keys.select("whash").distinct().collect()], np.int64).view(np.uint64))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    found = texts.mapInArrow(_emit(conf, short, wanted), _WINDOWS)
+    found = texts.mapInArrow(released(_emit(conf, short, wanted)), _WINDOWS)
     b = keys.select(F.col("id").alias("item_id"), "whash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n_windows", "n_rich", "rich")
     hits = found.select(F.col("id").alias("doc_id"), "whash", "pos", "slots").join(maybe_broadcast(b, 128), "whash")
     hits = written(hits.filter(F.size("slots") == F.size("item_slots")).select(

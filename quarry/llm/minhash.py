@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import heavy_keys, small, spread_join, written
+from quarry.llm.common import heavy_keys, released, small, spread_join, written
 from quarry.llm.components import components
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -157,7 +157,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets all count. Ties (equal sets) go to the smallest id. Other columns
     are not read; an empty table gives an empty result."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    first = written(texts.mapInArrow(_first_pass(conf), _FIRST_TABLE), "sketches")
+    first = written(texts.mapInArrow(released(_first_pass(conf)), _FIRST_TABLE), "sketches")
     known = first.filter("doc_id is not null and set_id is not null")
 
     # equal sets: the smallest id stands for all
@@ -186,7 +186,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = weight.select("rep").distinct()
     if small(weight, 16):
         wanted = F.broadcast(wanted)
-    sets = written(texts.join(wanted, texts["doc_id"] == F.col("rep"), "left_semi").mapInArrow(_sets(conf), "rep bigint, shingles array<bigint>"), "sets")
+    sets = written(texts.join(wanted, texts["doc_id"] == F.col("rep"), "left_semi").mapInArrow(released(_sets(conf)), "rep bigint, shingles array<bigint>"), "sets")
     stars = written(_confirmed(pairs, sets, conf), "star-links")
     same = members.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # ids with several sets tie their sets together; most tables have none, and the edges say so
