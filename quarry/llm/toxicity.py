@@ -84,6 +84,8 @@ class Learning:
 _TOKEN_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if chr(b) in " \t\n\r\x0b\x0c.,;:?\"()[]{}<>/\\=~^%&#" else b for b in range(256))
 #: What every chain over white space has within: single characters, the second of them behind a space.
 _MAYBE = re.compile(rb" \S{1,2}[.,*_-]? {1,2}\S{1,2}[.,*_-]? {1,2}\S{1,2}[.,*_-]?(?![^\s.,;:!?*_-])")
+#: The same for chains parted by the marks that part tokens.
+_DOTTED = re.compile(rb"([.,])[^\s.,]{1,2}\1[^\s.,]{1,2}\1")
 
 
 def tokens_of(data: bytes) -> list[bytes]:
@@ -244,7 +246,7 @@ class Restorer:
 
     def chains(self, data: bytes) -> list[str]:
         """The restored words of the chains of single characters in a text in UTF-8."""
-        if not _MAYBE.search(data):
+        if not (_MAYBE.search(data) or _DOTTED.search(data)):
             return []
         text = data.decode("utf-8", "replace")
         return [w for m in _CHAIN.finditer(text) for w in decode(_chain_moves(m.group().lower(), self.channel), self.model).split()]
@@ -457,12 +459,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
+def _shipped(rows: DataFrame, model: Model):
+    """A function that makes the model's scorer in a task; only arrays and numbers are broadcast, so workers need not have the package."""
+    data = rows.sparkSession.sparkContext.broadcast((model.counts, model.weights))
+    logit, learning, channel = model.logit, model.learning, model.channel
+    return lambda: Model(*data.value, logit, learning, channel).scorer()
+
+
 def _features(rows: DataFrame, model: Model, kept: str) -> DataFrame:
     """The features of ``text`` beside one other column."""
-    shipped = rows.sparkSession.sparkContext.broadcast(model)
+    scorer_of = _shipped(rows, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shipped.value.scorer()
+        scorer = scorer_of()
         for b in batches:
             x = np.array([scorer(t) for t in b.column(0).to_pylist()], float).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([b.column(1), *[pa.array(x[:, k]) for k in range(4)]], names=[kept.split()[0], "f0", "f1", "f2", "f3"])
@@ -488,10 +497,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def restore(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, restored``: the texts as the channel decoder reads them; null stays null."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"))
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    scorer_of = _shipped(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = shipped.value.scorer().restorer
+        restorer = scorer_of().restorer
         for b in batches:
             texts = [None if t is None else restorer.text(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(texts, pa.string())], names=["doc_id", "restored"])

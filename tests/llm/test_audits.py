@@ -217,10 +217,11 @@ def test_held_out_documents(spark, trained):
 def test_obfuscated_copies_score_alike(spark, trained):
     d, _, model = trained
     rows = [(1, "the idiot and the", "en", "s"), (2, "the 1d10t and the", "en", "s"), (3, "the i d i o t and the", "en", "s"), (4, "the idiiiot and the", "en", "s"),
+            (10, "the i.d.i.o.t and the", "en", "s"), (11, "the i-d-i-o-t and the", "en", "s"), (12, "the IDI0T! and the", "en", "s"),
             (5, "the and that with", "en", "s"), (None, "the", "en", "s"), (7, None, None, None), (8, "", "en", "s"), (8, "", "en", "s")]
     got = toxicity.score(docs(spark, rows), model).collect()
     score = {r.doc_id: r.score for r in got}
-    assert len(got) == len(rows) and all(abs(score[i] - score[1]) < 0.1 and score[i] > 2 * score[5] for i in (2, 3, 4))
+    assert len(got) == len(rows) and all(abs(score[i] - score[1]) < 0.1 and score[i] > 2 * score[5] for i in (2, 3, 4, 10, 11, 12))
     assert score[7] == score[8] and not next(r.held_out for r in got if r.doc_id is None)
     assert [r.held_out for r in got if r.doc_id == 1] == [zlib.crc32(b"1") % 5 == 0]
     assert toxicity.score(docs(spark, []), model).count() == 0
