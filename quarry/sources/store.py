@@ -33,11 +33,14 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table with the columns it was written with; None when its path does not exist. Other faults are raised."""
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The table with the columns it was written with; None when its path does not exist. Other faults are raised. A
+    partitioned table without rows has no files to tell its columns, so it has those of ``schema``."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as fault:
+        if fault.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return spark.createDataFrame([], schema)
         if fault.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
@@ -46,7 +49,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """Read a table with its declared schema; None when it does not exist.
     A table that lacks a declared column is refused, as it would read as nulls."""
-    stored = _stored(spark, path)
+    stored = _stored(spark, path, schema)
     if stored is None:
         return None
     df = spark.read.schema(schema).parquet(path)
@@ -89,7 +92,7 @@ def load_vectors(spark: SparkSession, doc_path: str, vocab_path: str):
     out = []
     for path, schema, cols in ((doc_path, DOC_VEC_SCHEMA, {"url", "dims", "ws"}),
                                (vocab_path, VOCAB_VEC_SCHEMA, {"term", "dims", "ws"})):
-        df = _stored(spark, path)
+        df = _stored(spark, path, schema)
         if df is None:
             log.warning("no vectors at %s", path)
             out.append(None)
