@@ -144,7 +144,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 
 
 def cleaned(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", rules: LineRules = LineRules()) -> DataFrame:
-    """The kept rows of ``docs`` with all its columns, the failing lines gone from the text and ``chars_col``, if there, counted anew."""
+    """The kept rows of ``docs`` with all its columns, the failing lines gone from the text and ``chars_col``, if there, counted anew.
+
+    Null and empty texts go, as the base rule fails them; null ids and repeated rows stay as they are; columns may have any names; an empty
+    table stays empty."""
     df = _judged(docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")), rules).filter("kept")
     new = {text_col: F.col("clean_text"), chars_col: F.length("clean_text").cast(dict(docs.dtypes).get(chars_col, "bigint"))}
     return df.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])

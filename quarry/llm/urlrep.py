@@ -119,7 +119,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]]
     ``labels``: page_id, bad (0 or 1); rows with a null in either are left
     out, several labels of a page all count. Null urls have an empty host,
     which has a reputation like any other. Null and repeated page ids stay;
-    other columns are not carried. No labels at all: every host is allowed."""
+    other columns are not carried. No labels at all: every host is allowed. An empty page table gives no rows."""
     own = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     known = labels.select(F.col("page_id").alias("_id"), F.col("bad").alias("_bad")).filter("_id is not null and _bad is not null")
     outcomes = own.select("page_id", "host").join(known, own["page_id"] == known["_id"], "left").select("host", F.col("_bad").alias("bad"))
