@@ -1,4 +1,9 @@
-"""A training-data pipeline over ``documents``: five stages, each a Parquet table that the next one reads."""
+"""A training-data pipeline over ``documents``: five stages, each a Parquet table that the next one reads.
+
+For every stage: an empty table stays empty, further columns come along whatever their names (the last stage returns its own columns), rows with a null
+id are kept unless their text fails, repeated rows are treated alike, very long texts are read whole. What null and empty texts
+come to is said at each stage.
+"""
 
 from __future__ import annotations
 
@@ -18,27 +23,28 @@ def _without(docs: DataFrame, dropped: DataFrame, tag: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, their failing lines removed."""
+    """Documents that the rules keep, their failing lines removed; null and empty texts go."""
     return quality.cleaned(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: five-word shingles, similarity 0.8 or more."""
+    """One document of each near-duplicate group, the one with the smallest id (all rows of that id): five-word shingles, similarity 0.8 or more.
+    Texts without a word are in no group and stay."""
     return _without(docs, minhash.near_duplicates(docs).filter("not kept"), "near-copies")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
+    """Documents without benchmark passages; null and empty texts hold none and stay."""
     return _without(docs, decontam.leaks(docs, read_table(spark, sf_dir, "benchmark")), "leaking-docs")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced by a mark."""
+    """All documents, their secrets replaced by a mark; null and empty texts stay as they are."""
     return secretscan.redact(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and the digest of what they decode to."""
+    """Token ids of each document, and the digest of what they decode to; null and empty texts have no ids."""
     encoded = bpe.encode(docs, MULTI_RANKS, public_tokenizers.PATTERN)
     return bpe.decode(encoded, MULTI_RANKS).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                                                    F.sha2("decoded", 256).alias("decoded_sha256"))
