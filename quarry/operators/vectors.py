@@ -220,12 +220,16 @@ def count_nearer(doc_vec: DataFrame, query_vec: DataFrame, judged: DataFrame, we
     return counts.groupBy("query_id", "url").agg(F.sum("n_before").alias("n_before"))
 
 
-def pair_cosines(pairs: DataFrame, doc_vec: DataFrame, query_vec: DataFrame, size: int) -> DataFrame:
-    """``pairs`` (query_id, url, ...; stored) with the cosine of their two vectors in ``cos``; a document or query without a vector has 0."""
-    kept = pairs.columns
-    rows = pairs.join(doc_vec.select("url", "dims", "ws"), "url", "left").join(
-        query_vec.select("query_id", F.col("dims").alias("q_dims"), F.col("ws").alias("q_ws")), "query_id", "left")
-    return rows.select(*kept, "dims", "ws", "q_dims", "q_ws").mapInArrow(blocks.pair_cos_fn(size, kept), f"{_types(pairs, kept)}, cos double")
+def pair_cosines(pairs: DataFrame, doc_vec: DataFrame, query_vec: DataFrame, size: int, params: Params = DEFAULT) -> DataFrame:
+    """``pairs`` (query_id, url, ...; stored, each pair once) with the cosine of their two vectors in ``cos``; a document or query
+    without a vector has 0. Within the byte bound the pairs are broadcast to the document vectors, which stay where they are."""
+    keys = pairs.select("query_id", "url")
+    asked = F.broadcast(keys) if table_bytes(keys) <= params.broadcast_bytes else keys
+    rows = doc_vec.select("url", "dims", "ws").join(asked, "url").join(
+        query_vec.select("query_id", F.col("dims").alias("q_dims"), F.col("ws").alias("q_ws")), "query_id")
+    cosines = rows.select("query_id", "url", "dims", "ws", "q_dims", "q_ws").mapInArrow(
+        blocks.pair_cos_fn(size, ["query_id", "url"]), f"{_types(keys, ['query_id', 'url'])}, cos double")
+    return pairs.join(cosines, ["query_id", "url"], "left").select(*pairs.columns, F.coalesce("cos", F.lit(0.0)).alias("cos"))
 
 
 def nearest_terms(qterms: DataFrame, vocab_vec: DataFrame, term_embedder, k: int, params: Params = DEFAULT) -> DataFrame:

@@ -117,7 +117,7 @@ def top(index: SearchIndex, queries: DataFrame, n: int | None = None, expand: bo
     query_vec = query_vectors(index, queries)
     lex = stored(lexical(index, queries, expand), "lexical")
     pairs = candidates(index, queries, query_vec, lex, n)
-    cos = vx.pair_cosines(pairs, index.doc_vec, query_vec, index.embedder.size).select("query_id", "url", "cos")
+    cos = vx.pair_cosines(pairs, index.doc_vec, query_vec, index.embedder.size, index.params).select("query_id", "url", "cos")
     scored = se.blend(pairs.filter(F.col("lex").isNotNull()), cos, index.params)
     return rk.top_n(scored, n, digits=index.params.score_digits)
 
@@ -125,7 +125,7 @@ def top(index: SearchIndex, queries: DataFrame, n: int | None = None, expand: bo
 def _scored(index: SearchIndex, pairs: DataFrame, query_vec: DataFrame) -> DataFrame:
     """``pairs`` (query_id, url, lex; stored) with cos and score."""
     p = index.params
-    cos = vx.pair_cosines(pairs, index.doc_vec, query_vec, index.embedder.size)
+    cos = vx.pair_cosines(pairs, index.doc_vec, query_vec, index.embedder.size, p)
     return cos.withColumn("score", p.w_lexical * F.coalesce("lex", F.lit(0.0)) + p.w_semantic * F.col("cos"))
 
 
@@ -138,7 +138,9 @@ def judged_ranks(index: SearchIndex, queries: DataFrame, qrels: DataFrame, expan
     p = index.params
     query_vec = query_vectors(index, queries)
     lex = stored(lexical(index, queries, expand), "lexical")
-    wanted = stored(qrels.select("query_id", "url").distinct().join(index.docs.select("url"), "url", "left_semi"), "judged-pairs")
+    asked_urls = stored(qrels.select("url").distinct(), "judged-urls")
+    there = sized_join(index.docs.select("url"), asked_urls, "url", "url", p.broadcast_bytes, p.salts, "left_semi")
+    wanted = stored(qrels.select("query_id", "url").distinct().join(there, "url").select("query_id", "url"), "judged-pairs")
     matched = sized_join(lex, wanted, ["query_id", "url"], "url", p.broadcast_bytes, p.salts)
     judged = _scored(index, stored(wanted.join(matched, ["query_id", "url"], "left"), "judged-lexical"), query_vec)
     judged = stored(judged.select("query_id", "url", F.round("score", p.score_digits).alias("s")), "judged-scores")
