@@ -96,11 +96,14 @@ def idf(df_col: Column, n_col: Column) -> Column:
     return F.log((n_col - df_col + F.lit(0.5)) / (df_col + F.lit(1.0)) + F.lit(1.0))
 
 
+def saturation(tf: Column, dl: Column, avdl: Column, k1: float, b: float) -> Column:
+    """The part of BM25 that depends on the document: tf (k1 + 1) / (tf + k1 (1 - b + b dl / avdl))."""
+    return tf * F.lit(k1 + 1.0) / (tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / avdl))
+
+
 def bm25(tf: Column, dl: Column, avdl: Column, idf_col: Column, k1: float, b: float) -> Column:
     """BM25 of one term in one document."""
-    num = tf * F.lit(k1 + 1.0)
-    den = tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / avdl)
-    return idf_col * num / den
+    return idf_col * saturation(tf, dl, avdl, k1, b)
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT, Params
 from quarry.functions.text import terms
-from quarry.operators.index import bm25, idf
-from quarry.plans.strategy import one_row, sized_join, stored
+from quarry.operators.index import bm25, idf, saturation
+from quarry.plans.strategy import one_row, sized_join, stored, table_bytes
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -39,12 +39,6 @@ def _restricted(postings: DataFrame, urls: DataFrame | None, params: Params) ->
     return sized_join(postings, stored(urls.select("url").distinct(), "wanted-urls"), "url", "term", params.broadcast_bytes, params.salts, "left_semi")
 
 
-def _score(stats: DataFrame, rows: DataFrame, params: Params) -> DataFrame:
-    """``rows`` (tf, dl, df) with ``bm25``."""
-    return rows.crossJoin(one_row(stats.select("n_docs", "avdl"))).withColumn(
-        "bm25", bm25(F.col("tf"), F.col("dl"), F.col("avdl"), idf(F.col("df"), F.col("n_docs")), params.k1, params.b))
-
-
 def term_bm25(postings: DataFrame, term_stats: DataFrame, stats: DataFrame, terms_df: DataFrame,
               params: Params = DEFAULT, restrict_urls: DataFrame | None = None) -> DataFrame:
     """J1 + J2: (term, url, bm25) for the distinct terms in ``terms_df``.
@@ -52,16 +46,31 @@ def term_bm25(postings: DataFrame, term_stats: DataFrame, stats: DataFrame, term
     ``restrict_urls`` scores only those documents while keeping corpus-wide statistics (used to score judged
     documents cheaply)."""
     wanted = stored(terms_df.select("term").distinct().join(term_stats, "term"), "query-df")
-    return _score(stats, lookup(_restricted(postings, restrict_urls, params), wanted, params), params).select("term", "url", "bm25")
+    rows = lookup(_restricted(postings, restrict_urls, params), wanted, params).crossJoin(one_row(stats.select("n_docs", "avdl")))
+    return rows.select("term", "url", bm25(F.col("tf"), F.col("dl"), F.col("avdl"), idf(F.col("df"), F.col("n_docs")), params.k1, params.b).alias("bm25"))
 
 
 def lexical_scores(postings: DataFrame, term_stats: DataFrame, stats: DataFrame, weighted_terms: DataFrame,
                    params: Params = DEFAULT, restrict_urls: DataFrame | None = None) -> DataFrame:
     """(query_id, url, lex) = sum over the query's weighted terms of
-    weight * bm25. Per-term score maps are merged by addition."""
-    weighted = stored(weighted_terms.select("query_id", "term", "weight").join(term_stats, "term"), "query-weights")
-    rows = lookup(_restricted(postings, restrict_urls, params), weighted, params)
-    return _score(stats, rows, params).groupBy("query_id", "url").agg(F.sum(F.col("weight") * F.col("bm25")).alias("lex"))
+    weight * bm25. Per-term score maps are merged by addition.
+
+    A batch of query terms within the byte bound is broadcast twice: its distinct terms pick the postings, which are dealt by url
+    with their part of the score; then the weights meet a document's postings in one task, and its scores add up
+    there without another exchange, however many queries share its terms. A larger batch meets the postings by
+    (term, piece of the url) first."""
+    one = one_row(stats.select("n_docs", "avdl"))
+    weighted = weighted_terms.select("query_id", "term", "weight").join(term_stats, "term").crossJoin(one).select(
+        "query_id", "term", (F.col("weight") * idf(F.col("df"), F.col("n_docs"))).alias("weight"))
+    weighted = stored(weighted, "query-weights")
+    part = saturation(F.col("tf"), F.col("dl"), F.col("avdl"), params.k1, params.b).alias("part")
+    rows = _restricted(postings, restrict_urls, params).crossJoin(one).select("term", "url", part)
+    if table_bytes(weighted) <= params.broadcast_bytes:
+        picked = rows.join(F.broadcast(weighted.select("term").distinct()), "term", "left_semi").repartition("url")
+        met = picked.join(F.broadcast(weighted), "term")
+    else:
+        met = lookup(rows, weighted, params)
+    return met.groupBy("query_id", "url").agg(F.sum(F.col("weight") * F.col("part")).alias("lex"))
 
 
 def merge_scores(old: DataFrame, new: DataFrame, score: str = "lex") -> DataFrame:
