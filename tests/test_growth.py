@@ -77,3 +77,26 @@ def test_stream_files_follow_the_scan(spark, tmp_path):
     docs = spark.range(400).repartition(12)
     assert catalog._arrive(docs, str(tmp_path / "in"), docs.rdd.getNumPartitions(), 4) == 3
     assert len(glob.glob(str(tmp_path / "in" / "*.parquet"))) == 12
+
+
+def test_postings_are_dealt_a_row_per_document(spark):
+    docs = spark.createDataFrame([(u, i, t) for i, (u, t) in enumerate([("a", "one two two"), ("b", "two three one"), ("c", "four")])], "url string, doc_seq bigint, text string")
+    index = en.build_index(docs)
+    queries = spark.createDataFrame([(1, "one two"), (2, "two two four")], "query_id bigint, query string")
+    scores = en.lexical(index, queries, expand=False)
+    assert "MapInArrow" in _plan(scores)
+    got = {(r["query_id"], r["url"]): round(r["lex"], 9) for r in scores.collect()}
+    index.params = index.params.with_(broadcast_bytes=0)
+    assert got == {(r["query_id"], r["url"]): round(r["lex"], 9) for r in en.lexical(index, queries, expand=False).collect()}
+    assert set(got) == {(1, "a"), (1, "b"), (2, "a"), (2, "b"), (2, "c")}
+
+
+def test_packed_runs_hold_every_row():
+    import pyarrow as pa
+
+    from quarry.operators import blocks
+    rows = pa.RecordBatch.from_pydict({"url": ["a", "a", "b", "b", "b", None, "a"], "dl": [1, 1, 1, 1, 2, 2, 1], "id": pa.array([1, 2, 1, 2, 3, 4, 5], pa.int32()),
+                                       "tf": [1, 1, 2, 2, 3, 4, 5]})
+    out = [r for b in blocks.pack_postings_fn()([rows, rows.slice(0, 0)]) for r in b.to_pylist()]
+    assert [(r["url"], r["dl"], r["ids"], r["tfs"]) for r in out] == [
+        ("a", 1, [1, 2], [1, 1]), ("b", 1, [1, 2], [2, 2]), ("b", 2, [3], [3]), (None, 2, [4], [4]), ("a", 1, [5], [5])]
