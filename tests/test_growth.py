@@ -79,6 +79,20 @@ def test_stream_files_follow_the_scan(spark, tmp_path):
     assert len(glob.glob(str(tmp_path / "in" / "*.parquet"))) == 12
 
 
+def test_last_versions_of_distinct_urls_are_not_shuffled(spark):
+    docs = spark.range(50).select(F.col("id").cast("string").alias("url"), F.col("id").alias("doc_seq"), F.concat_ws(" ", F.lit("x"), "id").alias("text"))
+    assert "Exchange hashpartitioning" not in _plan(ix.last_wins(docs))
+
+
+def test_last_versions_by_either_way(spark, monkeypatch):
+    rows = [*map(tuple, _docs(spark).collect()), ("f", None, "no place"), ("g", None, "no place"), ("g", 9, "a place")]
+    docs = spark.createDataFrame(rows, "url string, doc_seq bigint, text string")
+    got = sorted(map(tuple, ix.last_wins(docs).collect()))
+    assert got == [("a", 0, "one two two"), ("b", 1, "two three"), ("b", 1, "two three"), ("c", 2, "four five"), ("d", 6, ""), ("e", 7, ""), ("g", 9, "a place")]
+    monkeypatch.setattr(ix, "DEFAULT", DEFAULT.with_(broadcast_bytes=0))
+    assert sorted(map(tuple, ix.last_wins(docs).collect())) == got
+
+
 def test_postings_are_dealt_a_row_per_document(spark):
     docs = spark.createDataFrame([(u, i, t) for i, (u, t) in enumerate([("a", "one two two"), ("b", "two three one"), ("c", "four")])], "url string, doc_seq bigint, text string")
     index = en.build_index(docs)
@@ -100,3 +114,13 @@ def test_packed_runs_hold_every_row():
     out = [r for b in blocks.pack_postings_fn()([rows, rows.slice(0, 0)]) for r in b.to_pylist()]
     assert [(r["url"], r["dl"], r["ids"], r["tfs"]) for r in out] == [
         ("a", 1, [1, 2], [1, 1]), ("b", 1, [1, 2], [2, 2]), ("b", 2, [3], [3]), (None, 2, [4], [4]), ("a", 1, [5], [5])]
+
+
+def test_postings_keep_terms_in_a_dictionary(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from quarry.sources import store
+    rows = spark.range(400_000, numPartitions=1).select(F.sha1(F.floor(F.col("id") / 4).cast("string")).alias("term"), F.lit("u").alias("url"))
+    store.write_table(rows, str(tmp_path / "p"))
+    column = pq.ParquetFile(glob.glob(str(tmp_path / "p" / "*.parquet"))[0]).metadata.row_group(0).column(0)
+    assert column.total_uncompressed_size < 100_000 * 44 + 400_000 * 4 and "PLAIN" not in column.encodings
