@@ -89,8 +89,8 @@ def _document_counts(conf: Audit):
 
         def flush():
             for lang, c in counts.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(_digests(list(c), conf.digest_bits).view(np.int64)),
-                                                  pa.array(list(c.values()), pa.int64())], names=["lang", "digest", "df"])
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(c)), pa.array(_digests(list(c), conf.digest_bits).view(np.int64)),
+                                                  pa.array(np.fromiter(c.values(), np.int64, len(c)))], names=["lang", "digest", "df"])
             counts.clear()
 
         for b in batches:
@@ -123,6 +123,15 @@ def _strings(conf: Audit, kept):
     return run
 
 
+def _term_ids(digests: np.ndarray, many, terms) -> pa.Array:
+    """Each digest's eight bytes, behind them its term where several share the digest (``many``; empty: none does)."""
+    plain = digests.astype(">u8").tobytes()
+    if not len(many):
+        places = np.arange(0, len(plain) + 8, 8, dtype=np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(digests), [None, pa.py_buffer(places), pa.py_buffer(plain)])
+    return pa.array([plain[8 * k:8 * k + 8] + (t if m else b"") for k, (t, m) in enumerate(zip(terms, many))], pa.binary())
+
+
 def _occurrences(conf: Audit, kept, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, Counter] = defaultdict(Counter)
@@ -134,14 +143,14 @@ def _occurrences(conf: Audit, kept, shared):
                 terms = list(c)
                 digests = _digests(terms, conf.digest_bits)
                 hit = np.flatnonzero(_marked(digests, kept.value))
-                many = _marked(digests[hit], shared.value)
-                plain = digests[hit].astype(">u8").tobytes()
-                ids = [plain[8 * k:8 * k + 8] + (terms[i] if m else b"") for k, (i, m) in enumerate(zip(hit, many))]
-                docs = within[lang, source]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(hit), pa.string()), pa.array([source] * len(hit), pa.string()), pa.array(ids, pa.binary()),
-                     pa.array(np.fromiter(c.values(), np.int64, len(c))[hit]), pa.array([docs[terms[i]] if m else 0 for i, m in zip(hit, many)], pa.int64())],
-                    names=["lang", "source", "term_id", "n", "df"])
+                n = np.fromiter(c.values(), np.int64, len(c))[hit]
+                ids, own = _term_ids(digests[hit], [], []), np.zeros(len(hit), np.int64)
+                if split:
+                    many, docs = _marked(digests[hit], shared.value), within[lang, source]
+                    ids = _term_ids(digests[hit], many, [terms[i] for i in hit])
+                    own = np.fromiter((docs[terms[i]] if m else 0 for i, m in zip(hit, many)), np.int64, len(hit))
+                yield pa.RecordBatch.from_arrays([*[pa.repeat(pa.scalar(g, pa.string()), len(hit)) for g in (lang, source)], ids, pa.array(n), pa.array(own)],
+                                                 names=["lang", "source", "term_id", "n", "df"])
             counts.clear()
             within.clear()
 
@@ -172,15 +181,16 @@ def count_terms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     context = docs.sparkSession.sparkContext
     rows = _rows(docs, text_col, lang_col, source_col)
     df = rows.select("lang", "text").mapInArrow(_document_counts(conf), "lang string, digest bigint, df bigint")
-    df = written(df.groupBy("lang", "digest").agg(F.sum("df").alias("df")).filter(F.col("df") >= conf.min_docs), "digest-documents")
+    # tasks hand on counts, a row per key: they are dealt as they are and added up where they meet
+    df = written(df.repartition("lang", "digest").groupBy("lang", "digest").agg(F.sum("df").alias("df")).filter(F.col("df") >= conf.min_docs), "digest-documents")
     kept = context.broadcast(bitmap_of(df, conf.map_bits))
 
     texts = rows.select("text").mapInArrow(_strings(conf, kept), "digest bigint, term string")
-    texts = written(texts.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "term-texts")
+    texts = written(texts.repartition("digest").groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "term-texts")
     shared = context.broadcast(bitmap_of(texts.filter("low <> high"), conf.map_bits))
 
     counts = rows.mapInArrow(_occurrences(conf, kept, shared), "lang string, source string, term_id binary, n bigint, df bigint")
-    counts = written(counts.groupBy("lang", "source", "term_id").agg(F.sum("n").alias("n"), F.sum("df").alias("df")), "term-counts")
+    counts = written(counts.repartition("lang", "source", "term_id").groupBy("lang", "source", "term_id").agg(F.sum("n").alias("n"), F.sum("df").alias("df")), "term-counts")
     # a digest's documents are its term's, unless several terms share it; those were counted apart
     totals = counts.groupBy("lang", "term_id").agg(F.sum("n").alias("total"), F.sum("df").alias("own")).withColumn("digest", _digest())
     totals = totals.join(df, ["lang", "digest"]).filter(F.when(F.length("term_id") > 8, F.col("own")).otherwise(F.col("df")) >= conf.min_docs)
