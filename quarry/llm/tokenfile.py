@@ -21,15 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import new_path, written
+from quarry.llm.common import new_path, released, written
 from quarry.llm.files import Replacing, opened
-from quarry.llm.pretoken import splitter
+from quarry.llm.pretoken import splitter, starts
 
 #: Numbers of the public frame and seekable layouts; fixed values.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 IDS_FRAME = 0x184D2A50
 #: Words whose ids a worker remembers, twice: those of late, and those of the time before.
 MEMO = 400_000
+#: Bytes of text encoded together; one longer text is alone.
+CHUNK_BYTES = 1 << 20
 #: Bytes of text per file.
 FILE_BYTES = 256 << 20
 _MANIFEST = "part int, file string, n_docs bigint, n_tokens bigint, width int"
@@ -55,36 +57,68 @@ class Words(dict):
 class WordEncoder:
     """Ids of whole texts by a byte-level vocabulary of the tokenizers library, one pre-token at a time.
 
-    The library's model encodes each distinct pre-token once per worker;
-    a text that holds an added token goes to the library whole."""
+    Texts are cut into pre-tokens together, and each distinct one is looked up once for all of them. The
+    library's model encodes those not met of late; a text that holds an added token goes to the library whole."""
 
     def __init__(self, path: str, pattern: str):
+        import public_tokenizers
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.split, self.tokenize = splitter(pattern), self.whole.model.tokenize
+        self.published = pattern == public_tokenizers.PATTERN
         self.width = np.dtype("<u2" if self.whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.words = Words(self.word, MEMO)
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         # bytes that are no printable Latin-1 character take the code points from U+0100 on, in order
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
-        self.letters = {b: 256 + i for i, b in enumerate(hidden)}
-        self.blank = chr(self.letters[0x20])
+        self.letters = [chr(b) for b in range(256)]
+        for i, b in enumerate(hidden):
+            self.letters[b] = chr(256 + i)
+        self.blank, self.format = self.letters[0x20], "<%dH" if self.width.itemsize == 2 else "<%dI"
 
     def word(self, w: str) -> bytes:
         if w.isascii() and w.isprintable():
             spelled = w.replace(" ", self.blank)
         else:
-            spelled = w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenize(spelled)], self.width).tobytes()
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if any(a in text for a in self.added):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes()
-        return b"".join(map(self.words.__getitem__, self.split(text)))
+            spelled = "".join(map(self.letters.__getitem__, w.encode("utf-8", "surrogatepass")))
+        ids = [t.id for t in self.tokenize(spelled)]
+        return struct.pack(self.format % len(ids), *ids)
+
+    def together(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts without added tokens, by the published pattern."""
+        ends = np.cumsum([len(t) for t in texts])
+        data = b"".join(texts)
+        if not data:
+            return [b""] * len(texts)
+        at = starts(np.frombuffer(data, np.uint8), ends)
+        words = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(list(map(self.words.__getitem__, distinct)), pa.large_binary()).take(words.indices)
+        _, edges, body = ids.buffers()
+        cuts = np.frombuffer(edges, np.int64)[np.searchsorted(at, ends)].tolist()
+        return [body[a:b].to_pybytes() for a, b in zip([0, *cuts], cuts)]
+
+    def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text, in order. Reads ahead by CHUNK_BYTES."""
+        chunk, size = [], 0
+        for text in texts:
+            text = text or ""
+            if any(a in text for a in self.added):
+                yield from self.together(chunk)
+                chunk, size = [], 0
+                yield np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+            elif not self.published:
+                yield b"".join(map(self.words.__getitem__, self.split(text)))
+            else:
+                raw = text.encode()
+                if size + len(raw) > CHUNK_BYTES:
+                    yield from self.together(chunk)
+                    chunk, size = [], 0
+                chunk.append(raw)
+                size += len(raw)
+        yield from self.together(chunk)
 
 
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
@@ -164,7 +198,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int
         part = TaskContext.get().partitionId()
         encode = _encoder(tokenizer_path, pattern)
         end = np.array([end_id], encode.width).tobytes()
-        pairs = ((name, encode(text) + end) for b in batches for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        pieces = (b.slice(low, 256) for b in batches for low in range(0, b.num_rows, 256))
+        pairs = ((name, ids + end) for b in pieces for name, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())))
         name = f"tokens-{part:06d}.zst"
         with Replacing(folder, name) as out:
             n_docs, n_tokens = write_file(out, pairs, encode.width.itemsize)
@@ -172,7 +207,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int
                                           pa.array([n_tokens], pa.int64()), pa.array([encode.width.itemsize], pa.int32())],
                                          names=["part", "file", "n_docs", "n_tokens", "width"])
 
-    return written(ordered.select("doc_id", "text").mapInArrow(run, _MANIFEST), "token-manifest")
+    return written(ordered.select("doc_id", "text").mapInArrow(released(run), _MANIFEST), "token-manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
@@ -198,7 +233,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                              pa.array(ids, pa.binary()), pa.array([reader.width] * len(ids), pa.int32())],
                             names=["doc_id", "start", "n_tokens", "ids", "width"])
 
-    return files.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary, width int")
+    return files.mapInArrow(released(run), "doc_id bigint, start bigint, n_tokens bigint, ids binary, width int")
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
@@ -210,4 +245,4 @@ def checksums(tokens: DataFrame) -> DataFrame:
             crc = [zlib.crc32(np.frombuffer(x, f"<u{w}").astype("<u4").tobytes()) for x, w in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return tokens.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return tokens.mapInArrow(released(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

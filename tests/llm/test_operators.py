@@ -275,6 +275,45 @@ def test_token_files_of_a_wide_vocabulary(spark, tmp_path):
         assert min(ids[:-1], default=70_000) >= 70_000 and (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
+def test_starts_are_where_the_pattern_matches():
+    import random
+
+    import regex
+
+    from quarry.llm.pretoken import starts
+
+    draw, full = random.Random(3), regex.compile(public_tokenizers.PATTERN)
+    parts = ["'", "'", "s", "t", "re", "ve", "ll", "l", "d", "m", "S", " ", " ", " ", "\n", "\t", "\r", "\x85", "\xa0", "\u3000", "\x1c", "\0", "1", "½", "٣", "Ⅷ",
+             "é", "ß", "ж", "日", "\u0301", ".", "_", "-", "\u200b", "👍", "𝟘", "𝒜", "\U0010ffff"]
+    for _ in range(1500):
+        texts = ["".join(draw.choices(parts, k=draw.choice([0, 1, 2, 3, 6, 30]))) for _ in range(draw.choice([1, 2, 6]))]
+        data = "".join(texts).encode()
+        at = starts(np.frombuffer(data, np.uint8), np.cumsum([len(t.encode()) for t in texts])).tolist()
+        assert [data[a:b].decode() for a, b in zip(at, [*at[1:], len(data)])] == [w for t in texts for w in full.findall(t)]
+
+
+def test_a_word_is_looked_up_once_for_many_texts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    asked = []
+
+    class Asked(tokenfile.Words):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(tokenfile, "Words", Asked)
+    tok = Tokenizer.from_file(catalog.TOKENIZER)
+    texts = ["wide open", "", None, " wide wide\n", "it's <|endoftext|> wide", "wide é open"]
+    want = [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    encode = tokenfile.WordEncoder(catalog.TOKENIZER, public_tokenizers.PATTERN)
+    assert list(encode(texts[:4])) == want[:4] and sorted(asked) == ["\n", " open", " wide", "wide"]
+    assert list(encode(texts)) == want
+    monkeypatch.setattr(tokenfile, "CHUNK_BYTES", 10)
+    assert list(encode(texts)) == want
+    assert list(tokenfile.WordEncoder(catalog.TOKENIZER, r"[a-z]|[^a-z]+")(["ab c"])) == [b"".join(map(encode.word, "ab c"))]
+
+
 def test_word_table_keeps_the_words_of_late():
     asked = []
     words = tokenfile.Words(lambda w: asked.append(w) or w.encode(), 2)
