@@ -14,7 +14,8 @@ two independent ones may be equal on one side.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +25,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import BROADCAST_BYTES, maybe_broadcast, released, written
+from quarry.llm.pretoken import classes, kinds, strings
 
 #: Words that are units when a number stands before them; fixed values.
 UNITS = frozenset(
     "kg g mg lb lbs oz t ton tons km m cm mm mi mile miles ft feet inch inches yd l ml litre litres liter liters gal s "
     "sec second seconds min minute minutes h hr hour hours day days week weeks month months year years % percent usd "
     "eur gbp dollar dollars euro euros cent cents pound pounds k w kw v a hz mb gb tb mph kmh c f".split())
-_TOKEN = re.compile(r"[^\W\d]+|[.!?\n%$€£]|\d+(?:[.,]\d+)*")
+#: Runs of word characters, runs of digits (joined by a dot or comma between them), and marks, each by itself, are tokens.
+_RUNS = re.compile(r"[^\W\d]+"), re.compile(r"\d+"), re.compile(r"[.!?\n%$€£]")
+#: Bytes of text cut into tokens together; one longer text is alone.
+CHUNK_BYTES = 1 << 20
 #: The low bits of a slot value are its kind.
 _KIND = 3
 _VALUE = np.uint64((1 << 64) - 1 - _KIND)
@@ -53,14 +58,35 @@ class Templates:
     coverage_pct: int = 50
 
 
-def _kinds(token: str) -> tuple[int, int, int]:
-    """(hash of the lower-case token, kind, unit?): kind 0 word, 1 number, 2 capitalised, 3 sentence end."""
-    h = xxhash.xxh64_intdigest(token.lower())
+def _kinds(token: str) -> tuple[int, int]:
+    """(hash of the lower-case token, kind, plus 4 for a unit): kind 0 word, 1 number, 2 capitalised, 3 sentence end."""
+    low = token.lower()
+    h = xxhash.xxh64_intdigest(low)
+    if token.islower() and token.isalpha():
+        return h, 4 * (low in UNITS)
     if token[0].isdigit():
-        return h, 1, 0
+        return h, 1
     if token in ".!?\n":
-        return h, 3, 0
-    return h, 2 if token[0].isupper() and token[1:] != token[1:].upper() or len(token) > 1 and token.isupper() else 0, int(token.lower() in UNITS or token in "%$€£")
+        return h, 3
+    return h, (2 if token[0].isupper() and token[1:] != token[1:].upper() or len(token) > 1 and token.isupper() else 0) + 4 * (low in UNITS or token in "%$€£")
+
+
+def _cut(texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
+    """(tokens of all texts, how many of them stand before the end of each)."""
+    ends = np.cumsum([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts) + bytes(4), np.uint8)
+    kind, n = kinds(data, classes(*_RUNS)), len(data) - 4
+    first = np.zeros(n + 4, bool)
+    first[0] = first[ends] = True
+    dots = np.flatnonzero((data[1:n] == 0x2E) | (data[1:n] == 0x2C)) + 1
+    dots = dots[(kind[dots - 1] == 2) & (kind[dots + 1] == 2) & ~first[dots] & ~first[dots + 1]]
+    kind[dots] = 2
+    begin = first
+    begin[1:] |= kind[1:] != kind[:-1]
+    begin |= (kind == 3) & ((data & 0xC0) != 0x80)
+    used = kind[:n] > 0
+    at = np.flatnonzero(begin[:n][used])
+    return strings(data[:n][used], at), np.searchsorted(at, np.append(0, np.cumsum(used))[ends])
 
 
 def _rolled(token: np.ndarray, size: int) -> np.ndarray:
@@ -89,31 +115,45 @@ class Canon:
     """Token lists to template hashes. Keeps a bounded memo of tokens seen."""
 
     def __init__(self, conf: Templates, most: int = 400_000):
-        self.conf, self.most, self.memo = conf, most, {}
-        self.rows = np.zeros((1024, 3), np.uint64)
-
-    def _codes(self, tokens: list[str]) -> np.ndarray:
-        memo = self.memo
+        self.conf, self.most, self.memo, self.row = conf, most, {}, struct.Struct("<QQ").pack
+
+    def rows(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Of each text, in order, the hash and kind of each token. Reads ahead by CHUNK_BYTES."""
+        chunk, size = [], 0
+        for text in texts:
+            raw = text.encode()
+            if chunk and size + len(raw) > CHUNK_BYTES:
+                yield from self._together(chunk)
+                chunk, size = [], 0
+            chunk.append(raw)
+            size += len(raw)
+        if chunk:
+            yield from self._together(chunk)
+
+    def _together(self, texts: list[bytes]) -> list[np.ndarray]:
+        tokens, ends = _cut(texts)
+        tokens = tokens.dictionary_encode()
+        distinct, memo = tokens.dictionary.to_numpy(zero_copy_only=False).tolist(), self.memo
         if len(memo) > self.most:
             memo.clear()
         try:
-            return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
+            known = list(map(memo.__getitem__, distinct))
         except KeyError:
-            for t in tokens:
+            for t in distinct:
                 if t not in memo:
-                    k = memo[t] = len(memo)
-                    if k >= len(self.rows):
-                        self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                    self.rows[k] = _kinds(t)
-            return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
+                    memo[t] = self.row(*_kinds(t))
+            known = list(map(memo.__getitem__, distinct))
+        rows = np.frombuffer(b"".join(known), np.uint64).reshape(-1, 2)[tokens.indices.to_numpy()]
+        return np.split(rows, ends[:-1])
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(value per template token, its slot kind by reading, template token by reading).
+        return self.template(next(self.rows([text])))
+
+    def template(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(value per template token, its slot kind by reading, template token by reading) of a text's rows.
 
         Readings: capitals that open a sentence are words; they are names; every token is a word."""
-        codes = self._codes(_TOKEN.findall(text))
-        rows = self.rows[codes]
-        kind = rows[:, 1].astype(np.int8)
+        kind, unit = (rows[:, 1] & np.uint64(3)).astype(np.int8), rows[:, 1] > 3
         ends = kind == 3
         if len(kind):
             before_end = np.concatenate([[True], ends[:-1]])
@@ -124,7 +164,7 @@ class Canon:
             before_end = after_num = ends
         keep = ~ends
         value, capital, opening = rows[keep, 0], (kind == 2)[keep], before_end[keep]
-        slot = ((kind == 1) + np.uint8(2) * ((kind != 1) & (rows[:, 2] == 1) & after_num))[keep].astype(np.uint8)
+        slot = ((kind == 1) + np.uint8(2) * ((kind != 1) & unit & after_num))[keep].astype(np.uint8)
         name = capital & (slot == 0)
         slots = np.zeros((3, len(value)), np.uint8)
         slots[:2] = slot
@@ -147,6 +187,14 @@ class Canon:
                          ((h[2] != h[0]) | ~rich[0]) & ((h[2] != h[1]) | ~rich[1])]), rich[0]
 
 
+def _texts(canon: Canon, batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """(id, rows) of the texts of (id, text) that are neither null nor empty and have an id."""
+    for low in range(0, batch.num_rows, 256):
+        part = batch.slice(low, 256)
+        texts = [(k, t) for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if k is not None and t]
+        yield from zip([k for k, _ in texts], canon.rows(t for _, t in texts))
+
+
 def _emit(conf: Templates, lengths: tuple[int, ...], wanted: np.ndarray | None):
     """mapInArrow body: rows (id, text) to windows; only those whose hash is in ``wanted``, if given.
 
@@ -160,10 +208,8 @@ def _emit(conf: Templates, lengths: tuple[int, ...], wanted: np.ndarray | None):
         canon = Canon(conf)
         for batch in batches:
             ids, hashes, places, slots, counts, riches, rich_counts = [], [], [], [], [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if key is None or not text:
-                    continue
-                read = canon.read(text)
+            for key, rows in _texts(canon, batch):
+                read = canon.template(rows)
                 value, kinds, _ = read
                 n = len(value)
                 own = min(conf.window, n)
@@ -276,6 +322,6 @@ def _lengths(conf: Templates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canon = Canon(conf)
         for batch in batches:
-            sizes = {len(canon.read(t)[0]) for t in batch.column(1).to_pylist() if t}
+            sizes = {len(canon.template(rows)[0]) for rows in canon.rows(t for t in batch.column(1).to_pylist() if t)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(s for s in sizes if 0 < s < conf.window), pa.int32())], names=["n"])
     return run

@@ -6,6 +6,7 @@ import re
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 #: Letters up to U+024F (the feminine and masculine ordinal and micro signs included), digits and other numbers up
@@ -32,13 +33,36 @@ def splitter(pattern: str):
 
 
 @cache
-def _classes() -> np.ndarray:
-    """By code point: 1 letter, 2 number, 3 white space, 0 other."""
-    every, classes = "".join(map(chr, range(0x110000))), np.zeros(0x110000, np.uint8)
-    for k, c in enumerate((r"\p{L}+", r"\p{N}+", r"\s+"), 1):
-        for run in regex.finditer(c, every):
-            classes[run.start():run.end()] = k
-    return classes
+def classes(*runs: re.Pattern | regex.Pattern) -> np.ndarray:
+    """By code point: the number from 1 of the pattern of runs that takes it, 0 if none does."""
+    every, table = "".join(map(chr, range(0x110000))), np.zeros(0x110000, np.uint8)
+    for k, c in enumerate(runs, 1):
+        for run in c.finditer(every):
+            table[run.start():run.end()] = k
+    return table
+
+
+def kinds(padded: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class of each byte's character in UTF-8 with four zeros behind it."""
+    kind = table[:256].take(padded)
+    lead = np.flatnonzero(padded >= 0xC0)
+    if len(lead):
+        a, b, c, d = (padded[lead + i].astype(np.int32) for i in range(4))
+        b, c, d = b & 63, c & 63, d & 63
+        point = np.where(a < 0xE0, (a & 31) << 6 | b, np.where(a < 0xF0, (a & 15) << 12 | b << 6 | c, (a & 7) << 18 | b << 12 | c << 6 | d))
+        of = table[point]
+        for i, least in enumerate((0xC0, 0xC0, 0xE0, 0xF0)):
+            longer = a >= least
+            kind[lead[longer] + i] = of[longer]
+    return kind
+
+
+def strings(data: np.ndarray, at: np.ndarray) -> pa.StringArray:
+    """The pieces of UTF-8 ``data`` that begin ``at`` these places."""
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data))
+
+
+_PUBLISHED = regex.compile(r"\p{L}+"), regex.compile(r"\p{N}+"), regex.compile(r"\s+")
 
 
 def starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -46,21 +70,12 @@ def starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
     Matches leave nothing out, so they end where the next one or the next text begins. Letters, numbers, white space and all
     else make runs; a run takes the space before it, and white space before other text keeps its last character apart."""
-    n, table = len(data), _classes()
+    n = len(data)
     first = np.zeros(n + 4, bool)  # of a text; the end of the data counts as one
     first[0] = first[n:] = True
     first[ends] = True
     padded = np.concatenate([data, np.zeros(4, np.uint8)])
-    kind = table[:256].take(padded)
-    lead = np.flatnonzero(data >= 0xC0)
-    if len(lead):
-        a, b, c, d = (padded[lead + i].astype(np.int32) for i in range(4))
-        b, c, d = b & 63, c & 63, d & 63
-        point = np.where(a < 0xE0, (a & 31) << 6 | b, np.where(a < 0xF0, (a & 15) << 12 | b << 6 | c, (a & 7) << 18 | b << 12 | c << 6 | d))
-        of = table[point]
-        for i, least in enumerate((0xC0, 0xC0, 0xE0, 0xF0)):  # the other bytes of a character are of its kind
-            longer = a >= least
-            kind[lead[longer] + i] = of[longer]
+    kind = kinds(padded, classes(*_PUBLISHED))
     begin = first.copy()
     begin[1:] |= kind[1:] != kind[:-1]
     behind = np.flatnonzero((kind[:-1] == 3) & (kind[1:] != 3) & ~first[1:]) + 1

@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 
 from quarry.llm.common import new_path, released, written
 from quarry.llm.files import Replacing, opened
-from quarry.llm.pretoken import splitter, starts
+from quarry.llm.pretoken import splitter, starts, strings
 
 #: Numbers of the public frame and seekable layouts; fixed values.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -89,11 +89,11 @@ class WordEncoder:
     def together(self, texts: list[bytes]) -> list[bytes]:
         """Ids of texts without added tokens, by the published pattern."""
         ends = np.cumsum([len(t) for t in texts])
-        data = b"".join(texts)
-        if not data:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        if not len(data):
             return [b""] * len(texts)
-        at = starts(np.frombuffer(data, np.uint8), ends)
-        words = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        at = starts(data, ends)
+        words = strings(data, at).dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids = pa.array(list(map(self.words.__getitem__, distinct)), pa.large_binary()).take(words.indices)
         _, edges, body = ids.buffers()

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from quarry.llm import bpe, catalog, common, components, decontam, licenses, mincut, minhash, quality, secretscan, tokenfile, urlrep, warc
@@ -152,6 +153,36 @@ def test_leaks_keep_the_windows_beside_a_conflict(spark):
     assert got[4, 10].n_matched < got[4, 10].n_windows  # Maria and Natalia for one name: its own name wins the tie
 
 
+def test_template_tokens_of_many_texts_are_those_of_the_pattern():
+    import xxhash
+
+    token = re.compile(r"[^\W\d]+|[.!?\n%$€£]|\d+(?:[.,]\d+)*")
+    draw = random.Random(4)
+    parts = ["a", "B", "kg", "Kg", "_", "é", "日", "ǅ", "𝐀", "²", "½", "1", "23", "٣", "\u0301", ".", ".", ",", "!", "?", "\n", "%", "€", "£", " ", "-", "\0", "👍", "ª"]
+    for _ in range(1000):
+        texts = ["".join(draw.choices(parts, k=draw.choice([0, 1, 2, 4, 20]))) for _ in range(draw.choice([1, 2, 6]))]
+        tokens, ends = decontam._cut([t.encode() for t in texts])
+        found = [token.findall(t) for t in texts]
+        assert tokens.to_pylist() == sum(found, []) and ends.tolist() == np.cumsum([len(f) for f in found]).tolist()
+        canon = decontam.Canon(decontam.Templates(), most=3)
+        for rows, tokens in zip(canon.rows(texts), found, strict=True):
+            assert rows[:, 0].tolist() == [xxhash.xxh64_intdigest(t.lower()) for t in tokens]
+            assert [decontam._kinds(t)[1] for t in tokens] == rows[:, 1].tolist()
+    marks = ["word", "Name", "NAME", "A", "iPhone", "²x", "𝐀", "𝐀b", "7", "1.5", "kg", "KG", "%", ".", "\n"]
+    assert [decontam._kinds(t)[1] for t in marks] == [0, 2, 2, 4, 0, 1, 0, 2, 1, 1, 4, 6, 4, 3, 3]
+
+
+def test_a_template_token_is_told_once_for_many_texts(monkeypatch):
+    asked, told = [], decontam._kinds
+    monkeypatch.setattr(decontam, "_kinds", lambda t: asked.append(t) or told(t))
+    joined = []
+    cut = decontam._cut
+    monkeypatch.setattr(decontam, "_cut", lambda texts: joined.append(len(texts)) or cut(texts))
+    batch = pa.record_batch([pa.array([1, 2, None, 4, 5], pa.int64()), pa.array(["a b a", None, "no id", "", "b c"])], names=["id", "text"])
+    got = list(decontam._texts(decontam.Canon(decontam.Templates()), batch))
+    assert [(k, len(rows)) for k, rows in got] == [(1, 3), (5, 2)] and sorted(asked) == ["a", "b", "c"] and joined == [2]
+
+
 def test_token_memo_grows():
     value, _, _ = decontam.Canon(decontam.Templates()).read(" ".join(a + b + c for a in "abcdefghijklmnop" for b in "abcdefghijklmnop" for c in "abcdefgh"))
     assert len(set(value.tolist())) == 2048
@@ -276,8 +307,6 @@ def test_token_files_of_a_wide_vocabulary(spark, tmp_path):
 
 
 def test_starts_are_where_the_pattern_matches():
-    import random
-
     import regex
 
     from quarry.llm.pretoken import starts
