@@ -42,7 +42,7 @@ def test_cutter_finds_the_terms_of_the_expression(spark):
 
 def test_packed_postings_are_the_flat_ones(spark):
     docs = ix.with_length(ix.last_wins(_docs(spark)))
-    packed, flat = ix.packed_postings(docs), ix.postings(docs)
+    packed, flat = ix.packed_postings(docs, ix.repeated_urls(docs)), ix.postings(docs)
     assert sorted(map(str, ix.unpacked(packed).collect())) == sorted(map(str, flat.select("term", "url", "dl", "tf").collect()))
     assert {tuple(r) for r in ix.term_stats(packed).collect()} == {tuple(r) for r in ix.term_stats(flat).collect()}
     assert ix.corpus_stats(packed).first() == ix.corpus_stats(docs).first()
@@ -50,6 +50,22 @@ def test_packed_postings_are_the_flat_ones(spark):
     assert sorted(map(str, vx.embed_all(docs, words, packed=packed).collect())) == sorted(map(str, words.embed(docs, "url").collect()))
 
 
+def test_rows_that_come_again_are_taken_together(spark):
+    rows = [("a", 0, "one two two"), ("a", 0, "one two two"), ("b", 1, "two three"), ("c", 2, "four one"), ("c", 2, "four four five one"), ("d", 3, ""), ("d", 3, "")]
+    docs = spark.createDataFrame(rows, "url string, doc_seq bigint, text string")
+    index = en.build_index(docs, expand=False)
+    flat = ix.postings(index.docs)
+    assert sorted(map(str, index.postings.collect())) == sorted(map(str, flat.select("term", "url", "dl", "tf").collect()))
+    assert {tuple(r) for r in index.term_stats.collect()} == {tuple(r) for r in ix.term_stats(flat).collect()}
+    assert index.stats.first()["n_docs"] == 7 and index.doc_vec.count() == 7
+    queries = spark.createDataFrame([(1, "one two"), (2, "four")], "query_id bigint, query string")
+    weights = se.original_weights(se.query_terms(queries), 1.2)
+    got, want = ({(r["query_id"], r["url"]): round(r["lex"], 9) for r in se.lexical_scores(p, index.term_stats, index.stats, weights).collect()} for p in (index.packed, flat))
+    assert got == want and set(got) == {(1, "a"), (1, "b"), (1, "c"), (2, "c")}
+    by_document = se.lexical_matches(index.packed, index.term_stats, index.stats, weights).collect()
+    assert {(m["query_id"], r["url"]): round(m["lex"], 9) for r in by_document for m in r["matches"]} == got and len(by_document) == 3
+
+
 def test_many_terms_are_handed_on(monkeypatch):
     monkeypatch.setattr(blocks, "FREQUENCY_ROWS", 2)
     rows = [pa.RecordBatch.from_pydict({"terms": pa.array(x, pa.string())}) for x in (["a b", None, "a c d"], ["e f g", "a"], [""], [])]
